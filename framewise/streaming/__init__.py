@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The workloads this library reproduces contain no stream, watermark,
+event-time window or stateful operator; every table is read in batch.  The
+operators elsewhere are plain DataFrame -> DataFrame functions, so the
+stateless ones (tokenising, filters, projections) apply unchanged to a
+``readStream`` frame, but no streaming operator is claimed or tested.
+"""
