@@ -4,9 +4,10 @@ discounted reach.
 Breadth-first search is a frontier loop of DataFrame joins: frontier x edges
 -> new cells (one parent each) -> anti join with the visited set.  The loop
 ends when the frontier is empty, so the whole reachable component is
-labelled.  Lineage is cut with ``DataFrame.checkpoint()`` into the
-session's checkpoint folder every ``checkpoint_every`` levels; the small
-frontier is persisted between levels, and AQE broadcasts it when it is small.
+labelled.  Each new level is written with ``DataFrame.checkpoint()`` into the
+session's checkpoint folder (so the next level's plan starts from a file and
+survives executor loss), the visited set is re-checkpointed every
+``checkpoint_every`` levels, and AQE broadcasts the frontier when it is small.
 
 Paths are read from parent pointers by pointer doubling: log2(length) joins
 instead of one job per step.
@@ -50,32 +51,24 @@ def bfs(edges: DataFrame, start: tuple[int, int], checkpoint_every: int = 8) ->
     visited = spark.createDataFrame([(start[0], start[1], 0, None, None)], schema)
     frontier = visited.select("r", "c")
     level = 0
-    held = []
     while True:
         level += 1
+        # each level is checkpointed: its plan is a leaf, so plans stay small
         step = (frontier.join(e, ["r", "c"])
                 .groupBy(F.col("r2").alias("r"), F.col("c2").alias("c"))
                 .agg(F.min(F.struct("r", "c")).alias("p"))
                 .join(visited.select("r", "c"), ["r", "c"], "left_anti")
                 .select("r", "c", F.lit(level).alias("hops"),
                         F.col("p.r").alias("pr"), F.col("p.c").alias("pc"))
-                .persist())
+                .checkpoint())
         if step.isEmpty():
-            step.unpersist()
             break
         visited = visited.unionByName(step)
         if level % checkpoint_every == 0:
             visited = visited.checkpoint()
-            for h in held:
-                h.unpersist()
-            held = []
-        held.append(step)
         frontier = step.select("r", "c")
-    out = visited.checkpoint()
-    for h in held:
-        h.unpersist()
     e.unpersist()
-    return out
+    return visited.checkpoint()
 
 
 def ancestor_chain(parents: DataFrame, goal: tuple[int, int]) -> DataFrame:

@@ -116,7 +116,6 @@ def doc_term_matrix(word_counts: DataFrame, document: str = "document", term: st
     is never built.
     """
     from pyspark.ml.feature import StringIndexer
-    from pyspark.ml.functions import array_to_vector  # noqa: F401  (documented alternative)
 
     idx = StringIndexer(inputCol=term, outputCol="_ti", stringOrderType="alphabetAsc").fit(
         word_counts)
@@ -127,14 +126,11 @@ def doc_term_matrix(word_counts: DataFrame, document: str = "document", term: st
                                              F.col(count).cast("double").alias("v")))).alias("_e"))
     size = len(vocab)
     from pyspark.ml.linalg import SparseVector, VectorUDT
-    from pyspark.sql.functions import pandas_udf
-    import pandas as pd
-
-    @pandas_udf(VectorUDT())
-    def to_sparse(entries: pd.Series) -> pd.Series:
-        return entries.map(lambda es: SparseVector(size, [e["i"] for e in es],
-                                                   [e["v"] for e in es]))
 
+    # one call per document (not per token): builds the vector from its
+    # already aggregated (index, count) pairs
+    to_sparse = F.udf(lambda es: SparseVector(size, [e["i"] for e in es], [e["v"] for e in es]),
+                      VectorUDT())
     return per_doc.select(document, to_sparse("_e").alias("features")), vocab
 
 

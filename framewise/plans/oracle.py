@@ -47,8 +47,9 @@ GEO = ("geo AS (SELECT n.n_nationkey, n.n_name AS country, r.r_name AS continent
        "FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey)")
 COUNTRY_YEAR = GEO + (
     ", country_year AS (SELECT g.country, g.continent, CAST(year(o.o_orderdate) AS INTEGER) AS year, "
-    "avg(c.c_acctbal) / 100 AS lifeExp, CAST(count(DISTINCT o.o_custkey) AS BIGINT) AS pop, "
-    "avg(o.o_totalprice) AS gdpPercap FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey "
+    "CAST(sum(CAST(c.c_acctbal AS DECIMAL(18, 2))) AS DOUBLE) / count(*) / 100 AS lifeExp, "
+    "CAST(count(DISTINCT o.o_custkey) AS BIGINT) AS pop, "
+    "CAST(sum(CAST(o.o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) / count(*) AS gdpPercap FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey "
     "JOIN geo g ON c.c_nationkey = g.n_nationkey GROUP BY 1, 2, 3)")
 RATED = GEO + (
     ", ri AS (SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, g.country, "
@@ -61,8 +62,9 @@ CUSTOMER_FEATURES = GEO + (
     "CAST((year(o.last_o) * 12 + month(o.last_o)) - (year(o.first_o) * 12 + month(o.first_o)) "
     "AS INTEGER) AS tenure, "
     "CAST(CASE WHEN o.last_o < TIMESTAMP '2001-01-01' THEN 1 ELSE 0 END AS INTEGER) AS churn "
-    "FROM (SELECT o_custkey, count(*) AS n_orders, avg(o_totalprice) AS avg_price, "
-    "sum(o_totalprice) AS total_spend, min(o_orderdate) AS first_o, max(o_orderdate) AS last_o "
+    "FROM (SELECT o_custkey, count(*) AS n_orders, "
+    "CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) / count(*) AS avg_price, "
+    "CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS total_spend, min(o_orderdate) AS first_o, max(o_orderdate) AS last_o "
     "FROM orders GROUP BY o_custkey) o JOIN customer c ON o.o_custkey = c.c_custkey "
     "JOIN geo g ON c.c_nationkey = g.n_nationkey)")
 LABELLED = ("ld AS (SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic "

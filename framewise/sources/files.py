@@ -57,8 +57,9 @@ def write_doc_folder(docs: DataFrame, document: str, text: str, name: str) -> st
 def read_doc_folder(spark: SparkSession, path: str, pattern: str = "*.txt") -> DataFrame:
     """Every file under ``path`` matching ``pattern``: (file_name, folder, text),
     one row per file, the whole file as one value."""
-    df = (spark.read.option("wholetext", True).option("pathGlobFilter", pattern)
-          .option("recursiveFileLookup", True).text(path))
+    # options go through text()'s keywords: it resets the ones it does not get
+    df = spark.read.text(path, wholetext=True, pathGlobFilter=pattern,
+                         recursiveFileLookup=True)
     return df.select(F.col("_metadata.file_name").alias("file_name"),
                      F.regexp_extract(F.col("_metadata.file_path"), "/([^/=]+)=([^/]+)/[^/]+$", 2)
                      .alias("folder"),

@@ -15,6 +15,13 @@ from framewise.sources.tables import table
 GRID_WIDTH = 50          # grid_cells: column = key mod 50, row = key div 50
 WALL_SIZE = 35           # grid_cells: wall when p_size > 35
 CHURN_BEFORE = "2001-01-01"
+# Money columns carry two decimals: sums run in DECIMAL, which is exact and
+# independent of partitioning, then become DOUBLE once.
+MONEY = "decimal(18,2)"
+
+
+def _exact_sum(c):
+    return F.sum(c).cast("double")
 
 
 def _geo(spark, sf_dir) -> DataFrame:
@@ -32,14 +39,15 @@ def country_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     per_cust = (o.groupBy("o_custkey", F.year("o_orderdate").alias("year"))
                  .agg(F.count(F.lit(1)).alias("k"),
-                      F.sum("o_totalprice").alias("price_sum")))
+                      F.sum(F.col("o_totalprice").cast(MONEY)).alias("price_sum")))
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     j = (per_cust.join(c, per_cust.o_custkey == c.c_custkey)
          .join(_geo(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey")))
     return (j.groupBy("country", "continent", "year")
-             .agg((F.sum(F.col("c_acctbal") * F.col("k")) / F.sum("k") / 100).alias("lifeExp"),
+             .agg((_exact_sum(F.col("c_acctbal").cast(MONEY) * F.col("k")) / F.sum("k") / 100)
+                  .alias("lifeExp"),
                   F.count(F.lit(1)).alias("pop"),
-                  (F.sum("price_sum") / F.sum("k")).alias("gdpPercap")))
+                  (_exact_sum(F.col("price_sum")) / F.sum("k")).alias("gdpPercap")))
 
 
 def rated_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,10 +70,11 @@ def rated_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customer_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per ordering customer: spend, tenure in months, churn flag."""
     o = table(spark, sf_dir, "orders")
+    price = F.col("o_totalprice").cast(MONEY)
     per = (o.groupBy("o_custkey")
             .agg(F.count(F.lit(1)).alias("n_orders"),
-                 F.avg("o_totalprice").alias("avg_price"),
-                 F.sum("o_totalprice").alias("total_spend"),
+                 (_exact_sum(price) / F.count(F.lit(1))).alias("avg_price"),
+                 _exact_sum(price).alias("total_spend"),
                  F.min("o_orderdate").alias("first_o"),
                  F.max("o_orderdate").alias("last_o")))
     c = table(spark, sf_dir, "customer")
