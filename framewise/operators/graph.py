@@ -2,12 +2,13 @@
 discounted reach.
 
 Breadth-first search is a frontier loop of DataFrame joins: frontier x edges
--> new cells (one parent each) -> anti join with the visited set.  The loop
-ends when the frontier is empty, so the whole reachable component is
-labelled.  Each new level is written with ``DataFrame.checkpoint()`` into the
-session's checkpoint folder (so the next level's plan starts from a file and
-survives executor loss), the visited set is re-checkpointed every
-``checkpoint_every`` levels, and AQE broadcasts the frontier when it is small.
+-> new cells (one parent each) -> anti join with the last two levels (enough
+on an undirected graph).  Each level costs work proportional to its own size,
+not to the visited set.  The loop ends when a level is empty, so the whole
+reachable component is labelled.  Every level is written as a table in the
+shared scratch folder (``hops=<level>``): the next level's plan starts from
+that file, which cuts lineage and survives the loss of an executor, and the
+result is read back with the level as a partition column.
 
 Paths are read from parent pointers by pointer doubling: log2(length) joins
 instead of one job per step.
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framewise.session import checkpoint_dir
+from framewise.session import scratch_path
 
 # Neighbour offsets (label, row offset, column offset).
 DIRECTIONS = (("N", -1, 0), ("S", 1, 0), ("W", 0, -1), ("E", 0, 1))
@@ -41,34 +42,37 @@ def grid_edges(cells: DataFrame) -> DataFrame:
     return cand.join(dst, ["r2", "c2"]).select("r", "c", "dir", "r2", "c2")
 
 
-def bfs(edges: DataFrame, start: tuple[int, int], checkpoint_every: int = 8) -> DataFrame:
+def bfs(edges: DataFrame, start: tuple[int, int], check_every: int = 4) -> DataFrame:
     """(r, c, hops, pr, pc): hop count from ``start`` and the BFS parent
-    (smallest (row, col) among neighbours one hop closer) for every reachable cell."""
+    (smallest (row, col) among neighbours one hop closer) for every reachable
+    cell.  ``edges`` must be symmetric (an undirected graph)."""
     spark = edges.sparkSession
-    checkpoint_dir(spark)
+    base = scratch_path(spark, "bfs")
     e = edges.select("r", "c", "r2", "c2").persist()
-    schema = "r long, c long, hops int, pr long, pc long"
-    visited = spark.createDataFrame([(start[0], start[1], 0, None, None)], schema)
-    frontier = visited.select("r", "c")
+    root = spark.createDataFrame([(start[0], start[1], None, None)],
+                                 "r long, c long, pr long, pc long")
+    root.write.parquet(f"{base}/hops=0")
+    prev, cur = None, spark.read.parquet(f"{base}/hops=0").select("r", "c")
     level = 0
     while True:
         level += 1
-        # each level is checkpointed: its plan is a leaf, so plans stay small
-        step = (frontier.join(e, ["r", "c"])
+        # undirected graph: a neighbour of level L is at level L-1, L or L+1,
+        # so only the last two levels need to be excluded
+        seen = cur if prev is None else cur.unionByName(prev)
+        step = (cur.join(e, ["r", "c"])
                 .groupBy(F.col("r2").alias("r"), F.col("c2").alias("c"))
                 .agg(F.min(F.struct("r", "c")).alias("p"))
-                .join(visited.select("r", "c"), ["r", "c"], "left_anti")
-                .select("r", "c", F.lit(level).alias("hops"),
-                        F.col("p.r").alias("pr"), F.col("p.c").alias("pc"))
-                .checkpoint())
-        if step.isEmpty():
+                .join(seen, ["r", "c"], "left_anti")
+                .select("r", "c", F.col("p.r").alias("pr"), F.col("p.c").alias("pc")))
+        step.write.parquet(f"{base}/hops={level}")
+        written = spark.read.parquet(f"{base}/hops={level}")
+        # an empty level only produces empty levels: test every few levels
+        if level % check_every == 0 and written.isEmpty():
             break
-        visited = visited.unionByName(step)
-        if level % checkpoint_every == 0:
-            visited = visited.checkpoint()
-        frontier = step.select("r", "c")
+        prev, cur = cur, written.select("r", "c")
     e.unpersist()
-    return visited.checkpoint()
+    out = spark.read.parquet(base)  # the level is the folder name
+    return out.select("r", "c", F.col("hops").cast("int").alias("hops"), "pr", "pc")
 
 
 def ancestor_chain(parents: DataFrame, goal: tuple[int, int]) -> DataFrame:

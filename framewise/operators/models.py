@@ -273,13 +273,16 @@ def doc_vectors_from_distances(dist: DataFrame, docs: Sequence[str]) -> DataFram
 
 def best_kmeans(vectors: DataFrame, k: int, seeds: Sequence[int]) -> DataFrame:
     """k-means restarted from several seeds; keeps the lowest within-cluster cost."""
+    data = vectors.persist()  # every restart reads the same vectors
     best = None
     for s in seeds:
-        m = KMeans(k=k, seed=s, maxIter=100).fit(vectors)
+        m = KMeans(k=k, seed=s, maxIter=100).fit(data)
         cost = m.summary.trainingCost
         if best is None or cost < best[0]:
             best = (cost, m)
-    return best[1].transform(vectors).select("document", F.col("prediction").alias("cluster"))
+    out = best[1].transform(data).select("document", F.col("prediction").alias("cluster"))
+    return out.checkpoint()  # result is materialised; the cached input can go
+
 
 
 def bisecting_clusters(vectors: DataFrame, k: int, seed: int = 42) -> DataFrame:
@@ -297,8 +300,9 @@ def projection_2d(vectors: DataFrame) -> DataFrame:
 # --- topic model -------------------------------------------------------------------
 
 def lda_fit(dtm: DataFrame, k: int, seed: int = 1234, max_iter: int = 20):
+    """EM LDA; the iterations re-read the document-term rows, so they are cached."""
     return LDA(k=k, seed=seed, maxIter=max_iter, optimizer="em",
-               featuresCol="features").fit(dtm)
+               featuresCol="features").fit(dtm.persist())
 
 
 def lda_beta(model, vocab: Sequence[str], spark) -> DataFrame:
