@@ -33,11 +33,16 @@ def tokens(text, pattern: str = TOKEN_PATTERN) -> Column:
 
 
 def ngrams(words, n: int) -> Column:
-    """Space-joined windows of n consecutive elements of an array column."""
+    """Space-joined windows of n consecutive elements of an array column.
+
+    Built as ``arrays_zip`` of n shifted slices, so the input array is read a
+    fixed number of times (linear in its length); pass a column, not an
+    expression, so the array is computed once.
+    """
     w = col_(words)
-    starts = F.sequence(F.lit(1), F.size(w) - (n - 1))
-    grams = F.transform(starts, lambda i: F.array_join(F.slice(w, i, n), " "))
-    return F.when(F.size(w) >= n, grams).otherwise(F.array().cast("array<string>"))
+    k = F.greatest(F.size(w) - (n - 1), F.lit(0))
+    z = F.arrays_zip(*[F.slice(w, i + 1, k).alias(f"w{i}") for i in range(n)])
+    return F.transform(z, lambda s: F.concat_ws(" ", *[s[f"w{i}"] for i in range(n)]))
 
 
 def is_number(word) -> Column:

@@ -64,8 +64,11 @@ def tf_idf(counts: DataFrame, term: str = "word", document: str = "document",
 
 def ngrams(df: DataFrame, n: int, text: str = "text", keep: Sequence[str] = ("document",),
            name: str = "ngram") -> DataFrame:
-    """Rows of n consecutive tokens of each text value (page); none if shorter."""
-    return df.select(*keep, F.explode(tx.ngrams(tx.tokens(text), n)).alias(name))
+    """Rows of n consecutive tokens of each text value (page); none if shorter.
+
+    Tokens are projected to a column first so each text is tokenised once."""
+    words = df.select(*keep, tx.tokens(text).alias("_w"))
+    return words.select(*keep, F.explode(tx.ngrams("_w", n)).alias(name))
 
 
 def separate(df: DataFrame, column: str, into: Sequence[str], sep: str = " ") -> DataFrame:
