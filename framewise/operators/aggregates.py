@@ -145,18 +145,19 @@ def confusion_stats(df: DataFrame, actual: str, predicted: str, positive=0) -> D
         F.sum(F.when((a == pos) & (p != pos), 1).otherwise(0)).alias("fn"),
         F.sum(F.when((a != pos) & (p != pos), 1).otherwise(0)).alias("tn"))
     tp, fp, fn, tn = (F.col(c).cast("double") for c in ("tp", "fp", "fn", "tn"))
+    d = F.try_divide  # an empty margin gives NULL, not an error
     n = tp + fp + fn + tn
-    acc = (tp + tn) / n
-    pe = ((tp + fp) * (tp + fn) + (fn + tn) * (fp + tn)) / (n * n)
-    sens = tp / (tp + fn)
-    spec = tn / (tn + fp)
+    acc = d(tp + tn, n)
+    pe = d((tp + fp) * (tp + fn) + (fn + tn) * (fp + tn), n * n)
+    sens = d(tp, tp + fn)
+    spec = d(tn, tn + fp)
     return s.select(
         F.col("tp").cast("bigint").alias("tp"), F.col("fp").cast("bigint").alias("fp"),
         F.col("fn").cast("bigint").alias("fn"), F.col("tn").cast("bigint").alias("tn"),
-        acc.alias("accuracy"), ((acc - pe) / (1 - pe)).alias("kappa"),
+        acc.alias("accuracy"), d(acc - pe, 1 - pe).alias("kappa"),
         sens.alias("sensitivity"), spec.alias("specificity"),
-        (tp / (tp + fp)).alias("ppv"), (tn / (tn + fn)).alias("npv"),
-        ((tp + fn) / n).alias("prevalence"), ((sens + spec) / 2).alias("balanced_accuracy"))
+        d(tp, tp + fp).alias("ppv"), d(tn, tn + fn).alias("npv"),
+        d(tp + fn, n).alias("prevalence"), ((sens + spec) / 2).alias("balanced_accuracy"))
 
 
 def accuracy(actual: str, predicted: str) -> Column:

@@ -19,7 +19,8 @@ TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              na: str | None = None) -> DataFrame:
     """CSV with a header row; an explicit schema unless profiling (inference)."""
-    r = spark.read.option("header", True).option("timestampFormat", TS_FORMAT)
+    r = (spark.read.option("header", True).option("timestampFormat", TS_FORMAT)
+         .option("timestampNTZFormat", TS_FORMAT))
     if na is not None:
         r = r.option("nullValue", na)
     if schema is not None:
@@ -30,7 +31,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
 
 
 def write_csv(df: DataFrame, path: str, na: str | None = None) -> str:
-    w = df.write.mode("error").option("header", True).option("timestampFormat", TS_FORMAT)
+    w = (df.write.mode("error").option("header", True).option("timestampFormat", TS_FORMAT)
+         .option("timestampNTZFormat", TS_FORMAT))
     if na is not None:
         w = w.option("nullValue", na)
     w.csv(path)
