@@ -57,16 +57,16 @@ def clean_text(text, stop_words) -> Column:
     """The cleaning chain, in order: punctuation, special characters, digits,
     lower case, stop words, stems, white space.
 
-    ``stop_words`` is a Python sequence (a bounded word list) and becomes an
-    array literal, so removal is a per-row array filter (no join).
+    ``stop_words`` is a Python sequence (a bounded word list); membership is
+    an IN list, which the optimizer turns into a hash-set lookup (no join).
     """
     t = F.regexp_replace(col_(text), "\\p{Punct}", "")
     t = F.regexp_replace(t, SPECIAL_CHAR_PATTERN, " ")
     t = F.regexp_replace(t, "\\d", "")
     t = F.lower(t)
-    stops = F.array(*[F.lit(w) for w in stop_words])
+    stops = list(stop_words)
     words = F.split(t, "\\s+")
-    kept = F.filter(words, lambda w: (w != "") & ~F.array_contains(stops, w))
+    kept = F.filter(words, lambda w: (w != "") & ~w.isin(stops))  # IN list -> hash set
     stemmed = F.transform(kept, lambda w: F.regexp_replace(w, STEM_SUFFIX_PATTERN, ""))
     return F.trim(F.regexp_replace(F.array_join(stemmed, " "), "\\s+", " "))
 

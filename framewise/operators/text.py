@@ -51,15 +51,18 @@ def tf_idf(counts: DataFrame, term: str = "word", document: str = "document",
 
     Document totals and document frequencies are aggregates joined back on
     their key (AQE broadcasts whichever side turns out small at run time).
+    The counts are checkpointed first, so the text is tokenised once.
     """
+    # the counts feed three aggregates and a join; materialise them once
+    # (a reliable checkpoint also cuts the lineage back to the raw text)
+    counts = counts.checkpoint()
     doc_tot = counts.groupBy(document).agg(F.sum(n).alias("_total"))
     df_term = counts.groupBy(term).agg(F.count(F.lit(1)).alias("_df"))
     n_docs = doc_tot.agg(F.count(F.lit(1))).scalar()
     out = counts.join(doc_tot, document).join(df_term, term)
-    tf = F.col(n) / F.col("_total")
-    idf = F.log(n_docs / F.col("_df"))
-    return out.select(document, term, n, tf.alias("tf"), idf.alias("idf"),
-                      (tf * idf).alias("tf_idf"))
+    scored = out.select(document, term, n, (F.col(n) / F.col("_total")).alias("tf"),
+                        F.log(n_docs / F.col("_df")).alias("idf"))
+    return scored.withColumn("tf_idf", F.col("tf") * F.col("idf"))
 
 
 def ngrams(df: DataFrame, n: int, text: str = "text", keep: Sequence[str] = ("document",),

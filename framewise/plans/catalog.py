@@ -378,7 +378,7 @@ def _documents(wc: DataFrame) -> list[str]:
 
 @query("doc_distance")
 def doc_distance(spark, sf):
-    wc = _word_counts(spark, sf)
+    wc = _word_counts(spark, sf).checkpoint()  # read twice: document list, pivot
     return rounded(tt.doc_distance(wc, _documents(wc)))
 
 

@@ -188,7 +188,7 @@ def anomaly_flags(spark, sf):
 
 
 def _doc_vectors(spark, sf):
-    wc = C._word_counts(spark, sf)
+    wc = C._word_counts(spark, sf).checkpoint()
     docs = C._documents(wc)
     return ml.doc_vectors_from_distances(tt.doc_distance(wc, docs), docs)
 
