@@ -1,11 +1,10 @@
 """Aggregations: group statistics, quantiles, box and histogram data,
 confusion tables and error measures.
 
-Exact quantiles use Spark's ``percentile`` with a frequency column after a
-(group, value) pre-aggregation: the partial step runs map-side, equal values
-collapse before the shuffle, and the final step only holds distinct values.
-``approx=True`` switches to the bounded-memory ``percentile_approx`` sketch
-for groups whose distinct values do not fit one task.
+Exact quantiles (``quantiles``, ``box_stats``) merge equal values first and
+then number the distinct values of each group with a range sort, so no task
+holds a whole group, however skewed; ``method="approx"`` switches to the
+bounded-memory ``percentile_approx`` sketch.
 """
 
 from __future__ import annotations
@@ -24,48 +23,93 @@ def group_mean_all(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.groupBy(*by).agg(*[F.avg(c).alias(c) for c in nums])
 
 
+def _qname(p: float) -> str:
+    s = f"{p * 100:g}".replace(".", "_")
+    return f"q{s}"
+
+
+def ranked_values(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+    """(by..., value, _k, _cum, _n): each distinct value of a group with its
+    count, the running count up to and including it, and the group size.
+
+    Equal values are merged first.  The merged rows are range-sorted on
+    (group, value), so a group holding a third of the data is spread over
+    many sorted partitions; each partition keeps a local running count and a
+    small table of (partition, group) totals gives every slice its offset.
+    The sorted rows are checkpointed, so both passes (and any recomputation
+    after an executor loss) see the same partitions.
+    """
+    from pyspark.sql import Window
+
+    counts = (df.where(F.col(value).isNotNull()).groupBy(*by, value)
+                .agg(F.count(F.lit(1)).alias("_k")))
+    s = counts.orderBy(*by, value).withColumn("_pid", F.spark_partition_id()).checkpoint()
+    local = Window.partitionBy("_pid", *by).orderBy(value).rowsBetween(
+        Window.unboundedPreceding, 0)
+    slices = s.groupBy("_pid", *by).agg(F.sum("_k").alias("_t"))
+    before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = slices.select("_pid", *by,
+                         F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"),
+                         F.sum("_t").over(Window.partitionBy(*by)).alias("_n"))
+    return (s.withColumn("_cum", F.sum("_k").over(local))
+             .join(offs, ["_pid", *by])
+             .select(*by, value, "_k", (F.col("_cum") + F.col("_off")).alias("_cum"), "_n"))
+
+
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
-              approx: bool = False, accuracy: int = 100_000) -> DataFrame:
-    """Linear-interpolation quantiles of ``value`` per group, one column per prob
-    named ``q<prob*100>``; NULL values are ignored."""
+              method: str = "sort", accuracy: int = 100_000) -> DataFrame:
+    """Linear-interpolation quantiles of ``value`` per group, one column per
+    prob named ``q<prob*100>``; NULL values are ignored.
+
+    ``method``: ``"sort"`` (default) is exact and skew-safe (``ranked_values``;
+    only the two rows around each target rank of a group reach the final
+    aggregate); ``"map"`` is Spark's exact ``percentile`` with a frequency
+    column, which holds a group's distinct values in one task (small groups);
+    ``"approx"`` is the bounded-memory ``percentile_approx`` sketch.
+    """
     names = [_qname(p) for p in probs]
     base = df.where(F.col(value).isNotNull())
-    if approx:
-        arr = F.percentile_approx(value, list(probs), accuracy)
-        agg = base.groupBy(*by).agg(arr.alias("_q"))
-    else:
+    if method == "approx":
+        agg = base.groupBy(*by).agg(F.percentile_approx(value, list(probs), accuracy).alias("_q"))
+        return agg.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    if method == "map":
         counts = base.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_f"))
-        arr = F.percentile(F.col(value), F.array(*[F.lit(float(p)) for p in probs]),
-                           F.col("_f"))
+        arr = F.percentile(F.col(value), F.array(*[F.lit(float(p)) for p in probs]), F.col("_f"))
         agg = counts.groupBy(*by).agg(arr.alias("_q"))
-    return agg.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-
-
-def _qname(p: float) -> str:
-    s = f"{p * 100:g}".replace(".", "_")
-    return f"q{s}"
+        return agg.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    r = ranked_values(df, value, by)
+    start = F.col("_cum") - F.col("_k")  # the row holds 0-based ranks [start, _cum)
+    holds, parts = [], []
+    for i, p in enumerate(probs):
+        pos = (F.col("_n") - 1) * float(p)
+        for tag, rank in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
+            hit = (start <= rank) & (rank < F.col("_cum"))
+            holds.append(hit)
+            parts.append(F.max(F.when(hit, F.col(value))).alias(f"_{tag}{i}"))
+        parts.append(F.max(pos - F.floor(pos)).alias(f"_f{i}"))
+    keep = holds[0]
+    for h in holds[1:]:
+        keep = keep | h
+    g = r.where(keep).groupBy(*by).agg(*parts)  # at most 2 rows per prob per group
+    return g.select(*by, *[
+        (F.col(f"_lo{i}") + F.col(f"_f{i}") * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(n)
+        for i, n in enumerate(names)])
 
 
 def box_stats(df: DataFrame, value: str, by: Sequence[str] = (), whisker: float = 1.5,
-              trimmed: bool = False, approx: bool = False) -> DataFrame:
+              trimmed: bool = False, method: str = "sort") -> DataFrame:
     """Box-plot data per group: n, q1, median, q3, whiskers (furthest point
     within ``whisker``·IQR of the box), outlier count.
 
     With ``trimmed`` the outliers are left out of n (they are not drawn).
-    Whiskers and outlier counts come from the (group, value, count) table,
-    so the join back to the quartiles is on pre-aggregated rows.
+    Quartiles come from ``quantiles`` (exact and skew-safe by default);
+    whiskers and outlier counts from the (group, value, count) rows joined
+    to one row of quartiles per group.
     """
     base = df.where(F.col(value).isNotNull())
     counts = base.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_f"))
-    if approx:
-        q = base.groupBy(*by).agg(
-            F.percentile_approx(value, [0.25, 0.5, 0.75], 100_000).alias("_q"))
-    else:
-        q = counts.groupBy(*by).agg(
-            F.percentile(F.col(value), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)),
-                         F.col("_f")).alias("_q"))
-    q = q.select(*by, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                 F.col("_q")[2].alias("q3"))
+    q = quantiles(df, value, [0.25, 0.5, 0.75], by, method=method).select(
+        *by, F.col("q25").alias("q1"), F.col("q50").alias("median"), F.col("q75").alias("q3"))
     lo = F.col("q1") - whisker * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + whisker * (F.col("q3") - F.col("q1"))
     if by:

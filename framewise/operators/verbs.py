@@ -77,11 +77,13 @@ def complete_cases(df: DataFrame, subset: Sequence[str] | None = None) -> DataFr
 def above_quantile(df: DataFrame, column: str, prob: float) -> DataFrame:
     """Rows whose value is above the table's own interpolated quantile.
 
-    The quantile is an uncorrelated scalar subquery: one aggregate job,
-    then a filter in the scan stage of the main query.
+    The quantile (exact, skew-safe) is an uncorrelated scalar subquery; the
+    filter then runs in the scan stage of the main query.
     """
-    q = df.agg(F.percentile(F.col(column), F.lit(prob)))
-    return df.where(F.col(column) > q.scalar())
+    from framewise.operators.aggregates import quantiles
+
+    q = quantiles(df, column, [prob])
+    return df.where(F.col(column) > q.select(q.columns[0]).scalar())
 
 
 # --- sorts, top-n, limits ---------------------------------------------------
@@ -114,9 +116,11 @@ def top_n_ties(df: DataFrame, n: int, by: str, partition_by: Sequence[str] = (),
 
 def limit_by_count(df: DataFrame, counted: DataFrame, order: Sequence[Column]) -> DataFrame:
     """First ``count(counted)`` rows of ``df`` in ``order`` (order must be total)."""
+    from framewise.operators.windows import row_number_global
+
     k = counted.agg(F.count(F.lit(1)))
-    rn = F.row_number().over(Window.orderBy(*order))
-    return df.withColumn("_rn", rn).where(F.col("_rn") <= k.scalar()).drop("_rn")
+    numbered = row_number_global(df, order, name="_rn")  # range sort, not one task
+    return numbered.where(F.col("_rn") <= k.scalar()).drop("_rn")
 
 
 def sample_n(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataFrame:
@@ -135,13 +139,20 @@ def split_random(df: DataFrame, key: Sequence[str], frac: float = 0.8, seed: int
 
 def split_stratified(df: DataFrame, label: str, key: Sequence[str], frac: float = 0.7,
                      seed: int = 1234) -> DataFrame:
-    """Adds ``is_train``: per label, the first ``frac`` share in hash order.
+    """Adds ``is_train``: per label, the first ``frac`` share in hash order,
+    i.e. ``percent_rank() over (partition by label order by hash, key) < frac``.
 
-    ``percent_rank`` over (label order by hash, key) is exact per stratum.
+    A label is a hot group by nature (two labels hold all rows), so the rank
+    comes from ``row_number_global``: a range sort spreads each stratum over
+    many tasks, and the stratum size comes from its small offsets table.
     """
+    from framewise.operators.windows import row_number_global
+
     h = F.xxhash64(*[F.col(k) for k in key], F.lit(seed))
-    w = Window.partitionBy(label).orderBy(h, *[F.col(k) for k in key])
-    return df.withColumn("is_train", F.percent_rank().over(w) < frac)
+    u = df.withColumn("_h", h)
+    n = row_number_global(u, ["_h", *key], [label], name="_rn", size="_n")
+    pr = F.try_divide(F.col("_rn") - 1, F.col("_n") - 1)
+    return n.withColumn("is_train", F.coalesce(pr, F.lit(0.0)) < frac).drop("_h", "_rn", "_n")
 
 
 # --- sets and key filters ----------------------------------------------------

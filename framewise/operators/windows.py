@@ -28,15 +28,16 @@ def _cols(cs) -> list[Column]:
 
 
 def row_number_global(df: DataFrame, order: Sequence, partition_by: Sequence[str] = (),
-                      name: str = "row_number") -> DataFrame:
+                      name: str = "row_number", size: str | None = None) -> DataFrame:
     """Exact ``row_number() over (partition by P order by O)`` for any skew.
 
     The frame is range-sorted on (P, O), so one hot group is spread over many
     sorted partitions.  Inside a partition the rows of a group are contiguous;
     a small table of (partition, group) counts gives each slice its offset.
+    ``size`` names an optional column with the number of rows of the group.
     ``order`` must be a total order (end it with a unique key).  The sorted
-    frame is persisted so both passes see the same partitions; it is
-    recomputed deterministically if an executor is lost.
+    frame is checkpointed so both passes, and any recomputation after an
+    executor loss, see the same partitions.
     """
     part = list(partition_by)
     keys = _cols(part) + _cols(order)
@@ -44,7 +45,7 @@ def row_number_global(df: DataFrame, order: Sequence, partition_by: Sequence[str
                    .withColumn("_mid", F.monotonically_increasing_id())
                    .withColumn("_pid", F.shiftright(F.col("_mid"), _POS_BITS))
                    .withColumn("_pos", F.col("_mid").bitwiseAND((1 << _POS_BITS) - 1))
-                   .persist())
+                   .checkpoint())
     slices = sorted_df.groupBy("_pid", *part).agg(F.count(F.lit(1)).alias("_n"),
                                                    F.min("_pos").alias("_start"))
     # one row per (partition, group): tiny next to the data
@@ -52,7 +53,11 @@ def row_number_global(df: DataFrame, order: Sequence, partition_by: Sequence[str
         Window.unboundedPreceding, -1) if part else Window.orderBy("_pid").rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = slices.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    offs = offsets.select("_pid", *part, "_off", "_start")
+    extra = []
+    if size:  # rows in the whole group, from the same small table
+        offsets = offsets.withColumn(size, F.sum("_n").over(Window.partitionBy(*part)))
+        extra = [size]
+    offs = offsets.select("_pid", *part, "_off", "_start", *extra)
     # without groups the offsets table has one row per partition: broadcast it
     joined = sorted_df.join(offs if part else F.broadcast(offs), ["_pid", *part])
     return (joined.withColumn(name, (F.col("_off") + F.col("_pos") - F.col("_start") + 1)
@@ -104,7 +109,7 @@ def prefix_sum(df: DataFrame, key: str, weight: str, name: str) -> DataFrame:
     """
     s = (df.orderBy(key)
            .withColumn("_pid", F.shiftright(F.monotonically_increasing_id(), _POS_BITS))
-           .persist())
+           .checkpoint())
     local = Window.partitionBy("_pid").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
     per_part = s.groupBy("_pid").agg(F.sum(weight).alias("_t"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

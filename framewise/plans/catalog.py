@@ -651,10 +651,9 @@ def split_random(spark, sf):
 def _stratified(spark, sf):
     cf = views.customer_features(spark, sf)
     u = cf.withColumn("_u", pseudo_uniform("c_custkey"))
-    n = wn.row_number_global(u, ["_u", "c_custkey"], ["churn"], name="_rn")
-    sizes = u.groupBy("churn").agg(F.count(F.lit(1)).alias("_n"))
-    pr = (F.col("_rn") - 1) / (F.col("_n") - 1)
-    return n.join(sizes, "churn").withColumn("is_train", pr < 0.7).drop("_u", "_rn", "_n")
+    n = wn.row_number_global(u, ["_u", "c_custkey"], ["churn"], name="_rn", size="_n")
+    pr = F.coalesce(F.try_divide(F.col("_rn") - 1, F.col("_n") - 1), F.lit(0.0))
+    return n.withColumn("is_train", pr < 0.7).drop("_u", "_rn", "_n")
 
 
 @query("split_stratified")
