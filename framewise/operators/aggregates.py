@@ -1,10 +1,12 @@
 """Aggregations: group statistics, quantiles, box and histogram data,
 confusion tables and error measures.
 
-Exact quantiles (``quantiles``, ``box_stats``) merge equal values first and
-then number the distinct values of each group with a range sort, so no task
-holds a whole group, however skewed; ``method="approx"`` switches to the
-bounded-memory ``percentile_approx`` sketch.
+Exact quantiles (``quantiles``, ``box_stats``) merge equal values first.  A
+HyperLogLog pass then checks the largest group: when its distinct values fit
+one task, Spark's ``percentile`` (value -> count map) finishes the job;
+beyond that bound the distinct values of each group are numbered with a
+range sort, so no task holds a whole group, however skewed.
+``method="approx"`` switches to the bounded-memory ``percentile_approx``.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framewise.functions.binning import numeric_columns
+from framewise.session import materialize
 
 
 def group_mean_all(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -36,14 +39,15 @@ def ranked_values(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFram
     (group, value), so a group holding a third of the data is spread over
     many sorted partitions; each partition keeps a local running count and a
     small table of (partition, group) totals gives every slice its offset.
-    The sorted rows are checkpointed, so both passes (and any recomputation
+    The sorted rows are written to the shared folder, so both passes (and any recomputation
     after an executor loss) see the same partitions.
     """
     from pyspark.sql import Window
 
     counts = (df.where(F.col(value).isNotNull()).groupBy(*by, value)
                 .agg(F.count(F.lit(1)).alias("_k")))
-    s = counts.orderBy(*by, value).withColumn("_pid", F.spark_partition_id()).checkpoint()
+    s = materialize(counts.orderBy(*by, value).withColumn("_pid", F.spark_partition_id()),
+                    "ranked")
     local = Window.partitionBy("_pid", *by).orderBy(value).rowsBetween(
         Window.unboundedPreceding, 0)
     slices = s.groupBy("_pid", *by).agg(F.sum("_k").alias("_t"))
@@ -56,19 +60,34 @@ def ranked_values(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFram
              .select(*by, value, "_k", (F.col("_cum") + F.col("_off")).alias("_cum"), "_n"))
 
 
+MAP_MAX_DISTINCT = 2_000_000  # distinct values one task may hold for ``percentile``
+
+
+def choose_quantile_method(df: DataFrame, value: str, by: Sequence[str] = (),
+                           limit: int = MAP_MAX_DISTINCT) -> str:
+    """``"map"`` when every group's distinct values (HyperLogLog estimate,
+    one cheap pass) fit one task, else ``"sort"``."""
+    est = (df.where(F.col(value).isNotNull()).groupBy(*by)
+             .agg(F.approx_count_distinct(value).alias("_d")).agg(F.max("_d")).first()[0])
+    return "map" if (est or 0) <= limit else "sort"
+
+
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
-              method: str = "sort", accuracy: int = 100_000) -> DataFrame:
+              method: str = "auto", accuracy: int = 100_000) -> DataFrame:
     """Linear-interpolation quantiles of ``value`` per group, one column per
     prob named ``q<prob*100>``; NULL values are ignored.
 
-    ``method``: ``"sort"`` (default) is exact and skew-safe (``ranked_values``;
-    only the two rows around each target rank of a group reach the final
-    aggregate); ``"map"`` is Spark's exact ``percentile`` with a frequency
-    column, which holds a group's distinct values in one task (small groups);
-    ``"approx"`` is the bounded-memory ``percentile_approx`` sketch.
+    ``method``: ``"sort"`` is exact and skew-safe (``ranked_values``; only the
+    two rows around each target rank of a group reach the final aggregate);
+    ``"map"`` is Spark's exact ``percentile`` with a frequency column, which
+    holds a group's distinct values in one task; ``"auto"`` (default) takes
+    ``"map"`` only behind a size check (``choose_quantile_method``) and
+    ``"sort"`` beyond it; ``"approx"`` is the bounded ``percentile_approx``.
     """
     names = [_qname(p) for p in probs]
     base = df.where(F.col(value).isNotNull())
+    if method == "auto":
+        method = choose_quantile_method(df, value, by)
     if method == "approx":
         agg = base.groupBy(*by).agg(F.percentile_approx(value, list(probs), accuracy).alias("_q"))
         return agg.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
@@ -97,7 +116,7 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
 
 
 def box_stats(df: DataFrame, value: str, by: Sequence[str] = (), whisker: float = 1.5,
-              trimmed: bool = False, method: str = "sort") -> DataFrame:
+              trimmed: bool = False, method: str = "auto") -> DataFrame:
     """Box-plot data per group: n, q1, median, q3, whiskers (furthest point
     within ``whisker``·IQR of the box), outlier count.
 

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framewise.session import scratch_path
+from framewise.session import materialize, scratch_path
 
 # Neighbour offsets (label, row offset, column offset).
 DIRECTIONS = (("N", -1, 0), ("S", 1, 0), ("W", 0, -1), ("E", 0, 1))
@@ -88,14 +88,15 @@ def ancestor_chain(parents: DataFrame, goal: tuple[int, int]) -> DataFrame:
     chain = parents.where((F.col("r") == goal[0]) & (F.col("c") == goal[1])).select("r", "c")
     while True:
         ext = chain.join(jump, ["r", "c"]).select(F.col("ar").alias("r"), F.col("ac").alias("c"))
-        grown = chain.unionByName(ext).distinct().checkpoint()
+        grown = materialize(chain.unionByName(ext).distinct(), "chain")
         if grown.count() == chain.count():
             return grown
         chain = grown
         j2 = jump.alias("a").join(jump.alias("b"), (F.col("a.ar") == F.col("b.r")) &
                                   (F.col("a.ac") == F.col("b.c")))
         jump = j2.select(F.col("a.r").alias("r"), F.col("a.c").alias("c"),
-                         F.col("b.ar").alias("ar"), F.col("b.ac").alias("ac")).checkpoint()
+                         F.col("b.ar").alias("ar"), F.col("b.ac").alias("ac"))
+        jump = materialize(jump, "jump")
 
 
 def shortest_path(hops: DataFrame, goal: tuple[int, int]) -> DataFrame:

@@ -24,6 +24,8 @@ from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from framewise.session import materialize
+
 
 def _rows(spark, rows, schema) -> DataFrame:
     return spark.createDataFrame(rows, schema)
@@ -281,7 +283,7 @@ def best_kmeans(vectors: DataFrame, k: int, seeds: Sequence[int]) -> DataFrame:
         if best is None or cost < best[0]:
             best = (cost, m)
     out = best[1].transform(data).select("document", F.col("prediction").alias("cluster"))
-    return out.checkpoint()  # result is materialised; the cached input can go
+    return materialize(out, "doc-clusters")
 
 
 

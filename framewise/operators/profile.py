@@ -37,14 +37,14 @@ def column_types(df: DataFrame) -> DataFrame:
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None,
-                     method: str = "sort") -> DataFrame:
+                     method: str = "auto") -> DataFrame:
     """count, mean, sample std, min, quartiles, max for numeric columns; one
     output row per column.
 
     The columns are unpivoted to (column_name, value) rows, so every
     statistic is a grouped aggregate keyed by column name and the exact
-    quartiles use the skew-safe ``quantiles`` (each column is a group as
-    large as the table).
+    quartiles use ``quantiles`` (size-checked: each column is a group as
+    large as the table, so large tables take the skew-safe sort path).
     """
     from framewise.operators.aggregates import quantiles
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framewise.functions import text as tx
+from framewise.session import materialize
 
 
 def unnest_pages(df: DataFrame, document: str = "document", pages: str = "pages") -> DataFrame:
@@ -51,11 +52,11 @@ def tf_idf(counts: DataFrame, term: str = "word", document: str = "document",
 
     Document totals and document frequencies are aggregates joined back on
     their key (AQE broadcasts whichever side turns out small at run time).
-    The counts are checkpointed first, so the text is tokenised once.
+    The counts are written once (``materialize``), so the text is tokenised once.
     """
     # the counts feed three aggregates and a join; materialise them once
-    # (a reliable checkpoint also cuts the lineage back to the raw text)
-    counts = counts.checkpoint()
+    # (the written table also cuts the lineage back to the raw text)
+    counts = materialize(counts, "term-counts")
     doc_tot = counts.groupBy(document).agg(F.sum(n).alias("_total"))
     df_term = counts.groupBy(term).agg(F.count(F.lit(1)).alias("_df"))
     n_docs = doc_tot.agg(F.count(F.lit(1))).scalar()

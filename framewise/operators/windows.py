@@ -20,6 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from framewise.session import materialize
+
 _POS_BITS = 33  # monotonically_increasing_id = partition index << 33 | position
 
 
@@ -36,7 +38,7 @@ def row_number_global(df: DataFrame, order: Sequence, partition_by: Sequence[str
     a small table of (partition, group) counts gives each slice its offset.
     ``size`` names an optional column with the number of rows of the group.
     ``order`` must be a total order (end it with a unique key).  The sorted
-    frame is checkpointed so both passes, and any recomputation after an
+    frame is written to the shared folder so both passes, and any recomputation after an
     executor loss, see the same partitions.
     """
     part = list(partition_by)
@@ -44,8 +46,8 @@ def row_number_global(df: DataFrame, order: Sequence, partition_by: Sequence[str
     sorted_df = (df.orderBy(*keys)
                    .withColumn("_mid", F.monotonically_increasing_id())
                    .withColumn("_pid", F.shiftright(F.col("_mid"), _POS_BITS))
-                   .withColumn("_pos", F.col("_mid").bitwiseAND((1 << _POS_BITS) - 1))
-                   .checkpoint())
+                   .withColumn("_pos", F.col("_mid").bitwiseAND((1 << _POS_BITS) - 1)))
+    sorted_df = materialize(sorted_df, "numbered")
     slices = sorted_df.groupBy("_pid", *part).agg(F.count(F.lit(1)).alias("_n"),
                                                    F.min("_pos").alias("_start"))
     # one row per (partition, group): tiny next to the data
@@ -107,9 +109,8 @@ def prefix_sum(df: DataFrame, key: str, weight: str, name: str) -> DataFrame:
     partitioned by the partition id, so every task works on its own slice)
     plus the total of all earlier partitions from a one-row-per-partition table.
     """
-    s = (df.orderBy(key)
-           .withColumn("_pid", F.shiftright(F.monotonically_increasing_id(), _POS_BITS))
-           .checkpoint())
+    s = materialize(df.orderBy(key).withColumn(
+        "_pid", F.shiftright(F.monotonically_increasing_id(), _POS_BITS)), "prefix")
     local = Window.partitionBy("_pid").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
     per_part = s.groupBy("_pid").agg(F.sum(weight).alias("_t"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

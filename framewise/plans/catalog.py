@@ -24,7 +24,7 @@ from framewise.operators import text as tt
 from framewise.operators import verbs as vb
 from framewise.operators import windows as wn
 from framewise.sources import files, generators, lexicons, views
-from framewise.session import scratch_path
+from framewise.session import materialize, scratch_path
 from framewise.sources.tables import SCHEMAS, register_views, table
 
 # Parameters of the registered queries (stand-ins for the reference's own).
@@ -378,7 +378,7 @@ def _documents(wc: DataFrame) -> list[str]:
 
 @query("doc_distance")
 def doc_distance(spark, sf):
-    wc = _word_counts(spark, sf).checkpoint()  # read twice: document list, pivot
+    wc = materialize(_word_counts(spark, sf), "word-counts")  # read twice: list, pivot
     return rounded(tt.doc_distance(wc, _documents(wc)))
 
 

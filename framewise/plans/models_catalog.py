@@ -16,6 +16,7 @@ from framewise.operators import stats as st
 from framewise.operators import verbs as vb
 from framewise.operators import text as tt
 from framewise.plans import catalog as C
+from framewise.session import materialize
 from framewise.sources import views
 
 MODEL_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -188,7 +189,7 @@ def anomaly_flags(spark, sf):
 
 
 def _doc_vectors(spark, sf):
-    wc = C._word_counts(spark, sf).checkpoint()
+    wc = materialize(C._word_counts(spark, sf), "word-counts")
     docs = C._documents(wc)
     return ml.doc_vectors_from_distances(tt.doc_distance(wc, docs), docs)
 

@@ -1,7 +1,9 @@
 """Session construction and shared-folder helpers.
 
-Iterative operators cut lineage with ``DataFrame.checkpoint()`` into the
-folder the cluster names in ``spark.checkpoint.dir``.  That setting is read
+Iterative and multi-pass operators cut lineage with tables written
+(``materialize``) into the folder the cluster names in
+``spark.checkpoint.dir``: one computation, a columnar copy, and a plan that
+restarts from files after an executor loss.  That setting is read
 from the session; a folder of our own is only chosen when it is unset and
 the master is local (tests, notebooks).  On a cluster an unset value is an
 error: a machine-local folder would not survive the loss of an executor.
@@ -69,9 +71,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/framewise-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df, name: str):
+    """Write ``df`` as parquet to a fresh folder in the shared checkpoint area
+    and return the table read back: one computation, a columnar copy, and a
+    plan that starts from files (lineage cut, survives executor loss)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def local_path(uri: str) -> str:
     """Strip a ``file:`` scheme (local runs only)."""
     return uri[len("file:"):] if uri.startswith("file:") else uri
 
 
-__all__ = ["get_spark", "checkpoint_dir", "scratch_path", "local_path"]
+__all__ = ["get_spark", "checkpoint_dir", "scratch_path", "materialize", "local_path"]

@@ -223,3 +223,16 @@ def test_doc_distance_matches_dense(spark):
     for (p, q), d in got.items():
         assert d == pytest.approx(float(np.linalg.norm(m[p] - m[q])))
     assert len(got) == 3
+
+
+@pytest.mark.parametrize("method", ["sort", "map", "auto"])
+def test_quantiles_methods_agree_with_numpy_under_skew(spark, method):
+    rng = np.random.default_rng(5)
+    rows = [("hot" if rng.random() < 0.7 else f"g{rng.integers(4)}",
+             float(np.round(rng.gamma(2.0, 10.0), 1))) for _ in range(4000)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(6)
+    q = agg.quantiles(df, "v", [0.1, 0.25, 0.5, 0.85], ["g"], method=method).collect()
+    for r in q:
+        x = np.array([v for g, v in rows if g == r.g])
+        want = np.percentile(x, [10, 25, 50, 85])
+        assert [r.q10, r.q25, r.q50, r.q85] == pytest.approx(list(want), rel=1e-12)
