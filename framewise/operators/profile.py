@@ -41,21 +41,43 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None,
     """count, mean, sample std, min, quartiles, max for numeric columns; one
     output row per column.
 
-    The columns are unpivoted to (column_name, value) rows, so every
-    statistic is a grouped aggregate keyed by column name and the exact
-    quartiles use ``quantiles`` (size-checked: each column is a group as
-    large as the table, so large tables take the skew-safe sort path).
+    Size-checked like ``quantiles``: a HyperLogLog pass counts each column's
+    distinct values; when they fit one task, everything is one wide aggregate
+    (Spark's exact ``percentile``) turned into rows with ``inline``.  Beyond
+    that bound the columns are unpivoted to (column_name, value) rows and the
+    quartiles take the skew-safe sort path (each column is a group as large
+    as the table).
     """
-    from framewise.operators.aggregates import quantiles
+    from framewise.operators.aggregates import MAP_MAX_DISTINCT, quantiles
 
     cols = list(columns) if columns else numeric_columns(df)
+    if method == "auto":
+        est = df.agg(*[F.approx_count_distinct(c) for c in cols]).first()
+        method = "map" if max(x or 0 for x in est) <= MAP_MAX_DISTINCT else "sort"
+    if method in ("map", "approx"):
+        probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+        aggs = []
+        for i, c in enumerate(cols):
+            v = F.col(c).cast("double")
+            q = (F.percentile_approx(v, [0.25, 0.5, 0.75], 100_000) if method == "approx"
+                 else F.percentile(v, probs))
+            aggs += [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"m{i}"),
+                     F.stddev_samp(v).alias(f"s{i}"), F.min(v).alias(f"lo{i}"),
+                     q.alias(f"q{i}"), F.max(v).alias(f"hi{i}")]
+        rows = F.array(*[F.struct(
+            F.lit(c).alias("column_name"), F.col(f"n{i}").alias("count"),
+            F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("std"),
+            F.col(f"lo{i}").alias("min"), F.col(f"q{i}")[0].alias("q25"),
+            F.col(f"q{i}")[1].alias("q50"), F.col(f"q{i}")[2].alias("q75"),
+            F.col(f"hi{i}").alias("max")) for i, c in enumerate(cols)])
+        return df.agg(*aggs).select(F.inline(rows))
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         [], cols, "column_name", "value")
     moments = long.groupBy("column_name").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
         F.max("value").alias("max"))
-    q = quantiles(long, "value", [0.25, 0.5, 0.75], ["column_name"], method=method)
+    q = quantiles(long, "value", [0.25, 0.5, 0.75], ["column_name"], method="sort")
     return moments.join(q, "column_name").select(
         "column_name", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
