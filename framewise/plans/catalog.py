@@ -217,7 +217,7 @@ def drop_cols(spark, sf):
 
 
 def _year_rows(spark, sf):
-    return views.country_year(spark, sf).where(F.col("year") == YEAR)
+    return views.country_year(spark, sf, year=YEAR)
 
 
 @query("mutate_col")
