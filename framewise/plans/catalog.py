@@ -271,13 +271,13 @@ def cast_cols(spark, sf):
 
 @query("filter_conj")
 def filter_conj(spark, sf):
-    cy = views.country_year(spark, sf).select("country", "year", "lifeExp")
+    cy = views.country_year(spark, sf, year=YEAR).select("country", "year", "lifeExp")
     return rounded(cy.where((F.col("year") == YEAR) & (F.col("country") == COUNTRIES[0])))
 
 
 @query("filter_in")
 def filter_in(spark, sf):
-    cy = views.country_year(spark, sf).select("country", "year", "lifeExp")
+    cy = views.country_year(spark, sf, year=YEAR).select("country", "year", "lifeExp")
     return rounded(cy.where((F.col("year") == YEAR) & F.col("country").isin(*COUNTRIES)))
 
 
