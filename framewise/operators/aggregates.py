@@ -151,13 +151,12 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str] = (), whisker: float
 def histogram(df: DataFrame, value: str, bins: int = 10) -> DataFrame:
     """Equal-width histogram over [min, max]; last bin closed; empty bins kept.
 
-    Bin edges come from one aggregate (scalar subqueries); the bin spine has
-    ``bins`` rows, so broadcasting the counts onto it is bounded.
+    Bin edges come from one aggregate row; the bin spine has ``bins`` rows,
+    so broadcasting the counts onto it is bounded.
     """
     v = F.col(value)
-    stats = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-    lo = stats.select("lo").scalar()
-    hi = stats.select("hi").scalar()
+    stats = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi")).first()  # one row
+    lo, hi = F.lit(stats["lo"]), F.lit(stats["hi"])
     width = (hi - lo) / bins
     b = F.least(F.floor((v - lo) / width), F.lit(bins - 1)).cast("int")
     counts = (df.where(v.isNotNull()).groupBy(b.alias("bin"))

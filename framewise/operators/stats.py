@@ -96,10 +96,10 @@ def ecdf_grid(df: DataFrame, value: str, num: int = 100) -> DataFrame:
     v = F.col(value).cast("double")
     base = df.where(v.isNotNull())
     st = base.agg(F.count(v).alias("n"), F.stddev_pop(v).alias("sd"),
-                  F.min(v).alias("mn"), F.max(v).alias("mx"))
-    n = st.select("n").scalar()
-    a = st.select(F.col("mn") - F.col("sd")).scalar()
-    b = st.select(F.col("mx") + F.col("sd")).scalar()
+                  F.min(v).alias("mn"), F.max(v).alias("mx")).first()  # one row
+    n = F.lit(st["n"])
+    a = F.lit(st["mn"] - st["sd"])
+    b = F.lit(st["mx"] + st["sd"])
 
     def pt(i):
         return linspace(a, b, num, i)
@@ -123,9 +123,8 @@ def trend_line(df: DataFrame, x: str, y: str, bins: int = 20) -> DataFrame:
     xv, yv = F.col(x).cast("double"), F.col(y).cast("double")
     base = df.where(xv.isNotNull() & yv.isNotNull())
     st = base.agg(F.regr_slope(yv, xv).alias("b"), F.regr_intercept(yv, xv).alias("a"),
-                  F.min(xv).alias("lo"), F.max(xv).alias("hi"))
-    b, a = st.select("b").scalar(), st.select("a").scalar()
-    lo, hi = st.select("lo").scalar(), st.select("hi").scalar()
+                  F.min(xv).alias("lo"), F.max(xv).alias("hi")).first()  # one row
+    b, a, lo, hi = (F.lit(st[k]) for k in ("b", "a", "lo", "hi"))
     width = (hi - lo) / bins
     bin_ = F.least(F.floor((xv - lo) / width), F.lit(bins - 1)).cast("int")
     g = base.groupBy(bin_.alias("bin")).agg(F.avg(yv).alias("y_mean"),

@@ -187,7 +187,8 @@ def low_cardinality(spark, sf):
 
 @query("value_counts")
 def value_counts(spark, sf):
-    r = views.readings(spark, sf).where(F.col("value") >= HIGH_VALUE)
+    # the threshold is above the injected NULL value, so it can run on the raw column
+    r = views.readings(spark, sf, where=F.col("value") >= HIGH_VALUE)
     return pf.value_counts(r, "event_type")
 
 
@@ -283,7 +284,7 @@ def filter_in(spark, sf):
 
 @query("filter_threshold")
 def filter_threshold(spark, sf):
-    return rounded(views.readings(spark, sf).where(F.col("value") >= HIGH_VALUE))
+    return rounded(views.readings(spark, sf, where=F.col("value") >= HIGH_VALUE))
 
 
 @query("filter_query_string")

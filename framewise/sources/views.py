@@ -105,9 +105,14 @@ def labelled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         "quality", "toxic")
 
 
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events with NULL injected where value = 0.01 (exercise missing rules)."""
+def readings(spark: SparkSession, sf_dir: str, where=None) -> DataFrame:
+    """events with NULL injected where value = 0.01 (exercise missing rules).
+
+    ``where`` is a condition on the raw event columns, applied before the
+    NULL injection so that it reaches the parquet scan."""
     e = table(spark, sf_dir, "events")
+    if where is not None:
+        e = e.where(where)
     return e.select("event_id", "ts", "user_id", "event_type",
                     F.expr("nullif(value, 0.01)").alias("value"))
 
