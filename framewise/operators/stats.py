@@ -117,17 +117,36 @@ def ecdf_grid(df: DataFrame, value: str, num: int = 100) -> DataFrame:
                  .select("i", pt(F.col("i")).alias("x"), (cum / n).alias("ecdf")))
 
 
-def trend_line(df: DataFrame, x: str, y: str, bins: int = 20) -> DataFrame:
+def trend_line(df: DataFrame, x: str, y: str, bins: int = 20,
+               decimals: int | None = None) -> DataFrame:
     """Least-squares line of y on x plus the mean of y in equal-width x bins:
-    (bin, x_mid, y_mean, y_fit, n)."""
+    (bin, x_mid, y_mean, y_fit, n).
+
+    With ``decimals`` (inputs carrying at most that many decimals) the moment
+    sums run in DECIMAL, which is exact in any summation order; the slope and
+    intercept are then the closed forms over those sums, so the result does
+    not depend on partitioning."""
     xv, yv = F.col(x).cast("double"), F.col(y).cast("double")
     base = df.where(xv.isNotNull() & yv.isNotNull())
-    st = base.agg(F.regr_slope(yv, xv).alias("b"), F.regr_intercept(yv, xv).alias("a"),
-                  F.min(xv).alias("lo"), F.max(xv).alias("hi")).first()  # one row
-    b, a, lo, hi = (F.lit(st[k]) for k in ("b", "a", "lo", "hi"))
+    if decimals is None:
+        st = base.agg(F.regr_slope(yv, xv).alias("b"), F.regr_intercept(yv, xv).alias("a"),
+                      F.min(xv).alias("lo"), F.max(xv).alias("hi")).first()  # one row
+        b, a, lo, hi = (F.lit(st[k]) for k in ("b", "a", "lo", "hi"))
+        y_mean = F.avg(yv)
+    else:
+        dt = f"decimal(30,{decimals})"
+        xd, yd = F.col(x).cast(dt), F.col(y).cast(dt)
+        m = base.agg(F.count(F.lit(1)).alias("n"), F.sum(xd).alias("sx"), F.sum(yd).alias("sy"),
+                     F.sum(xd * xd).alias("sxx"), F.sum(xd * yd).alias("sxy"),
+                     F.min(xv).alias("lo"), F.max(xv).alias("hi")).first()
+        n, sx, sy, sxx, sxy = (float(m[k]) for k in ("n", "sx", "sy", "sxx", "sxy"))
+        slope = (n * sxy - sx * sy) / (n * sxx - sx * sx)
+        b, a = F.lit(slope), F.lit((sy - slope * sx) / n)
+        lo, hi = F.lit(m["lo"]), F.lit(m["hi"])
+        y_mean = F.sum(yd).cast("double") / F.count(F.lit(1))
     width = (hi - lo) / bins
     bin_ = F.least(F.floor((xv - lo) / width), F.lit(bins - 1)).cast("int")
-    g = base.groupBy(bin_.alias("bin")).agg(F.avg(yv).alias("y_mean"),
+    g = base.groupBy(bin_.alias("bin")).agg(y_mean.alias("y_mean"),
                                            F.count(F.lit(1)).alias("n"))
     mid = lo + (F.col("bin") + 0.5) * width
     return g.select("bin", mid.alias("x_mid"), "y_mean", (a + b * mid).alias("y_fit"), "n")

@@ -829,7 +829,7 @@ def kde_2d(spark, sf):
 
 @query("trend_line")
 def trend_line(spark, sf):
-    return rounded(st.trend_line(views.rated_items(spark, sf), "points", "price", 20))
+    return rounded(st.trend_line(views.rated_items(spark, sf), "points", "price", 20, decimals=2))
 
 
 _HOPS: dict = {}

@@ -570,13 +570,19 @@ def oracle_sql() -> dict[str, str]:
         "/ (d.n * 2 * pi() * sqrt(d.det)) AS density FROM g CROSS JOIN base b CROSS JOIN d "
         "GROUP BY g.i, g.j, g.gx, g.gy, d.n, d.det", "x", "y", "density")
     q["trend_line"] = rnd(with_(
-        RATED, "base AS (SELECT CAST(points AS DOUBLE) AS x, price AS y FROM ri "
+        RATED, "base AS (SELECT CAST(points AS DOUBLE) AS x, price AS y, "
+               "CAST(points AS DECIMAL(30, 2)) AS xd, CAST(price AS DECIMAL(30, 2)) AS yd FROM ri "
                "WHERE points IS NOT NULL AND price IS NOT NULL)",
-        "s AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a, min(x) AS lo, max(x) AS hi FROM base)",
-        "bb AS (SELECT CAST(least(floor((x - lo) / ((hi - lo) / 20)), 19) AS INTEGER) AS bin, y FROM base CROSS JOIN s)",
-        "g AS (SELECT bin, avg(y) AS y_mean, count(*) AS n FROM bb GROUP BY bin)") +
+        "m AS (SELECT CAST(count(*) AS DOUBLE) AS n, CAST(sum(xd) AS DOUBLE) AS sx, "
+        "CAST(sum(yd) AS DOUBLE) AS sy, CAST(sum(xd * xd) AS DOUBLE) AS sxx, "
+        "CAST(sum(xd * yd) AS DOUBLE) AS sxy, min(x) AS lo, max(x) AS hi FROM base)",
+        "s AS (SELECT lo, hi, (n * sxy - sx * sy) / (n * sxx - sx * sx) AS b, n, sx, sy FROM m)",
+        "s2 AS (SELECT lo, hi, b, (sy - b * sx) / n AS a FROM s)",
+        "bb AS (SELECT CAST(least(floor((x - lo) / ((hi - lo) / 20)), 19) AS INTEGER) AS bin, yd "
+        "FROM base CROSS JOIN s2)",
+        "g AS (SELECT bin, CAST(sum(yd) AS DOUBLE) / count(*) AS y_mean, count(*) AS n FROM bb GROUP BY bin)") +
         "SELECT g.bin, lo + (g.bin + 0.5) * ((hi - lo) / 20) AS x_mid, g.y_mean, "
-        "a + b * (lo + (g.bin + 0.5) * ((hi - lo) / 20)) AS y_fit, g.n FROM g CROSS JOIN s",
+        "a + b * (lo + (g.bin + 0.5) * ((hi - lo) / 20)) AS y_fit, g.n FROM g CROSS JOIN s2",
         "x_mid", "y_mean", "y_fit")
     q["shortest_hops"] = hops_ctes() + "SELECT r, c, hops FROM h"
     q["shortest_path"] = (hops_ctes() +

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewise.sources.tables import table
+from framewise.sources.tables import spread, table
 
 GRID_WIDTH = 50          # grid_cells: column = key mod 50, row = key div 50
 WALL_SIZE = 35           # grid_cells: wall when p_size > 35
@@ -121,15 +121,6 @@ def salaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the cluster's default parallelism when the
-    scan yields fewer partitions than that (a file with one row group is read
-    by one task).  Large inputs already have many splits and are left alone,
-    so no shuffle is added at scale."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
-
-
 def pages_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """English documents as (document, page, text): document = source.
 
