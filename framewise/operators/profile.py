@@ -36,10 +36,16 @@ def column_types(df: DataFrame) -> DataFrame:
     return wide.select(stacked)
 
 
+def _exact_mean(c):
+    """Mean from a DECIMAL(38,10) sum: exact (so independent of partitioning)
+    for values with up to ten decimals, converted to double once."""
+    return F.sum(c.cast("decimal(38,10)")).cast("double") / F.count(c)
+
+
 def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None,
                      method: str = "auto") -> DataFrame:
     """count, mean, sample std, min, quartiles, max for numeric columns; one
-    output row per column.
+    output row per column.  The mean is summed in DECIMAL (``_exact_mean``).
 
     Size-checked like ``quantiles``: a HyperLogLog pass counts each column's
     distinct values; when they fit one task, everything is one wide aggregate
@@ -61,7 +67,7 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None,
             v = F.col(c).cast("double")
             q = (F.percentile_approx(v, [0.25, 0.5, 0.75], 100_000) if method == "approx"
                  else F.percentile(v, probs))
-            aggs += [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"m{i}"),
+            aggs += [F.count(v).alias(f"n{i}"), _exact_mean(F.col(c)).alias(f"m{i}"),
                      F.stddev_samp(v).alias(f"s{i}"), F.min(v).alias(f"lo{i}"),
                      q.alias(f"q{i}"), F.max(v).alias(f"hi{i}")]
         rows = F.array(*[F.struct(
@@ -74,7 +80,7 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None,
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         [], cols, "column_name", "value")
     moments = long.groupBy("column_name").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"),
+        F.count("value").alias("count"), _exact_mean(F.col("value")).alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
         F.max("value").alias("max"))
     q = quantiles(long, "value", [0.25, 0.5, 0.75], ["column_name"], method="sort")

@@ -137,12 +137,16 @@ LINEITEM_COLS = (("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey"
 LINEITEM_NUMERIC = [c for c, t in LINEITEM_COLS if t in ("bigint", "int", "double")]
 
 
+def _mean(c: str) -> str:
+    return f"CAST(sum(CAST({c} AS DECIMAL(38, 10))) AS DOUBLE) / count({c})"
+
+
 def describe_sql(cols) -> str:
     parts = []
     for c in cols:
         v = f"CAST({c} AS DOUBLE)"
         parts.append(
-            f"SELECT '{c}' AS column_name, count({v}) AS count, avg({v}) AS mean, "
+            f"SELECT '{c}' AS column_name, count({v}) AS count, {_mean(c)} AS mean, "
             f"stddev_samp({v}) AS std, min({v}) AS min, quantile_cont({v}, 0.25) AS q25, "
             f"quantile_cont({v}, 0.5) AS q50, quantile_cont({v}, 0.75) AS q75, max({v}) AS max "
             "FROM lineitem")
@@ -322,7 +326,9 @@ def oracle_sql() -> dict[str, str]:
                               "value IS NOT NULL", "value")
     q["above_quantile"] = rnd(with_(RATED) + "SELECT * FROM ri WHERE points > "
                               f"(SELECT quantile_cont(points, {C.QUANTILE}) FROM ri)", "price")
-    stats = (("count", "CAST(count({c}) AS DOUBLE)"), ("mean", "avg({c})"), ("std", "stddev_samp({c})"),
+    stats = (("count", "CAST(count({c}) AS DOUBLE)"),
+             ("mean", "CAST(sum(CAST({c} AS DECIMAL(38, 10))) AS DOUBLE) / count({c})"),
+             ("std", "stddev_samp({c})"),
              ("min", "min({c})"), ("q25", "quantile_cont({c}, 0.25)"), ("q50", "quantile_cont({c}, 0.5)"),
              ("q75", "quantile_cont({c}, 0.75)"), ("max", "max({c})"))
     q["transpose_summary"] = rnd(" UNION ALL ".join(
