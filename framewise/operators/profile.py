@@ -150,7 +150,8 @@ def low_cardinality(df: DataFrame, below: int = 10, columns: Sequence[str] | Non
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Frequency of each non-NULL value, most frequent first."""
     return (df.where(F.col(column).isNotNull()).groupBy(column)
-              .agg(F.count(F.lit(1)).alias("n")))
+              .agg(F.count(F.lit(1)).alias("n"))
+              .orderBy(F.col("n").desc(), F.col(column)))
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
