@@ -236,3 +236,18 @@ def test_quantiles_methods_agree_with_numpy_under_skew(spark, method):
         x = np.array([v for g, v in rows if g == r.g])
         want = np.percentile(x, [10, 25, 50, 85])
         assert [r.q10, r.q25, r.q50, r.q85] == pytest.approx(list(want), rel=1e-12)
+
+
+def test_spread_only_when_scan_is_narrow(spark):
+    from framewise.sources.tables import spread
+    target = spark.sparkContext.defaultParallelism
+    narrow = spark.range(100).coalesce(1)
+    assert spread(narrow).rdd.getNumPartitions() == target
+    wide = spark.range(100).repartition(target + 3)
+    assert spread(wide).rdd.getNumPartitions() == target + 3
+
+
+def test_quantile_method_size_check(spark):
+    df = spark.createDataFrame([(float(i % 7),) for i in range(100)], "v double")
+    assert agg.choose_quantile_method(df, "v", limit=10) == "map"
+    assert agg.choose_quantile_method(df, "v", limit=3) == "sort"
