@@ -7,11 +7,16 @@ rounded to the same 6 decimals as the Spark side.
 
 from __future__ import annotations
 
+import warnings
+from collections.abc import Callable
+
+from framewise.operators.verbs import draw_below
 from framewise.plans import catalog as C
 from framewise.sources.lexicons import SENTIMENT_WORDS, english_stop_words
 from framewise.sources.views import GRID_WIDTH, WALL_SIZE
 
 D = C.DECIMALS
+TOKEN = "[\\p{L}\\p{N}]+"
 
 
 def rnd(sql: str, *cols: str) -> str:
@@ -71,11 +76,11 @@ LABELLED = ("ld AS (SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.t
             "FROM documents d JOIN labels l ON d.doc_id = l.doc_id)")
 READINGS = ("readings AS (SELECT event_id, ts, user_id, event_type, nullif(value, 0.01) AS value "
             "FROM events)")
-PAGES = "pages_text AS (SELECT source AS document, doc_id AS page, text FROM documents WHERE lang = 'en')"
+PAGES = "pages_text AS (SELECT source AS document, doc_id AS page, text FROM documents)"
 TOKENS = PAGES + (", tokens AS (SELECT document, page, unnest(regexp_extract_all(lower(text), "
-                  "'[a-z0-9]+')) AS word FROM pages_text)")
+                  "'[\\p{L}\\p{N}]+')) AS word FROM pages_text)")
 WORDS = TOKENS + ", words AS (SELECT * FROM tokens WHERE NOT regexp_matches(word, '^[0-9]+$'))"
-STRATEGY_WORDS = TOKENS + ", sw_words AS (SELECT * FROM tokens WHERE word <> '1')"
+ALL_WORDS = TOKENS + ", all_words AS (SELECT * FROM tokens WHERE word <> '1')"
 
 
 def wc_ctes() -> str:
@@ -87,7 +92,7 @@ def wc_ctes() -> str:
 def ngram_ctes(n: int) -> str:
     parts = " || ' ' || ".join(f"w[i + {k}]" if k else "w[i]" for k in range(n))
     return PAGES + (
-        f", toks AS (SELECT document, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM pages_text)"
+        f", toks AS (SELECT document, regexp_extract_all(lower(text), '{TOKEN}') AS w FROM pages_text)"
         f", grams AS (SELECT document, unnest(list_transform(range(1, len(w) - {n - 2}), "
         f"lambda i: {parts})) AS ngram FROM toks WHERE len(w) >= {n})")
 
@@ -127,7 +132,7 @@ def hops_ctes() -> str:
             "UNION SELECT e.r2, e.c2, walk.hops + 1 FROM walk JOIN e ON e.r = walk.r AND e.c = walk.c "
             "WHERE walk.hops < (SELECT count(*) FROM o))"
             ", h AS (SELECT r, c, CAST(min(hops) AS INTEGER) AS hops FROM walk GROUP BY r, c)"
-            ", goal AS (SELECT max(r) - 1 AS gr, max(c) - 1 AS gc FROM cells) ")
+            ", goal AS (SELECT r AS gr, c AS gc FROM h ORDER BY hops DESC, r DESC, c DESC LIMIT 1) ")
 
 
 LINEITEM_COLS = (("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"),
@@ -137,43 +142,52 @@ LINEITEM_COLS = (("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey"
 LINEITEM_NUMERIC = [c for c, t in LINEITEM_COLS if t in ("bigint", "int", "double")]
 
 
-def _mean(c: str) -> str:
-    return f"CAST(sum(CAST({c} AS DECIMAL(38, 10))) AS DOUBLE) / count({c})"
-
-
 def describe_sql(cols) -> str:
     parts = []
     for c in cols:
         v = f"CAST({c} AS DOUBLE)"
         parts.append(
-            f"SELECT '{c}' AS column_name, count({v}) AS count, {_mean(c)} AS mean, "
+            f"SELECT '{c}' AS column_name, count({v}) AS count, avg({v}) AS mean, "
             f"stddev_samp({v}) AS std, min({v}) AS min, quantile_cont({v}, 0.25) AS q25, "
             f"quantile_cont({v}, 0.5) AS q50, quantile_cont({v}, 0.75) AS q75, max({v}) AS max "
             "FROM lineitem")
     return " UNION ALL ".join(parts)
 
 
-def _box(trimmed: bool) -> str:
+def _boxes(ctes: str, base: str, by: list[str], trimmed: bool = False) -> str:
+    """Box statistics of ``value`` in the rows of ``base`` by the columns ``by``."""
+    keys = ", ".join(by)
     inside = "value >= lo AND value <= hi"
     n = (f"CAST(sum(CASE WHEN {inside} THEN 1 ELSE 0 END) AS BIGINT) AS n" if trimmed
          else "CAST(count(*) AS BIGINT) AS n")
     tail = "" if trimmed else (
         f", CAST(sum(CASE WHEN {inside} THEN 0 ELSE 1 END) AS BIGINT) AS n_outliers")
-    sql = (with_(READINGS,
-                 "base AS (SELECT event_type, value FROM readings WHERE value IS NOT NULL)",
-                 "q AS (SELECT event_type, quantile_cont(value, 0.25) AS q1, "
+    on = " AND ".join(f"b.{k} IS NOT DISTINCT FROM q.{k}" for k in by)
+    sql = (with_(ctes, f"base AS (SELECT * FROM ({base}) WHERE value IS NOT NULL)",
+                 f"q AS (SELECT {keys}, quantile_cont(value, 0.25) AS q1, "
                  "quantile_cont(value, 0.5) AS median, quantile_cont(value, 0.75) AS q3 "
-                 "FROM base GROUP BY event_type)",
-                 "j AS (SELECT b.event_type, b.value, q.q1, q.median, q.q3, "
+                 f"FROM base GROUP BY {keys})",
+                 "j AS (SELECT b.*, q.q1, q.median, q.q3, "
                  "q.q1 - 1.5 * (q.q3 - q.q1) AS lo, q.q3 + 1.5 * (q.q3 - q.q1) AS hi "
-                 "FROM base b JOIN q ON b.event_type = q.event_type)") +
-           f"SELECT event_type, q1, median, q3, {n}, "
+                 f"FROM base b JOIN q ON {on})") +
+           f"SELECT {keys}, q1, median, q3, {n}, "
            f"min(CASE WHEN {inside} THEN value END) AS whisker_lo, "
            f"max(CASE WHEN {inside} THEN value END) AS whisker_hi{tail} "
-           "FROM j GROUP BY event_type, q1, median, q3")
+           f"FROM j GROUP BY {keys}, q1, median, q3")
     return rnd(sql, "q1", "median", "q3", "whisker_lo", "whisker_hi")
 
 
+def _box(trimmed: bool) -> str:
+    return _boxes(READINGS, "SELECT event_type, value FROM readings", ["event_type"], trimmed)
+
+
+def _by_each() -> str:
+    """cf unpivoted over its categories: (by_column, level, measures...)."""
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS by_column, CAST({c} AS VARCHAR) AS level, {', '.join(C.MEASURES)} FROM cf"
+        for c in C.CATEGORIES)
+
+
 def _kde(method: str) -> str:
     factor = "power(n, -1.0 / 5)" if method == "scott" else "power(n * 3 / 4.0, -1.0 / 5)"
     sql = (with_("base AS (SELECT s_acctbal AS x FROM supplier WHERE s_acctbal IS NOT NULL)",
@@ -205,8 +219,8 @@ def _selected() -> str:
             "FROM cc) WHERE rk <= 10)")
 
 
-def _u(key: str) -> str:
-    return f"(({key} * {C.PSEUDO_A} + {C.SEED}) % {C.PSEUDO_M}) / CAST({C.PSEUDO_M} AS DOUBLE)"
+def _draw(key: str) -> str:
+    return f"md5(CAST({key} AS VARCHAR) || '|{C.SEED}')"
 
 
 def _rule() -> str:
@@ -216,185 +230,199 @@ def _rule() -> str:
 
 def _stratified() -> str:
     return (CUSTOMER_FEATURES + ", st AS (SELECT *, percent_rank() OVER (PARTITION BY churn "
-            f"ORDER BY {_u('c_custkey')}, c_custkey) < 0.7 AS is_train FROM cf)")
+            f"ORDER BY {_draw('c_custkey')}, c_custkey) < 0.7 AS is_train FROM cf)")
 
 
 def oracle_sql() -> dict[str, str]:
-    q: dict[str, str] = {}
+    """Every SQL text is built by itself: one that fails costs one query."""
+    out: dict[str, str] = {}
+    for name, build in _texts().items():
+        try:
+            out[name] = build()
+        except Exception as e:  # noqa: BLE001
+            warnings.warn(f"no SQL for {name}: {e}", stacklevel=2)
+    return out
+
+
+def _texts() -> dict[str, Callable[[], str]]:
+    q: dict[str, Callable[[], str]] = {}
     y, lo = C.YEAR, C.LIFE_EXP_OVER
     # 2.1
-    q["scan_csv"] = rnd("SELECT * FROM customer", "c_acctbal")
-    q["scan_parquet"] = ("SELECT n.n_nationkey, n.n_name, r.r_name FROM nation n "
+    q["scan_csv"] = lambda: rnd("SELECT * FROM customer", "c_acctbal")
+    q["scan_csv_inferred"] = lambda: rnd("SELECT *, 'int,string,int,double,string' AS types FROM customer", "c_acctbal")
+    q["scan_parquet"] = lambda: ("SELECT n.n_nationkey, n.n_name, r.r_name FROM nation n "
                          "JOIN region r ON n.n_regionkey = r.r_regionkey")
-    q["scan_doc_folder"] = ("SELECT source AS document, CAST(sum(length(text) + 1) AS BIGINT) AS n_chars "
-                            "FROM documents WHERE lang = 'en' GROUP BY source")
-    q["dim_stop_words"] = (with_(TOKENS, stop_values()) +
+    q["scan_doc_folder"] = lambda: ("SELECT source AS document, CAST(sum(length(text) + 1) AS BIGINT) AS n_chars "
+                            "FROM documents GROUP BY source")
+    q["dim_stop_words"] = lambda: (with_(TOKENS, stop_values()) +
                            "SELECT word, count(*) AS n FROM tokens WHERE word IN (SELECT word FROM sw) "
                            "GROUP BY word")
-    q["typed_literals"] = ("SELECT n_nationkey, CAST(1.0 AS DOUBLE) AS A, TIMESTAMP '2013-01-02' AS B, "
-                           "CAST(1 AS FLOAT) AS C, CAST(3 AS INTEGER) AS D, CASE WHEN n_nationkey % 2 = 0 "
-                           "THEN 'test' ELSE 'train' END AS E, 'foo' AS F FROM nation")
-    q["sink_roundtrip"] = rnd(with_(READINGS) + "SELECT * FROM readings", "value")
-    q["date_spine"] = (with_(
+    q["typed_literals"] = lambda: ("SELECT n_nationkey, CAST(2.5 AS DOUBLE) AS ratio, TIMESTAMP '2001-06-30' AS seen, "
+                           "CAST(0.25 AS FLOAT) AS weight, CAST(9 AS INTEGER) AS rank, CASE WHEN n_nationkey % 2 = 0 "
+                           "THEN 'even' ELSE 'odd' END AS parity, 'note' AS remark FROM nation")
+    q["sink_roundtrip"] = lambda: rnd(with_(READINGS) + "SELECT * FROM readings", "value")
+    q["date_spine"] = lambda: (with_(
         "span AS (SELECT CAST(min(o_orderdate) AS DATE) AS a, CAST(max(o_orderdate) AS DATE) AS b FROM orders)",
         "spine AS (SELECT CAST(unnest(generate_series(CAST(a AS TIMESTAMP), CAST(b AS TIMESTAMP), "
         "INTERVAL 1 DAY)) AS DATE) AS ds FROM span)",
         "cnt AS (SELECT CAST(o_orderdate AS DATE) AS ds, count(*) AS n FROM orders GROUP BY 1)") +
         "SELECT s.ds, CAST(coalesce(c.n, 0) AS BIGINT) AS n FROM spine s LEFT JOIN cnt c ON s.ds = c.ds")
-    q["int_range"] = (with_(
+    q["int_range"] = lambda: (with_(
         "yy AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS k FROM orders)",
         "span AS (SELECT min(k) AS a, max(k) AS b FROM yy)",
         "spine AS (SELECT CAST(unnest(generate_series(a, b)) AS INTEGER) AS year FROM span)",
         "cnt AS (SELECT k AS year, count(*) AS n FROM yy GROUP BY k)") +
         "SELECT s.year, CAST(coalesce(c.n, 0) AS BIGINT) AS n FROM spine s LEFT JOIN cnt c ON s.year = c.year")
-    q["grid_points"] = rnd(
+    q["grid_points"] = lambda: rnd(
         with_("span AS (SELECT CAST(min(value) AS DOUBLE) AS a, CAST(max(value) AS DOUBLE) AS b FROM events)") +
         "SELECT CAST(i AS INTEGER) AS i, a + i * ((b - a) / 99) AS x FROM span, range(100) t(i)", "x")
     # 2.2
-    q["profile_shape"] = ("SELECT count(*) AS n_rows, CAST(11 AS BIGINT) AS n_cols FROM lineitem")
-    q["profile_types"] = " UNION ALL ".join(
+    q["profile_shape"] = lambda: ("SELECT count(*) AS n_rows, CAST(11 AS BIGINT) AS n_cols FROM lineitem")
+    q["profile_types"] = lambda: " UNION ALL ".join(
         f"SELECT {i + 1} AS position, '{c}' AS column_name, '{t}' AS data_type, "
         f"count({c}) AS non_null FROM lineitem" for i, (c, t) in enumerate(LINEITEM_COLS))
-    q["head_n"] = rnd(with_(COUNTRY_YEAR) + "SELECT * FROM country_year ORDER BY country, year LIMIT 6",
+    q["head_n"] = lambda: rnd(with_(COUNTRY_YEAR) + "SELECT * FROM country_year ORDER BY country, year LIMIT 6",
                       "lifeExp", "gdpPercap")
-    q["tail_n"] = rnd(with_(COUNTRY_YEAR) + "SELECT * FROM (SELECT * FROM country_year "
+    q["tail_n"] = lambda: rnd(with_(COUNTRY_YEAR) + "SELECT * FROM (SELECT * FROM country_year "
                       "ORDER BY country DESC, year DESC LIMIT 6) ORDER BY country, year",
                       "lifeExp", "gdpPercap")
-    q["describe_numeric"] = rnd(describe_sql(LINEITEM_NUMERIC), "mean", "std", "min", "q25",
+    q["describe_numeric"] = lambda: rnd(describe_sql(LINEITEM_NUMERIC), "mean", "std", "min", "q25",
                                 "q50", "q75", "max")
-    q["describe_categorical"] = (with_(
+    q["describe_categorical"] = lambda: (with_(
         "lng AS (SELECT 'o_orderstatus' AS column_name, o_orderstatus AS value FROM orders "
         "UNION ALL SELECT 'o_orderpriority', o_orderpriority FROM orders)",
         "cnt AS (SELECT column_name, value, count(*) AS k FROM lng WHERE value IS NOT NULL GROUP BY 1, 2)") +
         "SELECT column_name, CAST(sum(k) AS BIGINT) AS count, count(*) AS unique, "
         "first(value ORDER BY k DESC, value) AS top, max(k) AS freq FROM cnt GROUP BY column_name")
-    q["null_counts"] = with_(READINGS) + " UNION ALL ".join(
+    q["null_counts"] = lambda: with_(READINGS) + " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, CAST(sum(CASE WHEN {c} IS NULL{extra} THEN 1 ELSE 0 END) "
         f"AS BIGINT) AS n_missing FROM readings"
         for c, extra in (("event_id", ""), ("ts", ""), ("user_id", ""), ("event_type", ""),
                          ("value", " OR isnan(value)")))
-    q["any_missing"] = (with_(READINGS) + "SELECT coalesce(max(value IS NULL OR isnan(value)), false) "
+    q["any_missing"] = lambda: (with_(READINGS) + "SELECT coalesce(max(value IS NULL OR isnan(value)), false) "
                         "AS any_missing FROM readings")
-    q["low_cardinality"] = with_(LABELLED) + "SELECT * FROM (" + " UNION ALL ".join(
+    q["low_cardinality"] = lambda: with_(LABELLED) + "SELECT * FROM (" + " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_distinct FROM ld"
         for c in ("doc_id", "lang", "source", "n_chars", "quality", "toxic")) + ") WHERE n_distinct < 10"
-    q["value_counts"] = (with_(READINGS) + f"SELECT event_type, count(*) AS n FROM readings "
+    q["value_counts"] = lambda: (with_(READINGS) + f"SELECT event_type, count(*) AS n FROM readings "
                          f"WHERE value >= {C.HIGH_VALUE} AND event_type IS NOT NULL GROUP BY event_type")
-    q["min_max"] = rnd("SELECT min(s_acctbal) AS min_salary, max(s_acctbal) AS max_salary FROM supplier",
+    q["min_max"] = lambda: rnd("SELECT min(s_acctbal) AS min_salary, max(s_acctbal) AS max_salary FROM supplier",
                        "min_salary", "max_salary")
-    upd = ("CAST(CASE WHEN s_suppkey = 16 THEN 23 WHEN s_suppkey = 65 THEN 17 ELSE s_acctbal END "
-           "AS DOUBLE) AS s_acctbal")
-    q["row_lookup"] = rnd(f"SELECT s_suppkey, s_name, {upd} FROM supplier WHERE s_suppkey IN (16, 65)",
+    cases = " ".join(f"WHEN s_suppkey = {k} THEN {v}" for k, v in C.SALARY_FIXES.items())
+    upd = f"CAST(CASE {cases} ELSE s_acctbal END AS DOUBLE) AS s_acctbal"
+    fixed = ", ".join(str(k) for k in C.SALARY_FIXES)
+    q["row_lookup"] = lambda: rnd(f"SELECT s_suppkey, s_name, {upd} FROM supplier WHERE s_suppkey IN ({fixed})",
                           "s_acctbal")
     # 2.3
     cy = with_(COUNTRY_YEAR)
-    q["select_cols"] = cy + "SELECT country, year, pop FROM country_year"
-    q["drop_cols"] = rnd(cy + "SELECT country, year, lifeExp, pop, gdpPercap FROM country_year",
+    q["select_cols"] = lambda: cy + "SELECT country, year, pop FROM country_year"
+    q["drop_cols"] = lambda: rnd(cy + "SELECT country, year, lifeExp, pop, gdpPercap FROM country_year",
                          "lifeExp", "gdpPercap")
-    q["mutate_col"] = rnd(cy + f"SELECT country, year, pop, gdpPercap, pop * gdpPercap AS gdp "
+    q["mutate_col"] = lambda: rnd(cy + f"SELECT country, year, pop, gdpPercap, pop * gdpPercap AS gdp "
                           f"FROM country_year WHERE year = {y}", "gdpPercap", "gdp")
-    q["transmute_col"] = rnd(cy + f"SELECT pop * gdpPercap AS gdp FROM country_year WHERE year = {y}", "gdp")
-    q["insert_col"] = rnd(cy + "SELECT country, continent, pop * gdpPercap AS gdp, year, lifeExp, pop, "
+    q["transmute_col"] = lambda: rnd(cy + f"SELECT pop * gdpPercap AS gdp FROM country_year WHERE year = {y}", "gdp")
+    gdp = cy + (", g AS (SELECT country, pop, gdpPercap, pop * gdpPercap AS gdp, rank() OVER (ORDER BY "
+                f"pop * gdpPercap DESC) AS rk FROM country_year WHERE year = {y}) ")
+    q["top_gdp"] = lambda: rnd(gdp + f"SELECT country, pop, gdpPercap, gdp FROM g WHERE rk <= {C.TOP_GDP}",
+                       "gdpPercap", "gdp")
+    q["top_gdp_only"] = lambda: rnd(gdp + f"SELECT gdp FROM g WHERE rk <= {C.TOP_GDP}", "gdp")
+    q["insert_col"] = lambda: rnd(cy + "SELECT country, continent, pop * gdpPercap AS gdp, year, lifeExp, pop, "
                           "gdpPercap FROM country_year", "gdp", "lifeExp", "gdpPercap")
-    q["point_update"] = rnd(f"SELECT s_suppkey, s_name, {upd} FROM supplier", "s_acctbal")
-    q["if_else_flag"] = rnd(cy + f"SELECT country, lifeExp, CASE WHEN lifeExp > {lo} THEN 'Y' ELSE 'N' END "
+    q["point_update"] = lambda: rnd(f"SELECT s_suppkey, s_name, {upd} FROM supplier", "s_acctbal")
+    q["if_else_flag"] = lambda: rnd(cy + f"SELECT country, lifeExp, CASE WHEN lifeExp > {lo} THEN 'Y' ELSE 'N' END "
                             f"AS over FROM country_year WHERE year = {y}", "lifeExp")
-    q["recode_values"] = (with_(CUSTOMER_FEATURES) +
+    q["recode_values"] = lambda: (with_(CUSTOMER_FEATURES) +
                           "SELECT c_custkey, CASE segment WHEN 'AUTOMOBILE' THEN 'AUTO' WHEN 'AMERICA' "
                           "THEN 'AMERICAS' ELSE segment END AS segment, CASE region WHEN 'AUTOMOBILE' "
                           "THEN 'AUTO' WHEN 'AMERICA' THEN 'AMERICAS' ELSE region END AS region FROM cf")
-    q["bin_tenure"] = (with_(CUSTOMER_FEATURES) +
+    q["bin_tenure"] = lambda: (with_(CUSTOMER_FEATURES) +
                        "SELECT c_custkey, tenure, CASE WHEN tenure >= 0 AND tenure <= 12 THEN '0-12 Month' "
                        "WHEN tenure > 12 AND tenure <= 24 THEN '12-24 Month' WHEN tenure > 24 AND tenure <= 48 "
                        "THEN '24-48 Month' WHEN tenure > 48 AND tenure <= 60 THEN '48-60 Month' "
                        "WHEN tenure > 60 THEN '> 60 Month' END AS tenure_group FROM cf")
-    q["cast_cols"] = ("SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS INTEGER) AS user_id, "
+    q["cast_cols"] = lambda: ("SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS INTEGER) AS user_id, "
                       "TRY_CAST(event_type AS INTEGER) AS event_type, TRY_CAST(props AS INTEGER) AS props "
                       "FROM events")
-    q["filter_conj"] = rnd(cy + f"SELECT country, year, lifeExp FROM country_year WHERE year = {y} "
+    q["filter_conj"] = lambda: rnd(cy + f"SELECT country, year, lifeExp FROM country_year WHERE year = {y} "
                            f"AND country = '{C.COUNTRIES[0]}'", "lifeExp")
-    q["filter_in"] = rnd(cy + f"SELECT country, year, lifeExp FROM country_year WHERE year = {y} "
+    q["filter_in"] = lambda: rnd(cy + f"SELECT country, year, lifeExp FROM country_year WHERE year = {y} "
                          f"AND country IN ({', '.join(_q(c) for c in C.COUNTRIES)})", "lifeExp")
-    q["filter_threshold"] = rnd(with_(READINGS) + f"SELECT * FROM readings WHERE value >= {C.HIGH_VALUE}",
+    q["filter_threshold"] = lambda: rnd(with_(READINGS) + f"SELECT * FROM readings WHERE value >= {C.HIGH_VALUE}",
                                 "value")
-    q["filter_query_string"] = (with_(CUSTOMER_FEATURES) +
+    q["filter_query_string"] = lambda: (with_(CUSTOMER_FEATURES) +
                                 "SELECT c_custkey, n_orders, tenure FROM cf WHERE n_orders < tenure")
-    q["filter_regex"] = (with_(TOKENS) + "SELECT word, count(*) AS n FROM tokens "
+    q["filter_regex"] = lambda: (with_(TOKENS) + "SELECT word, count(*) AS n FROM tokens "
                          "WHERE NOT regexp_matches(word, '\\d') GROUP BY word")
-    q["complete_cases"] = rnd(with_(READINGS) + "SELECT * FROM readings WHERE event_id IS NOT NULL AND "
+    q["complete_cases"] = lambda: rnd(with_(READINGS) + "SELECT * FROM readings WHERE event_id IS NOT NULL AND "
                               "ts IS NOT NULL AND user_id IS NOT NULL AND event_type IS NOT NULL AND "
                               "value IS NOT NULL", "value")
-    q["above_quantile"] = rnd(with_(RATED) + "SELECT * FROM ri WHERE points > "
+    q["above_quantile"] = lambda: rnd(with_(RATED) + "SELECT * FROM ri WHERE points > "
                               f"(SELECT quantile_cont(points, {C.QUANTILE}) FROM ri)", "price")
     stats = (("count", "CAST(count({c}) AS DOUBLE)"),
-             ("mean", "CAST(sum(CAST({c} AS DECIMAL(38, 10))) AS DOUBLE) / count({c})"),
+             ("mean", "avg({c})"),
              ("std", "stddev_samp({c})"),
              ("min", "min({c})"), ("q25", "quantile_cont({c}, 0.25)"), ("q50", "quantile_cont({c}, 0.5)"),
              ("q75", "quantile_cont({c}, 0.75)"), ("max", "max({c})"))
-    q["transpose_summary"] = rnd(" UNION ALL ".join(
+    q["transpose_summary"] = lambda: rnd(" UNION ALL ".join(
         f"SELECT '{name}' AS field, {f.format(c='l_discount')} AS l_discount, "
         f"{f.format(c='l_quantity')} AS l_quantity FROM lineitem" for name, f in stats),
         "l_discount", "l_quantity")
     # 2.4
-    q["anti_join_stop_words"] = (with_(WORDS, stop_values()) +
+    q["anti_join_stop_words"] = lambda: (with_(WORDS, stop_values()) +
                                  "SELECT document, count(*) AS n FROM words "
                                  "WHERE word NOT IN (SELECT word FROM sw) GROUP BY document")
-    q["semi_join_top_countries"] = (with_(RATED + _selected()) +
+    q["semi_join_top_countries"] = lambda: (with_(RATED + _selected()) +
                                     "SELECT country, points FROM ri WHERE country IN (SELECT country FROM sel)")
-    q["anti_join_top_countries"] = rnd(with_(RATED + _selected()) +
+    q["anti_join_top_countries"] = lambda: rnd(with_(RATED + _selected()) +
                                        "SELECT country, quantile_cont(CAST(points AS DOUBLE), 0.5) AS median "
                                        "FROM ri WHERE country NOT IN (SELECT country FROM sel) GROUP BY country",
                                        "median")
-    q["sentiment_join"] = (with_(wc_ctes(), lexicon_values()) +
+    q["median_top_varieties"] = lambda: rnd(with_(
+        RATED, "vc AS (SELECT variety, rank() OVER (ORDER BY count(*) DESC) AS rk FROM ri GROUP BY variety)",
+        "m AS (SELECT variety, quantile_cont(CAST(points AS DOUBLE), 0.5) AS median FROM ri WHERE variety IN "
+        f"(SELECT variety FROM vc WHERE rk <= {C.TOP_VARIETIES}) GROUP BY variety)") +
+        "SELECT variety, median, row_number() OVER (ORDER BY median, variety) AS sort_key FROM m", "median")
+    q["box_top_countries"] = lambda: _boxes(RATED + _selected(), "SELECT country, CAST(points AS DOUBLE) AS value FROM ri "
+                                    "WHERE country IN (SELECT country FROM sel)", ["country"])
+    q["sentiment_join"] = lambda: (with_(wc_ctes(), lexicon_values()) +
                            "SELECT wc.word, wc.document, wc.count, lex.sentiment FROM wc "
                            "JOIN lex ON wc.word = lex.word")
-    q["doc_distance"] = rnd(with_(
-        wc_ctes(),
-        "docs AS (SELECT DISTINCT document FROM wc)",
-        "nrm AS (SELECT document, sum(count * count) AS ss FROM wc GROUP BY document)",
-        "dots AS (SELECT a.document AS doc_a, b.document AS doc_b, sum(a.count * b.count) AS dot "
-        "FROM wc a JOIN wc b ON a.word = b.word AND a.document < b.document GROUP BY 1, 2)") +
-        "SELECT x.document AS doc_a, y.document AS doc_b, "
-        "sqrt(CAST(na.ss + nb.ss - 2 * coalesce(dots.dot, 0) AS DOUBLE)) AS distance "
-        "FROM docs x JOIN docs y ON x.document < y.document "
-        "JOIN nrm na ON na.document = x.document JOIN nrm nb ON nb.document = y.document "
-        "LEFT JOIN dots ON dots.doc_a = x.document AND dots.doc_b = y.document", "distance")
-    q["nearest_centroid"] = rnd(with_(
+    q["nearest_centroid"] = lambda: rnd(with_(
         "qs AS (SELECT quantile_cont(s_acctbal, [0.125, 0.375, 0.625, 0.875]) AS v FROM supplier)",
         "book AS (SELECT CAST(i - 1 AS INTEGER) AS code, v[i] AS center FROM qs, range(1, 5) t(i))",
         "d AS (SELECT s.s_suppkey, b.code, abs(s.s_acctbal - b.center) AS dist, row_number() OVER "
         "(PARTITION BY s.s_suppkey ORDER BY abs(s.s_acctbal - b.center), b.code) AS rn "
         "FROM supplier s CROSS JOIN book b)") +
         "SELECT s_suppkey, code, dist FROM d WHERE rn = 1", "dist")
-    q["grid_edges"] = with_(grid_ctes()) + "SELECT r, c, dir, r2, c2 FROM e"
+    q["grid_edges"] = lambda: with_(grid_ctes()) + "SELECT r, c, dir, r2, c2 FROM e"
     # 2.5
-    q["global_mean"] = rnd(cy + "SELECT avg(lifeExp) AS avgLifeExp FROM country_year", "avgLifeExp")
-    q["group_mean"] = rnd(cy + f"SELECT continent, avg(lifeExp) AS avgLifeExp, CASE WHEN avg(lifeExp) > {lo} "
+    q["global_mean"] = lambda: rnd(cy + "SELECT avg(lifeExp) AS avgLifeExp FROM country_year", "avgLifeExp")
+    q["group_mean"] = lambda: rnd(cy + f"SELECT continent, avg(lifeExp) AS avgLifeExp, CASE WHEN avg(lifeExp) > {lo} "
                           f"THEN 'Y' ELSE 'N' END AS over FROM country_year WHERE year = {y} "
                           "GROUP BY continent ORDER BY avgLifeExp DESC", "avgLifeExp")
-    q["group_mean_all"] = rnd(with_(LABELLED) + "SELECT quality, avg(doc_id) AS doc_id, avg(n_chars) AS n_chars, "
+    q["group_mean_all"] = lambda: rnd(with_(LABELLED) + "SELECT quality, avg(doc_id) AS doc_id, avg(n_chars) AS n_chars, "
                               "avg(toxic) AS toxic FROM ld GROUP BY quality", "doc_id", "n_chars", "toxic")
-    q["group_count"] = with_(RATED) + "SELECT country, count(*) AS count FROM ri GROUP BY country"
-    q["weighted_count"] = (with_(wc_ctes(), lexicon_values()) +
+    q["group_count"] = lambda: with_(RATED) + "SELECT country, count(*) AS count FROM ri GROUP BY country"
+    q["weighted_count"] = lambda: (with_(wc_ctes(), lexicon_values()) +
                            "SELECT wc.document, lex.sentiment, wc.word, CAST(sum(wc.count) AS BIGINT) AS n "
                            "FROM wc JOIN lex ON wc.word = lex.word GROUP BY 1, 2, 3")
-    q["group_median"] = rnd(with_(RATED) + "SELECT country, quantile_cont(CAST(points AS DOUBLE), 0.5) AS median "
+    q["group_median"] = lambda: rnd(with_(RATED) + "SELECT country, quantile_cont(CAST(points AS DOUBLE), 0.5) AS median "
                             "FROM ri GROUP BY country", "median")
-    q["population_variance"] = rnd(
+    q["population_variance"] = lambda: rnd(
         "SELECT min(s_acctbal) AS min, max(s_acctbal) AS max, avg(s_acctbal) AS mean, "
         "var_pop(s_acctbal) AS var, stddev_pop(s_acctbal) AS std FROM supplier",
         "min", "max", "mean", "var", "std")
-    q["unique_words_by_doc"] = (with_(STRATEGY_WORDS) +
-                                "SELECT document, count(DISTINCT word) AS unique FROM sw_words GROUP BY document")
-    q["quantile_interp"] = rnd(with_(RATED) + "SELECT quantile_cont(CAST(points AS DOUBLE), 0.85) AS points_q85, "
+    q["unique_words_by_doc"] = lambda: (with_(ALL_WORDS) +
+                                "SELECT document, count(DISTINCT word) AS unique FROM all_words GROUP BY document")
+    q["quantile_interp"] = lambda: rnd(with_(RATED) + "SELECT quantile_cont(CAST(points AS DOUBLE), 0.85) AS points_q85, "
                                "quantile_cont(price, 0.85) AS price_q85 FROM ri", "points_q85", "price_q85")
     cfcols = ["c_acctbal", "n_orders", "avg_price", "total_spend", "tenure"]
-    q["corr_matrix"] = rnd(with_(CUSTOMER_FEATURES) + " UNION ALL ".join(
+    q["corr_matrix"] = lambda: rnd(with_(CUSTOMER_FEATURES) + " UNION ALL ".join(
         f"SELECT '{a}' AS var1, '{b}' AS var2, corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS corr FROM cf"
         for a in cfcols for b in cfcols), "corr")
-    q["box_stats"] = _box(False)
-    q["box_stats_trimmed"] = _box(True)
-    q["histogram_10"] = rnd(with_(
+    q["box_stats"] = lambda: _box(False)
+    q["box_stats_trimmed"] = lambda: _box(True)
+    q["histogram_10"] = lambda: rnd(with_(
         READINGS, "base AS (SELECT value FROM readings WHERE value IS NOT NULL)",
         "s AS (SELECT min(value) AS lo, max(value) AS hi FROM readings)",
         "b AS (SELECT CAST(least(floor((value - lo) / ((hi - lo) / 10)), 9) AS INTEGER) AS bin "
@@ -403,14 +431,32 @@ def oracle_sql() -> dict[str, str]:
         "SELECT CAST(t.i AS INTEGER) AS bin, lo + t.i * ((hi - lo) / 10) AS bin_lo, "
         "lo + (t.i + 1) * ((hi - lo) / 10) AS bin_hi, CAST(coalesce(c.n, 0) AS BIGINT) AS n "
         "FROM range(10) t(i) CROSS JOIN s LEFT JOIN c ON c.bin = t.i", "bin_lo", "bin_hi")
-    q["percent_share"] = rnd(with_(
+    q["group_mean_by_each"] = lambda: rnd(
+        with_(CUSTOMER_FEATURES, f"e AS ({_by_each()})") + "SELECT by_column, level, " +
+        ", ".join(f"avg({c}) AS {c}" for c in C.MEASURES) + " FROM e GROUP BY by_column, level", *C.MEASURES)
+    q["box_stats_by_each"] = lambda: _boxes(
+        CUSTOMER_FEATURES + f", e AS ({_by_each()})",
+        " UNION ALL ".join(f"SELECT by_column, level, '{c}' AS column_name, CAST({c} AS DOUBLE) AS value FROM e"
+                           for c in C.MEASURES), ["by_column", "level", "column_name"])
+    q["histogram_all"] = lambda: rnd(with_(
+        CUSTOMER_FEATURES,
+        "lng AS (" + " UNION ALL ".join(f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS v FROM cf"
+                                        for c in C.MEASURES) + ")",
+        "s AS (SELECT column_name, min(v) AS lo, max(v) AS hi FROM lng GROUP BY column_name)",
+        "b AS (SELECT column_name, CAST(least(floor((v - lo) / ((hi - lo) / 10)), 9) AS INTEGER) AS bin, "
+        "count(*) AS n FROM lng JOIN s USING (column_name) WHERE v IS NOT NULL GROUP BY 1, 2)") +
+        "SELECT s.column_name, CAST(t.i AS INTEGER) AS bin, lo + t.i * ((hi - lo) / 10) AS bin_lo, "
+        "lo + (t.i + 1) * ((hi - lo) / 10) AS bin_hi, CAST(coalesce(b.n, 0) AS BIGINT) AS n "
+        "FROM s CROSS JOIN range(10) t(i) LEFT JOIN b ON b.column_name = s.column_name AND b.bin = t.i",
+        "bin_lo", "bin_hi")
+    q["percent_share"] = lambda: rnd(with_(
         CUSTOMER_FEATURES,
         "lng AS (SELECT 'segment' AS variable, segment AS level FROM cf UNION ALL "
         "SELECT 'region', region FROM cf UNION ALL SELECT 'churn', CAST(churn AS VARCHAR) FROM cf)",
         "c AS (SELECT variable, level, count(*) AS n FROM lng GROUP BY 1, 2)") +
         "SELECT variable, level, n, CAST(100.0 AS DOUBLE) * n / sum(n) OVER (PARTITION BY variable) AS pct "
         "FROM c", "pct")
-    q["confusion_matrix"] = (with_(_rule(), "lv AS (SELECT * FROM (VALUES (0), (1)) AS t(v))") +
+    q["confusion_matrix"] = lambda: (with_(_rule(), "lv AS (SELECT actual AS v FROM s UNION SELECT predicted FROM s)") +
                              "SELECT a.v AS actual, p.v AS predicted, CAST(count(s.actual) AS BIGINT) AS n "
                              "FROM lv a CROSS JOIN lv p LEFT JOIN s ON s.actual = a.v AND s.predicted = p.v "
                              "GROUP BY 1, 2")
@@ -427,46 +473,46 @@ def oracle_sql() -> dict[str, str]:
           "CAST(tn AS BIGINT) AS tn, acc AS accuracy, (acc - pe) / (1 - pe) AS kappa, sens AS sensitivity, "
           "spec AS specificity, tp / (tp + fp) AS ppv, tn / (tn + fn) AS npv, (tp + fn) / n AS prevalence, "
           "(sens + spec) / 2 AS balanced_accuracy FROM e")
-    q["confusion_stats"] = rnd(cs, "accuracy", "kappa", "sensitivity", "specificity", "ppv", "npv",
+    q["confusion_stats"] = lambda: rnd(cs, "accuracy", "kappa", "sensitivity", "specificity", "ppv", "npv",
                                "prevalence", "balanced_accuracy")
-    q["accuracy"] = rnd(with_(_rule()) + "SELECT avg(CAST(actual = predicted AS DOUBLE)) AS accuracy, "
+    q["accuracy"] = lambda: rnd(with_(_rule()) + "SELECT avg(CAST(actual = predicted AS DOUBLE)) AS accuracy, "
                         "1 - avg(CAST(actual = predicted AS DOUBLE)) AS misclassification FROM s",
                         "accuracy", "misclassification")
-    q["rmse"] = rnd(with_(CUSTOMER_FEATURES,
+    q["rmse"] = lambda: rnd(with_(CUSTOMER_FEATURES,
                           "fit AS (SELECT regr_slope(total_spend, n_orders) AS b, "
                           "regr_intercept(total_spend, n_orders) AS a FROM cf)",
                           "m AS (SELECT avg(power(total_spend - (a + b * n_orders), 2)) AS mse, "
                           "var_pop(total_spend) AS vy FROM cf CROSS JOIN fit)") +
                     "SELECT round(sqrt(mse), 3) AS rmse, 1 - mse / vy AS r2 FROM m", "rmse", "r2")
-    q["reorder_by_median"] = rnd(with_(RATED) +
+    q["reorder_by_median"] = lambda: rnd(with_(RATED) +
                                  "SELECT country, median, row_number() OVER (ORDER BY median, country) AS sort_key "
                                  "FROM (SELECT country, quantile_cont(CAST(points AS DOUBLE), 0.5) AS median "
                                  "FROM ri GROUP BY country)", "median")
     # 2.6
-    q["row_number_by_doc"] = ("SELECT source AS document, doc_id AS page, row_number() OVER "
-                              "(PARTITION BY source ORDER BY doc_id) AS linenumber FROM documents WHERE lang = 'en'")
-    q["distinct_over_group"] = (with_(STRATEGY_WORDS,
-                                      "u AS (SELECT document, count(DISTINCT word) AS unique FROM sw_words "
+    q["row_number_by_doc"] = lambda: ("SELECT source AS document, doc_id AS page, row_number() OVER "
+                              "(PARTITION BY source ORDER BY doc_id) AS linenumber FROM documents")
+    q["distinct_over_group"] = lambda: (with_(ALL_WORDS,
+                                      "u AS (SELECT document, count(DISTINCT word) AS unique FROM all_words "
                                       "GROUP BY document)") +
-                                "SELECT w.document, u.unique, count(*) AS n FROM sw_words w "
+                                "SELECT w.document, u.unique, count(*) AS n FROM all_words w "
                                 "JOIN u ON w.document = u.document GROUP BY 1, 2")
-    q["cumsum_series"] = rnd(with_(
+    q["cumsum_series"] = lambda: rnd(with_(
         "daily AS (SELECT CAST(o_orderdate AS DATE) AS ds, sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS v "
         "FROM orders GROUP BY 1)") +
         "SELECT ds, CAST(v AS DOUBLE) AS value, CAST(sum(v) OVER (ORDER BY ds ROWS BETWEEN UNBOUNDED PRECEDING "
         "AND CURRENT ROW) AS DOUBLE) AS cumsum FROM daily", "value", "cumsum")
-    q["cumsum_by_group"] = (cy + "SELECT country, year, pop, CAST(sum(pop) OVER (PARTITION BY country "
+    q["cumsum_by_group"] = lambda: (cy + "SELECT country, year, pop, CAST(sum(pop) OVER (PARTITION BY country "
                             "ORDER BY year ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cum_pop "
                             "FROM country_year")
-    tfidf = (with_(STRATEGY_WORDS + ", cnt AS (SELECT document, word, count(*) AS n FROM sw_words "
+    tfidf = (with_(ALL_WORDS + ", cnt AS (SELECT document, word, count(*) AS n FROM all_words "
                    "GROUP BY document, word)" + tf_idf_sql("cnt", "word")))
-    q["tf_idf"] = rnd(tfidf + "SELECT * FROM tfidf", "tf", "idf", "tf_idf")
-    q["ecdf"] = rnd(with_(READINGS,
+    q["tf_idf"] = lambda: rnd(tfidf + "SELECT * FROM tfidf", "tf", "idf", "tf_idf")
+    q["ecdf"] = lambda: rnd(with_(READINGS,
                           "k AS (SELECT value, count(*) AS k FROM readings WHERE value IS NOT NULL GROUP BY value)",
                           "t AS (SELECT sum(k) AS total FROM k)") +
                     "SELECT value, CAST(sum(k) OVER (ORDER BY value) AS BIGINT) AS n_le, "
                     "sum(k) OVER (ORDER BY value) / (SELECT total FROM t) AS ecdf FROM k", "value", "ecdf")
-    q["ecdf_grid"] = rnd(with_(
+    q["ecdf_grid"] = lambda: rnd(with_(
         READINGS, "base AS (SELECT value FROM readings WHERE value IS NOT NULL)",
         "s AS (SELECT count(*) AS n, stddev_pop(value) AS sd, min(value) AS mn, max(value) AS mx FROM base)",
         "p AS (SELECT n, mn - sd AS a, mx + sd AS b FROM s)",
@@ -474,93 +520,94 @@ def oracle_sql() -> dict[str, str]:
         "SELECT g.i, g.x, (SELECT count(*) FROM base WHERE base.value <= g.x) / g.n AS ecdf FROM g",
         "x", "ecdf")
     # 2.7
-    q["sort_multi"] = rnd(with_(READINGS) +
+    q["sort_multi"] = lambda: rnd(with_(READINGS) +
                           "SELECT event_id, event_type, value, row_number() OVER (ORDER BY event_type ASC NULLS LAST, "
                           "value DESC NULLS LAST, event_id) AS pos FROM readings", "value")
-    q["top_n_ties"] = rnd(cy + "SELECT country, year, lifeExp FROM (SELECT *, rank() OVER (ORDER BY lifeExp DESC) "
+    q["top_n_ties"] = lambda: rnd(cy + "SELECT country, year, lifeExp FROM (SELECT *, rank() OVER (ORDER BY lifeExp DESC) "
                           f"AS rk FROM country_year WHERE year = {y} AND lifeExp IS NOT NULL) WHERE rk <= {C.TOP_N}",
                           "lifeExp")
-    q["top_n_by_group"] = rnd(tfidf + "SELECT document, word, n, tf, idf, tf_idf FROM (SELECT *, rank() OVER "
+    q["top_n_by_group"] = lambda: rnd(tfidf + "SELECT document, word, n, tf, idf, tf_idf FROM (SELECT *, rank() OVER "
                               "(PARTITION BY document ORDER BY tf_idf DESC) AS rk FROM tfidf) "
                               f"WHERE rk <= {C.TOP_N}", "tf", "idf", "tf_idf")
-    q["limit_by_count"] = rnd(with_(_cheapest_ctes()) + "SELECT * FROM cheapest", "price")
-    q["top_words"] = (with_(STRATEGY_WORDS) + "SELECT word, count(*) AS n FROM sw_words GROUP BY word "
+    q["limit_by_count"] = lambda: rnd(with_(_cheapest_ctes()) + "SELECT * FROM cheapest", "price")
+    q["top_words"] = lambda: (with_(ALL_WORDS) + "SELECT word, count(*) AS n FROM all_words GROUP BY word "
                       "HAVING count(*) >= 10 ORDER BY n DESC, word LIMIT 50")
-    q["sample_n"] = rnd(f"SELECT * FROM customer ORDER BY {_u('c_custkey')}, c_custkey LIMIT 5", "c_acctbal")
-    q["split_random"] = (with_(CUSTOMER_FEATURES) +
-                         f"SELECT c_custkey, {_u('c_custkey')} < 0.8 AS is_train FROM cf")
-    q["split_stratified"] = with_(_stratified()) + "SELECT c_custkey, churn, is_train FROM st"
+    q["sample_n"] = lambda: rnd(f"SELECT * FROM customer ORDER BY {_draw('c_custkey')}, c_custkey LIMIT 5", "c_acctbal")
+    q["split_random"] = lambda: (with_(CUSTOMER_FEATURES) +
+                         f"SELECT c_custkey, {_draw('c_custkey')} < '{draw_below(0.8)}' AS is_train FROM cf")
+    q["split_stratified"] = lambda: with_(_stratified()) + "SELECT c_custkey, churn, is_train FROM st"
     # 2.8
-    q["intersect_keys"] = (with_(RATED + _selected(),
+    q["intersect_keys"] = lambda: (with_(RATED + _selected(),
                                  "med AS (SELECT country, quantile_cont(CAST(points AS DOUBLE), 0.5) AS median "
                                  "FROM ri GROUP BY country)",
                                  "fst AS (SELECT country, rank() OVER (ORDER BY median DESC, country) AS rank_in_first "
                                  "FROM med)") +
                            "SELECT country, CAST(rank_in_first AS BIGINT) AS rank_in_first FROM fst "
                            "WHERE country IN (SELECT country FROM sel)")
-    q["good_value"] = rnd(with_(_cheapest_ctes()) + f"SELECT {_ri_cols()} FROM top INTERSECT "
+    q["good_value"] = lambda: rnd(with_(_cheapest_ctes()) + f"SELECT {_ri_cols()} FROM top INTERSECT "
                           f"SELECT {_ri_cols()} FROM cheapest", "price")
-    q["complement_rows"] = rnd(with_(_stratified()) +
+    q["complement_rows"] = lambda: rnd(with_(_stratified()) +
                                "SELECT c_custkey, segment, region, c_acctbal, n_orders, avg_price, total_spend, "
                                "tenure, churn FROM st WHERE NOT is_train", "c_acctbal", "avg_price", "total_spend")
     # 2.9
-    q["unite_cols"] = (with_(bigrams_filtered_ctes()) +
+    q["unite_cols"] = lambda: (with_(bigrams_filtered_ctes()) +
                        "SELECT word1 || ' ' || word2 AS bigram, count(*) AS n FROM bf GROUP BY 1")
-    q["separate_cols"] = (with_(ngram_ctes(2)) +
+    q["separate_cols"] = lambda: (with_(ngram_ctes(2)) +
                           "SELECT split_part(ngram, ' ', 1) AS word1, split_part(ngram, ' ', 2) AS word2, "
                           "count(*) AS n FROM grams GROUP BY 1, 2")
-    q["stem_counts"] = (with_(WORDS) + "SELECT stem, count(*) AS n FROM (SELECT regexp_replace(word, "
+    q["stem_counts"] = lambda: (with_(WORDS) + "SELECT stem, count(*) AS n FROM (SELECT regexp_replace(word, "
                         "'(ing|es|s)$', '') AS stem FROM words) WHERE stem <> '' GROUP BY stem")
-    q["reorder_within"] = rnd(tfidf + ", top AS (SELECT * FROM (SELECT *, rank() OVER (PARTITION BY document "
+    q["reorder_within"] = lambda: rnd(tfidf + ", top AS (SELECT * FROM (SELECT *, rank() OVER (PARTITION BY document "
                               f"ORDER BY tf_idf DESC) AS rk FROM tfidf) WHERE rk <= {C.TOP_N}) "
                               "SELECT document, word, tf_idf, word || '___' || document AS label, "
                               "avg(tf_idf) OVER (PARTITION BY word || '___' || document) AS label_key, "
                               "regexp_replace(word || '___' || document, '___.+$', '') AS shown FROM top",
                               "tf_idf", "label_key")
-    q["clean_text"] = (with_(
+    q["clean_text"] = lambda: (with_(
         PAGES,
         "a AS (SELECT document, page, lower(regexp_replace(regexp_replace(regexp_replace(text, "
         "'[[:punct:]]', '', 'g'), '[/@|]', ' ', 'g'), '\\d', '', 'g')) AS t FROM pages_text)") +
         "SELECT document, page, trim(regexp_replace(array_to_string(list_transform(list_filter("
         f"string_split_regex(t, '\\s+'), lambda w: w <> '' AND NOT list_contains({stop_list()}, w)), "
         "lambda w: regexp_replace(w, '(ing|es|s)$', '')), ' '), '\\s+', ' ', 'g')) AS clean FROM a")
-    q["unnest_pages"] = ("SELECT vec_id, CAST(i AS INTEGER) AS page, embedding[i] AS value FROM "
-                         "(SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)")
+    q["unnest_pages"] = lambda: ("SELECT document, CAST(i AS BIGINT) AS page, pages[i] AS text FROM "
+                         "(SELECT doc_id AS document, string_split(text, chr(10)) AS pages, "
+                         "unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents)")
     # 2.10
-    q["tokenize"] = with_(TOKENS) + "SELECT document, page, word FROM tokens"
-    q["tokenize_no_numbers"] = with_(WORDS) + "SELECT document, page, word FROM words"
-    q["word_counts"] = with_(wc_ctes()) + "SELECT * FROM wc"
-    q["tokens_by_doc"] = with_(WORDS) + "SELECT document, count(*) AS total_lines FROM words GROUP BY document"
-    q["bigram_counts"] = with_(ngram_ctes(2)) + "SELECT ngram AS bigram, count(*) AS n FROM grams GROUP BY 1"
-    q["trigram_counts"] = (with_(ngram_ctes(3), stop_values(),
+    q["tokenize"] = lambda: with_(TOKENS) + "SELECT document, page, word FROM tokens"
+    q["tokenize_no_numbers"] = lambda: with_(WORDS) + "SELECT document, page, word FROM words"
+    q["word_counts"] = lambda: with_(wc_ctes()) + "SELECT * FROM wc"
+    q["tokens_by_doc"] = lambda: with_(WORDS) + "SELECT document, count(*) AS total_lines FROM words GROUP BY document"
+    q["bigram_counts"] = lambda: with_(ngram_ctes(2)) + "SELECT ngram AS bigram, count(*) AS n FROM grams GROUP BY 1"
+    q["trigram_counts"] = lambda: (with_(ngram_ctes(3), stop_values(),
                                  "t3 AS (SELECT split_part(ngram, ' ', 1) AS word1, split_part(ngram, ' ', 2) AS word2, "
                                  "split_part(ngram, ' ', 3) AS word3 FROM grams)") +
                            "SELECT word1, word2, word3, count(*) AS n FROM t3 WHERE word1 NOT IN (SELECT word FROM sw) "
                            "AND word2 NOT IN (SELECT word FROM sw) AND word3 NOT IN (SELECT word FROM sw) "
                            "GROUP BY 1, 2, 3")
-    q["bigram_counts_filtered"] = (with_(bigrams_filtered_ctes()) +
+    q["bigram_counts_filtered"] = lambda: (with_(bigrams_filtered_ctes()) +
                                    "SELECT word1, word2, count(*) AS n FROM bf GROUP BY 1, 2")
-    q["bigram_tf_idf"] = rnd(with_(bigrams_filtered_ctes() +
+    q["bigram_tf_idf"] = lambda: rnd(with_(bigrams_filtered_ctes() +
                                    ", bc AS (SELECT document, word1 || ' ' || word2 AS bigram, count(*) AS n "
                                    "FROM bf GROUP BY 1, 2)" + tf_idf_sql("bc", "bigram")) +
                              "SELECT document, bigram, n, tf, idf, tf_idf FROM (SELECT *, rank() OVER "
                              "(PARTITION BY document ORDER BY tf_idf DESC) AS rk FROM tfidf) "
                              f"WHERE rk <= {C.TOP_N}", "tf", "idf", "tf_idf")
-    q["bigram_edges"] = (with_(bigrams_filtered_ctes()) +
+    q["bigram_edges"] = lambda: (with_(bigrams_filtered_ctes()) +
                          "SELECT word1, word2, count(*) AS n FROM bf GROUP BY 1, 2 HAVING count(*) > 20 "
                          "AND NOT regexp_matches(word1, '\\d') AND NOT regexp_matches(word2, '\\d')")
-    q["sentiment_contribution"] = (with_(wc_ctes(), lexicon_values()) +
+    q["sentiment_contribution"] = lambda: (with_(wc_ctes(), lexicon_values()) +
                                    "SELECT document, sentiment, word, CAST(CASE WHEN sentiment = 'negative' "
                                    "THEN -n ELSE n END AS BIGINT) AS n FROM (SELECT wc.document, lex.sentiment, "
                                    "wc.word, sum(wc.count) AS n FROM wc JOIN lex ON wc.word = lex.word "
                                    "GROUP BY 1, 2, 3) WHERE n >= 10")
-    q["doc_term_matrix"] = (with_(wc_ctes()) +
-                            "SELECT document, (SELECT count(DISTINCT word) FROM wc) AS n_terms_total, "
-                            "count(*) AS n_terms, CAST(sum(count) AS BIGINT) AS n_tokens FROM wc GROUP BY document")
+    q["doc_term_matrix"] = lambda: (with_(wc_ctes()) +
+                            "SELECT document, dense_rank() OVER (ORDER BY word) AS term_id, word AS term, "
+                            "count AS n FROM wc")
     # 2.11
-    q["kde_scott"] = _kde("scott")
-    q["kde_silverman"] = _kde("silverman")
-    q["kde_2d"] = rnd(with_(
+    q["kde_scott"] = lambda: _kde("scott")
+    q["kde_silverman"] = lambda: _kde("silverman")
+    q["kde_2d"] = lambda: rnd(with_(
         "base AS (SELECT CAST(s_acctbal AS DOUBLE) AS px, CAST(s_nationkey AS DOUBLE) AS py FROM supplier "
         "WHERE s_acctbal IS NOT NULL AND s_nationkey IS NOT NULL)",
         "s AS (SELECT count(*) AS n, var_samp(px) AS vx, var_samp(py) AS vy, covar_samp(px, py) AS cxy, "
@@ -575,7 +622,7 @@ def oracle_sql() -> dict[str, str]:
         "+ 2 * (-d.sxy / d.det) * (g.gx - b.px) * (g.gy - b.py) + (d.sxx / d.det) * (g.gy - b.py) * (g.gy - b.py)))) "
         "/ (d.n * 2 * pi() * sqrt(d.det)) AS density FROM g CROSS JOIN base b CROSS JOIN d "
         "GROUP BY g.i, g.j, g.gx, g.gy, d.n, d.det", "x", "y", "density")
-    q["trend_line"] = rnd(with_(
+    q["trend_line"] = lambda: rnd(with_(
         RATED, "base AS (SELECT CAST(points AS DOUBLE) AS x, price AS y, "
                "CAST(points AS DECIMAL(30, 2)) AS xd, CAST(price AS DECIMAL(30, 2)) AS yd FROM ri "
                "WHERE points IS NOT NULL AND price IS NOT NULL)",
@@ -590,8 +637,8 @@ def oracle_sql() -> dict[str, str]:
         "SELECT g.bin, lo + (g.bin + 0.5) * ((hi - lo) / 20) AS x_mid, g.y_mean, "
         "a + b * (lo + (g.bin + 0.5) * ((hi - lo) / 20)) AS y_fit, g.n FROM g CROSS JOIN s2",
         "x_mid", "y_mean", "y_fit")
-    q["shortest_hops"] = hops_ctes() + "SELECT r, c, hops FROM h"
-    q["shortest_path"] = (hops_ctes() +
+    q["shortest_hops"] = lambda: hops_ctes() + "SELECT r, c, hops FROM h"
+    q["shortest_path"] = lambda: (hops_ctes() +
                           ", par AS (SELECT h.r, h.c, h.hops, min({'r': p.r, 'c': p.c}) AS pp FROM h "
                           "JOIN e ON e.r2 = h.r AND e.c2 = h.c JOIN h p ON p.r = e.r AND p.c = e.c "
                           "AND p.hops = h.hops - 1 GROUP BY h.r, h.c, h.hops)"
@@ -599,7 +646,15 @@ def oracle_sql() -> dict[str, str]:
                           "AND h.c = goal.gc UNION ALL SELECT par.pp.r, par.pp.c, par.hops - 1 FROM path "
                           "JOIN par ON par.r = path.r AND par.c = path.c) "
                           "SELECT hops AS step, r, c FROM path")
-    q["discounted_reach"] = rnd(
+    q["ascent_path"] = lambda: (hops_ctes() +
+                        ", up AS (SELECT h.r, h.c, h.hops, first({'r': e.r2, 'c': e.c2} ORDER BY CASE e.dir "
+                        "WHEN 'W' THEN 0 WHEN 'E' THEN 1 WHEN 'N' THEN 2 ELSE 3 END) AS pp FROM h "
+                        "JOIN e ON e.r = h.r AND e.c = h.c JOIN h p ON p.r = e.r2 AND p.c = e.c2 "
+                        "AND p.hops = h.hops - 1 GROUP BY h.r, h.c, h.hops)"
+                        ", path(r, c, step) AS (SELECT gr, gc, 0 FROM goal UNION ALL SELECT up.pp.r, up.pp.c, "
+                        "path.step + 1 FROM path JOIN up ON up.r = path.r AND up.c = path.c) "
+                        "SELECT step, r, c FROM path")
+    q["discounted_reach"] = lambda: rnd(
         hops_ctes() + ", gh AS (SELECT max(h.hops) AS ghops FROM h, goal WHERE h.r = goal.gr AND h.c = goal.gc) "
         "SELECT cells.r, cells.c, coalesce(CASE WHEN h.hops <= coalesce((SELECT ghops FROM gh), 2147483647) "
         "THEN power(0.99, h.hops) ELSE 0.0 END, 0.0) AS value FROM cells LEFT JOIN h "

@@ -1,34 +1,36 @@
 """Word lists: stop words and a word -> sentiment table.
 
-Stop words are Spark's own English list, read from the MLlib jar on the
-driver (181 words) so the Spark side and the SQL oracle use the same text.
+Stop words are Spark's own English list (181 words), kept here as plain
+values so that no file of the Spark installation is needed.
 Both tables are bounded by their definition, which is what makes broadcasting
 them safe at any data size.
 """
 
 from __future__ import annotations
 
-import functools
-import glob
-import os
-import zipfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-@functools.lru_cache(maxsize=1)
+# Spark's default English stop words, in its order.
+_STOP_WORDS = """
+i me my myself we our ours ourselves you your yours yourself yourselves he him his himself
+she her hers herself it its itself they them their theirs themselves what which who whom
+this that these those am is are was were be been being have has had having do does did doing
+a an the and but if or because as until while of at by for with about against between into
+through during before after above below to from up down in out on off over under again
+further then once here there when where why how all any both each few more most other some
+such no nor not only own same so than too very s t can will just don should now i'll you'll
+he'll she'll we'll they'll i'd you'd he'd she'd we'd they'd i'm you're he's she's it's we're
+they're i've we've you've they've isn't aren't wasn't weren't haven't hasn't hadn't don't
+doesn't didn't won't wouldn't shan't shouldn't mustn't can't couldn't cannot could here's
+how's let's ought that's there's what's when's where's who's why's would
+""".split()
+
+
 def english_stop_words() -> tuple[str, ...]:
     """Spark's default English stop words (``StopWordsRemover`` list)."""
-    import pyspark
-
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars",
-                                  "spark-mllib_*.jar"))
-    for jar in jars:
-        with zipfile.ZipFile(jar) as z:
-            data = z.read("org/apache/spark/ml/feature/stopwords/english.txt")
-            return tuple(w for w in data.decode("utf-8").split() if w)
-    raise FileNotFoundError("spark-mllib jar not found")
+    return tuple(_STOP_WORDS)
 
 
 # Authored sentiment lexicon.  The test prose is invented, so
