@@ -7,7 +7,6 @@ functions/  Column-level expressions (text cleaning, binning, n-grams)
 operators/  DataFrame -> DataFrame operators (profile, verbs, windows,
             text, statistics, models, graph search)
 plans/      the registered query catalogue and its SQL oracle
-streaming/  nothing: the workloads this library covers are batch only
 """
 
 from framewise.session import get_spark, checkpoint_dir, scratch_path

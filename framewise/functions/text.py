@@ -4,8 +4,8 @@ All of these are built-in Spark SQL expressions (regexp, higher-order array
 functions), so they run inside whole-stage codegen with no Python worker.
 Rules fixed here so that the SQL oracle can say the same thing:
 
-* a token is a maximal run of ``[a-z0-9]`` after lower-casing (English);
-  ``TOKEN_PATTERN_ANY`` extends that to letters and digits of any script;
+* a token is a maximal run of letters and digits of any script, after
+  lower-casing;
 * n-grams are formed from consecutive tokens of one text value (one page);
   a text with fewer than n tokens yields none.
 """
@@ -15,12 +15,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-TOKEN_PATTERN = "[a-z0-9]+"
-TOKEN_PATTERN_ANY = "[\\p{L}\\p{N}]+"
+TOKEN_PATTERN = "[\\p{L}\\p{N}]+"
 NUMBER_PATTERN = "^[0-9]+$"
 # The endings named for the stemming step of the cleaning chain.
 STEM_SUFFIX_PATTERN = "(ing|es|s)$"
 SPECIAL_CHAR_PATTERN = "[/@|]"
+# Fixed value: the separator of labels made unique within a group.
+WITHIN_SEPARATOR = "___"
 
 
 def col_(c) -> Column:
@@ -71,10 +72,10 @@ def clean_text(text, stop_words) -> Column:
     return F.trim(F.regexp_replace(F.array_join(stemmed, " "), "\\s+", " "))
 
 
-def strip_within_suffix(label, sep: str = "___") -> Column:
+def strip_within_suffix(label, sep: str = WITHIN_SEPARATOR) -> Column:
     """Undo ``reorder_within`` labels: drop the separator and what follows."""
     return F.regexp_replace(col_(label), f"{sep}.+$", "")
 
 
-def label_within(x, within, sep: str = "___") -> Column:
+def label_within(x, within, sep: str = WITHIN_SEPARATOR) -> Column:
     return F.concat_ws(sep, col_(x).cast("string"), col_(within).cast("string"))

@@ -1,12 +1,10 @@
 """Aggregations: group statistics, quantiles, box and histogram data,
 confusion tables and error measures.
 
-Exact quantiles (``quantiles``, ``box_stats``) merge equal values first.  A
-HyperLogLog pass then checks the largest group: when its distinct values fit
-one task, Spark's ``percentile`` (value -> count map) finishes the job;
-beyond that bound the distinct values of each group are numbered with a
-range sort, so no task holds a whole group, however skewed.
-``method="approx"`` switches to the bounded-memory ``percentile_approx``.
+Exact quantiles (``quantiles``, ``box_stats``) merge equal values first and
+number the distinct values of each group with a range sort, so no task holds
+a whole group, however skewed; the path is the same at every size.  Group
+keys may be NULL: joins back on them are null-safe.
 """
 
 from __future__ import annotations
@@ -17,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framewise.functions.binning import numeric_columns
+from framewise.operators.keys import join_on
 from framewise.session import materialize
 
 
@@ -55,47 +54,18 @@ def ranked_values(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFram
     offs = slices.select("_pid", *by,
                          F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"),
                          F.sum("_t").over(Window.partitionBy(*by)).alias("_n"))
-    return (s.withColumn("_cum", F.sum("_k").over(local))
-             .join(offs, ["_pid", *by])
+    return (join_on(s.withColumn("_cum", F.sum("_k").over(local)), offs, ["_pid", *by])
              .select(*by, value, "_k", (F.col("_cum") + F.col("_off")).alias("_cum"), "_n"))
 
 
-MAP_MAX_DISTINCT = 2_000_000  # distinct values one task may hold for ``percentile``
-
-
-def choose_quantile_method(df: DataFrame, value: str, by: Sequence[str] = (),
-                           limit: int = MAP_MAX_DISTINCT) -> str:
-    """``"map"`` when every group's distinct values (HyperLogLog estimate,
-    one cheap pass) fit one task, else ``"sort"``."""
-    est = (df.where(F.col(value).isNotNull()).groupBy(*by)
-             .agg(F.approx_count_distinct(value).alias("_d")).agg(F.max("_d")).first()[0])
-    return "map" if (est or 0) <= limit else "sort"
-
-
-def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
-              method: str = "auto", accuracy: int = 100_000) -> DataFrame:
+def quantiles(df: DataFrame, value: str, probs: Sequence[float],
+              by: Sequence[str] = ()) -> DataFrame:
     """Linear-interpolation quantiles of ``value`` per group, one column per
-    prob named ``q<prob*100>``; NULL values are ignored.
-
-    ``method``: ``"sort"`` is exact and skew-safe (``ranked_values``; only the
-    two rows around each target rank of a group reach the final aggregate);
-    ``"map"`` is Spark's exact ``percentile`` with a frequency column, which
-    holds a group's distinct values in one task; ``"auto"`` (default) takes
-    ``"map"`` only behind a size check (``choose_quantile_method``) and
-    ``"sort"`` beyond it; ``"approx"`` is the bounded ``percentile_approx``.
+    prob named ``q<prob*100>``; NULL values are ignored, a group without any
+    other value has no row.  Only the two rows around each target rank of a
+    group reach the final aggregate.
     """
     names = [_qname(p) for p in probs]
-    base = df.where(F.col(value).isNotNull())
-    if method == "auto":
-        method = choose_quantile_method(df, value, by)
-    if method == "approx":
-        agg = base.groupBy(*by).agg(F.percentile_approx(value, list(probs), accuracy).alias("_q"))
-        return agg.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-    if method == "map":
-        counts = base.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_f"))
-        arr = F.percentile(F.col(value), F.array(*[F.lit(float(p)) for p in probs]), F.col("_f"))
-        agg = counts.groupBy(*by).agg(arr.alias("_q"))
-        return agg.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
     r = ranked_values(df, value, by)
     start = F.col("_cum") - F.col("_k")  # the row holds 0-based ranks [start, _cum)
     holds, parts = [], []
@@ -116,23 +86,22 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
 
 
 def box_stats(df: DataFrame, value: str, by: Sequence[str] = (), whisker: float = 1.5,
-              trimmed: bool = False, method: str = "auto") -> DataFrame:
+              trimmed: bool = False) -> DataFrame:
     """Box-plot data per group: n, q1, median, q3, whiskers (furthest point
     within ``whisker``·IQR of the box), outlier count.
 
     With ``trimmed`` the outliers are left out of n (they are not drawn).
-    Quartiles come from ``quantiles`` (exact and skew-safe by default);
-    whiskers and outlier counts from the (group, value, count) rows joined
-    to one row of quartiles per group.
+    Whiskers and outlier counts come from the (group, value, count) rows
+    joined to one row of quartiles per group.
     """
     base = df.where(F.col(value).isNotNull())
     counts = base.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_f"))
-    q = quantiles(df, value, [0.25, 0.5, 0.75], by, method=method).select(
+    q = quantiles(df, value, [0.25, 0.5, 0.75], by).select(
         *by, F.col("q25").alias("q1"), F.col("q50").alias("median"), F.col("q75").alias("q3"))
     lo = F.col("q1") - whisker * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + whisker * (F.col("q3") - F.col("q1"))
     if by:
-        j = counts.join(q, list(by))
+        j = join_on(counts, q, list(by))
     else:  # one box: the quartiles are scalar subqueries, not a join
         j = counts.select("*", *[q.select(c).scalar().alias(c)
                                  for c in ("q1", "median", "q3")])
@@ -148,25 +117,66 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str] = (), whisker: float
     return out
 
 
-def histogram(df: DataFrame, value: str, bins: int = 10) -> DataFrame:
-    """Equal-width histogram over [min, max]; last bin closed; empty bins kept.
+def _long(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """(keep..., column_name, value) with the columns as doubles."""
+    return df.select(*keep, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
+        list(keep), list(columns), "column_name", "value")
+
+
+def box_stats_by_each(df: DataFrame, columns: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Box data of every numeric column by every categorical column:
+    (by_column, level, column_name, box...).  The levels are unpivoted too, so
+    all boxes come from one pass over the rows."""
+    levels = F.explode(F.array(*[F.struct(F.lit(c).alias("by_column"),
+                                          F.col(c).cast("string").alias("level")) for c in columns]))
+    long = _long(df.select(levels.alias("_g"), *values).select("_g.by_column", "_g.level", *values),
+                 values, ["by_column", "level"])
+    return box_stats(long, "value", ["by_column", "level", "column_name"])
+
 
-    Bin edges come from one aggregate row; the bin spine has ``bins`` rows,
-    so broadcasting the counts onto it is bounded.
+def group_mean_by_each(df: DataFrame, columns: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Means of the numeric columns by the levels of every categorical column."""
+    levels = F.explode(F.array(*[F.struct(F.lit(c).alias("by_column"),
+                                          F.col(c).cast("string").alias("level")) for c in columns]))
+    return (df.select(levels.alias("_g"), *values).groupBy("_g.by_column", "_g.level")
+              .agg(*[F.avg(c).alias(c) for c in values]))
+
+
+def histograms(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 10) -> DataFrame:
+    """(column_name, bin, bin_lo, bin_hi, n): equal-width histogram of every
+    numeric column over its own [min, max].
+
+    The last bin is closed, empty bins are kept.  A constant column gets the
+    range half a unit to both sides; a column without values has NULL edges
+    and counts of 0.  Edges come from one aggregate row, the counts from one
+    pass over the unpivoted rows; the spine has ``bins`` rows a column, so
+    broadcasting the counts onto it is bounded.
     """
-    v = F.col(value)
-    stats = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi")).first()  # one row
-    lo, hi = F.lit(stats["lo"]), F.lit(stats["hi"])
-    width = (hi - lo) / bins
-    b = F.least(F.floor((v - lo) / width), F.lit(bins - 1)).cast("int")
-    counts = (df.where(v.isNotNull()).groupBy(b.alias("bin"))
-                .agg(F.count(F.lit(1)).alias("n")))
-    spine = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    return (spine.join(F.broadcast(counts), "bin", "left")
-                 .select("bin",
-                         (lo + F.col("bin") * width).alias("bin_lo"),
-                         (lo + (F.col("bin") + 1) * width).alias("bin_hi"),
-                         F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")))
+    cols = list(columns) if columns else numeric_columns(df)
+    ends = df.agg(*[f(F.col(c).cast("double")).alias(f"{k}{i}") for i, c in enumerate(cols)
+                    for k, f in (("lo", F.min), ("hi", F.max))]).first()  # one row
+    edges = []
+    for i, c in enumerate(cols):
+        lo, hi = ends[f"lo{i}"], ends[f"hi{i}"]
+        if lo is not None and lo == hi:
+            lo, hi = lo - 0.5, hi + 0.5
+        edges.append((c, lo, hi))
+    spark = df.sparkSession
+    table = F.broadcast(spark.createDataFrame(edges, "column_name string, lo double, hi double"))
+    width = (F.col("hi") - F.col("lo")) / bins
+    bin_ = F.least(F.floor((F.col("value") - F.col("lo")) / width), F.lit(bins - 1)).cast("int")
+    counts = (_long(df, cols).where(F.col("value").isNotNull()).join(table, "column_name")
+              .groupBy("column_name", bin_.alias("bin")).agg(F.count(F.lit(1)).alias("n")))
+    spine = table.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    return spine.join(F.broadcast(counts), ["column_name", "bin"], "left").select(
+        "column_name", "bin", (F.col("lo") + F.col("bin") * width).alias("bin_lo"),
+        (F.col("lo") + (F.col("bin") + 1) * width).alias("bin_hi"),
+        F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"))
+
+
+def histogram(df: DataFrame, value: str, bins: int = 10) -> DataFrame:
+    """``histograms`` of one column: (bin, bin_lo, bin_hi, n)."""
+    return histograms(df, [value], bins).drop("column_name")
 
 
 def percent_share(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -175,42 +185,53 @@ def percent_share(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     long = df.select(*[F.col(c).cast("string") for c in columns]).unpivot(
         [], list(columns), "variable", "level")
     counts = long.groupBy("variable", "level").agg(F.count(F.lit(1)).alias("n"))
-    from pyspark.sql import Window
-    tot = F.sum("n").over(Window.partitionBy("variable"))
-    return counts.withColumn("pct", 100.0 * F.col("n") / tot)
-
-
-def confusion_matrix(df: DataFrame, actual: str, predicted: str,
-                     levels: Sequence = (0, 1)) -> DataFrame:
-    """Two-way table with zero cells kept: pivot on the known levels, unpivot."""
-    wide = df.groupBy(actual).pivot(predicted, list(levels)).agg(F.count(F.lit(1)))
-    lv = [str(x) for x in levels]
-    present = wide.select(F.col(actual), *[F.coalesce(F.col(x), F.lit(0)).alias(x) for x in lv])
-    long = present.unpivot([actual], lv, "predicted", "n")
-    spine_rows = [(a,) for a in levels]
-    spine = df.sparkSession.createDataFrame(spine_rows, [actual]).select(
-        F.col(actual).cast(dict(df.dtypes)[actual]))
-    full = spine.join(F.broadcast(long), actual, "left")
-    return full.select(F.col(actual).alias("actual"),
-                       F.col("predicted").cast(dict(df.dtypes)[predicted]).alias("predicted"),
-                       F.col("n").cast("bigint").alias("n"))
+    totals = counts.groupBy("variable").agg(F.sum("n").alias("_total"))  # one row a column
+    return counts.join(F.broadcast(totals), "variable").select(
+        "variable", "level", "n", (100.0 * F.col("n") / F.col("_total")).alias("pct"))
+
+
+def confusion_matrix(df: DataFrame, actual: str, predicted: str) -> DataFrame:
+    """Two-way table over the labels present on either side, zero cells kept;
+    a NULL label is a label of its own."""
+    a = F.col(actual)
+    p = F.col(predicted).cast(df.schema[actual].dataType)
+    counts = df.groupBy(a.alias("actual"), p.alias("predicted")).agg(F.count(F.lit(1)).alias("n"))
+    label = lambda c: F.struct(F.col(c).alias("v"))  # noqa: E731  keeps NULL in the set
+    present = counts.agg(F.array_distinct(F.flatten(F.collect_list(
+        F.array(label("actual"), label("predicted"))))).alias("l"))
+    cells = (present.select(F.explode("l").alias("x"), "l")
+             .select(F.col("x.v").alias("actual"), F.explode("l").alias("y"))
+             .select("actual", F.col("y.v").alias("predicted")))
+    return join_on(cells, counts, ["actual", "predicted"], "left").select(
+        "actual", "predicted", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
 def confusion_stats(df: DataFrame, actual: str, predicted: str, positive=0) -> DataFrame:
-    """Accuracy, kappa, sensitivity, specificity, PPV, NPV, prevalence,
-    balanced accuracy, from one pass of conditional sums."""
-    a, p = F.col(actual), F.col(predicted)
+    """Accuracy and kappa over all labels; sensitivity, specificity, PPV, NPV,
+    prevalence, balanced accuracy of ``positive`` against the rest.
+
+    One pass counts the (actual, predicted) cells; all figures are sums over
+    these few rows.  A NULL label equals only NULL."""
+    cells = df.groupBy(F.col(actual).alias("a"), F.col(predicted).alias("p")).agg(
+        F.count(F.lit(1)).alias("n"))
     pos = F.lit(positive)
-    s = df.agg(
-        F.sum(F.when((a == pos) & (p == pos), 1).otherwise(0)).alias("tp"),
-        F.sum(F.when((a != pos) & (p == pos), 1).otherwise(0)).alias("fp"),
-        F.sum(F.when((a == pos) & (p != pos), 1).otherwise(0)).alias("fn"),
-        F.sum(F.when((a != pos) & (p != pos), 1).otherwise(0)).alias("tn"))
+    a, p, n = F.col("a").eqNullSafe(pos), F.col("p").eqNullSafe(pos), F.col("n")
+    # chance agreement: sum over labels of (row total) * (column total)
+    rows = cells.groupBy(F.col("a").alias("label")).agg(F.sum("n").alias("nr"))
+    columns = cells.groupBy(F.col("p").alias("label")).agg(F.sum("n").alias("nc"))
+    chance = join_on(rows, columns, ["label"]).agg(
+        F.coalesce(F.sum(F.col("nr").cast("double") * F.col("nc")), F.lit(0.0)))
+    s = cells.agg(
+        F.sum(F.when(a & p, n).otherwise(0)).alias("tp"),
+        F.sum(F.when(~a & p, n).otherwise(0)).alias("fp"),
+        F.sum(F.when(a & ~p, n).otherwise(0)).alias("fn"),
+        F.sum(F.when(~a & ~p, n).otherwise(0)).alias("tn"),
+        F.sum(F.when(F.col("a").eqNullSafe(F.col("p")), n).otherwise(0)).cast("double").alias("same"),
+        F.sum(n).cast("double").alias("n")).withColumn("chance", chance.scalar())
     tp, fp, fn, tn = (F.col(c).cast("double") for c in ("tp", "fp", "fn", "tn"))
     d = F.try_divide  # an empty margin gives NULL, not an error
-    n = tp + fp + fn + tn
-    acc = d(tp + tn, n)
-    pe = d((tp + fp) * (tp + fn) + (fn + tn) * (fp + tn), n * n)
+    acc = d(F.col("same"), F.col("n"))
+    pe = d(F.col("chance"), F.col("n") * F.col("n"))
     sens = d(tp, tp + fn)
     spec = d(tn, tn + fp)
     return s.select(
@@ -219,7 +240,7 @@ def confusion_stats(df: DataFrame, actual: str, predicted: str, positive=0) -> D
         acc.alias("accuracy"), d(acc - pe, 1 - pe).alias("kappa"),
         sens.alias("sensitivity"), spec.alias("specificity"),
         d(tp, tp + fp).alias("ppv"), d(tn, tn + fn).alias("npv"),
-        d(tp + fn, n).alias("prevalence"), ((sens + spec) / 2).alias("balanced_accuracy"))
+        d(tp + fn, F.col("n")).alias("prevalence"), ((sens + spec) / 2).alias("balanced_accuracy"))
 
 
 def accuracy(actual: str, predicted: str) -> Column:

@@ -1,14 +1,13 @@
-"""Grid graphs: neighbour edges, breadth-first hop counts, shortest paths,
+"""Grid graphs: neighbour edges, hop counts, shortest paths, steepest ascent,
 discounted reach.
 
-Breadth-first search is a frontier loop of DataFrame joins: frontier x edges
--> new cells (one parent each) -> anti join with the last two levels (enough
-on an undirected graph).  Each level costs work proportional to its own size,
-not to the visited set.  The loop ends when a level is empty, so the whole
-reachable component is labelled.  Every level is written as a table in the
-shared scratch folder (``hops=<level>``): the next level's plan starts from
-that file, which cuts lineage and survives the loss of an executor, and the
-result is read back with the level as a partition column.
+Hop counts are found tile by tile.  The grid is cut into square tiles whose
+side grows with the square root of its extent; a round solves the tiles that
+received shorter distances at their borders, each in one pandas group of
+bounded size, and passes the distances of their border cells on to the
+neighbouring tiles.  The number of rounds follows the number of tiles that a
+shortest path crosses, not its length.  Messages are written tables in the
+shared folder, which cuts lineage and survives the loss of an executor.
 
 Paths are read from parent pointers by pointer doubling: log2(length) joins
 instead of one job per step.
@@ -16,10 +15,14 @@ instead of one job per step.
 
 from __future__ import annotations
 
+import heapq
+import math
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framewise.session import materialize, scratch_path
+from framewise.session import materialize
 
 # Neighbour offsets (label, row offset, column offset).
 DIRECTIONS = (("N", -1, 0), ("S", 1, 0), ("W", 0, -1), ("E", 0, 1))
@@ -42,39 +45,81 @@ def grid_edges(cells: DataFrame) -> DataFrame:
     return cand.join(dst, ["r2", "c2"]).select("r", "c", "dir", "r2", "c2")
 
 
-def bfs(edges: DataFrame, start: tuple[int, int], check_every: int = 4) -> DataFrame:
-    """(r, c, hops, pr, pc): hop count from ``start`` and the BFS parent
-    (smallest (row, col) among neighbours one hop closer) for every reachable
-    cell.  ``edges`` must be symmetric (an undirected graph)."""
-    spark = edges.sparkSession
-    base = scratch_path(spark, "bfs")
-    # edges are hash-partitioned on the join key once and cached with that
-    # partitioning: every level then shuffles only its (small) frontier
-    e = edges.select("r", "c", "r2", "c2").repartition("r", "c").persist()
-    root = spark.createDataFrame([(start[0], start[1], None, None)],
-                                 "r long, c long, pr long, pc long")
-    root.write.parquet(f"{base}/hops=0")
-    prev, cur = None, spark.read.parquet(f"{base}/hops=0").select("r", "c")
-    level = 0
+SMALLEST_TILE = 32
+
+
+def _solve(tile: pd.DataFrame) -> dict[tuple[int, int], int]:
+    """Hops of the cells of one tile, from the distances it was given."""
+    given = tile[tile.hops.notna()]
+    opened = set(zip(tile.r[tile.hops.isna()], tile.c[tile.hops.isna()], strict=True))
+    queue = [(int(h), int(r), int(c)) for r, c, h in zip(given.r, given.c, given.hops, strict=True)]
+    heapq.heapify(queue)
+    done: dict[tuple[int, int], int] = {}
+    while queue:
+        h, r, c = heapq.heappop(queue)
+        if (r, c) in done or (r, c) not in opened:
+            continue
+        done[r, c] = h
+        for _, dr, dc in DIRECTIONS:
+            heapq.heappush(queue, (h + 1, r + dr, c + dc))
+    return done
+
+
+def bfs(edges: DataFrame, cells: DataFrame, start: tuple[int, int],
+        side: int | None = None) -> tuple[DataFrame, int]:
+    """(r, c, hops, pr, pc) of every open cell reachable from ``start``, with
+    the parent that is the smallest (row, col) among the neighbours one hop
+    closer; and the number of rounds it took.  Empty if ``start`` is a wall."""
+    spark = cells.sparkSession
+    extent = cells.agg(F.max("r"), F.max("c")).first()  # one row
+    if side is None:
+        side = max(SMALLEST_TILE, math.isqrt(max(extent[0] or 0, extent[1] or 0)) + 1)
+    tile = [F.floor(F.col("r") / side).alias("tr"), F.floor(F.col("c") / side).alias("tc")]
+    opened = materialize(open_cells(cells).select(
+        *tile, "r", "c", F.lit(None).cast("long").alias("hops")), "cells")
+
+    def border(tile_: pd.DataFrame) -> pd.DataFrame:
+        at = (tile_.r.iloc[0] // side, tile_.c.iloc[0] // side)
+        out = [(r + dr, c + dc, h + 1) for (r, c), h in _solve(tile_).items()
+               for _, dr, dc in DIRECTIONS if ((r + dr) // side, (c + dc) // side) != at]
+        return pd.DataFrame(out, columns=["r", "c", "hops"]).astype("int64")
+
+    def inside(tile_: pd.DataFrame) -> pd.DataFrame:
+        out = [(r, c, h) for (r, c), h in _solve(tile_).items()]
+        return pd.DataFrame(out, columns=["r", "c", "hops"]).astype("int64")
+
+    best = new = spark.createDataFrame([(*start, 0)], "r long, c long, hops long")
+    rounds = 0
     while True:
-        level += 1
-        # undirected graph: a neighbour of level L is at level L-1, L or L+1,
-        # so only the last two levels need to be excluded
-        seen = cur if prev is None else cur.unionByName(prev)
-        step = (cur.join(e, ["r", "c"])
-                .groupBy(F.col("r2").alias("r"), F.col("c2").alias("c"))
-                .agg(F.min(F.struct("r", "c")).alias("p"))
-                .join(seen, ["r", "c"], "left_anti")
-                .select("r", "c", F.col("p.r").alias("pr"), F.col("p.c").alias("pc")))
-        step.write.parquet(f"{base}/hops={level}")
-        written = spark.read.parquet(f"{base}/hops={level}")
-        # an empty level only produces empty levels: test every few levels
-        if level % check_every == 0 and written.isEmpty():
+        rounds += 1
+        told = best.select(*tile, "r", "c", "hops")
+        active = new.select(*tile).distinct()
+        rows = opened.unionByName(told).join(active, ["tr", "tc"], "left_semi")
+        sent = rows.groupBy("tr", "tc").applyInPandas(border, "r long, c long, hops long")
+        sent = sent.groupBy("r", "c").agg(F.min("hops").alias("hops"))
+        known = best.withColumnRenamed("hops", "known")
+        new = materialize(sent.join(known, ["r", "c"], "left").where(
+            F.col("known").isNull() | (F.col("hops") < F.col("known"))).drop("known"), "sent")
+        if new.isEmpty():
             break
-        prev, cur = cur, written.select("r", "c")
-    e.unpersist()
-    out = spark.read.parquet(base)  # the level is the folder name
-    return out.select("r", "c", F.col("hops").cast("int").alias("hops"), "pr", "pc")
+        best = materialize(best.unionByName(new).groupBy("r", "c").agg(
+            F.min("hops").alias("hops")), "best")
+    told = best.select(*tile, "r", "c", "hops")
+    hops = materialize(opened.unionByName(told).groupBy("tr", "tc").applyInPandas(
+        inside, "r long, c long, hops long"), "hops")
+    to = hops.select(F.col("r").alias("r2"), F.col("c").alias("c2"), F.col("hops").alias("h2"))
+    parents = (edges.join(hops, ["r", "c"]).join(to, ["r2", "c2"]).where("h2 = hops - 1")
+               .groupBy("r", "c").agg(F.min(F.struct("r2", "c2")).alias("p")))
+    out = hops.join(parents, ["r", "c"], "left").select(
+        "r", "c", F.col("hops").cast("int").alias("hops"),
+        F.col("p.r2").alias("pr"), F.col("p.c2").alias("pc"))
+    return materialize(out, "bfs"), rounds
+
+
+def farthest(hops: DataFrame) -> tuple[int, int] | None:
+    """The reached cell with the most hops (then the largest row, column)."""
+    top = hops.agg(F.max(F.struct("hops", "r", "c"))).first()[0]  # one row
+    return None if top is None else (top.r, top.c)
 
 
 def ancestor_chain(parents: DataFrame, goal: tuple[int, int]) -> DataFrame:
@@ -101,6 +146,14 @@ def ancestor_chain(parents: DataFrame, goal: tuple[int, int]) -> DataFrame:
         jump = materialize(jump, "jump")
 
 
+def ascent_path(edges: DataFrame, hops: DataFrame, goal: tuple[int, int]) -> DataFrame:
+    """(step, r, c): from ``goal`` (step 0) by steepest ascent to the start."""
+    up = ascent_parents(edges, hops)
+    chain = ancestor_chain(up, goal).join(hops.select("r", "c", "hops"), ["r", "c"])
+    most = chain.agg(F.max("hops")).scalar()
+    return chain.select((most - F.col("hops")).cast("int").alias("step"), "r", "c")
+
+
 def shortest_path(hops: DataFrame, goal: tuple[int, int]) -> DataFrame:
     """(step, r, c) from start (step 0) to goal; empty when the goal is unreachable."""
     chain = ancestor_chain(hops, goal)

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.clustering import LDA, BisectingKMeans, KMeans
-from pyspark.ml.feature import PCA, RFormula, StringIndexer, VectorAssembler
+from pyspark.ml.feature import PCA, HashingTF, RFormula, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.ml.stat import ChiSquareTest
@@ -259,32 +259,51 @@ def kmeans_1d(df: DataFrame, value: str, k: int, seed: int = 42):
     return m, cdf
 
 
-def doc_vectors_from_distances(dist: DataFrame, docs: Sequence[str]) -> DataFrame:
-    """Each document's row of the (symmetric) distance matrix as a vector.
+#: Hash buckets of a term vector: bounds centres, topics and covariances on the driver.
+TERM_BUCKETS = 4096
 
-    ``docs`` bounds the row width (the matrix is quadratic by definition)."""
-    both = dist.select(F.col("doc_a").alias("document"), F.col("doc_b").alias("other"),
-                       "distance").unionByName(
-        dist.select(F.col("doc_b").alias("document"), F.col("doc_a").alias("other"),
-                    "distance"))
-    wide = both.groupBy("document").pivot("other", list(docs)).agg(F.first("distance"))
-    cols = [F.coalesce(F.col(f"`{d}`"), F.lit(0.0)).alias(f"_d{i}") for i, d in enumerate(docs)]
-    va = VectorAssembler(inputCols=[f"_d{i}" for i in range(len(docs))], outputCol="features")
-    return va.transform(wide.select("document", *cols)).select("document", "features")
 
+def term_vectors(words: DataFrame, buckets: int = TERM_BUCKETS) -> DataFrame:
+    """(document, features): term counts of a row's array of words, hashed
+    into ``buckets``; sparse, made row by row without a shuffle or vocabulary."""
+    tf = HashingTF(inputCol="words", outputCol="features", numFeatures=buckets)
+    return tf.transform(words).select("document", "features")
 
-def best_kmeans(vectors: DataFrame, k: int, seeds: Sequence[int]) -> DataFrame:
-    """k-means restarted from several seeds; keeps the lowest within-cluster cost."""
-    data = vectors.persist()  # every restart reads the same vectors
+
+def bucket_terms(words: DataFrame, buckets: int = TERM_BUCKETS) -> DataFrame:
+    """(bucket, term): the most frequent term of each bucket (ties: the
+    smallest), which stands for it in tables."""
+    counts = words.select(F.explode("words").alias("term")).groupBy("term").agg(
+        F.count(F.lit(1)).alias("n"))
+    one = HashingTF(inputCol="one", outputCol="v", numFeatures=buckets).transform(
+        counts.select("term", "n", F.array("term").alias("one")))
+    bucket = F.array_position(vector_to_array("v"), F.lit(1.0)) - 1
+    return one.groupBy(bucket.cast("int").alias("bucket")).agg(
+        F.min(F.struct((-F.col("n")).alias("n"), "term")).alias("best")).select(
+        "bucket", F.col("best.term").alias("term"))
+
+
+def best_kmeans(vectors: DataFrame, k: int, restarts: int = 100, iterations: int = 20) -> DataFrame:
+    """k-means restarted from ``restarts`` random starts, the lowest cost kept:
+    (document, cluster, distances), the distances to all k centres."""
+    data = materialize(vectors, "term-vectors").persist()  # every pass reads the same vectors
     best = None
-    for s in seeds:
-        m = KMeans(k=k, seed=s, maxIter=100).fit(data)
+    for seed in range(restarts):
+        m = KMeans(k=k, seed=seed, maxIter=iterations, initMode="random").fit(data)
         cost = m.summary.trainingCost
         if best is None or cost < best[0]:
             best = (cost, m)
-    out = best[1].transform(data).select("document", F.col("prediction").alias("cluster"))
-    return materialize(out, "doc-clusters")
-
+    centres = data.sparkSession.createDataFrame(
+        [(i, [float(x) for x in c]) for i, c in enumerate(best[1].clusterCenters())],
+        "code int, centre array<double>")
+    book = centres.agg(F.array_sort(F.collect_list(F.struct("code", "centre")))).scalar()
+    square = lambda x, y: (x - y) * (x - y)
+    out = best[1].transform(data).select(
+        "document", F.col("prediction").alias("cluster"), vector_to_array("features").alias("x"), book.alias("b"))
+    out = materialize(out.select("document", "cluster", F.transform("b", lambda c: F.sqrt(F.aggregate(
+        F.zip_with("x", c["centre"], square), F.lit(0.0), lambda t, v: t + v))).alias("distances")), "doc-clusters")
+    data.unpersist()
+    return out
 
 
 def bisecting_clusters(vectors: DataFrame, k: int, seed: int = 42) -> DataFrame:
@@ -301,28 +320,32 @@ def projection_2d(vectors: DataFrame) -> DataFrame:
 
 # --- topic model -------------------------------------------------------------------
 
-def lda_fit(dtm: DataFrame, k: int, seed: int = 1234, max_iter: int = 20):
-    """EM LDA; the iterations re-read the document-term rows, so they are cached."""
-    return LDA(k=k, seed=seed, maxIter=max_iter, optimizer="em",
-               featuresCol="features").fit(dtm.persist())
+def lda_fit(vectors: DataFrame, k: int, seed: int = 1234, max_iter: int = 20):
+    """Variational LDA; the iterations re-read the vectors, so they are cached."""
+    data = vectors.persist()
+    model = LDA(k=k, seed=seed, maxIter=max_iter, optimizer="online", subsamplingRate=1.0,
+                featuresCol="features").fit(data)
+    data.unpersist()
+    return model
 
 
-def lda_beta(model, vocab: Sequence[str], spark) -> DataFrame:
-    """(topic, term, beta) with beta = topic-term weight / topic total."""
-    tm = model.topicsMatrix().toArray()  # vocab x k, bounded metadata
-    k = tm.shape[1]
+def lda_beta(model, spark, top: int | None = None) -> DataFrame:
+    """(topic, bucket, beta) with beta = topic-term weight / topic total; with
+    ``top`` the heaviest buckets of each topic only.  The matrix has as many
+    rows as there are hash buckets, whatever the data."""
+    tm = model.topicsMatrix().toArray()
     rows = []
-    for t in range(k):
-        col = tm[:, t]
-        tot = float(col.sum())
-        rows += [(t + 1, vocab[i], float(col[i] / tot)) for i in range(len(vocab))]
-    return _rows(spark, rows, "topic int, term string, beta double")
+    for t in range(tm.shape[1]):
+        col = tm[:, t] / tm[:, t].sum()
+        order = sorted(range(len(col)), key=lambda i: (-col[i], i))[:top]
+        rows += [(t + 1, int(i), float(col[i])) for i in order]
+    return _rows(spark, rows, "topic int, bucket int, beta double")
 
 
-def lda_gamma(model, dtm: DataFrame) -> DataFrame:
+def lda_gamma(model, vectors: DataFrame) -> DataFrame:
     """(document, topic, gamma): per-document topic shares (sum to 1)."""
     a = vector_to_array(F.col("topicDistribution"))
-    t = model.transform(dtm).select("document", F.posexplode(a).alias("pos", "gamma"))
+    t = model.transform(vectors).select("document", F.posexplode(a).alias("pos", "gamma"))
     return t.select("document", (F.col("pos") + 1).cast("int").alias("topic"), "gamma")
 
 

@@ -36,55 +36,27 @@ def column_types(df: DataFrame) -> DataFrame:
     return wide.select(stacked)
 
 
-def _exact_mean(c):
-    """Mean from a DECIMAL(38,10) sum: exact (so independent of partitioning)
-    for values with up to ten decimals, converted to double once."""
-    return F.sum(c.cast("decimal(38,10)")).cast("double") / F.count(c)
-
-
-def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None,
-                     method: str = "auto") -> DataFrame:
+def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """count, mean, sample std, min, quartiles, max for numeric columns; one
-    output row per column.  The mean is summed in DECIMAL (``_exact_mean``).
-
-    Size-checked like ``quantiles``: a HyperLogLog pass counts each column's
-    distinct values; when they fit one task, everything is one wide aggregate
-    (Spark's exact ``percentile``) turned into rows with ``inline``.  Beyond
-    that bound the columns are unpivoted to (column_name, value) rows and the
-    quartiles take the skew-safe sort path (each column is a group as large
-    as the table).
+    output row per column, NULL figures for a column without values.
+
+    The moments of all columns are one wide aggregate; for the quartiles the
+    columns are unpivoted to (column_name, value) rows, equal values merged
+    and range-sorted (``quantiles``), so no task holds a column.
     """
-    from framewise.operators.aggregates import MAP_MAX_DISTINCT, quantiles
+    from framewise.operators.aggregates import quantiles
 
     cols = list(columns) if columns else numeric_columns(df)
-    if method == "auto":
-        est = df.agg(*[F.approx_count_distinct(c) for c in cols]).first()
-        method = "map" if max(x or 0 for x in est) <= MAP_MAX_DISTINCT else "sort"
-    if method in ("map", "approx"):
-        probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-        aggs = []
-        for i, c in enumerate(cols):
-            v = F.col(c).cast("double")
-            q = (F.percentile_approx(v, [0.25, 0.5, 0.75], 100_000) if method == "approx"
-                 else F.percentile(v, probs))
-            aggs += [F.count(v).alias(f"n{i}"), _exact_mean(F.col(c)).alias(f"m{i}"),
-                     F.stddev_samp(v).alias(f"s{i}"), F.min(v).alias(f"lo{i}"),
-                     q.alias(f"q{i}"), F.max(v).alias(f"hi{i}")]
-        rows = F.array(*[F.struct(
-            F.lit(c).alias("column_name"), F.col(f"n{i}").alias("count"),
-            F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("std"),
-            F.col(f"lo{i}").alias("min"), F.col(f"q{i}")[0].alias("q25"),
-            F.col(f"q{i}")[1].alias("q50"), F.col(f"q{i}")[2].alias("q75"),
-            F.col(f"hi{i}").alias("max")) for i, c in enumerate(cols)])
-        return df.agg(*aggs).select(F.inline(rows))
+    stats = (("count", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))
+    wide = df.agg(*[f(F.col(c).cast("double")).alias(f"{n}{i}")
+                    for i, c in enumerate(cols) for n, f in stats])
+    moments = wide.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), *[F.col(f"{n}{i}").alias(n) for n, _ in stats])
+        for i, c in enumerate(cols)])))
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         [], cols, "column_name", "value")
-    moments = long.groupBy("column_name").agg(
-        F.count("value").alias("count"), _exact_mean(F.col("value")).alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-        F.max("value").alias("max"))
-    q = quantiles(long, "value", [0.25, 0.5, 0.75], ["column_name"], method="sort")
-    return moments.join(q, "column_name").select(
+    q = quantiles(long, "value", [0.25, 0.5, 0.75], ["column_name"])
+    return moments.join(q, "column_name", "left").select(
         "column_name", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
@@ -104,22 +76,23 @@ def describe_categorical(df: DataFrame, columns: Sequence[str] | None = None) ->
 
 def null_counts(df: DataFrame) -> DataFrame:
     """(column_name, n_missing) for every column, one scan.  NaN counts as missing."""
-    aggs = []
-    for i, f in enumerate(df.schema.fields):
-        c = F.col(f.name)
-        miss = c.isNull()
-        if f.dataType.typeName() in ("double", "float"):
-            miss = miss | F.isnan(c)
-        aggs.append(F.sum(F.when(miss, 1).otherwise(0)).cast("bigint").alias(f"_m{i}"))
+    aggs = [F.sum(F.when(_missing(df, c), 1).otherwise(0)).cast("bigint").alias(f"_m{i}")
+            for i, c in enumerate(df.columns)]
     wide = df.agg(*aggs)
     return wide.select(F.inline(F.array(*[
         F.struct(F.lit(f.name).alias("column_name"), F.col(f"_m{i}").alias("n_missing"))
         for i, f in enumerate(df.schema.fields)])))
 
 
-def any_missing(df: DataFrame, column: str) -> DataFrame:
+def _missing(df: DataFrame, column: str):
     c = F.col(column)
-    return df.agg(F.coalesce(F.max(c.isNull() | F.isnan(c)), F.lit(False)).alias("any_missing"))
+    floating = df.schema[column].dataType.typeName() in ("double", "float")
+    return c.isNull() | F.isnan(c) if floating else c.isNull()
+
+
+def any_missing(df: DataFrame, column: str) -> DataFrame:
+    """One row: whether the column has a NULL (or NaN, if it is floating)."""
+    return df.agg(F.coalesce(F.max(_missing(df, column)), F.lit(False)).alias("any_missing"))
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None,
@@ -156,14 +129,15 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of every pair of numeric columns, long form, one scan
-    (pairwise-complete: each ``corr`` skips rows where either side is NULL)."""
+    (pairwise-complete: each ``corr`` skips rows where either side is NULL).
+    Each unordered pair is computed once and given out in both orders."""
     cols = list(columns) if columns else numeric_columns(df)
-    pairs = [(a, b) for a in cols for b in cols]
+    half = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"_c{i}")
-                    for i, (a, b) in enumerate(pairs)])
+                    for i, (a, b) in enumerate(half)])
     return wide.select(F.inline(F.array(*[
-        F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"), F.col(f"_c{i}").alias("corr"))
-        for i, (a, b) in enumerate(pairs)])))
+        F.struct(F.lit(x).alias("var1"), F.lit(y).alias("var2"), F.col(f"_c{i}").alias("corr"))
+        for i, (a, b) in enumerate(half) for x, y in dict.fromkeys([(a, b), (b, a)])])))
 
 
 def transpose_small(df: DataFrame, key: str) -> DataFrame:

@@ -33,12 +33,17 @@ def _bandwidth(n: float, d: int, method: str) -> float:
 def kde_1d(df: DataFrame, value: str, num: int = 200, method: str = "scott",
            lo=None, hi=None) -> DataFrame:
     """Gaussian KDE with sample-variance bandwidth (Scott or Silverman factor),
-    evaluated on ``num`` points from lo to hi (default: min - std .. max + std)."""
+    evaluated on ``num`` points from lo to hi (default: min - std .. max + std).
+    A constant or empty column has no bandwidth: its densities are NULL."""
     v = F.col(value).cast("double")
     base = df.where(v.isNotNull())
     s = base.agg(F.count(v).alias("n"), F.stddev_samp(v).alias("sd"),
                  F.min(v).alias("mn"), F.max(v).alias("mx")).first()
-    n, sd = float(s["n"]), float(s["sd"])
+    n, sd = float(s["n"]), float(s["sd"] or 0)
+    if sd == 0:  # fewer than two different values: no density
+        return df.sparkSession.range(num).select(
+            F.col("id").cast("int").alias("i"), F.lit(s["mn"]).cast("double").alias("x"),
+            F.lit(None).cast("double").alias("density"))
     h = _bandwidth(n, 1, method) * sd
     a = s["mn"] - sd if lo is None else lo
     b = s["mx"] + sd if hi is None else hi
@@ -56,7 +61,8 @@ def kde_1d(df: DataFrame, value: str, num: int = 200, method: str = "scott",
 
 def kde_2d(df: DataFrame, x: str, y: str, num: int = 100, method: str = "scott") -> DataFrame:
     """2-D Gaussian KDE (bandwidth factor times the sample covariance) on a
-    num x num grid spanning [min x, max x] x [min y, max y]."""
+    num x num grid spanning [min x, max x] x [min y, max y].  If the covariance
+    is singular the densities are NULL."""
     xv, yv = F.col(x).cast("double"), F.col(y).cast("double")
     base = df.where(xv.isNotNull() & yv.isNotNull())
     s = base.agg(F.count(F.lit(1)).alias("n"), F.var_samp(xv).alias("vx"),
@@ -64,9 +70,17 @@ def kde_2d(df: DataFrame, x: str, y: str, num: int = 100, method: str = "scott")
                  F.min(xv).alias("x0"), F.max(xv).alias("x1"),
                  F.min(yv).alias("y0"), F.max(yv).alias("y1")).first()
     n = float(s["n"])
-    f2 = _bandwidth(n, 2, method) ** 2
-    sxx, syy, sxy = s["vx"] * f2, s["vy"] * f2, s["cxy"] * f2
+    f2 = _bandwidth(n, 2, method) ** 2 if n else 0.0
+    sxx, syy, sxy = (s["vx"] or 0) * f2, (s["vy"] or 0) * f2, (s["cxy"] or 0) * f2
     det = sxx * syy - sxy * sxy
+    if det <= 0:  # a constant column, or one that is a line of the other
+        g = F.col("id")
+        return df.sparkSession.range(num * num).select(
+            F.floor(g / num).cast("int").alias("i"), (g % num).cast("int").alias("j"),
+            linspace(F.lit(s["x0"]).cast("double"), F.lit(s["x1"]).cast("double"), num,
+                     F.floor(g / num)).alias("x"),
+            linspace(F.lit(s["y0"]).cast("double"), F.lit(s["y1"]).cast("double"), num, g % num).alias("y"),
+            F.lit(None).cast("double").alias("density"))
     ixx, iyy, ixy = syy / det, sxx / det, -sxy / det
     w = base.groupBy(xv.alias("px"), yv.alias("py")).agg(F.count(F.lit(1)).alias("k"))
     gi = F.explode(F.sequence(F.lit(0), F.lit(num * num - 1))).alias("g")
@@ -98,6 +112,11 @@ def ecdf_grid(df: DataFrame, value: str, num: int = 100) -> DataFrame:
     st = base.agg(F.count(v).alias("n"), F.stddev_pop(v).alias("sd"),
                   F.min(v).alias("mn"), F.max(v).alias("mx")).first()  # one row
     n = F.lit(st["n"])
+    if not st["sd"]:  # constant: the range half a unit to both sides; empty: no points
+        st = {"mn": st["mn"], "mx": st["mx"], "sd": 0.5}
+        if st["mn"] is None:
+            return df.sparkSession.range(0).select(
+                F.col("id").cast("int").alias("i"), F.lit(0.0).alias("x"), F.lit(0.0).alias("ecdf"))
     a = F.lit(st["mn"] - st["sd"])
     b = F.lit(st["mx"] + st["sd"])
 
@@ -125,13 +144,16 @@ def trend_line(df: DataFrame, x: str, y: str, bins: int = 20,
     With ``decimals`` (inputs carrying at most that many decimals) the moment
     sums run in DECIMAL, which is exact in any summation order; the slope and
     intercept are then the closed forms over those sums, so the result does
-    not depend on partitioning."""
+    not depend on partitioning.  On a constant x the line is level at the
+    mean of y."""
     xv, yv = F.col(x).cast("double"), F.col(y).cast("double")
     base = df.where(xv.isNotNull() & yv.isNotNull())
     if decimals is None:
         st = base.agg(F.regr_slope(yv, xv).alias("b"), F.regr_intercept(yv, xv).alias("a"),
-                      F.min(xv).alias("lo"), F.max(xv).alias("hi")).first()  # one row
-        b, a, lo, hi = (F.lit(st[k]) for k in ("b", "a", "lo", "hi"))
+                      F.avg(yv).alias("ym"), F.min(xv).alias("lo"), F.max(xv).alias("hi")).first()  # one row
+        lo, hi = F.lit(st["lo"]), F.lit(st["hi"])
+        b = F.lit(st["b"] if st["lo"] != st["hi"] else 0.0)
+        a = F.lit(st["a"] if st["lo"] != st["hi"] else st["ym"])
         y_mean = F.avg(yv)
     else:
         dt = f"decimal(30,{decimals})"
@@ -139,11 +161,14 @@ def trend_line(df: DataFrame, x: str, y: str, bins: int = 20,
         m = base.agg(F.count(F.lit(1)).alias("n"), F.sum(xd).alias("sx"), F.sum(yd).alias("sy"),
                      F.sum(xd * xd).alias("sxx"), F.sum(xd * yd).alias("sxy"),
                      F.min(xv).alias("lo"), F.max(xv).alias("hi")).first()
-        n, sx, sy, sxx, sxy = (float(m[k]) for k in ("n", "sx", "sy", "sxx", "sxy"))
-        slope = (n * sxy - sx * sy) / (n * sxx - sx * sx)
-        b, a = F.lit(slope), F.lit((sy - slope * sx) / n)
+        n, sx, sy, sxx, sxy = (float(m[k] or 0) for k in ("n", "sx", "sy", "sxx", "sxy"))
+        spread = n * sxx - sx * sx
+        slope = (n * sxy - sx * sy) / spread if spread else 0.0
+        b, a = F.lit(slope), F.lit((sy - slope * sx) / n if n else 0.0)
         lo, hi = F.lit(m["lo"]), F.lit(m["hi"])
         y_mean = F.sum(yd).cast("double") / F.count(F.lit(1))
+    # a constant x: the range half a unit to both sides
+    lo, hi = (F.when(lo == hi, x + d).otherwise(x).cast("double") for x, d in ((lo, -0.5), (hi, 0.5)))
     width = (hi - lo) / bins
     bin_ = F.least(F.floor((xv - lo) / width), F.lit(bins - 1)).cast("int")
     g = base.groupBy(bin_.alias("bin")).agg(y_mean.alias("y_mean"),
@@ -156,17 +181,14 @@ def nearest_centroid(df: DataFrame, value: str, centroids: DataFrame,
                      code: str = "code", center: str = "center") -> DataFrame:
     """(row..., code, dist): index and distance of the nearest 1-D centroid.
 
-    The codebook (k rows, k a parameter) is collected into one array literal
-    and each row picks its minimum with an array aggregate; no join.
+    The codebook (k rows, k a parameter) becomes one array of distances and
+    each row picks its minimum; no join.  A NULL value has no code.
     """
     book = sorted((int(r[code]), float(r[center])) for r in centroids.collect())
-    arr = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(m).alias("m")) for c, m in book])
-    v = F.col(value).cast("double")
-    best = F.aggregate(
-        arr, F.struct(F.lit(-1).alias("c"), F.lit(float("inf")).alias("d")),
-        lambda acc, e: F.when(F.abs(v - e["m"]) < acc["d"],
-                              F.struct(e["c"].alias("c"), F.abs(v - e["m"]).alias("d")))
-        .otherwise(acc))
+    arr = F.array(*[F.struct(F.abs(F.col(value).cast("double") - m).alias("d"), F.lit(c).alias("c"))
+                    for c, m in book])
+    # the smallest (distance, code); a NULL value has neither
+    best = F.when(F.col(value).isNotNull(), F.array_min(arr))
     return df.withColumn("_b", best).select(*df.columns, F.col("_b.c").alias(code),
                                             F.col("_b.d").alias("dist"))
 

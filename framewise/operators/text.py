@@ -6,17 +6,20 @@ group totals that are aggregated separately and joined back.  The
 document-frequency of a word is a ``groupBy(word)`` aggregate, not a window
 partitioned by word, so a very common word does not put all its rows in one
 task: the join it feeds carries one row per (document, word) pair.
-Stop-word and sentiment tables are bounded word lists and are broadcast.
+Stop-word and sentiment lists are joined without a hint: Spark broadcasts them
+by their size and shuffles a longer list.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framewise.functions import text as tx
+from framewise.operators.keys import join_on
+from framewise.operators.windows import row_number_global
 from framewise.session import materialize
 
 
@@ -36,9 +39,8 @@ def tokenize(df: DataFrame, text: str = "text", keep: Sequence[str] = ("document
 
 
 def remove_stop_words(df: DataFrame, stop_words: DataFrame, column: str = "word") -> DataFrame:
-    """Anti join on a bounded word list (broadcast)."""
-    sw = stop_words.select(F.col("word").alias(column))
-    return df.join(F.broadcast(sw), column, "left_anti")
+    """Anti join on a word list."""
+    return df.join(stop_words.select(F.col("word").alias(column)), column, "left_anti")
 
 
 def count_by(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
@@ -60,7 +62,7 @@ def tf_idf(counts: DataFrame, term: str = "word", document: str = "document",
     doc_tot = counts.groupBy(document).agg(F.sum(n).alias("_total"))
     df_term = counts.groupBy(term).agg(F.count(F.lit(1)).alias("_df"))
     n_docs = doc_tot.agg(F.count(F.lit(1))).scalar()
-    out = counts.join(doc_tot, document).join(df_term, term)
+    out = join_on(join_on(counts, doc_tot, [document]), df_term, [term])
     scored = out.select(document, term, n, (F.col(n) / F.col("_total")).alias("tf"),
                         F.log(n_docs / F.col("_df")).alias("idf"))
     return scored.withColumn("tf_idf", F.col("tf") * F.col("idf"))
@@ -88,10 +90,10 @@ def unite(df: DataFrame, name: str, columns: Sequence[str], sep: str = " ") -> D
 
 def ngram_parts_without_stop_words(df: DataFrame, parts: Sequence[str],
                                    stop_words: DataFrame) -> DataFrame:
-    """Drop n-grams with a stop word in any part: one broadcast anti join per part."""
+    """Drop n-grams with a stop word in any part: one anti join per part."""
     out = df
     for p in parts:
-        out = out.join(F.broadcast(stop_words.select(F.col("word").alias(p))), p, "left_anti")
+        out = out.join(stop_words.select(F.col("word").alias(p)), p, "left_anti")
     return out
 
 
@@ -106,7 +108,7 @@ def sentiment_contribution(word_counts: DataFrame, lexicon: DataFrame,
                            min_n: int = 10) -> DataFrame:
     """Signed word contributions by document: (document, sentiment, word, n),
     n summed over the count column, kept when n >= min_n, negated for negative."""
-    j = word_counts.join(F.broadcast(lexicon), "word")
+    j = word_counts.join(lexicon, "word")
     g = j.groupBy("document", "sentiment", "word").agg(F.sum("count").alias("n"))
     g = g.where(F.col("n") >= min_n)
     return g.withColumn("n", F.when(F.col("sentiment") == "negative", -F.col("n"))
@@ -114,53 +116,15 @@ def sentiment_contribution(word_counts: DataFrame, lexicon: DataFrame,
 
 
 def doc_term_matrix(word_counts: DataFrame, document: str = "document", term: str = "word",
-                    count: str = "count"):
-    """Sparse document-term matrix as an ML feature column (one row per document).
+                    count: str = "count") -> DataFrame:
+    """Sparse document-term matrix as triples (document, term_id, term, n).
 
-    Returns (frame with ``features`` SparseVector, vocabulary list).  Terms are
-    indexed by ``StringIndexer`` (distributed count of terms) and the vectors
-    are assembled per document from its (index, count) pairs; the dense matrix
-    is never built.
-    """
-    from pyspark.ml.feature import StringIndexer
-
-    idx = StringIndexer(inputCol=term, outputCol="_ti", stringOrderType="alphabetAsc").fit(
-        word_counts)
-    vocab = list(idx.labels)
-    indexed = idx.transform(word_counts)
-    per_doc = indexed.groupBy(document).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("_ti").cast("int").alias("i"),
-                                             F.col(count).cast("double").alias("v")))).alias("_e"))
-    size = len(vocab)
-    from pyspark.ml.linalg import SparseVector, VectorUDT
-
-    # one call per document (not per token): builds the vector from its
-    # already aggregated (index, count) pairs
-    to_sparse = F.udf(lambda es: SparseVector(size, [e["i"] for e in es], [e["v"] for e in es]),
-                      VectorUDT())
-    return per_doc.select(document, to_sparse("_e").alias("features")), vocab
-
-
-def doc_distance(word_counts: DataFrame, documents: Sequence[str], document: str = "document",
-                 term: str = "word", count: str = "count") -> DataFrame:
-    """Euclidean distance between every pair of documents' count vectors.
-
-    The output is quadratic in documents by definition, so ``documents`` (the
-    column names of the pivot) must be a bounded list.  The work is one pass
-    over terms: pivot to one row per term with a column per document, then a
-    single aggregate of sum((a - b)^2) per document pair.  No pair rows are
-    formed and no join is made; the term table is shuffled once, by term.
-    """
-    docs = list(documents)
-    wide = word_counts.groupBy(term).pivot(document, docs).agg(F.sum(count))
-    z = {d: F.coalesce(F.col(f"`{d}`").cast("double"), F.lit(0.0)) for d in docs}
-    pairs = [(a, b) for i, a in enumerate(docs) for b in docs[i + 1:]]
-    sums = wide.agg(*[F.sum(F.pow(z[a] - z[b], 2)).alias(f"_p{k}")
-                      for k, (a, b) in enumerate(pairs)])
-    return sums.select(F.inline(F.array(*[
-        F.struct(F.lit(a).alias("doc_a"), F.lit(b).alias("doc_b"),
-                 F.sqrt(F.col(f"_p{k}")).alias("distance"))
-        for k, (a, b) in enumerate(pairs)])))
+    ``term_id`` numbers the terms from 1 in alphabetical order, by a range
+    sort of the distinct terms; nothing is collected per document."""
+    counts = word_counts.where(F.col(term).isNotNull())
+    ids = row_number_global(counts.select(F.col(term).alias("term")).distinct(), ["term"], name="term_id")
+    return counts.join(ids, counts[term] == ids.term).select(
+        document, "term_id", "term", F.col(count).cast("bigint").alias("n"))
 
 
 def top_words(tokens: DataFrame, min_freq: int, max_words: int) -> DataFrame:
@@ -171,14 +135,15 @@ def top_words(tokens: DataFrame, min_freq: int, max_words: int) -> DataFrame:
 
 
 def reorder_within(df: DataFrame, x: str, by: str, within: str, name: str,
-                   sep: str = "___") -> DataFrame:
-    """Label unique within a group plus its order key (mean of ``by`` per label)."""
-    lab = tx.label_within(x, within, sep)
-    w = Window.partitionBy(lab)
-    return df.withColumn(name, lab).withColumn(f"{name}_key", F.avg(by).over(w))
+                   sep: str = tx.WITHIN_SEPARATOR, fun=F.avg) -> DataFrame:
+    """Label unique within a group plus its order key: ``fun`` (an aggregate,
+    the mean by default) of ``by`` over the label's rows."""
+    labelled = df.withColumn(name, tx.label_within(x, within, sep))
+    keys = labelled.groupBy(name).agg(fun(by).alias(f"{name}_key"))
+    return join_on(labelled, keys, [name])
 
 
 __all__ = ["unnest_pages", "tokenize", "remove_stop_words", "count_by", "tf_idf",
            "ngrams", "separate", "unite", "ngram_parts_without_stop_words",
            "count_bigrams", "sentiment_contribution", "doc_term_matrix",
-           "doc_distance", "top_words", "reorder_within"]
+           "top_words", "reorder_within"]

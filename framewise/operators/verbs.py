@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from framewise.operators.keys import join_on
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -102,45 +104,76 @@ def top_n_ties(df: DataFrame, n: int, by: str, partition_by: Sequence[str] = (),
                rank_col: str | None = None) -> DataFrame:
     """Rows ranked <= n by ``by`` descending, ties kept (min rank); NULLs dropped.
 
-    ``rank() <= n`` lets Catalyst insert a map-side WindowGroupLimit, so each
-    input partition ships at most n (+ ties) rows per group to the final
-    window: a hot group is cut down before the shuffle.
+    The n largest distinct values of a group with their counts give the rank
+    of each of them (at most n rows a group reach that window); the rows are
+    then joined with the values ranked <= n, so any number of ties stays
+    spread over the tasks.
     """
-    w = Window.orderBy(F.col(by).desc())
-    if partition_by:
-        w = Window.partitionBy(*partition_by).orderBy(F.col(by).desc())
+    part = list(partition_by)
+    base = df.where(F.col(by).isNotNull())
+    counts = base.groupBy(*part, by).agg(F.count(F.lit(1)).alias("_k"))
+    groups = Window.partitionBy(*part) if part else Window.partitionBy(F.lit(0))
+    if part:
+        first = counts.withColumn("_i", F.row_number().over(groups.orderBy(F.col(by).desc())))
+        first = first.where(F.col("_i") <= n).drop("_i")
+    else:
+        first = counts.orderBy(F.col(by).desc()).limit(n)
+    before = groups.orderBy(F.col(by).desc()).rowsBetween(Window.unboundedPreceding, -1)
     r = rank_col or "_rank"
-    out = df.where(F.col(by).isNotNull()).withColumn(r, F.rank().over(w)).where(F.col(r) <= n)
+    ranks = (first.withColumn(r, (F.coalesce(F.sum("_k").over(before), F.lit(0)) + 1).cast("int"))
+             .where(F.col(r) <= n).select(*part, by, r))
+    out = join_on(base, ranks if part else F.broadcast(ranks), [*part, by])  # global: at most n values
     return out if rank_col else out.drop(r)
 
 
-def limit_by_count(df: DataFrame, counted: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """First ``count(counted)`` rows of ``df`` in ``order`` (order must be total)."""
-    from framewise.operators.windows import row_number_global
+def limit_by_count(df: DataFrame, counted: DataFrame, by: str, keys: Sequence[str]) -> DataFrame:
+    """First ``count(counted)`` rows of ``df`` by (``by`` ascending with NULL
+    last, ``keys``); ``keys`` is unique.
+
+    The running count over the distinct values of ``by`` gives the value at
+    which the limit falls; rows below it stay, and only the rows tied at it
+    are numbered."""
+    from framewise.operators.windows import prefix_sum, row_number_global
+
+    k = counted.count()
+    values = df.groupBy(by).agg(F.count(F.lit(1)).alias("_k"))
+    cum = prefix_sum(values.withColumn("_null", F.col(by).isNull()), ["_null", by], "_k", "_cum")
+    cut = (cum.where((F.col("_cum") >= k) & (F.col("_cum") - F.col("_k") < k))
+           .select(by, (F.col("_cum") - F.col("_k")).alias("_before")).first())  # one value
+    if cut is None:  # the limit is beyond the table, or 0
+        return df if k else df.where(F.lit(False))
+    at = F.lit(cut[by]).cast(df.schema[by].dataType)
+    below = F.col(by).isNotNull() if cut[by] is None else F.col(by) < at
+    ties = row_number_global(df.where(F.col(by).eqNullSafe(at)), list(keys), name="_rn")
+    return df.where(below).unionByName(ties.where(F.col("_rn") <= k - cut["_before"]).drop("_rn"))
+
+
+def draw(key: Sequence[str], seed: int) -> Column:
+    """A repeatable draw from a key of any type and size: the hex digits of
+    the MD5 of its text and the seed, uniform in string order."""
+    return F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key], F.lit(str(seed))))
+
 
-    k = counted.agg(F.count(F.lit(1)))
-    numbered = row_number_global(df, order, name="_rn")  # range sort, not one task
-    return numbered.where(F.col("_rn") <= k.scalar()).drop("_rn")
+def draw_below(share: float) -> str:
+    """The first draw that is not below ``share``."""
+    return f"{round(share * 2 ** 32):08x}" if share < 1 else "g"
 
 
 def sample_n(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataFrame:
-    """n rows drawn without replacement, repeatable: smallest hash of (key, seed)."""
-    h = F.xxhash64(*[F.col(k) for k in key], F.lit(seed))
-    return df.withColumn("_h", h).orderBy("_h", *key).limit(n).drop("_h")
+    """n rows drawn without replacement, repeatable: smallest draws of the key."""
+    return df.withColumn("_h", draw(key, seed)).orderBy("_h", *key).limit(n).drop("_h")
 
 
-def split_random(df: DataFrame, key: Sequence[str], frac: float = 0.8, seed: int = 123):
-    """Repeatable (train, test) split by a hash of the key; test is the complement."""
-    u = (F.abs(F.xxhash64(*[F.col(k) for k in key], F.lit(seed))) % 1_000_000) / 1_000_000.0
-    flagged = df.withColumn("_u", u)
-    return (flagged.where(F.col("_u") < frac).drop("_u"),
-            flagged.where(F.col("_u") >= frac).drop("_u"))
+def split_random(df: DataFrame, key: Sequence[str], frac: float = 0.8, seed: int = 123) -> DataFrame:
+    """``df`` with ``is_train``, true for a repeatable share ``frac`` of the keys."""
+    return df.withColumn("is_train", draw(key, seed) < draw_below(frac))
 
 
 def split_stratified(df: DataFrame, label: str, key: Sequence[str], frac: float = 0.7,
                      seed: int = 1234) -> DataFrame:
-    """Adds ``is_train``: per label, the first ``frac`` share in hash order,
-    i.e. ``percent_rank() over (partition by label order by hash, key) < frac``.
+    """Adds ``is_train``: per label (NULL is one), the first ``frac`` share in
+    draw order, i.e. ``percent_rank() over (partition by label order by draw,
+    key) < frac``.
 
     A label is a hot group by nature (two labels hold all rows), so the rank
     comes from ``row_number_global``: a range sort spreads each stratum over
@@ -148,8 +181,7 @@ def split_stratified(df: DataFrame, label: str, key: Sequence[str], frac: float
     """
     from framewise.operators.windows import row_number_global
 
-    h = F.xxhash64(*[F.col(k) for k in key], F.lit(seed))
-    u = df.withColumn("_h", h)
+    u = df.withColumn("_h", draw(key, seed))
     n = row_number_global(u, ["_h", *key], [label], name="_rn", size="_n")
     pr = F.try_divide(F.col("_rn") - 1, F.col("_n") - 1)
     return n.withColumn("is_train", F.coalesce(pr, F.lit(0.0)) < frac).drop("_h", "_rn", "_n")

@@ -20,6 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from framewise.operators.keys import join_on
 from framewise.session import materialize
 
 _POS_BITS = 33  # monotonically_increasing_id = partition index << 33 | position
@@ -61,7 +62,7 @@ def row_number_global(df: DataFrame, order: Sequence, partition_by: Sequence[str
         extra = [size]
     offs = offsets.select("_pid", *part, "_off", "_start", *extra)
     # without groups the offsets table has one row per partition: broadcast it
-    joined = sorted_df.join(offs if part else F.broadcast(offs), ["_pid", *part])
+    joined = join_on(sorted_df, offs if part else F.broadcast(offs), ["_pid", *part])
     return (joined.withColumn(name, (F.col("_off") + F.col("_pos") - F.col("_start") + 1)
                               .cast("bigint"))
                   .drop("_mid", "_pid", "_pos", "_off", "_start"))
@@ -69,13 +70,9 @@ def row_number_global(df: DataFrame, order: Sequence, partition_by: Sequence[str
 
 def cumsum_by_group(df: DataFrame, group: str, order: Sequence[str], value: str,
                     name: str) -> DataFrame:
-    """Running total inside each group in ``order`` (a unique key per group)."""
-    w = Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(name, F.sum(value).over(w))
-
-
-def share_of_group(value: str, group: Sequence[str]) -> Column:
-    return F.col(value) / F.sum(value).over(Window.partitionBy(*group))
+    """Running total inside each group in ``order`` (a unique key per group);
+    a hot group is spread over many sorted partitions."""
+    return prefix_sum(df, order, value, name, [group])
 
 
 def distinct_over_group(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
@@ -84,38 +81,47 @@ def distinct_over_group(df: DataFrame, group: str, value: str, name: str) -> Dat
     ``count(distinct) over`` is not supported; aggregate then join back.
     """
     d = df.groupBy(group).agg(F.countDistinct(value).alias(name))
-    return df.join(d, group)
+    return join_on(df, d, [group])
 
 
 def ecdf(df: DataFrame, value: str) -> DataFrame:
     """(value, n_le, ecdf): share of non-NULL observations <= each distinct value.
 
     Equal values are merged into counts first; the running count over
-    distinct values is a distributed ``prefix_sum``, so no single task sees
-    every value.
+    distinct values is a distributed ``prefix_sum``, whose offsets table also
+    holds the total, so the source is read once.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(
         F.count(F.lit(1)).alias("_k"))
-    total = counts.agg(F.sum("_k"))
-    numbered = prefix_sum(counts, value, "_k", "n_le")
+    numbered = prefix_sum(counts, [value], "_k", "n_le", total="_total")
     return numbered.select(value, F.col("n_le").cast("bigint").alias("n_le"),
-                           (F.col("n_le") / total.scalar()).alias("ecdf"))
+                           (F.col("n_le") / F.col("_total")).alias("ecdf"))
 
 
-def prefix_sum(df: DataFrame, key: str, weight: str, name: str) -> DataFrame:
-    """Inclusive prefix sum of ``weight`` in ``key`` order, distributed.
+def prefix_sum(df: DataFrame, order: Sequence[str], weight: str, name: str,
+               by: Sequence[str] = (), total: str | None = None) -> DataFrame:
+    """Inclusive prefix sum of ``weight`` in ``order`` within each group of
+    ``by``, distributed; ``total`` names a column for the group's sum.
 
-    Range-sort on key, then per sorted partition a local running sum (a window
-    partitioned by the partition id, so every task works on its own slice)
-    plus the total of all earlier partitions from a one-row-per-partition table.
+    Range-sort on (group, order), then per sorted partition a local running
+    sum (a window partitioned by the partition id, so every task works on its
+    own slice) plus the total of the group's earlier partitions from a table
+    with one row per (partition, group).
     """
-    s = materialize(df.orderBy(key).withColumn(
+    part = list(by)
+    s = materialize(df.orderBy(*part, *order).withColumn(
         "_pid", F.shiftright(F.monotonically_increasing_id(), _POS_BITS)), "prefix")
-    local = Window.partitionBy("_pid").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
-    per_part = s.groupBy("_pid").agg(F.sum(weight).alias("_t"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.withColumn("_off", F.coalesce(F.sum("_t").over(before), F.lit(0)))
-    return (s.withColumn("_local", F.sum(weight).over(local))
-             .join(F.broadcast(offsets.select("_pid", "_off")), "_pid")
-             .withColumn(name, F.col("_off") + F.col("_local"))
-             .drop("_pid", "_off", "_local"))
+    local = Window.partitionBy("_pid", *part).orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, 0)
+    slices = s.groupBy("_pid", *part).agg(F.sum(weight).alias("_t"))
+    groups = Window.partitionBy(*part) if part else Window.partitionBy(F.lit(0))
+    before = groups.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = slices.withColumn("_off", F.coalesce(F.sum("_t").over(before), F.lit(0)))
+    extra = [total] if total else []
+    if total:
+        offsets = offsets.withColumn(total, F.sum("_t").over(groups))
+    offsets = offsets.select("_pid", *part, "_off", *extra)
+    # without groups the offsets table has one row per partition: broadcast it
+    summed = s.withColumn("_local", F.sum(weight).over(local))
+    return (join_on(summed, offsets if part else F.broadcast(offsets), ["_pid", *part])
+            .withColumn(name, F.col("_off") + F.col("_local")).drop("_pid", "_off", "_local"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,10 +33,12 @@ LIFE_EXP_OVER = 45.0        # flag threshold on the stand-in life expectancy
 COUNTRIES = ("NATION_3", "NATION_7")
 HIGH_VALUE = 250.0          # readings: high-value threshold
 TOP_COUNTRIES = 10
+TOP_VARIETIES = 10
+TOP_GDP = 5
+SALARY_FIXES = {4: 120, 9: 75}  # supplier key: value entered by mistake
 TOP_N = 15
 QUANTILE = 0.85
 SEED = 1234
-PSEUDO_A, PSEUDO_M = 1103515245, 2147483647
 START = (1, 1)
 DECIMALS = 6
 
@@ -60,17 +62,6 @@ def rounded(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def pseudo_uniform(key: str, seed: int = SEED):
-    """A repeatable draw in [0, 1) from an integer key (same formula in SQL)."""
-    return ((F.col(key) * PSEUDO_A + seed) % PSEUDO_M) / float(PSEUDO_M)
-
-
-def grid_goal(cells: DataFrame):
-    """(rows - 2, columns - 2) of the grid, as a pair of ints (one-row aggregate)."""
-    g = cells.agg(F.max("r"), F.max("c")).first()
-    return int(g[0]) - 1, int(g[1]) - 1
-
-
 # --- 2.1 scans, sources, sinks ---------------------------------------------------
 
 @query("scan_csv")
@@ -80,6 +71,16 @@ def scan_csv(spark, sf):
     return rounded(files.read_csv(spark, path, schema=SCHEMAS["customer"]))
 
 
+@query("scan_csv_inferred")
+def scan_csv_inferred(spark, sf):
+    """CSV whose types are inferred from the text."""
+    path = files.write_csv(table(spark, sf, "customer"), scratch_path(spark, "customer-csv"))
+    c = files.read_csv(spark, path)
+    return rounded(c.select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name",
+                            "c_nationkey", "c_acctbal", "c_mktsegment",
+                            F.lit(",".join(t for _, t in c.dtypes)).alias("types")))
+
+
 @query("scan_parquet")
 def scan_parquet(spark, sf):
     register_views(spark, sf)
@@ -99,7 +100,7 @@ def scan_doc_folder(spark, sf):
 @query("dim_stop_words")
 def dim_stop_words(spark, sf):
     toks = tt.tokenize(views.pages_text(spark, sf))
-    used = toks.join(F.broadcast(lexicons.stop_words(spark)), "word", "left_semi")
+    used = toks.join(lexicons.stop_words(spark), "word", "left_semi")
     return tt.count_by(used, ["word"])
 
 
@@ -108,12 +109,12 @@ def typed_literals(spark, sf):
     n = table(spark, sf, "nation")
     return n.select(
         "n_nationkey",
-        F.lit(1.0).alias("A"),
-        F.lit("2013-01-02").cast("timestamp_ntz").alias("B"),
-        F.lit(1).cast("float").alias("C"),
-        F.lit(3).cast("int").alias("D"),
-        F.when(F.col("n_nationkey") % 2 == 0, "test").otherwise("train").alias("E"),
-        F.lit("foo").alias("F"))
+        F.lit(2.5).alias("ratio"),
+        F.lit("2001-06-30").cast("timestamp_ntz").alias("seen"),
+        F.lit(0.25).cast("float").alias("weight"),
+        F.lit(9).cast("int").alias("rank"),
+        F.when(F.col("n_nationkey") % 2 == 0, "even").otherwise("odd").alias("parity"),
+        F.lit("note").alias("remark"))
 
 
 @query("sink_roundtrip")
@@ -201,8 +202,8 @@ def min_max(spark, sf):
 
 @query("row_lookup")
 def row_lookup(spark, sf):
-    s = vb.point_update(views.salaries(spark, sf), "s_suppkey", "s_acctbal", {16: 23, 65: 17})
-    return rounded(s.where(F.col("s_suppkey").isin(16, 65)))
+    s = vb.point_update(views.salaries(spark, sf), "s_suppkey", "s_acctbal", SALARY_FIXES)
+    return rounded(s.where(F.col("s_suppkey").isin(*SALARY_FIXES)))
 
 
 # --- 2.3 projections, filters ----------------------------------------------------------
@@ -233,6 +234,20 @@ def transmute_col(spark, sf):
     return rounded(vb.transmute(cy, gdp=F.col("pop") * F.col("gdpPercap")))
 
 
+@query("top_gdp")
+def top_gdp(spark, sf):
+    """The five countries with the largest computed gdp."""
+    cy = _year_rows(spark, sf).withColumn("gdp", F.col("pop") * F.col("gdpPercap"))
+    return rounded(vb.top_n_ties(cy, TOP_GDP, "gdp").select("country", "pop", "gdpPercap", "gdp"))
+
+
+@query("top_gdp_only")
+def top_gdp_only(spark, sf):
+    """The five largest computed gdp values, no other column."""
+    cy = vb.transmute(_year_rows(spark, sf), gdp=F.col("pop") * F.col("gdpPercap"))
+    return rounded(vb.top_n_ties(cy, TOP_GDP, "gdp"))
+
+
 @query("insert_col")
 def insert_col(spark, sf):
     cy = views.country_year(spark, sf)
@@ -242,7 +257,7 @@ def insert_col(spark, sf):
 @query("point_update")
 def point_update(spark, sf):
     s = views.salaries(spark, sf)
-    return rounded(vb.point_update(s, "s_suppkey", "s_acctbal", {16: 23, 65: 17}))
+    return rounded(vb.point_update(s, "s_suppkey", "s_acctbal", SALARY_FIXES))
 
 
 @query("if_else_flag")
@@ -322,13 +337,13 @@ def _words(spark, sf, strip_numeric=True):
 
 
 def _word_counts(spark, sf):
-    """strategy_wc: tokens without numbers, stop words removed, (document, word, count)."""
+    """Tokens without numbers and stop words: (document, word, count)."""
     kept = tt.remove_stop_words(_words(spark, sf), lexicons.stop_words(spark))
     return tt.count_by(kept, ["document", "word"], "count")
 
 
-def _strategy_words(spark, sf):
-    """strategies_words: every token except the word "1"."""
+def _all_words(spark, sf):
+    """Every token except the word "1"."""
     return tt.tokenize(views.pages_text(spark, sf)).where(F.col("word") != "1")
 
 
@@ -356,6 +371,26 @@ def _median_points(df):
     return agg.quantiles(df, "points", [0.5], by=["country"]).withColumnRenamed("q50", "median")
 
 
+def _top_varieties(spark, sf):
+    counts = tt.count_by(views.rated_items(spark, sf), ["variety"], "count")
+    return vb.top_n_ties(counts, TOP_VARIETIES, "count").select("variety")
+
+
+@query("median_top_varieties")
+def median_top_varieties(spark, sf):
+    """Median points of the most frequent varieties, numbered in their order."""
+    kept = vb.semi_join(views.rated_items(spark, sf), _top_varieties(spark, sf), "variety")
+    med = agg.quantiles(kept, "points", [0.5], by=["variety"]).withColumnRenamed("q50", "median")
+    return rounded(wn.row_number_global(med, ["median", "variety"], name="sort_key"))
+
+
+@query("box_top_countries")
+def box_top_countries(spark, sf):
+    """Boxes of the points over the most frequent countries."""
+    kept = vb.semi_join(views.rated_items(spark, sf), _selected_countries(spark, sf), "country")
+    return rounded(agg.box_stats(kept, "points", ["country"]))
+
+
 @query("anti_join_top_countries")
 def anti_join_top_countries(spark, sf):
     ri = views.rated_items(spark, sf)
@@ -366,21 +401,7 @@ def anti_join_top_countries(spark, sf):
 @query("sentiment_join")
 def sentiment_join(spark, sf):
     wc = _word_counts(spark, sf)
-    return wc.join(F.broadcast(lexicons.sentiments(spark)), "word")
-
-
-def _documents(wc: DataFrame) -> list[str]:
-    """Distinct document names (the pivot domain of the distance matrix)."""
-    docs = sorted(r[0] for r in wc.select("document").distinct().collect())
-    if len(docs) > 10_000:
-        raise ValueError("distance matrix over more than 10,000 documents")
-    return docs
-
-
-@query("doc_distance")
-def doc_distance(spark, sf):
-    wc = materialize(_word_counts(spark, sf), "word-counts")  # read twice: list, pivot
-    return rounded(tt.doc_distance(wc, _documents(wc)))
+    return wc.join(lexicons.sentiments(spark), "word")
 
 
 def _codebook(spark, sf):
@@ -426,6 +447,33 @@ def group_mean_all(spark, sf):
     return rounded(agg.group_mean_all(ld, ["quality"]))
 
 
+def _mixed_features(spark, sf):
+    cf = views.customer_features(spark, sf)
+    return cf.select("segment", "region", "churn", "c_acctbal", "n_orders", "avg_price", "tenure")
+
+
+CATEGORIES = ("segment", "region", "churn")
+MEASURES = ("c_acctbal", "n_orders", "avg_price", "tenure")
+
+
+@query("group_mean_by_each")
+def group_mean_by_each(spark, sf):
+    """Means of all numeric columns by each low-cardinality column."""
+    return rounded(agg.group_mean_by_each(_mixed_features(spark, sf), CATEGORIES, MEASURES))
+
+
+@query("box_stats_by_each")
+def box_stats_by_each(spark, sf):
+    """Boxes of all numeric columns by each low-cardinality column."""
+    return rounded(agg.box_stats_by_each(_mixed_features(spark, sf), CATEGORIES, MEASURES))
+
+
+@query("histogram_all")
+def histogram_all(spark, sf):
+    """Histograms of all numeric columns."""
+    return rounded(agg.histograms(_mixed_features(spark, sf), MEASURES))
+
+
 @query("group_count")
 def group_count(spark, sf):
     return _country_counts(spark, sf).orderBy(F.col("count").desc())
@@ -433,7 +481,7 @@ def group_count(spark, sf):
 
 @query("weighted_count")
 def weighted_count(spark, sf):
-    j = _word_counts(spark, sf).join(F.broadcast(lexicons.sentiments(spark)), "word")
+    j = _word_counts(spark, sf).join(lexicons.sentiments(spark), "word")
     return j.groupBy("document", "sentiment", "word").agg(F.sum("count").alias("n"))
 
 
@@ -452,7 +500,7 @@ def population_variance(spark, sf):
 
 @query("unique_words_by_doc")
 def unique_words_by_doc(spark, sf):
-    return _strategy_words(spark, sf).groupBy("document").agg(
+    return _all_words(spark, sf).groupBy("document").agg(
         F.countDistinct("word").alias("unique"))
 
 
@@ -503,7 +551,7 @@ def _rule_scored(spark, sf):
 
 @query("confusion_matrix")
 def confusion_matrix(spark, sf):
-    return agg.confusion_matrix(_rule_scored(spark, sf), "actual", "predicted", (0, 1))
+    return agg.confusion_matrix(_rule_scored(spark, sf), "actual", "predicted")
 
 
 @query("confusion_stats")
@@ -535,9 +583,7 @@ def rmse(spark, sf):
 @query("reorder_by_median")
 def reorder_by_median(spark, sf):
     med = _median_points(views.rated_items(spark, sf))
-    key = F.row_number().over(  # one row per country: a small window
-        Window.orderBy("median", "country"))
-    return rounded(med.withColumn("sort_key", key.cast("bigint")))
+    return rounded(wn.row_number_global(med, ["median", "country"], name="sort_key"))
 
 
 # --- 2.6 windows -------------------------------------------------------------------------------
@@ -550,7 +596,7 @@ def row_number_by_doc(spark, sf):
 
 @query("distinct_over_group")
 def distinct_over_group(spark, sf):
-    w = wn.distinct_over_group(_strategy_words(spark, sf), "document", "word", "unique")
+    w = wn.distinct_over_group(_all_words(spark, sf), "document", "word", "unique")
     return tt.count_by(w, ["document", "unique"])
 
 
@@ -561,7 +607,7 @@ def cumsum_series(spark, sf):
     o = table(spark, sf, "orders")
     daily = o.groupBy(F.to_date("o_orderdate").alias("ds")).agg(
         F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("value"))
-    run = wn.prefix_sum(daily, "ds", "value", "cumsum")
+    run = wn.prefix_sum(daily, ["ds"], "value", "cumsum")
     return rounded(run.select("ds", F.col("value").cast("double").alias("value"),
                               F.col("cumsum").cast("double").alias("cumsum")))
 
@@ -573,7 +619,7 @@ def cumsum_by_group(spark, sf):
 
 
 def _tf_idf(spark, sf):
-    counts = tt.count_by(_strategy_words(spark, sf), ["document", "word"])
+    counts = tt.count_by(_all_words(spark, sf), ["document", "word"])
     return tt.tf_idf(counts)
 
 
@@ -618,9 +664,8 @@ def _top15percent(ri):
 
 
 def _cheapest(ri):
-    order = [F.col("price").asc_nulls_last(), "l_orderkey", "l_linenumber", "l_partkey",
-             "l_suppkey"]
-    return vb.limit_by_count(ri, _top15percent(ri), order)
+    return vb.limit_by_count(ri, _top15percent(ri), "price",
+                             ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
 
 
 def _rated_once(spark, sf):
@@ -636,28 +681,22 @@ def limit_by_count(spark, sf):
 
 @query("top_words")
 def top_words(spark, sf):
-    return tt.top_words(_strategy_words(spark, sf), 10, 50)
+    return tt.top_words(_all_words(spark, sf), 10, 50)
 
 
 @query("sample_n")
 def sample_n(spark, sf):
-    c = table(spark, sf, "customer")
-    return rounded(c.withColumn("_u", pseudo_uniform("c_custkey"))
-                    .orderBy("_u", "c_custkey").limit(5).drop("_u"))
+    return rounded(vb.sample_n(table(spark, sf, "customer"), 5, ["c_custkey"], SEED))
 
 
 @query("split_random")
 def split_random(spark, sf):
     cf = views.customer_features(spark, sf).select("c_custkey")
-    return cf.withColumn("is_train", pseudo_uniform("c_custkey") < 0.8)
+    return vb.split_random(cf, ["c_custkey"], 0.8, SEED)
 
 
 def _stratified(spark, sf):
-    cf = views.customer_features(spark, sf)
-    u = cf.withColumn("_u", pseudo_uniform("c_custkey"))
-    n = wn.row_number_global(u, ["_u", "c_custkey"], ["churn"], name="_rn", size="_n")
-    pr = F.coalesce(F.try_divide(F.col("_rn") - 1, F.col("_n") - 1), F.lit(0.0))
-    return n.withColumn("is_train", pr < 0.7).drop("_u", "_rn", "_n")
+    return vb.split_stratified(views.customer_features(spark, sf), "churn", ["c_custkey"], 0.7, SEED)
 
 
 @query("split_stratified")
@@ -670,17 +709,17 @@ def split_stratified(spark, sf):
 @query("intersect_keys")
 def intersect_keys(spark, sf):
     med = _median_points(views.rated_items(spark, sf))
-    first = med.withColumn("rank_in_first", F.rank().over(
-        Window.orderBy(F.col("median").desc(), "country")))
-    return vb.intersect_ordered(first, _selected_countries(spark, sf), "country",
-                                "rank_in_first").withColumn(
-        "rank_in_first", F.col("rank_in_first").cast("bigint"))
+    first = wn.row_number_global(med, [F.col("median").desc(), "country"], name="rank_in_first")
+    return vb.intersect_ordered(first, _selected_countries(spark, sf), "country", "rank_in_first")
 
 
 @query("good_value")
 def good_value(spark, sf):
+    """Rows that are both in the top 15 % and among the cheapest: keys are
+    unique, so the intersection is a filter on the cheapest rows."""
     ri = _rated_once(spark, sf)
-    return rounded(_top15percent(ri).intersect(_cheapest(ri)))
+    q = agg.quantiles(ri, "points", [QUANTILE])
+    return rounded(_cheapest(ri).where(F.col("points") > q.select(q.columns[0]).scalar()))
 
 
 @query("complement_rows")
@@ -733,9 +772,10 @@ def clean_text(spark, sf):
 
 @query("unnest_pages")
 def unnest_pages(spark, sf):
-    e = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("pages"))
-    out = e.select("vec_id", F.posexplode("pages").alias("pos", "value"))
-    return out.select("vec_id", (F.col("pos") + 1).alias("page"), "value")
+    """A document's array of pages (its lines) to one numbered row a page."""
+    d = table(spark, sf, "documents").select(
+        F.col("doc_id").alias("document"), F.split("text", "\n", -1).alias("pages"))
+    return tt.unnest_pages(d).select("document", "page", "text")
 
 
 # --- 2.10 text ---------------------------------------------------------------------------------
@@ -800,13 +840,7 @@ def sentiment_contribution(spark, sf):
 
 @query("doc_term_matrix")
 def doc_term_matrix(spark, sf):
-    dtm, vocab = tt.doc_term_matrix(_word_counts(spark, sf))
-    from pyspark.ml.functions import vector_to_array
-    a = vector_to_array("features")
-    return dtm.select("document",
-                      F.lit(len(vocab)).cast("bigint").alias("n_terms_total"),
-                      F.size(F.filter(a, lambda x: x > 0)).cast("bigint").alias("n_terms"),
-                      F.aggregate(a, F.lit(0.0), lambda s, x: s + x).cast("bigint").alias("n_tokens"))
+    return tt.doc_term_matrix(_word_counts(spark, sf))
 
 
 # --- 2.11 statistics, graph ------------------------------------------------------------------------
@@ -832,32 +866,32 @@ def trend_line(spark, sf):
     return rounded(st.trend_line(views.rated_items(spark, sf), "points", "price", 20, decimals=2))
 
 
-_HOPS: dict = {}
-
-
 def _hops(spark, sf):
-    """The BFS hop table is a written table in the shared folder; the three
-    graph queries of one application share it instead of searching again."""
     cells = views.grid_cells(spark, sf)
-    key = (spark.sparkContext.applicationId, sf, START)
-    if key not in _HOPS:
-        _HOPS[key] = gr.bfs(gr.grid_edges(cells), START)
-    return cells, _HOPS[key]
+    edges = gr.grid_edges(cells)
+    return cells, edges, gr.bfs(edges, cells, START)[0]
 
 
 @query("shortest_hops")
 def shortest_hops(spark, sf):
-    _, h = _hops(spark, sf)
-    return h.select("r", "c", "hops")
+    return _hops(spark, sf)[2].select("r", "c", "hops")
 
 
 @query("shortest_path")
 def shortest_path(spark, sf):
-    cells, h = _hops(spark, sf)
-    return gr.shortest_path(h, grid_goal(cells))
+    """From the start to the farthest cell that can be reached."""
+    _, _, h = _hops(spark, sf)
+    return gr.shortest_path(h, gr.farthest(h))
+
+
+@query("ascent_path")
+def ascent_path(spark, sf):
+    """From the farthest cell back to the start by steepest ascent."""
+    _, edges, h = _hops(spark, sf)
+    return gr.ascent_path(edges, h, gr.farthest(h))
 
 
 @query("discounted_reach")
 def discounted_reach(spark, sf):
-    cells, h = _hops(spark, sf)
-    return rounded(gr.discounted_reach(cells, h, grid_goal(cells)))
+    cells, _, h = _hops(spark, sf)
+    return rounded(gr.discounted_reach(cells, h, gr.farthest(h)))

@@ -9,15 +9,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framewise.functions import text as tx
 from framewise.functions.binning import tenure_group
 from framewise.operators import aggregates as agg
 from framewise.operators import models as ml
 from framewise.operators import stats as st
 from framewise.operators import verbs as vb
-from framewise.operators import text as tt
 from framewise.plans import catalog as C
 from framewise.session import materialize
 from framewise.sources import views
+from framewise.sources.lexicons import english_stop_words
+from framewise.sources.tables import table
 
 MODEL_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -69,7 +71,7 @@ def logit_scored(spark, sf):
 @model_query("logit_confusion")
 def logit_confusion(spark, sf):
     s = logit_scored(spark, sf)
-    return agg.confusion_matrix(s, "actual", "predicted", (0, 1))
+    return agg.confusion_matrix(s, "actual", "predicted")
 
 
 @model_query("odds_ratios")
@@ -85,11 +87,29 @@ def tree_scored(spark, sf):
     return out.select("c_custkey", "actual", "predicted")
 
 
+@model_query("tree_confusion")
+def tree_confusion(spark, sf):
+    return agg.confusion_matrix(tree_scored(spark, sf), "actual", "predicted")
+
+
+@model_query("tree_accuracy")
+def tree_accuracy(spark, sf):
+    return tree_scored(spark, sf).agg(agg.accuracy("actual", "predicted").alias("accuracy"))
+
+
 @model_query("chi_square_by_feature")
 def chi_square_by_feature(spark, sf):
     return ml.chi_square_by_feature(_features(spark, sf), LABEL, CATEGORICAL)
 
 
+@model_query("forest_default_confusion_stats")
+def forest_default_confusion_stats(spark, sf):
+    """The forest before tuning: 500 trees, the square root of the columns a split."""
+    train, test = _split(spark, sf)
+    out, _, _ = ml.forest_scored(train, test, LABEL, CATEGORICAL, NUMERIC, 500, "sqrt")
+    return agg.confusion_stats(out, "actual", "predicted", 0)
+
+
 @model_query("forest_scored")
 def forest_scored(spark, sf):
     train, test = _split(spark, sf)
@@ -118,14 +138,17 @@ def forest_error_curve(spark, sf):
 @model_query("forest_tuning")
 def forest_tuning(spark, sf):
     train, test = _split(spark, sf)
-    return ml.forest_tuning(train, test, LABEL, CATEGORICAL, NUMERIC, trees=50)
+    return ml.forest_tuning(train, test, LABEL, CATEGORICAL, NUMERIC, trees=200)
+
+
+def _parts(spark, sf):
+    cf = vb.split_random(views.customer_features(spark, sf), ["c_custkey"], 0.8, C.SEED)
+    return cf.where("is_train").drop("is_train"), cf.where("NOT is_train").drop("is_train")
 
 
 @model_query("gbt_scored")
 def gbt_scored(spark, sf):
-    cf = views.customer_features(spark, sf)
-    train = cf.where(C.pseudo_uniform("c_custkey") < 0.8)
-    test = cf.where(C.pseudo_uniform("c_custkey") >= 0.8)
+    train, test = _parts(spark, sf)
     out, _ = ml.gbt_scored(train, test, TARGET, REGRESSORS, rounds=100)
     return out.select("c_custkey", TARGET, "predicted")
 
@@ -139,8 +162,7 @@ def gbt_rmse(spark, sf):
 
 @model_query("gbt_importance")
 def gbt_importance(spark, sf):
-    cf = views.customer_features(spark, sf)
-    train = cf.where(C.pseudo_uniform("c_custkey") < 0.8)
+    train, _ = _parts(spark, sf)
     _, m = ml.gbt_scored(train, train.limit(0), TARGET, REGRESSORS, rounds=100)
     return ml.feature_importance(m, REGRESSORS, spark, top=10)
 
@@ -188,42 +210,65 @@ def anomaly_flags(spark, sf):
     return out.select("event_id", "event_type", "value", "code", "box_outlier", "small_cluster")
 
 
-def _doc_vectors(spark, sf):
-    wc = materialize(C._word_counts(spark, sf), "word-counts")
-    docs = C._documents(wc)
-    return ml.doc_vectors_from_distances(tt.doc_distance(wc, docs), docs)
+def _doc_words(spark, sf):
+    """(document, words): each document's tokens without numbers and stop words."""
+    stops = list(english_stop_words())
+    d = table(spark, sf, "documents")
+    return d.select(F.col("doc_id").alias("document"), F.filter(
+        tx.tokens(F.coalesce("text", F.lit(""))),
+        lambda w: ~w.rlike(tx.NUMBER_PATTERN) & ~w.isin(stops)).alias("words"))
 
 
 @model_query("doc_kmeans")
 def doc_kmeans(spark, sf):
-    """k = 3 on each document's row of the distance matrix, best of 10 seeds."""
-    return ml.best_kmeans(_doc_vectors(spark, sf), 3, seeds=range(10))
+    """k = 3 on term vectors, best of 100 random starts; each document's
+    cluster and its distances to the three centres."""
+    out = ml.best_kmeans(ml.term_vectors(_doc_words(spark, sf)), 3, restarts=100)
+    return out.select("document", "cluster", *[F.col("distances")[i].alias(f"distance_{i}") for i in range(3)])
 
 
 @model_query("doc_hierarchy")
 def doc_hierarchy(spark, sf):
-    return ml.bisecting_clusters(_doc_vectors(spark, sf), 3)
+    return ml.bisecting_clusters(ml.term_vectors(_doc_words(spark, sf)), 3)
 
 
 @model_query("doc_projection")
 def doc_projection(spark, sf):
-    return ml.projection_2d(_doc_vectors(spark, sf))
+    """Two principal components of term vectors of 256 buckets."""
+    return ml.projection_2d(ml.term_vectors(_doc_words(spark, sf), 256))
 
 
 def _lda(spark, sf, k):
-    dtm, vocab = tt.doc_term_matrix(C._word_counts(spark, sf))
-    return ml.lda_fit(dtm, k, seed=C.SEED), dtm, vocab
+    words = _doc_words(spark, sf)
+    vectors = materialize(ml.term_vectors(words), "term-vectors")
+    return ml.lda_fit(vectors, k, seed=C.SEED), vectors, words
+
+
+def _top_terms(spark, sf, k):
+    """The 10 heaviest terms of each of k topics."""
+    m, _, words = _lda(spark, sf, k)
+    return ml.lda_beta(m, spark, 10).join(ml.bucket_terms(words), "bucket").select("topic", "term", "beta")
 
 
 @model_query("lda_top_terms")
 def lda_top_terms(spark, sf):
-    """k = 10 topics; the 10 highest-beta terms of each topic (ties kept)."""
-    m, _, vocab = _lda(spark, sf, 10)
-    return vb.top_n_ties(ml.lda_beta(m, vocab, spark), 10, "beta", ["topic"])
+    return _top_terms(spark, sf, 10)
+
+
+@model_query("lda_top_terms_5")
+def lda_top_terms_5(spark, sf):
+    return _top_terms(spark, sf, 5)
 
 
 @model_query("lda_gamma")
 def lda_gamma(spark, sf):
-    """k = 5 topics; per-document topic shares and their box statistics by topic."""
-    m, dtm, _ = _lda(spark, sf, 5)
-    return agg.box_stats(ml.lda_gamma(m, dtm), "gamma", ["topic"])
+    """k = 5 topics: box statistics of the documents' shares by topic."""
+    m, vectors, _ = _lda(spark, sf, 5)
+    return agg.box_stats(ml.lda_gamma(m, vectors), "gamma", ["topic"])
+
+
+@model_query("lda_gamma_10")
+def lda_gamma_10(spark, sf):
+    """k = 10 topics: every document's share of every topic."""
+    m, vectors, _ = _lda(spark, sf, 10)
+    return ml.lda_gamma(m, vectors)

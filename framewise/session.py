@@ -16,6 +16,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+#: Scratch folders handed out, by application.
+_WRITTEN: dict[str, list[str]] = {}
+
 _DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -68,7 +71,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder in the shared checkpoint area for written tables."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/framewise-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/framewise-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete the scratch tables this session wrote.  Call it once the results
+    that were built on them have been written or read."""
+    for path in _WRITTEN.pop(spark.sparkContext.applicationId, []):
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def materialize(df, name: str):
@@ -80,9 +93,4 @@ def materialize(df, name: str):
     return df.sparkSession.read.parquet(path)
 
 
-def local_path(uri: str) -> str:
-    """Strip a ``file:`` scheme (local runs only)."""
-    return uri[len("file:"):] if uri.startswith("file:") else uri
-
-
-__all__ = ["get_spark", "checkpoint_dir", "scratch_path", "materialize", "local_path"]
+__all__ = ["get_spark", "checkpoint_dir", "scratch_path", "materialize", "release_scratch"]

@@ -5,32 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from framewise.functions.binning import nan_to_null
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events", "documents", "embeddings", "pages",
           "benchmark", "labels", "conversations")
 
 
-# Tables large enough that a scan in fewer tasks than cores is the bottleneck.
-LARGE_TABLES = {"lineitem", "orders", "events", "documents", "pages", "conversations",
-                "part", "customer", "embeddings"}
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the cluster's default parallelism when the
-    scan yields fewer partitions than that (a file with one row group is read
-    by one task).  Large inputs already have many splits and are left alone,
-    so no shuffle is added at scale.  Filters and column pruning are still
-    pushed below the repartition to the scan."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One given table, with NaN turned into NULL in floating columns; parquet
+    carries its own schema."""
+    return nan_to_null(raw_table(spark, sf_dir, name))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One given table; parquet carries its own schema."""
+def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One given table as it is stored: conditions on its columns reach the scan."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if name in LARGE_TABLES else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def register_views(spark: SparkSession, sf_dir: str) -> None:

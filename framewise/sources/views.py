@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewise.sources.tables import spread, table
+from framewise.functions.binning import nan_to_null
+from framewise.sources.tables import raw_table, table
 
 GRID_WIDTH = 50          # grid_cells: column = key mod 50, row = key div 50
 WALL_SIZE = 35           # grid_cells: wall when p_size > 35
@@ -110,10 +111,10 @@ def readings(spark: SparkSession, sf_dir: str, where=None) -> DataFrame:
 
     ``where`` is a condition on the raw event columns, applied before the
     NULL injection so that it reaches the parquet scan."""
-    e = table(spark, sf_dir, "events")
+    e = raw_table(spark, sf_dir, "events")
     if where is not None:
         e = e.where(where)
-    return e.select("event_id", "ts", "user_id", "event_type",
+    return nan_to_null(e).select("event_id", "ts", "user_id", "event_type",
                     F.expr("nullif(value, 0.01)").alias("value"))
 
 
@@ -122,14 +123,9 @@ def salaries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pages_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """English documents as (document, page, text): document = source.
-
-    Per-row text work (tokenising, cleaning) follows, so the rows are spread
-    over all cores when the scan alone would not do it."""
-    d = table(spark, sf_dir, "documents")
-    return spread(d.where(F.col("lang") == "en")
-                   .select(F.col("source").alias("document"),
-                           F.col("doc_id").alias("page"), "text"))
+    """All documents as (document, page, text): document = source."""
+    return table(spark, sf_dir, "documents").select(
+        F.col("source").alias("document"), F.col("doc_id").alias("page"), "text")
 
 
 def grid_cells(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from framewise.session import get_spark
 
-    s = get_spark("local[*]", app="framewise-tests", shuffle_partitions=8)
+    s = get_spark(os.environ.get("TEST_MASTER", "local[*]"), app="framewise-tests", shuffle_partitions=8)
     yield s
     s.stop()
 

@@ -1,11 +1,12 @@
 """Model helpers: closed forms and repeatability."""
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
 from framewise.operators import models as ml
-from framewise.operators import text as tt
-from framewise.plans import catalog as C
+from framewise.plans import models_catalog as M
 
 
 @pytest.mark.parametrize("x,k,p", [(3.841458820694124, 1, 0.05), (5.991464547107979, 2, 0.05),
@@ -14,13 +15,75 @@ def test_chi2_upper_tail(x, k, p):
     assert ml._chi2_sf(x, k) == pytest.approx(p, rel=1e-6)
 
 
-def test_lda_gamma_rows_sum_to_one(spark, sf_small):
-    dtm, vocab = tt.doc_term_matrix(C._word_counts(spark, sf_small))
-    m = ml.lda_fit(dtm, 3, seed=1234, max_iter=5)
-    g = ml.lda_gamma(m, dtm).groupBy("document").agg(F.sum("gamma").alias("s")).collect()
+def test_lda_shares_sum_to_one(spark, sf_small):
+    words = M._doc_words(spark, sf_small)
+    vectors = ml.term_vectors(words)
+    m = ml.lda_fit(vectors, 3, seed=1234, max_iter=3)
+    g = ml.lda_gamma(m, vectors).groupBy("document").agg(F.sum("gamma").alias("s")).collect()
     assert g and all(r.s == pytest.approx(1.0, abs=1e-9) for r in g)
-    beta = ml.lda_beta(m, vocab, spark).groupBy("topic").agg(F.sum("beta").alias("s")).collect()
-    assert all(r.s == pytest.approx(1.0, abs=1e-9) for r in beta)
+    beta = ml.lda_beta(m, spark).groupBy("topic").agg(F.sum("beta").alias("s")).collect()
+    assert len(beta) == 3 and all(r.s == pytest.approx(1.0, abs=1e-9) for r in beta)
+
+
+def test_bucket_terms_name_every_used_bucket(spark):
+    words = spark.createDataFrame([(1, ["a", "b", "a"]), (2, ["b", "c", "a"])], "document int, words array<string>")
+    v = ml.term_vectors(words).collect()
+    used = {int(i) for r in v for i in r.features.indices}
+    named = {r.bucket: r.term for r in ml.bucket_terms(words).collect()}
+    assert set(named) == used and set(named.values()) == {"a", "b", "c"}
+
+
+def test_best_kmeans_distances(spark):
+    words = spark.createDataFrame([(i, ["x"] * (1 + i % 2) + ["y"] * (3 * (i // 4))) for i in range(8)],
+                                  "document int, words array<string>")
+    out = ml.best_kmeans(ml.term_vectors(words, 16), 2, restarts=3).collect()
+    assert len(out) == 8 and all(r.distances[r.cluster] == min(r.distances) for r in out)
+    assert len({r.cluster for r in out if r.document < 4}) == 1
+
+
+@pytest.mark.parametrize("name", sorted(M.MODEL_QUERIES))
+def test_model_query(spark, sf_small, name):
+    df = M.MODEL_QUERIES[name](spark, sf_small)
+    rows = df.collect()
+    assert rows
+    check = CHECKS.get(name)
+    if check:
+        check(spark, sf_small, rows)
+
+
+def _anova(spark, sf, rows):
+    """The first row is the intercept-only model, in closed form."""
+    train, _ = M._split(spark, sf)
+    n, p = train.agg(F.count(F.lit(1)), F.avg("churn")).first()
+    assert rows[0].resid_df == n - 1
+    assert rows[0].resid_dev == pytest.approx(-2 * n * (p * math.log(p) + (1 - p) * math.log(1 - p)))
+    assert all(a.resid_dev >= b.resid_dev for a, b in zip(rows, rows[1:]))
+
+
+def _chi_square(spark, sf, rows):
+    f = M._features(spark, sf)
+    for r in rows:
+        cells = f.groupBy(r.feature, "churn").count().collect()
+        total = sum(c["count"] for c in cells)
+        by = lambda k, v: sum(c["count"] for c in cells if c[k] == v)
+        levels = {c[r.feature] for c in cells}
+        seen = {(c[r.feature], c.churn): c["count"] for c in cells}
+        want = sum((seen.get((a, b), 0) - by(r.feature, a) * by("churn", b) / total) ** 2
+                   / (by(r.feature, a) * by("churn", b) / total) for a in levels for b in (0, 1))
+        assert r.statistic == pytest.approx(want) and r.dof == len(levels) - 1
+
+
+def _sizes(spark, sf, rows):
+    from framewise.sources import views
+    assert sum(r.n for r in rows) == views.salaries(spark, sf).count() and len(rows) == 4
+
+
+def _matrix(spark, sf, rows):
+    assert sum(r.n for r in rows) == M._split(spark, sf)[1].count()
+
+
+CHECKS = {"logit_anova": _anova, "chi_square_by_feature": _chi_square, "kmeans_1d": _sizes,
+          "logit_confusion": _matrix, "tree_confusion": _matrix}
 
 
 def test_kmeans_same_seed_same_centres(spark):
