@@ -179,7 +179,7 @@ def scan(files: DataFrame, id_col: str, path: str, text: str = "text") -> DataFr
         "file_license string, header_license string").withColumn("dir", directory(F.col("path"))), "licenses")
     names = F.array(*(F.lit(x) for x in dict.fromkeys(t for t, _ in TEMPLATES)))
     held = own.where(F.col("file_license").isNotNull()).groupBy(F.col("dir").alias("up")).agg(
-        F.min(F.struct((-F.col("file_score")).alias("s"), F.array_position(names, F.col("file_license")).alias("k"),
+        F.min(F.struct((-F.round("file_score", 9)).alias("s"), F.array_position(names, F.col("file_license")).alias("k"),
                        "path", "file_license")).alias("best"))
     held = write_scratch(held.select("up", F.col("best.file_license").alias("inherited")), "license-dirs")
     above = own.select("dir").distinct().select("dir", F.explode(ancestors(F.col("dir"))).alias("a")).select(

@@ -1,5 +1,147 @@
-"""DuckDB SQL of the registered queries that SQL can express."""
+"""DuckDB SQL of the registered queries that SQL can express, written from the
+contracts: joins and windows over whole tables instead of runs, automata,
+sketches or files.  Main-text extraction, tokenizer, trie scores, TF-IDF
+cosines and the pipeline have none; the tests hold them against plain versions.
+"""
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+from framewise.llm.chat import END, ESCAPE, NEXT, SAYS, TURN
+from framewise.llm.line_rules import MAX_DOCS, MAX_REPEAT_PCT, MIN_LEFT, MIN_WORDS
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_BLANK = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_WORD = r"'[^\x20\x09-\x0D]+'"
+_ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+
+def _lower(c: str) -> str:
+    return f"translate({c}, '{_UPPER}', '{_UPPER.lower()}')"
+
+
+def _lines(columns: str) -> str:
+    """(columns, i, line, key) of every line of documents; r numbers the rows."""
+    return (f"docs AS (SELECT {columns}, text, row_number() OVER () AS r, "
+            "string_split(coalesce(text, ''), chr(10)) AS ls FROM documents), "
+            f"pos AS (SELECT r, {columns}, ls, unnest(range(1, len(ls) + 1)) AS i FROM docs), "
+            f"lines AS (SELECT r, {columns}, i, ls[i] AS line, {_lower(f'trim(ls[i], {_BLANK})')} AS key FROM pos)")
+
+
+_OP2 = f"""
+WITH {_lines('doc_id')},
+frequent AS (SELECT key FROM lines WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10)
+SELECT doc_id, count(*) AS n_lines,
+       count(*) FILTER (WHERE key IN (SELECT key FROM frequent)) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i)
+              FILTER (WHERE key NOT IN (SELECT key FROM frequent)), '')) AS kept_sha256
+FROM lines GROUP BY r, doc_id"""
+
+_OP5 = f"""
+WITH iw AS (SELECT item_id, regexp_extract_all({_lower("coalesce(text, '')")}, {_ALNUM}) AS w FROM benchmark),
+windows AS (SELECT DISTINCT coalesce(CAST(item_id AS VARCHAR), 'null') AS item, n,
+                   array_to_string(list_slice(w, i, i + n - 1), ' ') AS window
+            FROM (SELECT item_id, w, least(len(w), 13) AS n, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i
+                  FROM iw WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM windows),
+dw AS (SELECT doc_id, row_number() OVER () AS r,
+              regexp_extract_all({_lower("coalesce(text, '')")}, {_ALNUM}) AS w FROM documents),
+found AS (SELECT d.r, d.i, d.n, x.item FROM
+          (SELECT r, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS window FROM
+           (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM dw, sizes WHERE len(w) >= n)) d
+          JOIN windows x ON x.n = d.n AND x.window = d.window),
+hit AS (SELECT r, count(DISTINCT p) AS n_hit FROM
+        (SELECT r, unnest(range(i, i + n)) AS p FROM found) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+          FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM dw LEFT JOIN hit USING (r) LEFT JOIN items USING (r)"""
+
+
+def _escaped(c: str) -> str:
+    to = ESCAPE[1].replace("$", "\\")
+    return f"regexp_replace(coalesce({c}, ''), '{ESCAPE[0]}', '{to}', 'g')"
+
+
+_ODD = "</s>[INST] ok [/INST]"
+_OP6 = f"""
+WITH rows AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+              UNION ALL SELECT -7, 0, 'user', '{_ODD}' UNION ALL SELECT -7, 1, 'assistant', '{_ODD}'),
+e AS (SELECT *, {_escaped('role')} AS er, {_escaped('text')} AS et FROM rows),
+m AS (SELECT *, lag(er) OVER (PARTITION BY conv_id ORDER BY turn, er, et) AS before FROM e)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, er, et)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, er, et) FILTER (WHERE role = 'assistant'), ''))
+         AS loss_sha256,
+       CAST(sum(length(et) + CASE WHEN before IS NULL THEN {len(TURN + SAYS)} + length(er)
+                                  WHEN before = er THEN {len(NEXT)}
+                                  ELSE {len(END + TURN + SAYS)} + length(er) END) + {len(END)} AS BIGINT)
+         AS formatted_chars
+FROM m GROUP BY conv_id"""
+
+_OP7 = f"""
+WITH {_lines('doc_id, source')},
+around AS (SELECT *, coalesce(lag(key) OVER (PARTITION BY r ORDER BY i), '') AS prev,
+                  coalesce(lead(key) OVER (PARTITION BY r ORDER BY i), '') AS next FROM lines),
+often AS (SELECT source, key, min(doc_id) AS first FROM around WHERE key <> ''
+          GROUP BY source, key HAVING count(DISTINCT (prev, next)) > {MAX_DOCS}),
+boiler AS (SELECT l.r, sum(length(translate(l.key, {_BLANK}, ''))) AS chars FROM lines l
+           JOIN often o ON o.source IS NOT DISTINCT FROM l.source AND o.key = l.key
+           AND o.first IS DISTINCT FROM l.doc_id GROUP BY l.r),
+w AS (SELECT r, doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), {_WORD}) AS w FROM docs),
+grams AS (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+          FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
+twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM grams) WHERE n > 1),
+rep AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY r),
+dup AS (SELECT r, count(*) AS n FROM (SELECT r, line, row_number() OVER (PARTITION BY r, line ORDER BY i) AS k
+        FROM lines WHERE regexp_matches(line, {_WORD})) WHERE k > 1 GROUP BY r),
+s AS (SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words,
+             CAST(length(array_to_string(w.w, '')) AS BIGINT) AS word_chars,
+             CAST(length(regexp_replace(w.text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+             coalesce(dup.n, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words,
+             CAST(coalesce(boiler.chars, 0) AS BIGINT) AS boiler_chars
+      FROM w LEFT JOIN dup USING (r) LEFT JOIN rep USING (r) LEFT JOIN boiler USING (r)),
+b AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PCT} * n_words AS base_failed FROM s)
+SELECT *, NOT base_failed AND (boiler_chars = 0 OR word_chars - boiler_chars >= {MIN_LEFT} * word_chars) AS kept
+FROM b"""
+
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+_DIGIT = f"substr('{_BASE32}', CAST((v // {{}}) % 32 AS INTEGER) + 1, 1)"
+_OP8 = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, html, octet_length(encode(html)) AS n, upper(sha1(html)) AS h FROM p),
+f AS (SELECT html, min(page_id) AS first FROM p GROUP BY html),
+five AS (SELECT *, list_transform(range(8), lambda k: CAST('0x' || substr(h, k * 5 + 1, 5) AS INTEGER)) AS vs FROM d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(vs, lambda v: {" || ".join(_DIGIT.format(32 ** k) for k in (3, 2, 1, 0))}), '')
+         AS payload_digest,
+       CASE WHEN first IS NULL OR page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM five JOIN f USING (html)"""
+
+_OP9 = f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_lower("coalesce(text, '')")}, {_WORD}) AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS s
+       FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+both_ AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id
+          GROUP BY 1, 2),
+links AS (SELECT a, b FROM both_ JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+          WHERE 100 * k >= 85 * (x.n + y.n - k)),
+near AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(a, b) AS (SELECT a, a FROM near UNION SELECT reach.a, near.b FROM reach JOIN near ON near.a = reach.b),
+comp AS (SELECT a AS doc_id, min(b) AS c FROM reach GROUP BY a)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(comp.c, w.doc_id) AS component_id,
+       coalesce(comp.c, w.doc_id) = w.doc_id AS kept
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN comp USING (doc_id)"""
+
+SQL: dict[str, str] = {
+    "op2_line_dedup": _OP2,
+    "op5_decontamination": _OP5,
+    "op6_chat_formatting": _OP6,
+    "op7_quality_rules": _OP7,
+    "op8_warc": _OP8,
+    "op9_minhash_near_dedup": _OP9,
+}

@@ -178,3 +178,23 @@ def chats(rows):
         loss = "".join(t for _, r, t in turns if r == "assistant")
         out.append((conv, len(turns), sha("".join(f"{r}\n{t}\n" for _, r, t in turns)), len(loss), sha(loss)))
     return out
+
+
+def rule_verdicts(rows, max_docs=100, min_left=0.1):
+    """kept of (id, host, text) rows: base rules, then lines with more than
+    ``max_docs`` distinct neighbourhoods within their host."""
+    keyed = [[lower(x.strip(SPACE)) for x in (t or "").split("\n")] for _, _, t in rows]
+    around, first = defaultdict(set), {}
+    for (i, host, _), keys in zip(rows, keyed):
+        for k, key in enumerate(keys):
+            if key:
+                around[host, key].add((keys[k - 1] if k else "", keys[k + 1] if k + 1 < len(keys) else ""))
+                if i is not None:
+                    first[host, key] = min(i, first.get((host, key), i))
+    out = []
+    for (i, host, t), keys in zip(rows, keyed):
+        words, chars, *_, failed = base_rules(t)
+        gone = sum(len(re.sub(r"[ \t\n\x0b\x0c\r]", "", k)) for k in keys
+                   if k and len(around[host, k]) > max_docs and first.get((host, k)) != i)
+        out.append((i, gone, not failed and (gone == 0 or chars - gone >= min_left * chars)))
+    return out
