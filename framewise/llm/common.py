@@ -25,7 +25,7 @@ SPACE_CHARS = SPACE_BYTES.decode()
 #: Bytes hashed in one block.
 BLOCK = 1 << 20
 #: Bytes of text in one Arrow batch handed to Python.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 _BASE = 0x9E3779B97F4A7C15  # odd, hence invertible modulo 2**64
 _UPPER = "".join(map(chr, range(65, 91)))

@@ -43,7 +43,7 @@ MAX_NODES = 4_000_000
 #: Bound on the tokens whose counts are broadcast (16 bytes each, 8 MB).
 HEAD = 500_000
 #: Distinct keys a counting task holds before it passes them on.
-HOLD = 2_000_000
+HOLD = 1_000_000
 END, SPACE = 0x0A, 0x20
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -159,8 +159,9 @@ class Trie:
             if k and len(begin):
                 up = self.levels[-1]
                 lower = own & np.uint64((1 << (8 * k)) - 1)
-                below = np.add.reduceat(up["n"][np.searchsorted(up["code"], lower)], begin)
-            self.levels.append({"code": own, "n": count, "ctx": ctx[begin], "c": c, "q": q, "below": below})
+                below = np.add.reduceat(up["n"][np.searchsorted(up["code"], lower)].astype(np.int64), begin)
+            self.levels.append({"code": own, "n": small(count), "ctx": ctx[begin], "c": small(c), "q": small(q),
+                                "below": small(below)})
 
     def log10p(self, code: np.ndarray) -> np.ndarray:
         out = np.zeros(len(code))
@@ -175,9 +176,9 @@ class Trie:
             i, known = found(level["ctx"], own >> np.uint64(8))
             j, seen = found(level["code"], own)
             if len(level["ctx"]):
-                c = level["c"][i] - taken[todo]
-                q = level["q"][i] - used[todo]
-                n = np.where(seen, level["n"][j], q)
+                c = level["c"][i].astype(np.int64) - taken[todo]
+                q = level["q"][i].astype(np.int64) - used[todo]
+                n = np.where(seen, level["n"][j].astype(np.int64), q)
                 cost = known & (seen | (q > 0))
                 out[todo[cost]] += np.log10(n[cost] / (c + q)[cost])
                 used[todo] = np.where(known, level["q"][i], used[todo])
@@ -187,6 +188,11 @@ class Trie:
         return out
 
 
+def small(n: np.ndarray) -> np.ndarray:
+    """The numbers in the narrowest unsigned type that holds them."""
+    return n.astype(np.min_scalar_type(int(n.max()) if len(n) else 0))
+
+
 def found(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index of each key in the ascending table, and whether it is there."""
     if not len(table):
@@ -231,7 +237,7 @@ def _score(batches, trie, head, shard: int, shards: int):
         yield pa.RecordBatch.from_arrays(
             [flat(batch, "id"), flat(batch, "row"), flat(batch, "held_out"), pa.array(np.diff(first).astype(np.int64) + 1),
              pa.array(np.bincount(doc[known], minlength=batch.num_rows).astype(np.int64)),
-             pa.array(np.bincount(doc, logs, batch.num_rows)), pa.array(score),
+             pa.array(np.bincount(doc, logs, batch.num_rows).astype(float)), pa.array(score),
              pa.ListArray.from_arrays(pa.array(ends), pa.array(signed(h[~known])))],
             names=["id", "row", "held_out", "n_tokens", "head_known", "head_sum", "score", "tail"])
 
