@@ -42,10 +42,11 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
 
 
-def write_scratch(df: DataFrame, name: str) -> DataFrame:
-    """A written table in the shared folder, read back with its known schema."""
+def write_scratch(df: DataFrame, name: str, tasks: int | None = None) -> DataFrame:
+    """A written table in the shared folder, read back with its known schema.
+    ``tasks``: write with so many tasks at most, for a table of known size."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.coalesce(tasks) if tasks else df).write.parquet(path)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     back._scratch = path
     return back

@@ -17,11 +17,14 @@ the Jaccard similarity.
    are far below the threshold; the rest is confirmed on the full sets.
 4. Components of the confirmed links come from alternating large-star and
    small-star steps.
-5. Buckets whose members are still in several components go on: a few more
-   leaders a round (1, 16, 256, ... by hash), paired only with members of
-   other components, until each bucket is one component or every member has
-   led.  So no link inside a bucket is lost, and a bucket of m copies costs a
-   multiple of m pairs, never all of them.
+5. Buckets whose members are still in several components go on.  In small
+   ones (``SMALL`` members) all pairs across components are tried.  In large
+   ones members are compared by what sets them apart from their leader: see
+   ``_differ``.  Members that share a difference are paired where the numbers
+   of their differences leave a link possible; if more than ``SHARED`` members
+   share it, they are a bucket of the next round, until none is left.  So no link inside a
+   bucket is lost, and m copies that differ from their origin each in its own
+   way cost a multiple of m, never all pairs.
 
 With 24 bands of 6 registers a pair at similarity 0.85 shares no bucket with
 probability 1.2e-5 (0.9: 1e-8).
@@ -40,8 +43,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framewise.llm.common import (bounded_batches, byte_codes, drop_scratch, flat,
-                                  maybe_broadcast, mix, signed, utf8, word_hashes, write_scratch)
+from framewise.llm.common import (bounded_batches, byte_codes, drop_scratch, flat, maybe_broadcast, mix,
+                                  signed, utf8, word_hashes, write_scratch)
 
 SHINGLE = 5
 BANDS, ROWS = 24, 6
@@ -50,12 +53,15 @@ REGISTERS = BANDS * ROWS
 BASE, SMALLEST = 1.0005, 1e-13
 #: A pair is pruned if its estimate is this many standard errors below the threshold.
 ERRORS = 6.0
-#: Leaders a round grow by this factor.
-MORE_LEADERS = 16
+#: Members of a bucket up to which all its open pairs are tried; of a set of
+#: members that share a difference, where a bound leaves few of them.
+SMALL, SHARED = 12, 256
+#: Candidate rows (16 bytes) a task of the smaller tables takes.
+TASK_ROWS = 100_000
 #: Members checked against one copy of their leader's text.
 CHUNK = 256
-#: Rows of 8 bytes up to which the ids of candidates are broadcast (64 MB).
-BROADCAST_ROWS = 8_000_000
+#: Rows of up to 24 bytes up to which a counted table is broadcast (24 MB).
+BROADCAST_ROWS = 1_000_000
 
 
 def shingles(h: np.ndarray, first: np.ndarray, size: int = SHINGLE):
@@ -185,56 +191,147 @@ def _prune(batches, threshold: float):
         yield batch.select(["a", "b"]).filter(pa.array(j >= threshold - ERRORS * error))
 
 
-def _confirm(batches, percent: int):
-    """Rows sorted by group: a leader's text, then the members to check."""
-    codes, leader, own, group = byte_codes("space", True), None, None, None
+def _members(batches):
+    """(leader, its set, member, its set) from rows sorted by group, in which
+    the leader's text comes before those of the members."""
+    codes, own, group = byte_codes("space", True), None, None
     for batch in batches:
         data, offsets = utf8(flat(batch, "text"))
         h, _, _, word = word_hashes(data, offsets, codes)
         value, first = shingles(h, word)
-        out: list[tuple[int, int]] = []
         rows = zip(flat(batch, "a").to_pylist(), flat(batch, "salt").to_pylist(),
                    flat(batch, "b").to_pylist(), strict=True)
         for i, (a, salt, b) in enumerate(rows):
             mine = value[first[i]:first[i + 1]]
             if b is None:
-                leader, own, group = a, mine, (a, salt)
+                own, group = mine, (a, salt)
             elif group == (a, salt):
-                both = len(np.intersect1d(own, mine, assume_unique=True))
-                if 100 * both >= percent * (len(own) + len(mine) - both):
-                    out.append((leader, b))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+                yield a, own, b, mine
+
+
+def _confirm(batches, percent: int):
+    out: list[tuple[int, int]] = []
+    for a, own, b, mine in _members(batches):
+        both = len(np.intersect1d(own, mine, assume_unique=True))
+        if 100 * both >= percent * (len(own) + len(mine) - both):
+            out.append((a, b))
+    yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+
+def _differ(batches, percent: int):
+    """(key, rep): the differences of members from their leader by which they
+    may be linked with each other.
+
+    Let x have the shingles A beyond its leader's n and lack R of those, and y
+    likewise.  x and y are linked if |x delta y| <= k (|x| + |y|), where
+    k = (100 - percent) / (100 + percent).  Both are linked with the leader (and
+    need no more) unless one of them, say x, has an excess
+    e = (1 - k) |A| + (1 + k) |R| - 2 k n > 0.  Then they share a difference,
+    and by the prefix filter one among the first |x delta y| + 1 of each, in a
+    fixed order that puts A first; |x delta y| is at most k (1 + 100 / percent)
+    times |x| (or |y|).  So every member gives out its first elements of A
+    (side 0).  If x and y share none of A, |x delta y| is at least
+    |A| + |A'| + ||R| - |R'||, which leaves only partners y whose gain
+    (1 - k) (|R'| - |A'|) is e or more: x gives elements of R under the class of
+    its excess (side 1) and y under all classes up to that of its gain (side 2).
+    ``_across`` pairs sides 1 and 2 by that bound."""
+    k = (100 - percent) / (100 + percent)
+    parts, held = [], 0
+
+    def rows():
+        columns = [np.concatenate([p[i] for p in parts]) for i in range(len(_DIFFERENCES))]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=_DIFFERENCES)
+
+    for a, own, b, mine in _members(batches):
+        added = np.setdiff1d(mine, own, assume_unique=True)
+        gone = np.setdiff1d(own, mine, assume_unique=True)
+        most = int(k * (1 + 100 / percent) * len(mine)) + 2
+        excess = (1 - k) * len(added) + (1 + k) * len(gone) - 2 * k * len(own)
+        gain = (1 - k) * (len(gone) - len(added))
+        leader = mix(np.full(1, a, np.int64).view(np.uint64))
+        first = mix(gone[:max(0, most - len(added))] ^ leader)
+        given = [(0, mix(added[:most] ^ leader))]
+        if excess > 0:
+            given.append((1, mix(first + np.uint64(1 + _class(excess)))))
+        if gain > 0:
+            given += [(2, mix(first + np.uint64(1 + c))) for c in range(_class(gain) + 1)]
+        for side, key in given:
+            parts.append((signed(key), np.arange(len(key)), *(
+                np.full(len(key), v, np.int64) for v in (b, side, len(added), len(gone), len(mine)))))
+            held += len(key)
+        if held > 100_000:
+            yield rows()
+            parts, held = [], 0
+    if parts:
+        yield rows()
+
+
+_DIFFERENCES = ["key", "pos", "rep", "side", "added", "gone", "n"]
+
+
+def _across(apart: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of sides 1 and 2 that share a key, are in different
+    components and may be linked without sharing an added shingle."""
+    least = F.col("added1") + F.col("added2") + F.abs(F.col("gone1") - F.col("gone2"))
+    return _pairs(*(_with_comp(apart.where(F.col("side") == side), comp) for side in (1, 2)),
+                  (100 + percent) * least <= (100 - percent) * (F.col("n1") + F.col("n2")))
+
+
+def _along(apart: DataFrame, sizes: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of side 0 that share a key of ``sizes`` and may be linked
+    if that is the first added shingle they share: of the added ones those from
+    there on can be common to both, of the missing ones all."""
+    at = apart.where("side = 0").join(maybe_broadcast(sizes.select("key"), BROADCAST_ROWS), "key", "left_semi")
+    at = _with_comp(at, comp)
+    differ = F.col("added1") + F.col("added2") + F.col("gone1") + F.col("gone2")
+    common = F.least(F.col("added1") - F.col("pos1"), F.col("added2") - F.col("pos2")) + F.least("gone1", "gone2")
+    return _pairs(at, at, (F.col("rep1") < F.col("rep2")) & (
+        (100 + percent) * (differ - 2 * common) <= (100 - percent) * (F.col("n1") + F.col("n2"))))
+
+
+def _with_comp(rows: DataFrame, comp: DataFrame) -> DataFrame:
+    return rows.join(maybe_broadcast(comp, BROADCAST_ROWS), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+
+
+def _pairs(x: DataFrame, y: DataFrame, link) -> DataFrame:
+    x, y = (d.select("key", *[F.col(c).alias(f"{c}{i}") for c in ("pos", "rep", "comp", "added", "gone", "n")])
+            for i, d in ((1, x), (2, y)))
+    return x.join(y, "key").where((F.col("comp1") != F.col("comp2")) & link).select(
+        F.least("rep1", "rep2").alias("a"), F.greatest("rep1", "rep2").alias("b")).distinct()
+
+
+def _class(x: float) -> int:
+    """Whole steps up to 8, then doublings."""
+    return int(x) if x < 8 else 4 + int(x).bit_length()
+
+
+def _beside_leaders(pairs: DataFrame, texts: DataFrame, tasks: int) -> DataFrame:
+    """(a, salt, b, text): the texts of the members b of every leader a, in
+    groups of about CHUNK, each led by a row with the leader's own (b null)."""
+    members = write_scratch(pairs.groupBy("a").agg(F.ceil(F.count("*") / CHUNK).alias("salts")), "leaders", tasks)
+    salted = pairs.join(maybe_broadcast(members, BROADCAST_ROWS), "a").select(
+        "a", F.pmod(F.xxhash64("b"), F.col("salts")).alias("salt"), "b")
+    lead = members.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"),
+                          F.lit(None).cast("long").alias("b"))
+    wanted = write_scratch(salted.withColumn("rep", F.col("b")).unionByName(
+        lead.withColumn("rep", F.col("a"))), "wanted", tasks)
+    rows = texts.join(maybe_broadcast(wanted, BROADCAST_ROWS), "rep").select("a", "salt", "b", "text")
+    n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(n, "a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text: str,
-              percent: int) -> DataFrame:
+def confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, percent: int, tasks: int) -> DataFrame:
     """The pairs (a, b) of class ids whose full sets reach the threshold."""
     known = classes.select("rep", "n", "regs")
     size_ok = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-    near = (pairs.join(known.withColumnsRenamed({"rep": "a", "n": "na", "regs": "ra"}), "a")
-            .join(known.withColumnsRenamed({"rep": "b", "n": "nb", "regs": "rb"}), "b")
+    near = (known.withColumnsRenamed({"rep": "a", "n": "na", "regs": "ra"})
+            .join(maybe_broadcast(pairs, BROADCAST_ROWS), "a"))
+    near = (near.join(known.withColumnsRenamed({"rep": "b", "n": "nb", "regs": "rb"}), "b")
             .where(size_ok).select("a", "b", "na", "nb", "ra", "rb")
             .mapInArrow(lambda it: _prune(it, percent / 100), "a long, b long"))
-    near = write_scratch(near.distinct(), "near-pairs")
-    ids = write_scratch(near.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "near-ids")
-    texts = (docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text).alias("text"))
-             .join(maybe_broadcast(ids, BROADCAST_ROWS), "rep", "left_semi"))
-    texts = write_scratch(texts, "near-texts")
-    members = write_scratch(near.groupBy("a").agg(F.ceil(F.count("*") / CHUNK).alias("salts")), "near-leaders")
-    salted = (near.join(members, "a")
-              .select("a", F.pmod(F.xxhash64("b"), F.col("salts")).alias("salt"), "b"))
-    lead = (members.join(texts, members.a == texts.rep)
-            .select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"),
-                    F.lit(None).cast("long").alias("b"), "text"))
-    rows = salted.join(texts, salted.b == texts.rep).select("a", "salt", "b", "text").unionByName(lead)
-    n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    links = (rows.repartition(n, "a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
-             .mapInArrow(lambda it: _confirm(it, percent), "a long, b long"))
-    links = write_scratch(links, "near-links")
-    for old in (near, ids, texts, members):
-        drop_scratch(old)
-    return links
+    near = write_scratch(near.distinct(), "near-pairs", tasks)
+    links = _beside_leaders(near, texts, tasks).mapInArrow(lambda it: _confirm(it, percent), "a long, b long")
+    return write_scratch(links, "near-links", tasks)
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
@@ -242,22 +339,25 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     and small-star steps on written tables; unlinked ids are left out.  What a
     join meets is always read from a written table, so that the rows of a
     node with very many links can be split over tasks."""
+    tasks = -(-links.count() // TASK_ROWS) or 1
     edges = write_scratch(
         links.select(F.least("a", "b").alias("v"), F.greatest("a", "b").alias("u"))
-        .where("u <> v").distinct(), "cc")
+        .where("u <> v").distinct(), "cc", tasks)
     before = None
     for _ in range(rounds):
         # large star: larger neighbours of each node link to its smallest one
         both = edges.select("u", "v").union(edges.select(F.col("v"), F.col("u")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
-        least = write_scratch(least.select("u", F.least("u", "m").alias("m")), "cc")
-        large = (both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")))
+        least = write_scratch(least.select("u", F.least("u", "m").alias("m")), "cc", tasks)
+        large = (both.where("v > u").join(maybe_broadcast(least, BROADCAST_ROWS), "u")
+                 .select(F.col("v").alias("u"), F.col("m").alias("v")))
         # small star: smaller neighbours and the node itself link to the smallest
-        large = write_scratch(large.where("u <> v").distinct(), "cc")
-        low = write_scratch(large.groupBy("u").agg(F.min("v").alias("m")), "cc")
-        small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = write_scratch(large.where("u <> v").distinct(), "cc", tasks)
+        low = write_scratch(large.groupBy("u").agg(F.min("v").alias("m")), "cc", tasks)
+        small = (large.join(maybe_broadcast(low, BROADCAST_ROWS), "u")
+                 .select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(low.select("u", "m")).where("u <> v").distinct())
-        small = write_scratch(small, "cc")
+        small = write_scratch(small, "cc", tasks)
         for old in (edges, least, large, low):
             drop_scratch(old)
         edges = small
@@ -270,6 +370,39 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     return edges.select(F.col("u").alias("rep"), F.col("v").alias("comp"))
 
 
+def _sizes(rows: DataFrame, tasks: int | None = None) -> DataFrame:
+    """(key, size) of the keys that several rows of (key, rep) share."""
+    return write_scratch(rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "sizes", tasks)
+
+
+def _buckets(rows: DataFrame, sizes: DataFrame, name: str, tasks: int | None = None) -> DataFrame:
+    """(key, rep, size) of the rows of (key, rep) with a key of ``sizes``."""
+    return write_scratch(rows.join(maybe_broadcast(sizes, BROADCAST_ROWS), "key"), name, tasks)
+
+
+def _stars(buckets: DataFrame, tasks: int) -> DataFrame:
+    """(key, a): the leader of every bucket."""
+    fame = write_scratch(buckets.groupBy("rep").agg(F.sum("size").alias("fame")), "fame", tasks)
+    top = buckets.join(maybe_broadcast(fame, BROADCAST_ROWS), "rep").groupBy("key").agg(
+        F.max(F.struct("fame", (-F.col("rep")).alias("rep"))).alias("top"))
+    return write_scratch(top.select("key", (-F.col("top.rep")).alias("a")), "stars", tasks)
+
+
+def _open(buckets: DataFrame, comp: DataFrame, tasks: int) -> DataFrame:
+    """(key, rep, size, comp) of the buckets whose members are in several components."""
+    member = buckets.join(maybe_broadcast(comp, BROADCAST_ROWS), "rep", "left").select(
+        "key", "rep", "size", F.coalesce("comp", "rep").alias("comp"))
+    mixed = member.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
+    mixed = write_scratch(mixed.select("key"), "mixed", tasks)
+    return write_scratch(member.join(maybe_broadcast(mixed, BROADCAST_ROWS), "key", "left_semi"), "open", tasks)
+
+
+def _untried(pairs: DataFrame, tried: DataFrame) -> DataFrame:
+    """Distinct pairs that were not tried, in either order."""
+    return pairs.distinct().join(tried, ["a", "b"], "left_anti").join(
+        tried.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                     percent: int = 85) -> DataFrame:
     """(id, n_shingles, class_id, component_id, kept) for every row of ``docs``:
@@ -284,44 +417,48 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda i: F.xxhash64(i, F.substring("regs", i * (2 * ROWS) + 1, F.lit(2 * ROWS)))))
     banded = write_scratch(named.select("rep", band.alias("key")), "bands")
-    sizes = write_scratch(banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
-    cand = write_scratch(banded.join(sizes, "key"), "buckets")
+    buckets = _buckets(banded, _sizes(banded), "buckets")
     drop_scratch(banded)
+    tasks = -(-buckets.count() // TASK_ROWS) or 1
+    reps = write_scratch(buckets.select("rep").distinct(), "reps", tasks)
+    texts = write_scratch(docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text).alias("text"))
+                          .join(maybe_broadcast(reps, BROADCAST_ROWS), "rep", "left_semi"), "texts")
 
-    fame = cand.groupBy("rep").agg(F.sum("size").alias("fame"))
-    ranked = cand.join(fame, "rep").groupBy("key").agg(
-        F.max(F.struct("fame", (-F.col("rep")).alias("rep"))).alias("top"))
-    ranked = write_scratch(ranked.select("key", (-F.col("top.rep")).alias("a")), "leaders")
-    pairs = (cand.join(ranked, "key")
-             .where("a <> rep").select("a", F.col("rep").alias("b")).distinct())
-    tried = write_scratch(pairs, "pairs")
-    links = confirmed(tried, named, docs, id_col, text, percent)
-    comp = write_scratch(components(links), "comp")
-
-    low, high = 0, MORE_LEADERS
+    nothing = docs.sparkSession.createDataFrame([], "a long, b long")
+    tried, links, extra, comp = nothing, nothing, nothing, nothing.selectExpr("a rep", "b comp")
     while True:
-        member = cand.join(comp, "rep", "left").select(
-            "key", "rep", "size", F.coalesce("comp", "rep").alias("comp"))
-        mixed = member.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
-        mixed = write_scratch(mixed.select("key"), "mixed")
-        open_ = write_scratch(member.join(mixed, "key", "left_semi"), "open")
-        turn = F.pmod(F.xxhash64("key", "rep"), F.col("size"))
-        if open_.where(F.col("size") > low).isEmpty():
+        stars = _stars(buckets, tasks)
+        led = buckets.join(maybe_broadcast(stars, BROADCAST_ROWS), "key").where("a <> rep")
+        pairs = led.select("a", F.col("rep").alias("b")).unionByName(extra).distinct()
+        pairs = write_scratch(pairs.join(tried, ["a", "b"], "left_anti"), "pairs", tasks)
+        if not pairs.isEmpty():
+            links = write_scratch(links.unionByName(confirmed(pairs, named, texts, percent, tasks)), "links", tasks)
+            tried = write_scratch(tried.unionByName(pairs), "tried", tasks)
+            comp = write_scratch(components(links), "comp", tasks)
+        members = _open(buckets, comp, tasks)
+        few = members.where(F.col("size") <= SMALL)  # buckets of later rounds are larger
+        extra = few.alias("l").join(few.alias("r"), F.expr(
+            "l.key = r.key and l.rep < r.rep and l.comp <> r.comp")).select(
+            F.col("l.rep").alias("a"), F.col("r.rep").alias("b"))
+        extra = write_scratch(_untried(extra, tried), "extra", tasks)
+        many = members.where(F.col("size") > SMALL).join(maybe_broadcast(stars, BROADCAST_ROWS), "key")
+        many = write_scratch(many.where("a <> rep").select("a", F.col("rep").alias("b")).distinct(), "large", tasks)
+        if many.isEmpty():
+            if not extra.isEmpty():
+                links = links.unionByName(confirmed(extra, named, texts, percent, tasks))
+                comp = write_scratch(components(write_scratch(links, "links", tasks)), "comp", tasks)
             break
-        leaders = open_.where((turn >= low) & (turn < high)).select(
-            "key", F.col("rep").alias("a"), F.col("comp").alias("ca"))
-        more = (open_.join(leaders, "key").where("comp <> ca")
-                .select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct()
-                .join(tried, ["a", "b"], "left_anti")
-                .join(tried.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti"))
-        more = write_scratch(more, "pairs")
-        if not more.isEmpty():
-            links = write_scratch(links.unionByName(confirmed(more, named, docs, id_col, text, percent)), "links")
-            tried = write_scratch(tried.unionByName(more), "pairs")
-            comp = write_scratch(components(links), "comp")
-        low, high = high, high * MORE_LEADERS
-
-    found = classes.select("n", "p", "q", "rep").join(comp, "rep", "left").select(
+        apart = write_scratch(_beside_leaders(many, texts, tasks).mapInArrow(
+            lambda it: _differ(it, percent), ", ".join(f"{c} long" for c in _DIFFERENCES)), "differences")
+        shared = apart.where("side = 0").select("key", "rep")
+        sizes = _sizes(shared, tasks)
+        extra = extra.unionByName(_across(apart, comp, percent)).unionByName(
+            _along(apart, sizes.where(F.col("size") <= SHARED), comp, percent))
+        extra = write_scratch(_untried(extra, tried), "extra", tasks)
+        buckets = _open(_buckets(shared, sizes.where(F.col("size") > SHARED), "buckets", tasks), comp, tasks)
+        buckets = buckets.drop("comp")
+
+    found = classes.select("n", "p", "q", "rep").join(maybe_broadcast(comp, BROADCAST_ROWS), "rep", "left").select(
         "n", "p", "q", "rep", F.coalesce("comp", "rep").alias("comp"))
     out = sk.select("id", "n", "p", "q").join(found, ["n", "p", "q"], "left")
     component = F.when(F.col("n") > 0, F.col("comp")).otherwise(F.col("id"))
