@@ -422,3 +422,34 @@ def test_query_equals_sql(spark, sf_small, name):
     names = [d[0] for d in out.description]
     assert sorted(names) == sorted(df.columns) and set(SQL) <= set(queries.QUERIES)
     same(df.select(*names).collect(), out.fetchall())
+
+
+@pytest.mark.parametrize("small,shared", [(12, 256), (8, 24)])
+def test_widely_spread_group(spark, monkeypatch, small, shared):
+    """Copies that differ from their origin by nothing to most of it, some by
+    deletions only, with copies of copies; small bounds force further rounds."""
+    import random
+    rng = random.Random(11)
+    word = lambda: f"v{rng.randrange(10**6)}"
+    origin = [word() for _ in range(140)]
+
+    def copy(base, edits, delete):
+        c = list(base)
+        for _ in range(edits):
+            k = rng.randrange(len(c))
+            if delete:
+                del c[k]
+            else:
+                c[k] = word()
+        return c
+
+    copies = [copy(origin, rng.choice((0, 1, 1, 2, 3, 4, 6, 12)), rng.random() < 0.4) for _ in range(160)]
+    copies += [copy(rng.choice(copies), rng.choice((1, 2, 3)), rng.random() < 0.4) for _ in range(60)]
+    second = copy(origin, 8, False)
+    copies += [copy(second, rng.choice((1, 2, 3)), False) for _ in range(40)]
+    rows = list(enumerate(" ".join(c) for c in copies))
+    rng.shuffle(rows)
+    monkeypatch.setattr(setsketch, "SMALL", small)
+    monkeypatch.setattr(setsketch, "SHARED", shared)
+    got = setsketch.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    same([(r.id, r.n_shingles, r.component_id, r.kept) for r in got.collect()], B.near_duplicates(rows))
