@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
@@ -76,12 +77,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def release_scratch(spark: SparkSession) -> None:
-    """Delete the scratch tables this session wrote.  Call it once the results
-    that were built on them have been written or read."""
-    for path in _WRITTEN.pop(spark.sparkContext.applicationId, []):
-        p = spark._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+def scratch_written(spark: SparkSession) -> int:
+    """Number of scratch folders handed out so far: a mark for ``release_scratch``."""
+    return len(_WRITTEN.get(spark.sparkContext.applicationId, []))
+
+
+def release_scratch(spark: SparkSession, since: int = 0, keep: Sequence[str] = ()) -> None:
+    """Delete the scratch folders handed out after the mark ``since``, but for
+    those in ``keep``.  Call it once the results that were built on them have
+    been written or read."""
+    written = _WRITTEN.get(spark.sparkContext.applicationId, [])
+    for path in written[since:]:
+        if path not in keep:
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    written[since:] = [p for p in written[since:] if p in keep]
 
 
 def materialize(df, name: str):
@@ -93,4 +103,4 @@ def materialize(df, name: str):
     return df.sparkSession.read.parquet(path)
 
 
-__all__ = ["get_spark", "checkpoint_dir", "scratch_path", "materialize", "release_scratch"]
+__all__ = ["get_spark", "checkpoint_dir", "scratch_path", "materialize", "release_scratch", "scratch_written"]

@@ -59,11 +59,3 @@ def sentiments(spark: SparkSession) -> DataFrame:
     schema = T.StructType([T.StructField("word", T.StringType(), False),
                            T.StructField("sentiment", T.StringType(), False)])
     return spark.createDataFrame(list(SENTIMENT_WORDS), schema)
-
-
-def values_sql(rows, columns) -> str:
-    """The same rows as a SQL ``VALUES`` relation (for the oracle)."""
-    def lit(v):
-        return "'" + str(v).replace("'", "''") + "'"
-    body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
-    return f"(VALUES {body}) AS t({', '.join(columns)})"
