@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewise.session import scratch_path
+from framewise.session import release_scratch, scratch_path
 
 #: White space of the text contracts: U+0020 and U+0009 to U+000D.
 SPACE_BYTES = bytes([0x20, *range(0x09, 0x0E)])
@@ -68,6 +68,12 @@ def lower_ascii(c: Column) -> Column:
     return F.translate(c, _UPPER, _UPPER.lower())
 
 
+def keep_scratch(spark: SparkSession, since: int, *frames: DataFrame) -> None:
+    """Delete the scratch tables written after the mark ``since`` but for those
+    of ``frames``, which a result still reads."""
+    release_scratch(spark, since, [f._scratch for f in frames])
+
+
 def small_enough(df: DataFrame, limit_rows: int) -> bool:
     """Whether a written table has at most ``limit_rows`` rows (read from its
     file footers), the check before any broadcast."""

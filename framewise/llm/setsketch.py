@@ -43,8 +43,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framewise.llm.common import (bounded_batches, byte_codes, drop_scratch, flat, maybe_broadcast, mix,
+from framewise.llm.common import (bounded_batches, byte_codes, drop_scratch, flat, keep_scratch, maybe_broadcast, mix,
                                   signed, utf8, word_hashes, write_scratch)
+from framewise.session import scratch_written
 
 SHINGLE = 5
 BANDS, ROWS = 24, 6
@@ -408,6 +409,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     """(id, n_shingles, class_id, component_id, kept) for every row of ``docs``:
     documents whose shingle sets have a Jaccard similarity of at least
     ``percent`` % are linked, and a component keeps its smallest id."""
+    spark = docs.sparkSession
+    mark = scratch_written(spark)
     sk = write_scratch(sketches(docs, id_col, text), "sketches")
     per_class = sk.where("n > 0").groupBy("n", "p", "q").agg(
         F.min("id").alias("rep"), F.first("regs").alias("regs"))
@@ -424,7 +427,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     texts = write_scratch(docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text).alias("text"))
                           .join(maybe_broadcast(reps, BROADCAST_ROWS), "rep", "left_semi"), "texts")
 
-    nothing = docs.sparkSession.createDataFrame([], "a long, b long")
+    nothing = spark.createDataFrame([], "a long, b long")
     tried, links, extra, comp = nothing, nothing, nothing, nothing.selectExpr("a rep", "b comp")
     while True:
         stars = _stars(buckets, tasks)
@@ -458,6 +461,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         buckets = _open(_buckets(shared, sizes.where(F.col("size") > SHARED), "buckets", tasks), comp, tasks)
         buckets = buckets.drop("comp")
 
+    keep_scratch(spark, mark, sk, classes, *([comp] if hasattr(comp, "_scratch") else []))
     found = classes.select("n", "p", "q", "rep").join(maybe_broadcast(comp, BROADCAST_ROWS), "rep", "left").select(
         "n", "p", "q", "rep", F.coalesce("comp", "rep").alias("comp"))
     out = sk.select("id", "n", "p", "q").join(found, ["n", "p", "q"], "left")
