@@ -19,12 +19,13 @@ the Jaccard similarity.
    small-star steps.
 5. Buckets whose members are still in several components go on.  In small
    ones (``SMALL`` members) all pairs across components are tried.  In large
-   ones members are compared by what sets them apart from their leader: see
-   ``_differ``.  Members that share a difference are paired where the numbers
-   of their differences leave a link possible; if more than ``SHARED`` members
-   share it, they are a bucket of the next round, until none is left.  So no link inside a
-   bucket is lost, and m copies that differ from their origin each in its own
-   way cost a multiple of m, never all pairs.
+   ones members are compared by what sets them apart from a reference, the
+   shingles that most members of the group hold: see ``_differ``.  Members
+   that share a difference are paired where the numbers of their differences
+   leave a link possible; if more than ``SHARED`` members share something
+   beyond the reference, they are a bucket of the next round, until none is
+   left.  So m copies that differ from their origin each in its own way cost a
+   multiple of m, never all pairs.
 
 With 24 bands of 6 registers a pair at similarity 0.85 shares no bucket with
 probability 1.2e-5 (0.9: 1e-8).
@@ -219,63 +220,102 @@ def _confirm(batches, percent: int):
     yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
 
+def _majority(batches):
+    """(a, reference): the shingles that more than half of a leader's first
+    group of members hold."""
+    out, group, sets = [], None, []
+
+    def close():
+        if group and group[1] == 0:
+            value, n = np.unique(np.concatenate(sets), return_counts=True)
+            out.append((group[0], value[2 * n > len(sets)]))
+
+    for batch in batches:
+        data, offsets = utf8(flat(batch, "text"))
+        h, _, _, word = word_hashes(data, offsets, byte_codes("space", True))
+        value, first = shingles(h, word)
+        rows = zip(flat(batch, "a").to_pylist(), flat(batch, "salt").to_pylist(), strict=True)
+        for i, key in enumerate(rows):
+            if key != group:
+                close()
+                group, sets = key, []
+            if key[1] == 0:
+                sets.append(value[first[i]:first[i + 1]])
+    close()
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([a for a, _ in out], pa.int64()), pa.array([r.tobytes() for _, r in out], pa.binary())],
+        names=["a", "reference"])
+
+
+_DIFFERENCES = ["key", "pos", "a", "rep", "side", "added", "gone", "n"]
+
+
 def _differ(batches, percent: int):
-    """(key, rep): the differences of members from their leader by which they
-    may be linked with each other.
-
-    Let x have the shingles A beyond its leader's n and lack R of those, and y
-    likewise.  x and y are linked if |x delta y| <= k (|x| + |y|), where
-    k = (100 - percent) / (100 + percent).  Both are linked with the leader (and
-    need no more) unless one of them, say x, has an excess
-    e = (1 - k) |A| + (1 + k) |R| - 2 k n > 0.  Then they share a difference,
-    and by the prefix filter one among the first |x delta y| + 1 of each, in a
-    fixed order that puts A first; |x delta y| is at most k (1 + 100 / percent)
-    times |x| (or |y|).  So every member gives out its first elements of A
-    (side 0).  If x and y share none of A, |x delta y| is at least
-    |A| + |A'| + ||R| - |R'||, which leaves only partners y whose gain
-    (1 - k) (|R'| - |A'|) is e or more: x gives elements of R under the class of
-    its excess (side 1) and y under all classes up to that of its gain (side 2).
-    ``_across`` pairs sides 1 and 2 by that bound."""
+    """What members have beyond the reference set of their leader's group
+    (side 0) and what they lack of it (side 1), with the numbers of both.
+
+    For any reference c, (x delta c) delta (y delta c) = x delta y.  A link means
+    |x delta y| <= k (|x| + |y|), k = (100 - percent) / (100 + percent), which is
+    at most k (1 + 100 / percent) times |x| (or |y|).  Unless both together
+    differ from c by no more than that, x and y share a difference, and by the
+    prefix filter one among the first |x delta y| + 1 of each, in a fixed order
+    that puts side 0 first."""
     k = (100 - percent) / (100 + percent)
-    parts, held = [], 0
+    codes, own, group, parts, held = byte_codes("space", True), None, None, [], 0
 
     def rows():
         columns = [np.concatenate([p[i] for p in parts]) for i in range(len(_DIFFERENCES))]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=_DIFFERENCES)
 
-    for a, own, b, mine in _members(batches):
-        added = np.setdiff1d(mine, own, assume_unique=True)
-        gone = np.setdiff1d(own, mine, assume_unique=True)
-        most = int(k * (1 + 100 / percent) * len(mine)) + 2
-        excess = (1 - k) * len(added) + (1 + k) * len(gone) - 2 * k * len(own)
-        gain = (1 - k) * (len(gone) - len(added))
-        leader = mix(np.full(1, a, np.int64).view(np.uint64))
-        first = mix(gone[:max(0, most - len(added))] ^ leader)
-        given = [(0, mix(added[:most] ^ leader))]
-        if excess > 0:
-            given.append((1, mix(first + np.uint64(1 + _class(excess)))))
-        if gain > 0:
-            given += [(2, mix(first + np.uint64(1 + c))) for c in range(_class(gain) + 1)]
-        for side, key in given:
-            parts.append((signed(key), np.arange(len(key)), *(
-                np.full(len(key), v, np.int64) for v in (b, side, len(added), len(gone), len(mine)))))
-            held += len(key)
-        if held > 100_000:
-            yield rows()
-            parts, held = [], 0
+    for batch in batches:
+        data, offsets = utf8(flat(batch, "text"))
+        h, _, _, word = word_hashes(data, offsets, codes)
+        value, first = shingles(h, word)
+        names = ("a", "salt", "b", "reference")
+        for i, (a, salt, b, reference) in enumerate(zip(*(flat(batch, c).to_pylist() for c in names), strict=True)):
+            mine = value[first[i]:first[i + 1]]
+            if b is None:
+                own, group = np.frombuffer(reference, np.uint64), (a, salt)
+                continue
+            if group != (a, salt):
+                continue
+            added = np.setdiff1d(mine, own, assume_unique=True)
+            gone = np.setdiff1d(own, mine, assume_unique=True)
+            most = int(k * (1 + 100 / percent) * len(mine)) + 2
+            leader = mix(np.full(1, a, np.int64).view(np.uint64))
+            for side, some in ((0, added[:most]), (1, gone[:max(0, most - len(added))])):
+                key = mix(mix(some ^ leader) + np.uint64(side))
+                parts.append((signed(key), np.arange(len(key)), *(np.full(len(key), v, np.int64) for v in (
+                    a, b, side, len(added), len(gone), len(mine)))))
+                held += len(key)
+            if held > 100_000:
+                yield rows()
+                parts, held = [], 0
     if parts:
         yield rows()
 
 
-_DIFFERENCES = ["key", "pos", "rep", "side", "added", "gone", "n"]
+def _centres(apart: DataFrame) -> DataFrame:
+    """Pairs of each group's member nearest to the reference with all that are
+    as near as two of them may be linked without sharing a difference."""
+    own = apart.select("a", "rep", (F.col("added") + F.col("gone")).alias("far"), "n").distinct()
+    nearest = own.groupBy("a").agg(F.min(F.struct("far", "rep")).alias("m")).select("a", F.col("m.rep").alias("m"))
+    return (own.where(F.col("far") * 2 <= F.col("n")).join(nearest, "a").where("rep <> m")
+            .select(F.col("m").alias("a"), F.col("rep").alias("b")).distinct())
 
 
-def _across(apart: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of sides 1 and 2 that share a key, are in different
-    components and may be linked without sharing an added shingle."""
-    least = F.col("added1") + F.col("added2") + F.abs(F.col("gone1") - F.col("gone2"))
-    return _pairs(*(_with_comp(apart.where(F.col("side") == side), comp) for side in (1, 2)),
-                  (100 + percent) * least <= (100 - percent) * (F.col("n1") + F.col("n2")))
+def _lacking(apart: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that share a key of side 1, of which one is outside the
+    component of their leader, and that may be linked without sharing anything
+    beyond the reference, if that is the first they both lack."""
+    at = _with_comp(apart.where("side = 1"), comp)
+    main = comp.select(F.col("rep").alias("a"), F.col("comp").alias("main"))
+    outside = at.join(maybe_broadcast(main, BROADCAST_ROWS), "a", "left").where(
+        F.col("comp") != F.coalesce("main", "a")).drop("main")
+    differ = F.col("added1") + F.col("added2") + F.col("gone1") + F.col("gone2")
+    common = F.least(F.col("gone1") - F.col("pos1"), F.col("gone2") - F.col("pos2"))
+    return _pairs(outside, at,
+                  (100 + percent) * (differ - 2 * common) <= (100 - percent) * (F.col("n1") + F.col("n2")))
 
 
 def _along(apart: DataFrame, sizes: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
@@ -301,11 +341,6 @@ def _pairs(x: DataFrame, y: DataFrame, link) -> DataFrame:
         F.least("rep1", "rep2").alias("a"), F.greatest("rep1", "rep2").alias("b")).distinct()
 
 
-def _class(x: float) -> int:
-    """Whole steps up to 8, then doublings."""
-    return int(x) if x < 8 else 4 + int(x).bit_length()
-
-
 def _beside_leaders(pairs: DataFrame, texts: DataFrame, tasks: int) -> DataFrame:
     """(a, salt, b, text): the texts of the members b of every leader a, in
     groups of about CHUNK, each led by a row with the leader's own (b null)."""
@@ -316,8 +351,12 @@ def _beside_leaders(pairs: DataFrame, texts: DataFrame, tasks: int) -> DataFrame
                           F.lit(None).cast("long").alias("b"))
     wanted = write_scratch(salted.withColumn("rep", F.col("b")).unionByName(
         lead.withColumn("rep", F.col("a"))), "wanted", tasks)
-    rows = texts.join(maybe_broadcast(wanted, BROADCAST_ROWS), "rep").select("a", "salt", "b", "text")
-    n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return _grouped(texts.join(maybe_broadcast(wanted, BROADCAST_ROWS), "rep").select("a", "salt", "b", "text"))
+
+
+def _grouped(rows: DataFrame) -> DataFrame:
+    """Rows dealt by (a, salt), in each partition group after group, leaders first."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return rows.repartition(n, "a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
 
 
@@ -451,11 +490,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                 links = links.unionByName(confirmed(extra, named, texts, percent, tasks))
                 comp = write_scratch(components(write_scratch(links, "links", tasks)), "comp", tasks)
             break
-        apart = write_scratch(_beside_leaders(many, texts, tasks).mapInArrow(
+        rows = write_scratch(_beside_leaders(many, texts, tasks), "beside")
+        reference = write_scratch(_grouped(rows.where("salt = 0")).mapInArrow(
+            _majority, "a long, reference binary"), "references", tasks)
+        lead = rows.where("b is null").join(reference, "a")
+        led = _grouped(rows.where("b is not null").withColumn("reference", F.lit(None).cast("binary"))
+                       .unionByName(lead))
+        apart = write_scratch(led.mapInArrow(
             lambda it: _differ(it, percent), ", ".join(f"{c} long" for c in _DIFFERENCES)), "differences")
         shared = apart.where("side = 0").select("key", "rep")
         sizes = _sizes(shared, tasks)
-        extra = extra.unionByName(_across(apart, comp, percent)).unionByName(
+        extra = extra.unionByName(_centres(apart)).unionByName(_lacking(apart, comp, percent)).unionByName(
             _along(apart, sizes.where(F.col("size") <= SHARED), comp, percent))
         extra = write_scratch(_untried(extra, tried), "extra", tasks)
         buckets = _open(_buckets(shared, sizes.where(F.col("size") > SHARED), "buckets", tasks), comp, tasks)
