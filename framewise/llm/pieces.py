@@ -25,6 +25,7 @@ import hashlib
 import os
 import struct
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -167,21 +168,34 @@ _NEW = (("n_tokens", T.LongType()), ("input_ids", T.ArrayType(T.IntegerType(), F
         ("ids_sha256", T.StringType()), ("round_trip", T.BooleanType()))
 
 
+def _spelt(raw: bytes) -> tuple[list[bytes], bool]:
+    """The bytes that each id stands for, and whether texts got a leading space."""
+    model = Model(raw)
+    return [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode()
+            for p, _, kind in model.pieces], model.dummy_prefix
+
+
 def _encode(batches, model, text: str, threads: int):
     raw, new = model.value, [n for n, _ in _NEW]
+    spelt, prefix = _spelt(raw)
     for batch in batches:
         rest = [f for f in batch.schema.names if f not in new and f != text]
         at = 0
         for texts in _calls([t or "" for t in flat(batch, text).to_pylist()]):
             ids = encode_texts(raw, texts, threads)
-            same = [a == b for a, b in zip(texts, decode_ids(raw, ids, threads), strict=True)]
+            said = [b"".join([spelt[i] for i in x]) for x in ids]
+            same = [s.removeprefix(b" " if prefix else b"") == t.encode() for s, t in zip(said, texts, strict=True)]
+            numbers = [np.array(x, "<i4") for x in ids]
+            sizes = np.array([len(x) for x in ids])
+            listed = pa.ListArray.from_arrays(
+                pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), pa.array(np.concatenate(numbers)),
+                type=pa.list_(pa.field("element", pa.int32(), False)))
             part = batch.slice(at, len(texts))
             at += len(texts)
-            listed = pa.array(ids, pa.list_(pa.field("element", pa.int32(), False)))
             yield pa.RecordBatch.from_arrays(
-                [*(flat(part, f) for f in rest), pa.array([len(x) for x in ids], pa.int64()), listed,
-                 pa.array([hashlib.sha256(struct.pack(f"<{len(x)}i", *x)).hexdigest() for x in ids]),
-                 pa.array(same)], names=[*rest, *new])
+                [*(flat(part, f) for f in rest), pa.array(sizes.astype(np.int64)), listed,
+                 pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in numbers]), pa.array(same)],
+                names=[*rest, *new])
 
 
 def model_bytes(spark, path: str = MODEL) -> bytes:
@@ -193,8 +207,8 @@ def model_bytes(spark, path: str = MODEL) -> bytes:
 
 def encode(docs: DataFrame, model_path: str = MODEL, text: str = "text", threads: int = THREADS) -> DataFrame:
     """``docs`` with ``n_tokens``, ``input_ids``, ``ids_sha256`` (of the ids as
-    little-endian 32-bit numbers) and ``round_trip`` (whether decoding gives
-    the text back) in place of the text."""
+    little-endian 32-bit numbers) and ``round_trip`` (whether what the ids stand
+    for is the text) in place of the text."""
     spark = docs.sparkSession
     bounded_batches(spark)
     model = spark.sparkContext.broadcast(model_bytes(spark, model_path))
