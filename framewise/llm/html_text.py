@@ -4,15 +4,16 @@ The markup is stripped to lines, one for each block of text.  A line counts
 with its length; lines of boilerplate elements (menus, page headers, footers,
 sidebars, notices, adverts, forms, reader comments, named by element, role or
 a word of class or id) count nothing.  Over a sliding window of lines the
-lengths are summed: where the sum surges from below the threshold the main
-text begins, where it dives to nothing it ends, and the text between the two
-is kept, short lines included.
+lengths are summed: where the sum surges to the threshold a block of main
+text begins, where it dives to nothing it ends, and every such block is kept,
+short lines included.  The threshold is a share of the largest window sum
+without that window's longest line, ``LEAST`` characters at most: one long
+paragraph does not raise it, and many raise it to ``LEAST``.
 
-A page that marks its article (``article``, ``main`` or the like) sets the
-lines the distribution runs over: only lines of the longest such container
-count, and within it every line with text is kept.  On pages without such a
-mark, link text counts nothing and the threshold is a share of the largest
-window sum.
+A page that marks its article (``article``, ``main`` or the like) weights the
+lines: those of the longest such container count ``MARKED`` times their
+length, links included, so that a title or a byline is enough for a surge, and
+all others nothing.  On pages without such a mark link text counts nothing.
 
 Defined results.  Null or empty html, or no text: the empty string.  Cut-off
 pages: whatever is open ends with the page.  Unclosed script or style: the
@@ -32,8 +33,11 @@ from pyspark.sql import types as T
 
 from framewise.llm.common import bounded_batches, flat
 
-#: Lines in a window, and the share of the largest window sum that counts as a surge.
-WINDOW, SURGE = 3, 0.2
+#: Lines in a window, the share of the largest window sum (without its longest
+#: line) that counts as a surge, and the characters that always do.
+WINDOW, SURGE, LEAST = 3, 0.2, 86
+#: Weight of a character in the page's marked article.
+MARKED = 8
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -175,36 +179,32 @@ def extract(page: str | None) -> str:
             if home >= 0:
                 total[home] = total.get(home, 0) + len(text)
         best = max(total, key=lambda h: (total[h], -h))
-        lengths = [len(text) if home == best else 0 for text, home, _ in lines]
-        return "\n".join(t for (t, _, _), n in zip(lines, lengths, strict=True) if n)
-    lengths = [max(0, len(text) - links) for text, _, links in lines]
-    start, end = main_block(lengths)
-    return "\n".join(text for text, _, _ in lines[start:end])
-
-
-def main_block(lengths: list[int]) -> tuple[int, int]:
-    """First and last line (exclusive) between the surge and the dive of the
-    longest block of the distribution."""
-    sums, running = [], sum(lengths[:WINDOW])
-    for i in range(len(lengths)):
-        sums.append(running)
-        running += (lengths[i + WINDOW] if i + WINDOW < len(lengths) else 0) - lengths[i]
-    least = SURGE * max(sums, default=0)
-    best, i = (0, 0, 0), 0
+        lengths = [MARKED * len(text) if home == best else 0 for text, home, _ in lines]
+    else:
+        lengths = [max(0, len(text) - links) for text, _, links in lines]
+    return "\n".join(lines[i][0] for start, end in main_blocks(lengths) for i in range(start, end))
+
+
+def main_blocks(lengths: list[int]) -> list[tuple[int, int]]:
+    """First and last line (exclusive) of each block between a surge and a
+    dive of the distribution."""
+    windows = [lengths[i:i + WINDOW] for i in range(len(lengths))]
+    sums = [sum(w) for w in windows]
+    least = min(LEAST, SURGE * max((n - max(w) for n, w in zip(sums, windows, strict=True)), default=0))
+    out, i = [], 0
     while i < len(lengths):
         if not lengths[i] or sums[i] < least:
             i += 1
             continue
-        end, total = i, 0
+        end = i
         while end < len(lengths) and sums[end]:
-            total += lengths[end]
             end += 1
         last = end
-        while last > i and not lengths[last - 1]:
+        while not lengths[last - 1]:
             last -= 1
-        best = max(best, (total, -i, -last))
+        out.append((i, last))
         i = end
-    return -best[1], -best[2]
+    return out
 
 
 def _extract(batches, html: str):

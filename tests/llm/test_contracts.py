@@ -330,6 +330,21 @@ def test_main_text(page):
     assert html_text.extract(page) == PAGES[page]
 
 
+def test_distribution_on_all_pages():
+    five = [f"{k} " + "x" * 98 for k in range(5)]
+    long, links = "y" * 5000, "<p><a href=1>one</a></p>" * 5
+    paras = lambda texts: "".join(f"<p>{t}</p>" for t in texts)
+    whole = "\n".join([*five, long])
+    assert html_text.extract(paras([*five, long])) == whole  # one long paragraph does not raise the threshold
+    assert html_text.extract(paras(five) + links + paras([long])) == whole  # all blocks
+    assert html_text.extract(paras(["ab", "cd", "ef", "gh", *five])) == "\n".join(["ef", "gh", *five])
+    # on a marked page too: strokes before the text surge nowhere, a title and a byline do
+    assert html_text.extract("<article>" + paras(["|", "|", "|", "|", "|", *five]) + "</article>" + paras([long])) \
+        == "\n".join(["|", "|", *five])
+    head = ["A title", "By Ann", "1 May"]
+    assert html_text.extract("<article>" + paras([*head, *five, long]) + "</article>") == "\n".join([*head, whole])
+
+
 def test_html_edges(spark, edge, empty):
     long = "<article>" + "".join(f"<p>para {i} &amp; more</p>" for i in range(50_000)) + "</article>"
     df = edge.select(F.col("doc_id").alias("page_id"), F.col("text").alias("html"), F.lit("clash").alias("text"))
