@@ -3,18 +3,15 @@
 Cross-document part: every line is normalised and hashed, the distinct
 documents that hold it are counted per host, lines above ``max_docs`` are
 removed, and a document that the removal depletes is rejected.  A document
-counts by its content: exact copies are one document, and so are texts that
-begin and end with the same words around the line's neighbours, so that a
-group of copies does not make its own body look like boilerplate (copies are
-the business of near-duplicate removal, not of this rule).
-
-Concretely a line's *context* is the hash of the lines next to it; what is
-counted per (host, line) is the number of distinct contexts.  A line above
-the limit stays in the document with the smallest id of its host and goes
-from the others, so of a large group of near copies one keeps its body.  Each
-(host, line, context) is pre-aggregated before its shuffle and again before
-the count's shuffle, so a line that a third of all documents hold never meets
-in one task.
+counts by its content, the hash of its normalised lines: copies are one
+document, so that a group of them does not make its own body look like
+boilerplate (copies are the business of near-duplicate removal, not of this
+rule).  Texts that differ in a line are different documents.
+
+A line above the limit stays in the document with the smallest id of its host
+and goes from the others.  Each (host, line, content) is pre-aggregated before
+its shuffle and again before the count's shuffle, so a line that a third of
+all documents hold never meets in one task.
 
 Defined results.  Null or empty text: no words, fails the base rules.  Null
 host: a host of its own.  Null or repeated ids: every row is judged by itself;
@@ -34,7 +31,7 @@ from framewise.llm.common import (SPACE_CHARS, bounded_batches, byte_codes, flat
                                   maybe_broadcast, mix, utf8, word_hashes, write_scratch)
 from framewise.llm.line_dedup import line_key, lines_of
 
-#: Distinct contexts per host beyond which a line is boilerplate.
+#: Distinct documents per host beyond which a line is boilerplate.
 MAX_DOCS = 100
 #: Share of a text's characters that must be left after the removal.
 MIN_LEFT = 0.1
@@ -127,18 +124,12 @@ def base_failed() -> Column:
 
 
 def frequent_lines(docs: DataFrame, host: str, id_col: str, text: str, max_docs: int) -> DataFrame:
-    """Hashes ``a``, ``b`` of (host, line) with more than ``max_docs`` contexts,
-    and the smallest id ``first`` that holds the line."""
-    # every line between its neighbours, as three equally long arrays zipped by position
-    keys = F.transform(lines_of(F.col(text)), line_key)
-    around = docs.select(F.col(host).alias("host"), F.col(id_col).alias("id"), keys.alias("k")).select(
-        "host", "id", F.explode(F.arrays_zip(
-            F.col("k").alias("key"),
-            F.concat(F.array(F.lit("")), F.col("k")).alias("prev"),
-            F.concat(F.slice("k", 2, F.size("k")), F.array(F.lit(""))).alias("next"))).alias("l"))
-    rows = around.where((F.col("l.key") != "") & F.col("l.key").isNotNull()).select(
-        F.xxhash64("host", "l.key").alias("a"), F.xxhash64(F.lit(1), "host", "l.key").alias("b"),
-        F.xxhash64("l.prev", "l.next").alias("c"), "id")
+    """Hashes ``a``, ``b`` of (host, line) in more than ``max_docs`` documents of
+    different content, and the smallest id ``first`` that holds the line."""
+    keys = F.filter(F.transform(lines_of(F.col(text)), line_key), lambda k: k != "")
+    held = docs.select(F.col(host).alias("host"), F.col(id_col).alias("id"), keys.alias("k")).select(
+        "host", "id", F.xxhash64("k").alias("c"), F.explode(F.array_distinct("k")).alias("key"))
+    rows = held.select(F.xxhash64("host", "key").alias("a"), F.xxhash64(F.lit(1), "host", "key").alias("b"), "c", "id")
     return (rows.groupBy("a", "b", "c").agg(F.min("id").alias("id"))
             .groupBy("a", "b").agg(F.count("*").alias("n"), F.min("id").alias("first"))
             .where(F.col("n") > max_docs).select("a", "b", "first"))

@@ -166,6 +166,22 @@ def test_boilerplate_documents_are_rejected(spark):
     assert all(got[200 + k] for k in range(3))
 
 
+def test_notices_of_several_lines(spark):
+    notice = [" ".join(f"n{k}w{i}" for i in range(60)) for k in range(3)]
+    copy = "\n".join(" ".join(f"c{k}w{i}" for i in range(60)) for k in range(3))
+    body = [" ".join(f"t{k}w{i}" for i in range(200)) for k in range(30)]
+    rows = [(k, "h", "\n".join([f"first {k}", *notice])) for k in range(30)]  # only the notice under a first line
+    rows += [(100 + k, "h", "\n".join([*notice, body[k]])) for k in range(30)]
+    rows += [(200 + k, "h", copy) for k in range(30)]  # copies of a text are one document
+    got = {r.doc_id: (r.boiler_chars, r.kept) for r in line_rules.judge(
+        spark.createDataFrame(rows, "doc_id long, source string, text string"), max_docs=20).collect()}
+    chars = sum(len(x.replace(" ", "")) for x in notice)
+    assert got[0] == (0, True)  # the first document keeps the notice
+    assert all(got[k] == (chars, False) for k in range(1, 30))
+    assert all(got[100 + k] == (chars, True) for k in range(30))
+    assert all(got[200 + k] == (0, True) for k in range(30))
+
+
 def test_near_duplicate_edges(spark, edge, empty):
     rows = [(r.doc_id, r.text) for r in edge.collect()]
     got = setsketch.near_duplicates(edge).collect()
