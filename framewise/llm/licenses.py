@@ -1,11 +1,16 @@
 """License scan: TF-IDF cosine to templates, then inheritance by directory.
 
-Every line of a file (a header's notice) and the file as a whole (a licence
-file) is a sparse TF-IDF vector; its cosine to the vectors of the licence
-templates names the best template.  Document frequencies of the templates'
+Every line and every block of lines of a file (a header's notice) and the file
+as a whole (a licence file) is a sparse TF-IDF vector; its cosine to the
+vectors of the licence templates names the best template.  Templates are of
+two kinds: notices that licences ask to be put into files, and whole licence
+texts (``license_texts/``).  Lines and blocks are held against notices, whole
+files against both.  A block is a run of lines with words that all begin with
+a comment mark or all with none.  Whole texts have a threshold of their own,
+since long texts resemble each other by their common words.  Document frequencies of the templates'
 words are counted over all files; a word outside the templates weighs like a
 word of one file.  A file whose whole text reaches the threshold is a licence
-file of its directory; a file with a line that does has a header.  All other
+file of its directory; a file with a line or block that does has a header.  All other
 files inherit from the nearest directory above them, their own included, that
 holds a licence file: the distinct directories are joined with the ancestors
 of their paths, the files with their directory's answer.
@@ -23,7 +28,9 @@ than id, path and text are not carried.
 
 from __future__ import annotations
 
+import functools
 import math
+from importlib import resources
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +39,13 @@ from pyspark.sql import functions as F
 
 from framewise.llm.common import bounded_batches, byte_codes, flat, mix, utf8, word_hashes, write_scratch
 
-THRESHOLD = 0.6
+#: Least cosine to a notice, and to a whole licence text.
+THRESHOLD, TEXT_THRESHOLD = 0.6, 0.85
+#: Whole licence texts by name, without their holders' names.
+TEXTS = tuple((f.name.removesuffix(".txt"), f.read_text("utf-8")) for f in sorted(
+    (resources.files("framewise.llm") / "license_texts").iterdir(), key=lambda f: f.name) if f.name.endswith(".txt"))
 #: Notices that licences ask to be put into files.
-TEMPLATES = (
+NOTICES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this "
                    "file except in compliance with the License. You may obtain a copy of the License at "
@@ -52,7 +63,15 @@ TEMPLATES = (
             "and associated documentation files (the \"Software\"), to deal in the Software without "
             "restriction"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of "
+                "the GNU General Public License as published by the Free Software Foundation; either version "
+                "2 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of "
+                 "the GNU Lesser General Public License as published by the Free Software Foundation; either "
+                 "version 2.1 of the License, or (at your option) any later version."),
+    *(("MIT", part) for part in dict(TEXTS)["MIT"].split("\n\n") if part.startswith("Permission")),
 )
+TEMPLATES = NOTICES + TEXTS
 
 
 def _hashed(texts: list[str]):
@@ -61,6 +80,7 @@ def _hashed(texts: list[str]):
     return h, first
 
 
+@functools.lru_cache(maxsize=1)
 def vocabulary() -> np.ndarray:
     """Hashes of the templates' words, ascending."""
     return np.unique(_hashed([t for _, t in TEMPLATES])[0])
@@ -83,8 +103,14 @@ class Vectors:
     def best(self, unit: np.ndarray, h: np.ndarray, units: int) -> tuple[np.ndarray, np.ndarray]:
         """Best cosine and its template for each of ``units`` texts, given the
         ascending text number of every word hash."""
+        return self.reached(unit, h, units, [0.0] * len(TEMPLATES))[:2]
+
+    def reached(self, unit: np.ndarray, h: np.ndarray, units: int, least: list[float]):
+        """Cosine and template of each text, and whether the cosine reaches the
+        template's number in ``least``; the best of those that do, or else the
+        best.  Only the first ``len(least)`` templates are compared."""
         if not len(h):
-            return np.zeros(units), np.zeros(units, np.int64)
+            return np.zeros(units), np.zeros(units, np.int64), np.zeros(units, bool)
         key = mix(unit.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ h)
         _, index, tf = np.unique(key, return_index=True, return_counts=True)
         unit, h = unit[index], h[index]
@@ -93,13 +119,14 @@ class Vectors:
         weight = tf * np.where(own, self.idf[at], self.rare)
         norm = np.sqrt(np.bincount(unit, weight * weight, units))
         unit, at, weight = unit[own], at[own], weight[own]
-        score, which = np.zeros(units), np.zeros(units, np.int64)
-        for t in range(len(TEMPLATES)):
+        score, which, held = np.zeros(units), np.zeros(units, np.int64), np.zeros(units, bool)
+        for t, enough in enumerate(least):
             dot = np.bincount(unit, weight * self.matrix[t, at], units)
             cosine = np.divide(dot, norm, out=np.zeros(units), where=norm > 0)
-            better = cosine > score + 1e-12
-            score[better], which[better] = cosine[better], t
-        return score, which
+            reach = cosine >= enough
+            better = reach & ~held | (reach == held) & (cosine > score + 1e-12)
+            score[better], which[better], held[better] = cosine[better], t, reach[better]
+        return score, which, held
 
 
 def _frequencies(batches):
@@ -124,27 +151,43 @@ def _words(batch):
     return h, first
 
 
+NOTICE_LEAST = [THRESHOLD] * len(NOTICES)
+FILE_LEAST = NOTICE_LEAST + [TEXT_THRESHOLD] * len(TEXTS)
+
+
+def blocks(data: np.ndarray, doc: np.ndarray, line: np.ndarray, begins: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """Ascending block number of every word, given its text, line and start."""
+    if not len(s):
+        return line
+    marks = np.append(0, np.cumsum((data > 32) & (data < 128)))
+    opens = np.append(True, line[1:] != line[:-1])  # first word of its line
+    marked = (marks[s[opens]] > marks[begins[line[opens]]])[np.cumsum(opens) - 1]
+    ends = (np.diff(line) > 1) | (np.diff(doc) > 0) | (marked[1:] != marked[:-1])
+    return np.append(0, np.cumsum(ends))
+
+
 def _scan(batches, vectors):
     v, codes = vectors.value, byte_codes("alnum", True)
     for batch in batches:
         data, offsets = utf8(flat(batch, "text"))
         h, s, _, first = word_hashes(data, offsets, codes)
         doc = np.repeat(np.arange(batch.num_rows), np.diff(first))
-        whole, which = v.best(doc, h, batch.num_rows)
+        whole, which, held = v.reached(doc, h, batch.num_rows, FILE_LEAST)
         # lines are numbered over the batch: a text begins a line, and so does a line feed
         begins = np.unique(np.concatenate([offsets[:-1], np.flatnonzero(data == 10) + 1]))
         line = np.searchsorted(begins, s, side="right") - 1
-        score, template = v.best(line, h, len(begins))
-        owner = np.searchsorted(offsets, begins, side="right") - 1
         header, named = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
-        for i in np.flatnonzero(score >= THRESHOLD):
-            d = owner[i]
-            if d < batch.num_rows and score[i] > header[d] + 1e-12:
-                header[d], named[d] = score[i], template[i]
+        for unit in (line, blocks(data, doc, line, begins, s)):
+            units = int(unit[-1]) + 1 if len(unit) else 0
+            score, template, reach = v.reached(unit, h, units, NOTICE_LEAST)
+            at = np.flatnonzero(reach)
+            for i, d in zip(at, doc[np.searchsorted(unit, at)], strict=True):
+                if score[i] > header[d] + 1e-12:
+                    header[d], named[d] = score[i], template[i]
         names = [n for n, _ in TEMPLATES]
         yield pa.RecordBatch.from_arrays(
             [flat(batch, "id"), flat(batch, "path"), pa.array(whole), pa.array(header),
-             pa.array([names[k] if x >= THRESHOLD else None for k, x in zip(which, whole, strict=True)], pa.string()),
+             pa.array([names[k] if x else None for k, x in zip(which, held, strict=True)], pa.string()),
              pa.array([names[k] if x else None for k, x in zip(named, header, strict=True)], pa.string())],
             names=["id", "path", "file_score", "header_score", "file_license", "header_license"])
 

@@ -388,6 +388,27 @@ def test_license_inheritance(spark, edge, empty):
     assert licenses.scan(empty, "doc_id", "source").count() == 0
 
 
+def test_full_length_licenses(spark):
+    text = dict(licenses.TEXTS)
+    body = "def f(): return 1\n" * 30
+    mit = "Copyright (c) 2020 Some Holder\n\n" + text["MIT"]
+    wrapped = ("# This program is free software: you can redistribute it and/or modify\n# it under the terms of "
+               "the GNU General Public License as published by\n# the Free Software Foundation, either version 3 "
+               "of the License, or\n# (at your option) any later version.\nimport os\n" + body)
+    prose = "the quick brown fox of the hill and the dog in a house to be or not to be that is the question " * 9
+    rows = [(f"{n}/LICENSE", t) for n, t in text.items()] + [(f"{n}/src/x.py", body) for n in text]
+    rows += [("held/LICENSE", mit), ("held/a/b.py", body), ("gpl.py", wrapped), ("prose.txt", prose),
+             ("mit.py", "/*\n * " + mit.replace("\n", "\n * ") + "\n */\n" + body)]
+    got = {r.path: (r.license, r.origin, r.from_dir) for r in licenses.scan(
+        spark.createDataFrame(list(enumerate(rows)), "id long, f struct<path: string, text: string>")
+        .select("id", "f.*"), "id", "path").collect()}
+    for n in text:
+        assert got[f"{n}/LICENSE"] == (n, "file", None) and got[f"{n}/src/x.py"] == (n, "inherited", n)
+    assert got["held/LICENSE"] == ("MIT", "file", None) and got["held/a/b.py"] == ("MIT", "inherited", "held")
+    assert got["gpl.py"] == ("GPL-3.0", "header", None) and got["mit.py"] == ("MIT", "header", None)
+    assert got["prose.txt"] == (None, None, None)
+
+
 def test_license_cosine_is_exact(spark):
     import numpy as np
     texts = ["Released under the MIT License.", "the the license of things", "nothing here"]
