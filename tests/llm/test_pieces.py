@@ -1,7 +1,9 @@
 """Parity of the rebuilt tokenizer with the format's own library."""
 
 import sys
+from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,6 +50,16 @@ def test_edges(spark, edge, empty, own):
     assert {r.doc_id: r.text for r in back} == {i: t or "" for i, t in rows.items()}
 
 
+def test_round_trip_decodes(raw, monkeypatch):
+    batch = pa.RecordBatch.from_pydict({"text": ["one two", "", None, "caf\u00e9 \U0001f98a"]})
+    rows = lambda: [x for b in pieces._encode([batch], SimpleNamespace(value=raw), "text", 1)
+                    for x in b.column("round_trip").to_pylist()]
+    assert rows() == [True] * 4
+    whole = pieces.decode_ids
+    monkeypatch.setattr(pieces, "decode_ids", lambda *a: [t[1:] for t in whole(*a)])
+    assert rows() == [False, True, True, False]  # a decoder that loses text is seen
+
+
 def _number(field, value):
     out, value = bytes([field << 3]) if field < 16 else bytes([(field << 3) & 127 | 128, field >> 4]), value
     while value > 127:
