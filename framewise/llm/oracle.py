@@ -1,7 +1,8 @@
 """DuckDB SQL of the registered queries that SQL can express, written from the
 contracts: joins and windows over whole tables instead of runs, automata,
 sketches or files.  Main-text extraction, tokenizer, trie scores, TF-IDF
-cosines and the pipeline have none; the tests hold them against plain versions.
+cosines, multinomial draws and the pipeline have none; the tests hold them
+against plain versions.
 """
 
 from __future__ import annotations
@@ -137,6 +138,63 @@ SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(comp.c, w.doc_id) AS c
        coalesce(comp.c, w.doc_id) = w.doc_id AS kept
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN comp USING (doc_id)"""
 
+_OP11 = f"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                {_lower("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+grams AS (SELECT lang, list_slice(w, i, i + k - 1) AS p FROM
+          (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+           FROM w, (VALUES (1), (2), (3)) AS sizes(k) WHERE len(w) >= k)),
+f AS (SELECT lang, p, count(*) AS a FROM grams GROUP BY lang, p),
+totals AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE len(p) = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE len(p) > 1 AND a >= 10),
+inside AS (SELECT lang, q, max(a) AS most FROM
+           (SELECT lang, a, unnest([list_slice(p, 1, len(p) - 1), list_slice(p, 2, len(p))]) AS q FROM c)
+           GROUP BY lang, q),
+left_ AS (SELECT c.* FROM c LEFT JOIN inside i ON i.lang = c.lang AND i.q = c.p
+          WHERE i.most IS NULL OR 100 * i.most < 50 * c.a),
+cuts AS (SELECT lang, p, a, unnest(range(1, len(p))) AS k FROM left_),
+scored AS (SELECT c.lang, c.p, c.a, c.k, l.a AS l, r.a AS r,
+                  (CAST(1000000 AS HUGEINT) * c.a * c.a) // (CAST(l.a AS HUGEINT) * r.a) AS score
+           FROM cuts c JOIN f l ON l.lang = c.lang AND l.p = list_slice(c.p, 1, c.k)
+           JOIN f r ON r.lang = c.lang AND r.p = list_slice(c.p, c.k + 1, len(c.p))),
+lowest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, p ORDER BY score, k) AS o FROM scored)
+           WHERE o = 1),
+ranked AS (SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, CAST(score AS BIGINT) AS score,
+                  row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank
+           FROM lowest)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
+# crc32 by bits: a byte is mixed in, then eight steps (-1) follow
+_CRC_STEPS = "flatten(list_transform(range(1, length({0}) + 1), lambda i: [ord({0}[i]), -1, -1, -1, -1, -1, -1, -1, -1]))"
+_CRC32 = (f"xor(list_reduce([4294967295::BIGINT] || {_CRC_STEPS}, lambda c, b: CASE WHEN b >= 0 THEN xor(c, b) "
+          "WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END), 4294967295::BIGINT)")
+_OP12 = f"""
+WITH turns AS (SELECT conv_id, turn, coalesce(text, '') AS text,
+                      md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS key
+               FROM conversations),
+convs AS (SELECT conv_id, list({{'key': key, 'words': len(regexp_extract_all(text, {_WORD}))}}
+                               ORDER BY turn NULLS FIRST, key) AS ts FROM turns GROUP BY conv_id),
+heads AS (SELECT *, coalesce({_CRC32.format("CAST(conv_id AS VARCHAR)")} % 4, 0) AS h FROM convs),
+paths AS (SELECT c.conv_id, list_slice(coalesce(b.ts, []), 1, c.h) || list_slice(c.ts, c.h + 1, len(c.ts)) AS ts
+          FROM heads c LEFT JOIN convs b ON b.conv_id = c.conv_id - c.conv_id % 20),
+p AS (SELECT conv_id, len(ts) AS size, list_transform(ts, lambda t: t.key) AS keys,
+             list_transform(ts, lambda t: t.words) AS words FROM paths),
+steps AS (SELECT conv_id, size, d, list_slice(keys, 1, d) AS node, CASE WHEN d = 0 THEN 0 ELSE words[d] END AS words
+       FROM (SELECT *, unnest(range(0, size + 1)) AS d FROM p)),
+nodes AS (SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+                 string_agg(coalesce(CAST(conv_id AS VARCHAR), 'null'), ',' ORDER BY conv_id NULLS FIRST)
+                   FILTER (WHERE size = d) AS ends FROM steps GROUP BY node, d),
+kids AS (SELECT list_slice(node, 1, d - 1) AS node, count(*) AS k FROM nodes WHERE d > 0 GROUP BY 1),
+all_ AS (SELECT n.*, coalesce(k, 0) AS k FROM nodes n LEFT JOIN kids USING (node)),
+below AS (SELECT node, sum(leaf) AS n_leaves, sum(saved) AS saved FROM
+          (SELECT CASE WHEN k = 0 THEN 1 ELSE 0 END AS leaf, (n_convs - 1) * words AS saved,
+                  list_slice(node, 1, i) AS node FROM (SELECT *, unnest(range(0, d + 1)) AS i FROM all_)) GROUP BY node)
+SELECT a.conv_id, CAST(a.d AS BIGINT) AS depth, u.conv_id AS parent_conv_id, a.n_convs, a.k AS n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
+       sha256(coalesce(a.ends, '')) AS ends_sha256
+FROM all_ a JOIN below USING (node) LEFT JOIN nodes u ON a.d > 0 AND u.node = list_slice(a.node, 1, a.d - 1)"""
+
 SQL: dict[str, str] = {
     "op2_line_dedup": _OP2,
     "op5_decontamination": _OP5,
@@ -144,4 +202,6 @@ SQL: dict[str, str] = {
     "op7_quality_rules": _OP7,
     "op8_warc": _OP8,
     "op9_minhash_near_dedup": _OP9,
+    "op11_collocations": _OP11,
+    "op12_prefix_trie": _OP12,
 }

@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewise.llm import (chat, decontam, html_text, licenses, line_dedup, line_rules, pieces,
-                           ppm, setsketch, warc)
+from framewise.llm import (chat, collocations, decontam, html_text, licenses, line_dedup, line_rules, mixing,
+                           pieces, ppm, prefix_trie, setsketch, warc)
 from framewise.llm.common import read
 
 
@@ -85,6 +85,20 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score(docs).withColumnRenamed("id", "doc_id")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents").select("lang", "text"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return prefix_trie.trie_of(prefix_trie.rebuilt(prefix_trie.conversations(rows)))
+
+
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.words_taken(mixing.mix_sources(docs)).drop("source")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -93,4 +107,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_line_dedup, op3_html_extraction, op4_sentencepiece, op5_decontamination,
-    op6_chat_formatting, op7_quality_rules, op8_warc, op9_minhash_near_dedup, op10_lm_scoring, pipeline)}
+    op6_chat_formatting, op7_quality_rules, op8_warc, op9_minhash_near_dedup, op10_lm_scoring,
+    op11_collocations, op12_prefix_trie, op13_source_mix, pipeline)}

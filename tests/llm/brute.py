@@ -198,3 +198,73 @@ def rule_verdicts(rows, max_docs=100, min_left=0.1):
                    if k and len(around[host, k]) > max_docs and first.get((host, k)) != i)
         out.append((i, gone, not failed and (gone == 0 or chars - gone >= min_left * chars)))
     return out
+
+
+PIECE_END = re.compile(r"[.,;:!?\x0A-\x0D]")
+
+
+def collocations(docs, max_words=3, least=10, percent=50, top=2000):
+    """docs: (lang, text)."""
+    f, n = defaultdict(Counter), Counter()
+    for lang, text in docs:
+        lang = "und" if lang is None else lang
+        for piece in PIECE_END.split(lower(text)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(w)
+            for size in range(1, max_words + 1):
+                f[lang].update(tuple(w[i:i + size]) for i in range(len(w) - size + 1))
+    out = []
+    for lang, counts in f.items():
+        cands = {p: a for p, a in counts.items() if len(p) > 1 and a >= least}
+        covered = defaultdict(int)
+        for p, a in cands.items():
+            for i in range(len(p)):
+                for j in range(i + 2, len(p) + 1):
+                    if j - i < len(p):
+                        covered[p[i:j]] = max(covered[p[i:j]], a)
+        rows = []
+        for p, a in cands.items():
+            if 100 * covered[p] >= percent * a and p in covered and covered[p]:
+                continue
+            score, k = min((10**6 * a * a // (counts[p[:k]] * counts[p[k:]]), k) for k in range(1, len(p)))
+            rows.append((-score, -a, " ".join(p).encode(), counts[p[:k]], counts[p[k:]]))
+        out += [(lang, i, p.decode(), -a, left, right, n[lang], -s)
+                for i, (s, a, p, left, right) in enumerate(sorted(rows)[:top], 1)]
+    return out
+
+
+def prefix_trie(rows, every=20, heads=4):
+    """rows: (conv_id, turn, role, text)."""
+    def key(r, t):
+        return hashlib.md5(f"{len(r)}:{r}{t}".encode()).digest()
+
+    convs = defaultdict(list)
+    for c, turn, r, t in rows:
+        r, t = r or "", t or ""
+        convs[c].append(((turn is not None, turn or 0), key(r, t), (r, t)))
+    own = {c: [x[2] for x in sorted(v)] for c, v in convs.items()}
+    nodes = defaultdict(lambda: [[], []])  # members, ends
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % heads if c is not None else 0
+        base = own.get(c - int(math.fmod(c, every)), []) if c is not None else []
+        path = tuple(base[:h] + turns[h:])
+        for d in range(len(path) + 1):
+            nodes[path[:d]][0].append(c)
+        nodes[path][1].append(c)
+    kids = Counter(p[:-1] for p in nodes if p)
+    leaves, saved = Counter(), Counter()
+    for p, (members, _) in nodes.items():
+        value = (len(members) - 1) * len(WORD.findall(p[-1][1])) if p else 0
+        for d in range(len(p) + 1):
+            leaves[p[:d]] += not kids[p]
+            saved[p[:d]] += value
+
+    def least(p):
+        return min((c for c in nodes[p][0] if c is not None), default=None)
+
+    def told(ids):
+        return ",".join("null" if c is None else str(c)
+                        for c in sorted(ids, key=lambda c: (c is not None, c or 0)))
+
+    return [(least(p), len(p), least(p[:-1]) if p else None, len(m), kids[p], leaves[p], saved[p], sha(told(e)))
+            for p, (m, e) in nodes.items()]
