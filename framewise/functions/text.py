@@ -1,4 +1,4 @@
-"""Column expressions for text: tokens, n-grams, cleaning, stems.
+"""Column expressions for text: tokens, n-grams, cleaning.
 
 All of these are built-in Spark SQL expressions (regexp, higher-order array
 functions), so they run inside whole-stage codegen with no Python worker.
@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 
 TOKEN_PATTERN = "[\\p{L}\\p{N}]+"
 NUMBER_PATTERN = "^[0-9]+$"
-# The endings named for the stemming step of the cleaning chain.
-STEM_SUFFIX_PATTERN = "(ing|es|s)$"
 SPECIAL_CHAR_PATTERN = "[/@|]"
 # Fixed value: the separator of labels made unique within a group.
 WITHIN_SEPARATOR = "___"
@@ -50,13 +48,9 @@ def is_number(word) -> Column:
     return col_(word).rlike(NUMBER_PATTERN)
 
 
-def strip_suffix(word, pattern: str = STEM_SUFFIX_PATTERN) -> Column:
-    return F.regexp_replace(col_(word), pattern, "")
-
-
-def clean_text(text, stop_words) -> Column:
-    """The cleaning chain, in order: punctuation, special characters, digits,
-    lower case, stop words, stems, white space.
+def cleaned_words(text, stop_words) -> Column:
+    """The cleaning chain up to the stems, in order: punctuation, special
+    characters, digits, lower case, stop words; an array of words.
 
     ``stop_words`` is a Python sequence (a bounded word list); membership is
     an IN list, which the optimizer turns into a hash-set lookup (no join).
@@ -67,9 +61,7 @@ def clean_text(text, stop_words) -> Column:
     t = F.lower(t)
     stops = list(stop_words)
     words = F.split(t, "\\s+")
-    kept = F.filter(words, lambda w: (w != "") & ~w.isin(stops))  # IN list -> hash set
-    stemmed = F.transform(kept, lambda w: F.regexp_replace(w, STEM_SUFFIX_PATTERN, ""))
-    return F.trim(F.regexp_replace(F.array_join(stemmed, " "), "\\s+", " "))
+    return F.filter(words, lambda w: (w != "") & ~w.isin(stops))  # IN list -> hash set
 
 
 def strip_within_suffix(label, sep: str = WITHIN_SEPARATOR) -> Column:

@@ -1,5 +1,6 @@
 """Models on ``pyspark.ml``: logistic regression tables, trees, forests,
-boosted trees, k-means, topic models, projections.
+boosted trees; exact k-means on one column.  Topics, projections and clusters
+of documents are in ``docmatrix`` and ``linkage``.
 
 Fitting is MLlib's distributed work (tree aggregates over partitions); what
 reaches the driver is model metadata only (coefficients, importances,
@@ -14,16 +15,16 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
-from pyspark.ml.clustering import LDA, BisectingKMeans, KMeans
-from pyspark.ml.feature import PCA, HashingTF, RFormula, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import RFormula, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from framewise.operators.windows import prefix_sum
 from framewise.session import materialize
 
 
@@ -248,104 +249,86 @@ def gbt_scored(train: DataFrame, test: DataFrame, label: str, features: Sequence
 
 # --- clustering ----------------------------------------------------------------
 
-def kmeans_1d(df: DataFrame, value: str, k: int, seed: int = 42):
-    """k-means on one column: (model, centres frame (code, center)) and the
-    assignment frame with code and distance; distortion = mean distance."""
-    data = VectorAssembler(inputCols=[value], outputCol="features").transform(
-        df.where(F.col(value).isNotNull()).withColumn(value, F.col(value).cast("double")))
-    m = KMeans(k=k, seed=seed, maxIter=50).fit(data)
-    centres = [(i, float(c[0])) for i, c in enumerate(m.clusterCenters())]
-    cdf = _rows(df.sparkSession, centres, "code int, center double")
-    return m, cdf
-
-
-#: Hash buckets of a term vector: bounds centres, topics and covariances on the driver.
-TERM_BUCKETS = 4096
-
-
-def term_vectors(words: DataFrame, buckets: int = TERM_BUCKETS) -> DataFrame:
-    """(document, features): term counts of a row's array of words, hashed
-    into ``buckets``; sparse, made row by row without a shuffle or vocabulary."""
-    tf = HashingTF(inputCol="words", outputCol="features", numFeatures=buckets)
-    return tf.transform(words).select("document", "features")
-
-
-def bucket_terms(words: DataFrame, buckets: int = TERM_BUCKETS) -> DataFrame:
-    """(bucket, term): the most frequent term of each bucket (ties: the
-    smallest), which stands for it in tables."""
-    counts = words.select(F.explode("words").alias("term")).groupBy("term").agg(
-        F.count(F.lit(1)).alias("n"))
-    one = HashingTF(inputCol="one", outputCol="v", numFeatures=buckets).transform(
-        counts.select("term", "n", F.array("term").alias("one")))
-    bucket = F.array_position(vector_to_array("v"), F.lit(1.0)) - 1
-    return one.groupBy(bucket.cast("int").alias("bucket")).agg(
-        F.min(F.struct((-F.col("n")).alias("n"), "term")).alias("best")).select(
-        "bucket", F.col("best.term").alias("term"))
-
-
-def best_kmeans(vectors: DataFrame, k: int, restarts: int = 100, iterations: int = 20) -> DataFrame:
-    """k-means restarted from ``restarts`` random starts, the lowest cost kept:
-    (document, cluster, distances), the distances to all k centres."""
-    data = materialize(vectors, "term-vectors").persist()  # every pass reads the same vectors
-    best = None
-    for seed in range(restarts):
-        m = KMeans(k=k, seed=seed, maxIter=iterations, initMode="random").fit(data)
-        cost = m.summary.trainingCost
-        if best is None or cost < best[0]:
-            best = (cost, m)
-    centres = data.sparkSession.createDataFrame(
-        [(i, [float(x) for x in c]) for i, c in enumerate(best[1].clusterCenters())],
-        "code int, centre array<double>")
-    book = centres.agg(F.array_sort(F.collect_list(F.struct("code", "centre")))).scalar()
-    square = lambda x, y: (x - y) * (x - y)
-    out = best[1].transform(data).select(
-        "document", F.col("prediction").alias("cluster"), vector_to_array("features").alias("x"), book.alias("b"))
-    out = materialize(out.select("document", "cluster", F.transform("b", lambda c: F.sqrt(F.aggregate(
-        F.zip_with("x", c["centre"], square), F.lit(0.0), lambda t, v: t + v))).alias("distances")), "doc-clusters")
-    data.unpersist()
-    return out
-
-
-def bisecting_clusters(vectors: DataFrame, k: int, seed: int = 42) -> DataFrame:
-    """Divisive hierarchical clustering (not agglomerative Ward)."""
-    m = BisectingKMeans(k=k, seed=seed).fit(vectors)
-    return m.transform(vectors).select("document", F.col("prediction").alias("cluster"))
-
-
-def projection_2d(vectors: DataFrame) -> DataFrame:
-    m = PCA(k=2, inputCol="features", outputCol="pc").fit(vectors)
-    a = vector_to_array(F.col("pc"))
-    return m.transform(vectors).select("document", a[0].alias("pc1"), a[1].alias("pc2"))
-
-
-# --- topic model -------------------------------------------------------------------
-
-def lda_fit(vectors: DataFrame, k: int, seed: int = 1234, max_iter: int = 20):
-    """Variational LDA; the iterations re-read the vectors, so they are cached."""
-    data = vectors.persist()
-    model = LDA(k=k, seed=seed, maxIter=max_iter, optimizer="online", subsamplingRate=1.0,
-                featuresCol="features").fit(data)
-    data.unpersist()
-    return model
-
-
-def lda_beta(model, spark, top: int | None = None) -> DataFrame:
-    """(topic, bucket, beta) with beta = topic-term weight / topic total; with
-    ``top`` the heaviest buckets of each topic only.  The matrix has as many
-    rows as there are hash buckets, whatever the data."""
-    tm = model.topicsMatrix().toArray()
-    rows = []
-    for t in range(tm.shape[1]):
-        col = tm[:, t] / tm[:, t].sum()
-        order = sorted(range(len(col)), key=lambda i: (-col[i], i))[:top]
-        rows += [(t + 1, int(i), float(col[i])) for i in order]
-    return _rows(spark, rows, "topic int, bucket int, beta double")
-
-
-def lda_gamma(model, vectors: DataFrame) -> DataFrame:
-    """(document, topic, gamma): per-document topic shares (sum to 1)."""
-    a = vector_to_array(F.col("topicDistribution"))
-    t = model.transform(vectors).select("document", F.posexplode(a).alias("pos", "gamma"))
-    return t.select("document", (F.col("pos") + 1).cast("int").alias("topic"), "gamma")
-
-
+#: Distinct values that the exact method takes as they are; more go into so many bins of equal counts.
+KMEANS_BINS = 8192
+
+
+def _best_partition(n: np.ndarray, s: np.ndarray, k: int) -> list[int]:
+    """Where the k stretches of least squared error start: values in order
+    with counts ``n`` and sums ``s``, by divide and conquer over the last
+    start (it never moves back when the end moves on)."""
+    cn, cs = (np.concatenate([[0.0], np.cumsum(x)]) for x in (n, s))
+
+    def gain(i, j):  # of the stretch i..j-1: squared sum over count, to be made as large as possible
+        return (cs[j] - cs[i]) ** 2 / (cn[j] - cn[i])
+
+    size = len(n)
+    best, cuts = gain(0, np.arange(1, size + 1)), []
+    best = np.concatenate([[0.0], best])
+    for layer in range(2, k + 1):
+        new, cut = np.full(size + 1, -np.inf), np.zeros(size + 1, np.int64)
+        todo = [(layer, size, layer - 1, size - 1)]
+        while todo:
+            lo, hi, first, last = todo.pop()
+            if lo > hi:
+                continue
+            mid = (lo + hi) // 2
+            starts = np.arange(first, min(mid - 1, last) + 1)
+            total = best[starts] + gain(starts, mid)
+            at = int(total.argmax())
+            new[mid], cut[mid] = total[at], starts[at]
+            todo += [(lo, mid - 1, first, int(starts[at])), (mid + 1, hi, int(starts[at]), last)]
+        best = new
+        cuts.append(cut)
+    out, end = [], size
+    for cut in reversed(cuts):
+        end = int(cut[end])
+        out.append(end)
+    return [0, *reversed(out)]
+
+
+def kmeans_1d(df: DataFrame, value: str, k: int, bins: int = KMEANS_BINS):
+    """k-means on one column: (cost, centres frame (code, center)), the
+    optimum over all partitions; with fewer distinct values than ``k``, as
+    many centres.
+
+    Equal values are merged.  Up to ``bins`` distinct values the partition of
+    the ordered values is optimal.  Beyond that a running total of the counts
+    deals them into bins of equal counts (at most n / bins rows, but for a
+    value that alone has more), whose exact sums are partitioned: for each
+    border between two centres c and d the cost may exceed the optimum by
+    2 (d - c) w m, w and m being the width and the rows of the bin that the
+    border falls into.  Scans of the merged values then move the centres to
+    the means of their nearest values while the cost falls.
+    """
+    spark = df.sparkSession
+    v = F.col(value).cast("double")
+    counts = materialize(df.where(v.isNotNull()).groupBy(v.alias("v")).agg(F.count(F.lit(1)).alias("n")), "values")
+    shift = counts.agg(F.sum(F.col("v") * F.col("n")) / F.sum("n")).first()[0] or 0.0  # smaller numbers cancel less
+    if counts.count() > bins:
+        upto = prefix_sum(counts, ["v"], "n", "upto", total="total")
+        place = F.expr(f"((upto - n) * {bins}) div total")
+    else:
+        upto, place = counts, F.col("v")
+    rows = upto.groupBy(place.alias("place")).agg(
+        F.min("v").alias("lo"), F.sum("n").alias("n"), F.sum((F.col("v") - shift) * F.col("n")).alias("s")).toArrow()
+    order = np.argsort(rows["lo"].to_numpy())  # at most bins + 1 rows
+    n, s = (rows[c].to_numpy().astype(np.float64)[order] for c in ("n", "s"))
+    if not len(n):
+        return 0.0, _rows(spark, [], "code int, center double")
+    starts = _best_partition(n, s, min(k, len(n)))
+    centres = np.add.reduceat(s, starts) / np.add.reduceat(n, starts) + shift
+    cost = math.inf
+    while True:
+        near = F.array_min(F.array(*[F.struct(((F.col("v") - c) * (F.col("v") - c)).alias("d"), F.lit(i).alias("code"))
+                                     for i, c in enumerate(map(float, centres))]))
+        got = counts.select("v", "n", near.alias("b")).groupBy("b.code").agg(
+            F.sum("n").alias("n"), F.sum((F.col("v") - shift) * F.col("n")).alias("s"),
+            F.sum(F.col("b.d") * F.col("n")).alias("cost")).collect()  # k rows
+        now = sum(r.cost for r in got)
+        if now >= cost * (1 - 1e-12):
+            break
+        cost, kept = now, centres.copy()
+        for r in got:
+            centres[r.code] = r.s / r.n + shift
+    return cost, _rows(spark, [(i, float(c)) for i, c in enumerate(sorted(kept))], "code int, center double")

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framewise.functions import text as tx
+from framewise.functions.stemming import stem_column
 from framewise.operators.keys import join_on
 from framewise.operators.windows import row_number_global
 from framewise.session import materialize
@@ -115,6 +116,57 @@ def sentiment_contribution(word_counts: DataFrame, lexicon: DataFrame,
                         .otherwise(F.col("n")).cast("bigint"))
 
 
+def clean_text(df: DataFrame, stop_words: Sequence[str], text: str = "text", name: str = "clean") -> DataFrame:
+    """``df`` without its text but with the cleaned one: words without
+    punctuation, digits and stop words, each replaced by its stem, joined by
+    spaces.  Null text: null; a text without words: empty.
+
+    The stems are worked out on the distinct words and joined back, so a word
+    is stemmed once however often it occurs."""
+    keep = [c for c in df.columns if c != text]
+    rows = df.select(*keep, tx.cleaned_words(text, stop_words).alias("_words"),
+                     F.monotonically_increasing_id().alias("_row"))
+    rows = materialize(rows, "cleaned-words")  # row numbers stay as they are
+    each = rows.select("_row", F.posexplode("_words").alias("_pos", "word"))
+    joined = stem_column(each).groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("_pos", "stem"))).alias("_s"))
+    clean = F.when(F.col("_words").isNull(), F.lit(None)).otherwise(
+        F.coalesce(F.array_join(F.col("_s.stem"), " "), F.lit("")))
+    return rows.join(joined, "_row", "left").select(*keep, clean.alias(name))
+
+
+def stem_counts(words: DataFrame) -> DataFrame:
+    """(stem, n): occurrences by stem, counted by word first."""
+    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return stem_column(counts).groupBy("stem").agg(F.sum("n").alias("n"))
+
+
+def polarity(words: DataFrame, label: str, least: int = 10, prior: float = 500.0,
+             significant: float = 1.96) -> DataFrame:
+    """(word, sentiment, weight): the words that tell two labelled classes
+    apart.  ``words`` has a row per word of a labelled document, ``label`` is
+    1 (positive) or 0 (negative); other labels are left out.
+
+    The weight is the log odds of the word in the positive over the negative
+    class, each class with ``prior`` more words that are shared out as in both
+    classes together: rare words shrink towards 0.  A word is listed if it
+    occurs ``least`` times and its weight is ``significant`` standard errors
+    from 0; a weight of 0 is none, so no word is on both sides."""
+    one = words.where(F.col(label).isin(0, 1)).groupBy("word").agg(
+        F.sum(F.col(label)).cast("double").alias("p"), F.sum(1 - F.col(label)).cast("double").alias("q"))
+    one = materialize(one, "class-counts")
+    whole = one.agg(F.coalesce(F.sum("p"), F.lit(0.0)).alias("p"), F.coalesce(F.sum("q"), F.lit(0.0)).alias("q")).first()
+    share = prior * (F.col("p") + F.col("q")) / (whole.p + whole.q or 1.0)
+
+    def log_odds(n, total):
+        return F.log((n + share) / F.nullif(F.lit(total + prior) - n - share, F.lit(0.0)))
+
+    weight = log_odds(F.col("p"), whole.p) - log_odds(F.col("q"), whole.q)
+    error = F.sqrt(1 / (F.col("p") + share) + 1 / (F.col("q") + share))
+    return one.where(F.col("p") + F.col("q") >= least).select("word", weight.alias("weight"), error.alias("e")).where(
+        F.abs("weight") >= significant * F.col("e")).select(
+        "word", F.when(F.col("weight") > 0, "positive").otherwise("negative").alias("sentiment"), "weight")
+
+
 def doc_term_matrix(word_counts: DataFrame, document: str = "document", term: str = "word",
                     count: str = "count") -> DataFrame:
     """Sparse document-term matrix as triples (document, term_id, term, n).
@@ -146,4 +198,5 @@ def reorder_within(df: DataFrame, x: str, by: str, within: str, name: str,
 __all__ = ["unnest_pages", "tokenize", "remove_stop_words", "count_by", "tf_idf",
            "ngrams", "separate", "unite", "ngram_parts_without_stop_words",
            "count_bigrams", "sentiment_contribution", "doc_term_matrix",
+           "clean_text", "stem_counts", "polarity",
            "top_words", "reorder_within"]

@@ -18,6 +18,7 @@ from framewise.functions import text as tx
 from framewise.functions.binning import tenure_group
 from framewise.operators import aggregates as agg
 from framewise.operators import graph as gr
+from framewise.operators import network as nw
 from framewise.operators import profile as pf
 from framewise.operators import stats as st
 from framewise.operators import text as tt
@@ -398,10 +399,32 @@ def anti_join_top_countries(spark, sf):
     return rounded(_median_points(rest))
 
 
+def _polarity(spark, sf):
+    """(axis, word, sentiment, weight) of the two labels: good or bad quality,
+    harmless or toxic."""
+    labels = table(spark, sf, "labels").select(
+        F.col("doc_id").alias("page"), F.col("quality").cast("int").alias("quality"),
+        (1 - F.col("toxic").cast("int")).alias("toxic"))
+    words = tt.remove_stop_words(_words(spark, sf), lexicons.stop_words(spark)).join(labels, "page")
+    return tt.polarity(words, "quality").withColumn("axis", F.lit("quality")).unionByName(
+        tt.polarity(words, "toxic").withColumn("axis", F.lit("toxic")))
+
+
+def _sentiments(spark, sf):
+    """(word, sentiment): a word that the labels list on different sides has
+    two rows, as in published lists."""
+    return materialize(_polarity(spark, sf).select("word", "sentiment").distinct(), "sentiments")
+
+
+@query("polarity_list")
+def polarity_list(spark, sf):
+    return rounded(_polarity(spark, sf).select("axis", "word", "sentiment", "weight"))
+
+
 @query("sentiment_join")
 def sentiment_join(spark, sf):
     wc = _word_counts(spark, sf)
-    return wc.join(lexicons.sentiments(spark), "word")
+    return wc.join(_sentiments(spark, sf), "word")
 
 
 def _codebook(spark, sf):
@@ -481,7 +504,7 @@ def group_count(spark, sf):
 
 @query("weighted_count")
 def weighted_count(spark, sf):
-    j = _word_counts(spark, sf).join(lexicons.sentiments(spark), "word")
+    j = _word_counts(spark, sf).join(_sentiments(spark, sf), "word")
     return j.groupBy("document", "sentiment", "word").agg(F.sum("count").alias("n"))
 
 
@@ -751,8 +774,7 @@ def separate_cols(spark, sf):
 
 @query("stem_counts")
 def stem_counts(spark, sf):
-    w = _words(spark, sf).select(tx.strip_suffix("word").alias("stem"))
-    return tt.count_by(w.where(F.col("stem") != ""), ["stem"])
+    return tt.stem_counts(_words(spark, sf))
 
 
 @query("reorder_within")
@@ -765,9 +787,7 @@ def reorder_within(spark, sf):
 
 @query("clean_text")
 def clean_text(spark, sf):
-    p = views.pages_text(spark, sf)
-    return p.select("document", "page",
-                    tx.clean_text("text", lexicons.english_stop_words()).alias("clean"))
+    return tt.clean_text(views.pages_text(spark, sf), lexicons.english_stop_words())
 
 
 @query("unnest_pages")
@@ -835,7 +855,7 @@ def bigram_edges(spark, sf):
 
 @query("sentiment_contribution")
 def sentiment_contribution(spark, sf):
-    return tt.sentiment_contribution(_word_counts(spark, sf), lexicons.sentiments(spark), 10)
+    return tt.sentiment_contribution(_word_counts(spark, sf), _sentiments(spark, sf), 10)
 
 
 @query("doc_term_matrix")
@@ -845,20 +865,26 @@ def doc_term_matrix(spark, sf):
 
 # --- 2.11 statistics, graph ------------------------------------------------------------------------
 
+def densities(df: DataFrame) -> DataFrame:
+    """Densities over wide ranges are small numbers: 12 decimals."""
+    return df.select(*[F.round(c, 12 if c == "density" else DECIMALS).alias(c) if c in ("x", "y", "density")
+                       else F.col(c) for c in df.columns])
+
+
 @query("kde_scott")
 def kde_scott(spark, sf):
-    return rounded(st.kde_1d(views.salaries(spark, sf), "s_acctbal", 200, "scott"))
+    return densities(st.kde_1d(views.salaries(spark, sf), "s_acctbal", 200, "scott"))
 
 
 @query("kde_silverman")
 def kde_silverman(spark, sf):
-    return rounded(st.kde_1d(views.salaries(spark, sf), "s_acctbal", 200, "silverman"))
+    return densities(st.kde_1d(views.salaries(spark, sf), "s_acctbal", 200, "silverman"))
 
 
 @query("kde_2d")
 def kde_2d(spark, sf):
     s = table(spark, sf, "supplier")
-    return rounded(st.kde_2d(s, "s_acctbal", "s_nationkey", 100, "scott"))
+    return densities(st.kde_2d(s, "s_acctbal", "s_nationkey", 100, "scott"))
 
 
 @query("trend_line")
@@ -866,6 +892,13 @@ def trend_line(spark, sf):
     return rounded(st.trend_line(views.rated_items(spark, sf), "points", "price", 20, decimals=2))
 
 
+@query("smooth_trend")
+def smooth_trend(spark, sf):
+    """Local regression of price on points."""
+    fit = st.smooth(views.rated_items(spark, sf), "points", "price")
+    return fit.select("i", F.round("x", DECIMALS).alias("x"), F.round("y_fit", 3).alias("y_fit"))
+
+
 def _hops(spark, sf):
     cells = views.grid_cells(spark, sf)
     edges = gr.grid_edges(cells)
@@ -895,3 +928,34 @@ def ascent_path(spark, sf):
 def discounted_reach(spark, sf):
     cells, _, h = _hops(spark, sf)
     return rounded(gr.discounted_reach(cells, h, gr.farthest(h)))
+
+
+def _buyers(spark, sf):
+    """Customers and the parts they ordered, as a graph of named nodes."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
+    pairs = o.join(li, F.col("o_orderkey") == F.col("l_orderkey")).select(
+        F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("src"),
+        F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("dst"))
+    net = nw.network(pairs)
+    return net, net.edges.where(F.col("src").startswith("c")).agg(F.min("src")).first()[0]
+
+
+@query("edge_hops")
+def edge_hops(spark, sf):
+    """Hops of every customer and part from the first customer, and the
+    smallest neighbour before."""
+    return nw.hops_from(*_buyers(spark, sf))
+
+
+@query("edge_path")
+def edge_path(spark, sf):
+    """From the first customer to the farthest node (then the last by name)."""
+    net, start = _buyers(spark, sf)
+    goal = nw.hops_from(net, start).agg(F.max(F.struct("hops", "node"))).first()[0].node
+    return nw.path_between(net, start, goal)
+
+
+@query("edge_reach")
+def edge_reach(spark, sf):
+    return rounded(nw.discounted_from(*_buyers(spark, sf)))

@@ -1,4 +1,4 @@
-"""Registered model queries (pyspark.ml).  Fits are seeded; outputs are model
+"""Registered model queries.  Fits are seeded; outputs are model
 tables or scored rows.  There is no SQL twin for a fitted model, so these are
 checked on rows (and by the unit tests against closed forms)."""
 
@@ -6,17 +6,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from framewise.functions import text as tx
 from framewise.functions.binning import tenure_group
 from framewise.operators import aggregates as agg
+from framewise.operators import docmatrix as dm
+from framewise.operators import linkage as lk
 from framewise.operators import models as ml
 from framewise.operators import stats as st
 from framewise.operators import verbs as vb
 from framewise.plans import catalog as C
-from framewise.session import materialize
 from framewise.sources import views
 from framewise.sources.lexicons import english_stop_words
 from framewise.sources.tables import table
@@ -219,35 +220,63 @@ def _doc_words(spark, sf):
         lambda w: ~w.rlike(tx.NUMBER_PATTERN) & ~w.isin(stops)).alias("words"))
 
 
+def _doc_terms(spark, sf):
+    return dm.doc_terms(_doc_words(spark, sf))
+
+
 @model_query("doc_kmeans")
 def doc_kmeans(spark, sf):
-    """k = 3 on term vectors, best of 100 random starts; each document's
-    cluster and its distances to the three centres."""
-    out = ml.best_kmeans(ml.term_vectors(_doc_words(spark, sf)), 3, restarts=100)
+    """k = 3 on each document's distances to 64 landmark documents, best of
+    100 random starts; its cluster and its distances to the three centres."""
+    points = dm.landmark_distances(_doc_terms(spark, sf))
+    out = dm.best_clusters(points, 3, restarts=100)
     return out.select("document", "cluster", *[F.col("distances")[i].alias(f"distance_{i}") for i in range(3)])
 
 
+def _forest(spark, sf):
+    nodes, edges = lk.neighbour_graph(_doc_terms(spark, sf))
+    return nodes, lk.spanning_forest(edges)[0]
+
+
 @model_query("doc_hierarchy")
 def doc_hierarchy(spark, sf):
-    return ml.bisecting_clusters(ml.term_vectors(_doc_words(spark, sf)), 3)
+    """The merge tree cut into 3 groups."""
+    return lk.cut_tree(*_forest(spark, sf), 3)
+
+
+@model_query("doc_merge_tree")
+def doc_merge_tree(spark, sf):
+    """(child, document, parent, height): a child is a merge or, with its
+    document, a leaf."""
+    nodes, forest = _forest(spark, sf)
+    tree = lk.merge_tree(forest)
+    leaves = nodes.select((-F.col("node")).alias("child"), "document")
+    return tree.join(leaves, "child", "left").select("child", "document", "parent", "height")
 
 
 @model_query("doc_projection")
 def doc_projection(spark, sf):
-    """Two principal components of term vectors of 256 buckets."""
-    return ml.projection_2d(ml.term_vectors(_doc_words(spark, sf), 256))
+    """Two principal components of the documents' word counts."""
+    scores, _ = dm.project(_doc_terms(spark, sf))
+    return scores.select("document", F.col("scores")[0].alias("pc1"), F.col("scores")[1].alias("pc2"))
+
+
+@model_query("vocabulary_index")
+def vocabulary_index(spark, sf):
+    """Every word with its number and its count."""
+    return _doc_terms(spark, sf).vocabulary
 
 
-def _lda(spark, sf, k):
-    words = _doc_words(spark, sf)
-    vectors = materialize(ml.term_vectors(words), "term-vectors")
-    return ml.lda_fit(vectors, k, seed=C.SEED), vectors, words
+def _topics(spark, sf, k):
+    dt = _doc_terms(spark, sf)
+    return dt, dm.fit_topics(dt, k, seed=C.SEED)
 
 
 def _top_terms(spark, sf, k):
-    """The 10 heaviest terms of each of k topics."""
-    m, _, words = _lda(spark, sf, k)
-    return ml.lda_beta(m, spark, 10).join(ml.bucket_terms(words), "bucket").select("topic", "term", "beta")
+    """The 10 heaviest words of each of k topics (ties: by word)."""
+    best = Window.partitionBy("topic").orderBy(F.desc("beta"), "term")
+    return dm.topic_words(*_topics(spark, sf, k)).withColumn("_r", F.row_number().over(best)).where(
+        "_r <= 10").drop("_r")
 
 
 @model_query("lda_top_terms")
@@ -263,12 +292,10 @@ def lda_top_terms_5(spark, sf):
 @model_query("lda_gamma")
 def lda_gamma(spark, sf):
     """k = 5 topics: box statistics of the documents' shares by topic."""
-    m, vectors, _ = _lda(spark, sf, 5)
-    return agg.box_stats(ml.lda_gamma(m, vectors), "gamma", ["topic"])
+    return agg.box_stats(dm.document_topics(*_topics(spark, sf, 5)), "gamma", ["topic"])
 
 
 @model_query("lda_gamma_10")
 def lda_gamma_10(spark, sf):
     """k = 10 topics: every document's share of every topic."""
-    m, vectors, _ = _lda(spark, sf, 10)
-    return ml.lda_gamma(m, vectors)
+    return dm.document_topics(*_topics(spark, sf, 10))

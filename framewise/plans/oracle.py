@@ -12,7 +12,8 @@ from collections.abc import Callable
 
 from framewise.operators.verbs import draw_below
 from framewise.plans import catalog as C
-from framewise.sources.lexicons import SENTIMENT_WORDS, english_stop_words
+from framewise.functions import stemming as sm
+from framewise.sources.lexicons import english_stop_words
 from framewise.sources.views import GRID_WIDTH, WALL_SIZE
 
 D = C.DECIMALS
@@ -43,9 +44,81 @@ def stop_list() -> str:
     return "[" + ", ".join(_q(w) for w in english_stop_words()) + "]"
 
 
-def lexicon_values() -> str:
-    rows = ", ".join(f"({_q(w)}, {_q(s)})" for w, s in SENTIMENT_WORDS)
-    return f"lex AS (SELECT * FROM (VALUES {rows}) AS t(word, sentiment))"
+def polarity_ctes() -> str:
+    """pol(axis, word, sentiment, weight) and lex(word, sentiment); needs words and sw."""
+    return (
+        "lw AS (SELECT w.word, l.quality, 1 - l.toxic AS toxic FROM words w JOIN labels l ON l.doc_id = w.page "
+        "WHERE w.word NOT IN (SELECT word FROM sw)), "
+        "cl AS (SELECT axis, word, CAST(sum(y) AS DOUBLE) AS p, CAST(sum(1 - y) AS DOUBLE) AS q FROM "
+        "(SELECT 'quality' AS axis, word, quality AS y FROM lw UNION ALL SELECT 'toxic', word, toxic FROM lw) "
+        "WHERE y IN (0, 1) GROUP BY axis, word), "
+        "tot AS (SELECT axis, sum(p) AS tp, sum(q) AS tq FROM cl GROUP BY axis), "
+        "pr AS (SELECT *, 500.0::DOUBLE * (p + q) / (tp + tq) AS a FROM cl JOIN tot USING (axis)), "
+        "lo AS (SELECT axis, word, p + q AS n, ln((p + a) / nullif(tp + 500.0::DOUBLE - p - a, 0)) - "
+        "ln((q + a) / nullif(tq + 500.0::DOUBLE - q - a, 0)) AS weight, "
+        "sqrt(1 / (p + a) + 1 / (q + a)) AS e FROM pr), "
+        "pol AS (SELECT axis, word, CASE WHEN weight > 0 THEN 'positive' ELSE 'negative' END AS sentiment, weight "
+        "FROM lo WHERE n >= 10 AND abs(weight) >= 1.96 * e), "
+        "lex AS (SELECT DISTINCT word, sentiment FROM pol)")
+
+
+def _suffix_step(rules, otherwise: str = "stem") -> str:
+    return "CASE " + " ".join(f"WHEN ends_with(stem, {_q(s)}) THEN {r}" for s, r in rules) + f" ELSE {otherwise} END"
+
+
+APOSTROPHES = ("^'", "('s'|'s|')$")
+
+
+def stem_ctes(words: str) -> str:
+    """stems(word, stem) of the column word of the CTE ``words``."""
+    cut = lambda n: f"left(stem, length(stem) - {n})"
+    behind = lambda s, p: f"length(stem) - {len(s)} >= {p}"
+
+    def swap(s, to, test):
+        return s, f"CASE WHEN {test} AND NOT done THEN {cut(len(s))} || {_q(to)} ELSE stem END"
+
+    def is_like(pattern, c="stem"):
+        return f"regexp_matches({c}, {_q(pattern)})"
+
+    v = sm.VOWEL
+    region = f"^.*?{v}{sm.CONSONANT}"
+    plural = [("sses", cut(2)), *[(s, f"{cut(3)} || CASE WHEN length(stem) > 4 THEN 'i' ELSE 'ie' END")
+                                  for s in ("ied", "ies")],
+              ("us", "stem"), ("ss", "stem"), ("s", f"CASE WHEN {is_like(v + '.+s$')} THEN {cut(1)} ELSE stem END")]
+    verbs = [(s, "NULL" if s.startswith("eed") else f"CASE WHEN {is_like(v, cut(len(s)))} THEN {cut(len(s))} END")
+             for s in ("ingly", "eedly", "edly", "eed", "ing", "ed")]
+    mended = (f"CASE WHEN {is_like('(at|bl|iz)$', 'c')} THEN c || 'e' WHEN {is_like('(' + '|'.join(sm.DOUBLES) + ')$', 'c')} "
+              f"THEN left(c, length(c) - 1) WHEN length(c) <= p1 AND {is_like(sm.SHORT_SYLLABLE, 'c')} THEN c || 'e' "
+              "ELSE c END")
+    derived = [swap(s, to, behind(s, "p1") + {"ogi": f" AND {is_like('[' + sm.BEFORE_OGI + ']ogi$')}",
+                                              "li": f" AND {is_like('[' + sm.BEFORE_LI + ']li$')}"}.get(s, ""))
+               for s, to in sm.DERIVATIONS]
+    adjectives = [swap(s, to, behind(s, "p2" if s == "ative" else "p1")) for s, to in sm.ADJECTIVES]
+    endings = [swap(s, "", behind(s, "p2") + (f" AND {is_like('[' + sm.BEFORE_ION + ']ion$')}" if s == "ion" else ""))
+               for s in sm.ENDINGS]
+    last = [swap("e", "", f"({behind('e', 'p2')} OR ({behind('e', 'p1')} AND NOT {is_like(sm.SHORT_SYLLABLE, cut(1))}))"),
+            swap("l", "", f"{behind('l', 'p2')} AND ends_with(stem, 'll')")]
+    special = " ".join(f"WHEN word = {_q(w)} THEN {_q(to)}" for w, to in sm.SPECIAL.items())
+    stays = ", ".join(map(_q, sm.STAY_AFTER_PLURALS))
+    return ", ".join((
+        f"st0 AS (SELECT DISTINCT word, regexp_replace(regexp_replace(regexp_replace(regexp_replace(word, {_q(APOSTROPHES[0])}, "
+        f"''), {_q(APOSTROPHES[1])}, ''), '^y', 'Y'), '({v})y', '\\1Y', 'g') AS stem FROM {words} "
+        "WHERE word IS NOT NULL)",
+        "st1 AS (SELECT *, CASE WHEN f = '' THEN length(stem) ELSE length(f) END AS p1 FROM (SELECT *, "
+        f"regexp_extract(stem, {_q('^(' + '|'.join(sm.REGION_STARTS) + ')|' + region)}) AS f FROM st0))",
+        "st2 AS (SELECT word, stem, p1, CASE WHEN f2 = '' THEN length(stem) ELSE p1 + length(f2) END AS p2 FROM "
+        f"(SELECT *, regexp_extract(substr(stem, p1 + 1), {_q(region)}) AS f2 FROM st1))",
+        f"st3 AS (SELECT word, p1, p2, {_suffix_step(plural)} AS stem FROM st2)",
+        f"st4 AS (SELECT *, stem IN ({stays}) AS done FROM st3)",
+        f"st5 AS (SELECT *, CASE WHEN NOT done THEN {_suffix_step(verbs, 'NULL')} END AS c FROM st4)",
+        f"st6 AS (SELECT word, p1, p2, done, CASE WHEN done THEN stem WHEN c IS NOT NULL THEN {mended} ELSE "
+        f"{_suffix_step([swap(s, 'ee', behind(s, 'p1')) for s in ('eedly', 'eed')])} END AS stem FROM st5)",
+        f"st7 AS (SELECT word, p1, p2, done, CASE WHEN NOT done AND {is_like('^.+' + sm.CONSONANT + '[yY]$')} THEN "
+        f"{cut(1)} || 'i' ELSE stem END AS stem FROM st6)",
+        *[f"st{i} AS (SELECT word, p1, p2, done, {_suffix_step(rules)} AS stem FROM st{i - 1})"
+          for i, rules in enumerate((derived, adjectives, endings, last), 8)],
+        f"stems AS (SELECT word, CASE WHEN length(word) <= 2 THEN word {special} "
+        "ELSE translate(stem, 'Y', 'y') END AS stem FROM st11)"))
 
 
 GEO = ("geo AS (SELECT n.n_nationkey, n.n_name AS country, r.r_name AS continent "
@@ -189,15 +262,19 @@ def _by_each() -> str:
 
 
 def _kde(method: str) -> str:
+    """Linear binning into cells h / 16 apart, then the kernel over all cells."""
     factor = "power(n, -1.0 / 5)" if method == "scott" else "power(n * 3 / 4.0, -1.0 / 5)"
-    sql = (with_("base AS (SELECT s_acctbal AS x FROM supplier WHERE s_acctbal IS NOT NULL)",
+    sql = (with_("base AS (SELECT CAST(s_acctbal AS DOUBLE) AS x FROM supplier WHERE s_acctbal IS NOT NULL)",
                  "s AS (SELECT count(*) AS n, stddev_samp(x) AS sd, min(x) AS mn, max(x) AS mx FROM base)",
                  f"p AS (SELECT n, mn - sd AS a, mx + sd AS b, {factor} * sd AS h FROM s)",
+                 "f AS (SELECT x / (h / 16) AS f, floor(x / (h / 16)) AS c FROM base, p)",
+                 "cells AS (SELECT c, sum(w) AS w FROM (SELECT c, 1 - (f - c) AS w FROM f UNION ALL "
+                 "SELECT c + 1, f - c FROM f) GROUP BY c)",
                  "g AS (SELECT CAST(i AS INTEGER) AS i, a + i * ((b - a) / 199) AS gx FROM p, range(200) t(i))") +
-           "SELECT g.i, g.gx AS x, sum(exp(-0.5 * power((g.gx - base.x) / p.h, 2))) / "
-           "(p.n * p.h * sqrt(2 * pi())) AS density FROM g CROSS JOIN base CROSS JOIN p "
+           "SELECT g.i, g.gx AS x, round(sum(w * exp(-0.5 * power((g.gx - c * (p.h / 16)) / p.h, 2))) / "
+           "(p.n * p.h * sqrt(2 * pi())), 12) AS density FROM g CROSS JOIN cells CROSS JOIN p "
            "GROUP BY g.i, g.gx, p.n, p.h")
-    return rnd(sql, "x", "density")
+    return rnd(sql, "x")
 
 
 def _ri_cols() -> str:
@@ -384,7 +461,7 @@ def _texts() -> dict[str, Callable[[], str]]:
         "SELECT variety, median, row_number() OVER (ORDER BY median, variety) AS sort_key FROM m", "median")
     q["box_top_countries"] = lambda: _boxes(RATED + _selected(), "SELECT country, CAST(points AS DOUBLE) AS value FROM ri "
                                     "WHERE country IN (SELECT country FROM sel)", ["country"])
-    q["sentiment_join"] = lambda: (with_(wc_ctes(), lexicon_values()) +
+    q["sentiment_join"] = lambda: (with_(wc_ctes(), polarity_ctes()) +
                            "SELECT wc.word, wc.document, wc.count, lex.sentiment FROM wc "
                            "JOIN lex ON wc.word = lex.word")
     q["nearest_centroid"] = lambda: rnd(with_(
@@ -403,7 +480,7 @@ def _texts() -> dict[str, Callable[[], str]]:
     q["group_mean_all"] = lambda: rnd(with_(LABELLED) + "SELECT quality, avg(doc_id) AS doc_id, avg(n_chars) AS n_chars, "
                               "avg(toxic) AS toxic FROM ld GROUP BY quality", "doc_id", "n_chars", "toxic")
     q["group_count"] = lambda: with_(RATED) + "SELECT country, count(*) AS count FROM ri GROUP BY country"
-    q["weighted_count"] = lambda: (with_(wc_ctes(), lexicon_values()) +
+    q["weighted_count"] = lambda: (with_(wc_ctes(), polarity_ctes()) +
                            "SELECT wc.document, lex.sentiment, wc.word, CAST(sum(wc.count) AS BIGINT) AS n "
                            "FROM wc JOIN lex ON wc.word = lex.word GROUP BY 1, 2, 3")
     q["group_median"] = lambda: rnd(with_(RATED) + "SELECT country, quantile_cont(CAST(points AS DOUBLE), 0.5) AS median "
@@ -555,8 +632,10 @@ def _texts() -> dict[str, Callable[[], str]]:
     q["separate_cols"] = lambda: (with_(ngram_ctes(2)) +
                           "SELECT split_part(ngram, ' ', 1) AS word1, split_part(ngram, ' ', 2) AS word2, "
                           "count(*) AS n FROM grams GROUP BY 1, 2")
-    q["stem_counts"] = lambda: (with_(WORDS) + "SELECT stem, count(*) AS n FROM (SELECT regexp_replace(word, "
-                        "'(ing|es|s)$', '') AS stem FROM words) WHERE stem <> '' GROUP BY stem")
+    q["stem_counts"] = lambda: (with_(WORDS, stem_ctes("words")) + "SELECT stem, count(*) AS n FROM words "
+                        "JOIN stems USING (word) GROUP BY stem")
+    q["polarity_list"] = lambda: rnd(with_(WORDS, stop_values(), polarity_ctes()) +
+                             "SELECT axis, word, sentiment, weight FROM pol", "weight")
     q["reorder_within"] = lambda: rnd(tfidf + ", top AS (SELECT * FROM (SELECT *, rank() OVER (PARTITION BY document "
                               f"ORDER BY tf_idf DESC) AS rk FROM tfidf) WHERE rk <= {C.TOP_N}) "
                               "SELECT document, word, tf_idf, word || '___' || document AS label, "
@@ -565,11 +644,15 @@ def _texts() -> dict[str, Callable[[], str]]:
                               "tf_idf", "label_key")
     q["clean_text"] = lambda: (with_(
         PAGES,
-        "a AS (SELECT document, page, lower(regexp_replace(regexp_replace(regexp_replace(text, "
-        "'[[:punct:]]', '', 'g'), '[/@|]', ' ', 'g'), '\\d', '', 'g')) AS t FROM pages_text)") +
-        "SELECT document, page, trim(regexp_replace(array_to_string(list_transform(list_filter("
-        f"string_split_regex(t, '\\s+'), lambda w: w <> '' AND NOT list_contains({stop_list()}, w)), "
-        "lambda w: regexp_replace(w, '(ing|es|s)$', '')), ' '), '\\s+', ' ', 'g')) AS clean FROM a")
+        "a AS (SELECT row_number() OVER () AS r, document, page, lower(regexp_replace(regexp_replace(regexp_replace("
+        "text, '[[:punct:]]', '', 'g'), '[/@|]', ' ', 'g'), '\\d', '', 'g')) AS t FROM pages_text)",
+        "k AS (SELECT r, document, page, list_filter(string_split_regex(t, '\\s+'), "
+        f"lambda w: w <> '' AND NOT list_contains({stop_list()}, w)) AS ws FROM a)",
+        "each AS (SELECT r, i, ws[i] AS word FROM (SELECT r, ws, unnest(range(1, len(ws) + 1)) AS i FROM k))",
+        stem_ctes("each"),
+        "j AS (SELECT r, string_agg(stem, ' ' ORDER BY i) AS clean FROM each JOIN stems USING (word) GROUP BY r)") +
+        "SELECT document, page, CASE WHEN ws IS NOT NULL THEN coalesce(clean, '') END AS clean "
+        "FROM k LEFT JOIN j USING (r)")
     q["unnest_pages"] = lambda: ("SELECT document, CAST(i AS BIGINT) AS page, pages[i] AS text FROM "
                          "(SELECT doc_id AS document, string_split(text, chr(10)) AS pages, "
                          "unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents)")
@@ -596,7 +679,7 @@ def _texts() -> dict[str, Callable[[], str]]:
     q["bigram_edges"] = lambda: (with_(bigrams_filtered_ctes()) +
                          "SELECT word1, word2, count(*) AS n FROM bf GROUP BY 1, 2 HAVING count(*) > 20 "
                          "AND NOT regexp_matches(word1, '\\d') AND NOT regexp_matches(word2, '\\d')")
-    q["sentiment_contribution"] = lambda: (with_(wc_ctes(), lexicon_values()) +
+    q["sentiment_contribution"] = lambda: (with_(wc_ctes(), polarity_ctes()) +
                                    "SELECT document, sentiment, word, CAST(CASE WHEN sentiment = 'negative' "
                                    "THEN -n ELSE n END AS BIGINT) AS n FROM (SELECT wc.document, lex.sentiment, "
                                    "wc.word, sum(wc.count) AS n FROM wc JOIN lex ON wc.word = lex.word "
@@ -614,14 +697,35 @@ def _texts() -> dict[str, Callable[[], str]]:
         "min(px) AS x0, max(px) AS x1, min(py) AS y0, max(py) AS y1 FROM base)",
         "f AS (SELECT *, power(power(n, -1.0 / 6), 2) AS f2 FROM s)",
         "m AS (SELECT *, vx * f2 AS sxx, vy * f2 AS syy, cxy * f2 AS sxy FROM f)",
-        "d AS (SELECT *, sxx * syy - sxy * sxy AS det FROM m)",
+        "d AS (SELECT *, sxx * syy - sxy * sxy AS det, -sxy / syy AS c, sqrt(syy) AS hy, "
+        "sqrt((sxx * syy - sxy * sxy) / syy) AS hu FROM m)",
+        "pos AS (SELECT (px + c * py) / (hu / 8) AS fu, py / (hy / 8) AS fy FROM base, d)",
+        "low AS (SELECT fu, fy, floor(fu) AS cu, floor(fy) AS cy FROM pos)",
+        "cells AS (SELECT cu, cy, sum(w) AS w FROM ("
+        "SELECT cu, cy, (1 - (fu - cu)) * (1 - (fy - cy)) AS w FROM low UNION ALL "
+        "SELECT cu + 1, cy, (fu - cu) * (1 - (fy - cy)) FROM low UNION ALL "
+        "SELECT cu, cy + 1, (1 - (fu - cu)) * (fy - cy) FROM low UNION ALL "
+        "SELECT cu + 1, cy + 1, (fu - cu) * (fy - cy) FROM low) GROUP BY cu, cy)",
         "g AS (SELECT CAST(gi // 100 AS INTEGER) AS i, CAST(gi % 100 AS INTEGER) AS j, "
         "x0 + (gi // 100) * ((x1 - x0) / 99) AS gx, y0 + (gi % 100) * ((y1 - y0) / 99) AS gy "
         "FROM d, range(10000) t(gi))") +
-        "SELECT g.i, g.j, g.gx AS x, g.gy AS y, sum(exp(-0.5 * ((d.syy / d.det) * (g.gx - b.px) * (g.gx - b.px) "
-        "+ 2 * (-d.sxy / d.det) * (g.gx - b.px) * (g.gy - b.py) + (d.sxx / d.det) * (g.gy - b.py) * (g.gy - b.py)))) "
-        "/ (d.n * 2 * pi() * sqrt(d.det)) AS density FROM g CROSS JOIN base b CROSS JOIN d "
-        "GROUP BY g.i, g.j, g.gx, g.gy, d.n, d.det", "x", "y", "density")
+        "SELECT g.i, g.j, g.gx AS x, g.gy AS y, round(sum(w * exp(-0.5 * (power((g.gx + d.c * g.gy - cu * (d.hu / 8)) "
+        "/ d.hu, 2) + power((g.gy - cy * (d.hy / 8)) / d.hy, 2)))) / (d.n * 2 * pi() * sqrt(d.det)), 12) AS density "
+        "FROM g CROSS JOIN cells CROSS JOIN d GROUP BY g.i, g.j, g.gx, g.gy, d.n, d.det", "x", "y")
+    q["smooth_trend"] = lambda: with_(
+        RATED, "m AS (SELECT CAST(points AS DOUBLE) AS x, count(*) AS n, sum(price) AS t FROM ri "
+               "WHERE points IS NOT NULL AND price IS NOT NULL GROUP BY points)",
+        "s AS (SELECT sum(n) AS n, min(x) AS lo, max(x) AS hi, greatest(1, floor(0.75 * sum(n) + 1e-5)) AS q FROM m)",
+        "p AS (SELECT i, lo + i * ((hi - lo) / 79) AS g, x, m.n, t, (x - (lo + i * ((hi - lo) / 79))) / ((hi - lo) / 2) "
+        "AS e, q FROM m, s, range(80) r(i))",
+        "u AS (SELECT *, sum(n) OVER (PARTITION BY i ORDER BY round(abs(e), 12)) AS upto FROM p)",
+        "h AS (SELECT i, min(abs(e)) AS h FROM u WHERE upto >= q GROUP BY i)",
+        "w AS (SELECT u.*, CASE WHEN abs(e) < h THEN power(1 - power(abs(e) / h, 3), 3) ELSE 0 END AS w FROM u JOIN h USING (i))",
+        "k AS (SELECT i, g, sum(w * n) AS m0, sum(w * n * e) AS m1, sum(w * n * e * e) AS m2, sum(w * n * e * e * e) AS m3, "
+        "sum(w * n * e * e * e * e) AS m4, sum(w * t) AS r0, sum(w * t * e) AS r1, sum(w * t * e * e) AS r2 FROM w GROUP BY i, g)") + (
+        "SELECT CAST(i AS INTEGER) AS i, round(g, 6) AS x, round((r0 * (m2 * m4 - m3 * m3) - r1 * (m1 * m4 - m3 * m2) "
+        "+ r2 * (m1 * m3 - m2 * m2)) / (m0 * (m2 * m4 - m3 * m3) - m1 * (m1 * m4 - m3 * m2) + m2 * (m1 * m3 - m2 * m2)), 3) "
+        "AS y_fit FROM k")
     q["trend_line"] = lambda: rnd(with_(
         RATED, "base AS (SELECT CAST(points AS DOUBLE) AS x, price AS y, "
                "CAST(points AS DECIMAL(30, 2)) AS xd, CAST(price AS DECIMAL(30, 2)) AS yd FROM ri "
@@ -659,4 +763,25 @@ def _texts() -> dict[str, Callable[[], str]]:
         "SELECT cells.r, cells.c, coalesce(CASE WHEN h.hops <= coalesce((SELECT ghops FROM gh), 2147483647) "
         "THEN power(0.99, h.hops) ELSE 0.0 END, 0.0) AS value FROM cells LEFT JOIN h "
         "ON cells.r = h.r AND cells.c = h.c", "value")
+    graph = ("WITH RECURSIVE pr AS (SELECT DISTINCT 'c' || o_custkey AS a, 'p' || l_partkey AS b FROM orders "
+             "JOIN lineitem ON o_orderkey = l_orderkey WHERE o_custkey IS NOT NULL AND l_partkey IS NOT NULL), "
+             "e AS (SELECT a AS src, b AS dst FROM pr UNION ALL SELECT b, a FROM pr), "
+             "go AS (SELECT min(a) AS start FROM pr), ")
+    # a bound on the hops keeps the walk from going to and fro for ever; the graph is far narrower
+    walk = ("{0}(node, hops) AS (SELECT {1}, 0 UNION SELECT e.dst, {0}.hops + 1 FROM {0} JOIN e ON e.src = {0}.node "
+            "WHERE {0}.hops < 20), h{0} AS (SELECT node, CAST(min(hops) AS INTEGER) AS hops FROM {0} GROUP BY node), ")
+    there = graph + walk.format("f", "(SELECT start FROM go)")
+    q["edge_hops"] = lambda: (there + "par AS (SELECT x.node, min(e.src) AS parent FROM hf x JOIN e ON e.dst = x.node "
+                      "JOIN hf y ON y.node = e.src AND y.hops = x.hops - 1 GROUP BY x.node) "
+                      "SELECT node, hops, parent FROM hf LEFT JOIN par USING (node)")
+    q["edge_path"] = lambda: (there + "goal AS (SELECT node, hops FROM hf ORDER BY hops DESC, node DESC LIMIT 1), "
+                      + walk.format("b", "(SELECT node FROM goal)") +
+                      "dag AS (SELECT hf.node, hf.hops FROM hf JOIN hb USING (node) "
+                      "WHERE hf.hops + hb.hops = (SELECT hops FROM goal)), "
+                      "nxt AS (SELECT x.node, min(y.node) AS to_ FROM dag x JOIN e ON e.src = x.node "
+                      "JOIN dag y ON y.node = e.dst AND y.hops = x.hops + 1 GROUP BY x.node), "
+                      "path(step, node) AS (SELECT 0, start FROM go UNION ALL SELECT step + 1, to_ FROM path "
+                      "JOIN nxt ON nxt.node = path.node) SELECT CAST(step AS INTEGER) AS step, node FROM path")
+    q["edge_reach"] = lambda: rnd(there + "one AS (SELECT 1) SELECT n.node, coalesce(power(0.99, hops), 0.0) AS value FROM "
+                          "(SELECT DISTINCT src AS node FROM e) n LEFT JOIN hf USING (node)", "value")
     return q

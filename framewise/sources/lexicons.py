@@ -1,9 +1,10 @@
-"""Word lists: stop words and a word -> sentiment table.
+"""Word lists: stop words.
 
 Stop words are Spark's own English list (181 words), kept here as plain
 values so that no file of the Spark installation is needed.
-Both tables are bounded by their definition, which is what makes broadcasting
-them safe at any data size.
+The list is bounded by its definition, which is what makes broadcasting it safe
+at any data size.  The word -> sentiment table is derived from labelled
+documents (``operators.text.polarity``).
 """
 
 from __future__ import annotations
@@ -33,29 +34,6 @@ def english_stop_words() -> tuple[str, ...]:
     return tuple(_STOP_WORDS)
 
 
-# Authored sentiment lexicon.  The test prose is invented, so
-# no published sentiment word occurs in it; these are frequent non-stop
-# tokens of the English documents with an assigned polarity.  "thth" is
-# listed under both polarities on purpose: a word with two entries must
-# multiply rows in the join, as it does with published lexicons.
-SENTIMENT_WORDS = (
-    ("th", "positive"), ("nd", "positive"), ("re", "positive"),
-    ("en", "positive"), ("ing", "positive"), ("ea", "positive"),
-    ("st", "positive"), ("ble", "positive"), ("tion", "positive"),
-    ("ther", "positive"), ("thth", "positive"),
-    ("er", "negative"), ("ha", "negative"), ("es", "negative"),
-    ("ed", "negative"), ("ti", "negative"), ("nt", "negative"),
-    ("ly", "negative"), ("ou", "negative"), ("sh", "negative"),
-    ("wh", "negative"), ("thth", "negative"),
-)
-
-
 def stop_words(spark: SparkSession) -> DataFrame:
     schema = T.StructType([T.StructField("word", T.StringType(), False)])
     return spark.createDataFrame([(w,) for w in english_stop_words()], schema)
-
-
-def sentiments(spark: SparkSession) -> DataFrame:
-    schema = T.StructType([T.StructField("word", T.StringType(), False),
-                           T.StructField("sentiment", T.StringType(), False)])
-    return spark.createDataFrame(list(SENTIMENT_WORDS), schema)

@@ -15,32 +15,6 @@ def test_chi2_upper_tail(x, k, p):
     assert ml._chi2_sf(x, k) == pytest.approx(p, rel=1e-6)
 
 
-def test_lda_shares_sum_to_one(spark, sf_small):
-    words = M._doc_words(spark, sf_small)
-    vectors = ml.term_vectors(words)
-    m = ml.lda_fit(vectors, 3, seed=1234, max_iter=3)
-    g = ml.lda_gamma(m, vectors).groupBy("document").agg(F.sum("gamma").alias("s")).collect()
-    assert g and all(r.s == pytest.approx(1.0, abs=1e-9) for r in g)
-    beta = ml.lda_beta(m, spark).groupBy("topic").agg(F.sum("beta").alias("s")).collect()
-    assert len(beta) == 3 and all(r.s == pytest.approx(1.0, abs=1e-9) for r in beta)
-
-
-def test_bucket_terms_name_every_used_bucket(spark):
-    words = spark.createDataFrame([(1, ["a", "b", "a"]), (2, ["b", "c", "a"])], "document int, words array<string>")
-    v = ml.term_vectors(words).collect()
-    used = {int(i) for r in v for i in r.features.indices}
-    named = {r.bucket: r.term for r in ml.bucket_terms(words).collect()}
-    assert set(named) == used and set(named.values()) == {"a", "b", "c"}
-
-
-def test_best_kmeans_distances(spark):
-    words = spark.createDataFrame([(i, ["x"] * (1 + i % 2) + ["y"] * (3 * (i // 4))) for i in range(8)],
-                                  "document int, words array<string>")
-    out = ml.best_kmeans(ml.term_vectors(words, 16), 2, restarts=3).collect()
-    assert len(out) == 8 and all(r.distances[r.cluster] == min(r.distances) for r in out)
-    assert len({r.cluster for r in out if r.document < 4}) == 1
-
-
 @pytest.mark.parametrize("name", sorted(M.MODEL_QUERIES))
 def test_model_query(spark, sf_small, name):
     df = M.MODEL_QUERIES[name](spark, sf_small)
@@ -86,14 +60,6 @@ CHECKS = {"logit_anova": _anova, "chi_square_by_feature": _chi_square, "kmeans_1
           "logit_confusion": _matrix, "tree_confusion": _matrix}
 
 
-def test_kmeans_same_seed_same_centres(spark):
-    df = spark.createDataFrame([(float(v),) for v in (1, 2, 3, 50, 52, 100, 101, 102)], "x double")
-    _, a = ml.kmeans_1d(df, "x", 3, seed=7)
-    _, b = ml.kmeans_1d(df, "x", 3, seed=7)
-    assert sorted(r.center for r in a.collect()) == sorted(r.center for r in b.collect())
-    assert sorted(round(r.center, 6) for r in a.collect()) == [2.0, 51.0, 101.0]
-
-
 def test_logit_recovers_sign(spark):
     rows = [(i, float(i % 10), 1 if (i % 10) > 4 else 0) for i in range(200)]
     rows += [(1000 + i, 4.5, i % 2) for i in range(40)]  # overlap so the fit is finite
