@@ -143,16 +143,18 @@ def stem_counts(words: DataFrame) -> DataFrame:
 def polarity(words: DataFrame, label: str, least: int = 10, prior: float = 500.0,
              significant: float = 1.96) -> DataFrame:
     """(word, sentiment, weight): the words that tell two labelled classes
-    apart.  ``words`` has a row per word of a labelled document, ``label`` is
-    1 (positive) or 0 (negative); other labels are left out.
+    apart.  ``words`` has a row per word of a labelled document, or per ``n``
+    such words where it has that column; ``label`` is 1 (positive) or 0
+    (negative); other labels are left out.
 
     The weight is the log odds of the word in the positive over the negative
     class, each class with ``prior`` more words that are shared out as in both
     classes together: rare words shrink towards 0.  A word is listed if it
     occurs ``least`` times and its weight is ``significant`` standard errors
     from 0; a weight of 0 is none, so no word is on both sides."""
+    n = F.col("n") if "n" in words.columns else F.lit(1)
     one = words.where(F.col(label).isin(0, 1)).groupBy("word").agg(
-        F.sum(F.col(label)).cast("double").alias("p"), F.sum(1 - F.col(label)).cast("double").alias("q"))
+        F.sum(n * F.col(label)).cast("double").alias("p"), F.sum(n * (1 - F.col(label))).cast("double").alias("q"))
     one = materialize(one, "class-counts")
     whole = one.agg(F.coalesce(F.sum("p"), F.lit(0.0)).alias("p"), F.coalesce(F.sum("q"), F.lit(0.0)).alias("q")).first()
     share = prior * (F.col("p") + F.col("q")) / (whole.p + whole.q or 1.0)

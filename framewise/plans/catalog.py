@@ -406,6 +406,7 @@ def _polarity(spark, sf):
         F.col("doc_id").alias("page"), F.col("quality").cast("int").alias("quality"),
         (1 - F.col("toxic").cast("int")).alias("toxic"))
     words = tt.remove_stop_words(_words(spark, sf), lexicons.stop_words(spark)).join(labels, "page")
+    words = materialize(words.groupBy("word", "quality", "toxic").agg(F.count(F.lit(1)).alias("n")), "labelled-words")
     return tt.polarity(words, "quality").withColumn("axis", F.lit("quality")).unionByName(
         tt.polarity(words, "toxic").withColumn("axis", F.lit("toxic")))
 

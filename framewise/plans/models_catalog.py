@@ -20,7 +20,7 @@ from framewise.operators import verbs as vb
 from framewise.plans import catalog as C
 from framewise.sources import views
 from framewise.sources.lexicons import english_stop_words
-from framewise.sources.tables import table
+from framewise.sources.tables import spread, table
 
 MODEL_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -214,7 +214,7 @@ def anomaly_flags(spark, sf):
 def _doc_words(spark, sf):
     """(document, words): each document's tokens without numbers and stop words."""
     stops = list(english_stop_words())
-    d = table(spark, sf, "documents")
+    d = spread(table(spark, sf, "documents").select("doc_id", "text"))
     return d.select(F.col("doc_id").alias("document"), F.filter(
         tx.tokens(F.coalesce("text", F.lit(""))),
         lambda w: ~w.rlike(tx.NUMBER_PATTERN) & ~w.isin(stops)).alias("words"))

@@ -25,6 +25,15 @@ def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan that is planned as fewer tasks than the session has cores is
+    dealt out to all of them (its rows move once); others stay as they are.
+    For columns whose processing costs far more than moving them, as texts."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    planned = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(cores) if planned < cores else df
+
+
 def register_views(spark: SparkSession, sf_dir: str) -> None:
     """Expose every table as a temporary view for ``spark.sql``."""
     for name in TABLES:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framewise.functions.binning import nan_to_null
-from framewise.sources.tables import raw_table, table
+from framewise.sources.tables import raw_table, spread, table
 
 GRID_WIDTH = 50          # grid_cells: column = key mod 50, row = key div 50
 WALL_SIZE = 35           # grid_cells: wall when p_size > 35
@@ -124,8 +124,8 @@ def salaries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pages_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as (document, page, text): document = source."""
-    return table(spark, sf_dir, "documents").select(
-        F.col("source").alias("document"), F.col("doc_id").alias("page"), "text")
+    return spread(table(spark, sf_dir, "documents").select(
+        F.col("source").alias("document"), F.col("doc_id").alias("page"), "text"))
 
 
 def grid_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
