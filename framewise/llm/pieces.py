@@ -127,7 +127,8 @@ class Model:
         out.normalizer = normalizers.Sequence(steps)
         if not any(MARK in p.lstrip(MARK) for p, _, kind in self.pieces if kind in (NORMAL, USER)):
             out.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}*[^{MARK}]+|{MARK}+"), "isolated")
-        undo = [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
+        # marks go after the pieces are one string: once a text, not once a piece
+        undo = [decoders.ByteFallback(), decoders.Fuse(), decoders.Replace(MARK, " ")]
         out.decoder = decoders.Sequence(undo + [decoders.Strip(" ", 1, 0)] * self.dummy_prefix)
         user = [AddedToken(p, normalized=True) for p, _, kind in self.pieces if kind == USER]
         if user:
