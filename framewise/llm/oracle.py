@@ -84,10 +84,9 @@ FROM m GROUP BY conv_id"""
 
 _OP7 = f"""
 WITH {_lines('doc_id, source')},
-around AS (SELECT *, coalesce(lag(key) OVER (PARTITION BY r ORDER BY i), '') AS prev,
-                  coalesce(lead(key) OVER (PARTITION BY r ORDER BY i), '') AS next FROM lines),
-often AS (SELECT source, key, min(doc_id) AS first FROM around WHERE key <> ''
-          GROUP BY source, key HAVING count(DISTINCT (prev, next)) > {MAX_DOCS}),
+content AS (SELECT r, md5(string_agg(key, chr(10) ORDER BY i)) AS content FROM lines WHERE key <> '' GROUP BY r),
+often AS (SELECT source, key, min(doc_id) AS first FROM lines JOIN content USING (r) WHERE key <> ''
+          GROUP BY source, key HAVING count(DISTINCT content) > {MAX_DOCS}),
 boiler AS (SELECT l.r, sum(length(translate(l.key, {_BLANK}, ''))) AS chars FROM lines l
            JOIN often o ON o.source IS NOT DISTINCT FROM l.source AND o.key = l.key
            AND o.first IS DISTINCT FROM l.doc_id GROUP BY l.r),

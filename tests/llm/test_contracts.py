@@ -182,6 +182,38 @@ def test_notices_of_several_lines(spark):
     assert all(got[200 + k] == (0, True) for k in range(30))
 
 
+def test_quality_sql_where_a_host_passes_the_limit(spark, tmp_path):
+    """The SQL and the operator on a table whose rules all bite: notices of
+    two lines in more documents than the limit, copies, documents that are
+    little but notice, lines just at the limit, null hosts."""
+    import duckdb
+
+    from framewise.llm.oracle import SQL
+
+    notice = "\n".join(" ".join(f"n{k}w{i}" for i in range(60)) for k in range(2))
+    body = lambda k, n: " ".join(f"t{k}w{i}" for i in range(n))
+    limit = line_rules.MAX_DOCS
+    rows = [(k, "h", f"{body(k, 60)}\n{notice}") for k in range(limit + 20)]
+    rows += [(1000 + k, "h", f"{body(1000 + k, 2)}\n{notice}") for k in range(20)]  # depleted
+    rows += [(2000 + k, "at", f"{body(2000 + k, 60)}\n{notice}") for k in range(limit)]  # not above the limit
+    rows += [(3000 + k, "copies", f"{body(0, 60)}\n{notice}") for k in range(limit + 20)]  # one content
+    rows += [(4000 + k, None, f"{body(4000 + k, 60)}\n  {notice.upper()} ") for k in range(limit + 5)]
+    rows += [(5000, "h", None), (5001, "h", ""), (5002, "h", "a b a b " * 40)]
+    spark.createDataFrame(rows, "doc_id long, source string, text string").coalesce(1).write.parquet(
+        f"file://{tmp_path}/documents.parquet")
+    got = [tuple(r) for r in queries.op7_quality_rules(spark, f"file://{tmp_path}").collect()]
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    names = [d[0] for d in con.execute(SQL["op7_quality_rules"]).description]
+    want = [tuple(r) for r in con.execute(SQL["op7_quality_rules"]).fetchall()]
+    columns = queries.op7_quality_rules(spark, f"file://{tmp_path}").columns
+    same(got, [tuple(r[names.index(c)] for c in columns) for r in want])
+    of = {r[0]: dict(zip(columns, r)) for r in got}
+    assert of[0]["boiler_chars"] == 0 and of[1]["boiler_chars"] > 0 and of[1]["kept"]
+    assert not of[1005]["kept"] and not of[1005]["base_failed"]
+    assert of[2005]["boiler_chars"] == 0 and of[3005]["boiler_chars"] == 0 and of[4005]["boiler_chars"] > 0
+
+
 def test_near_duplicate_edges(spark, edge, empty):
     rows = [(r.doc_id, r.text) for r in edge.collect()]
     got = setsketch.near_duplicates(edge).collect()
