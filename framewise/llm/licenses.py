@@ -9,10 +9,12 @@ files against both.  A block is a run of lines with words that all begin with
 a comment mark or all with none.  Whole texts have a threshold of their own,
 since long texts resemble each other by their common words.  Document frequencies of the templates'
 words are counted over all files; a word outside the templates weighs like a
-word of one file.  A file whose whole text reaches the threshold is a licence
-file of its directory; a file with a line or block that does has a header.  All other
-files inherit from the nearest directory above them, their own included, that
-holds a licence file: the distinct directories are joined with the ancestors
+word of one file.  A file whose whole text reaches the threshold is known by
+that text; a file with a line or block that does has a header.  A directory's
+licence file is one of the first kind that resembles a whole licence text, or
+a notice in a file with a licence file's name: a short document that is little
+but a notice speaks for itself only.  All other files inherit from the nearest
+directory above them, their own included, that holds a licence file: the distinct directories are joined with the ancestors
 of their paths, the files with their directory's answer.
 
 The template vectors are fixed and small; nothing else is broadcast.  Files of
@@ -151,6 +153,8 @@ def _words(batch):
     return h, first
 
 
+# Names of files that speak for their directory.
+FILE_NAMES = r"(?i)(^|/)(licen[cs]e|copying|copyright|unlicense|notice)s?([-_.][^/]*)?$"
 NOTICE_LEAST = [THRESHOLD] * len(NOTICES)
 FILE_LEAST = NOTICE_LEAST + [TEXT_THRESHOLD] * len(TEXTS)
 
@@ -188,8 +192,9 @@ def _scan(batches, vectors):
         yield pa.RecordBatch.from_arrays(
             [flat(batch, "id"), flat(batch, "path"), pa.array(whole), pa.array(header),
              pa.array([names[k] if x else None for k, x in zip(which, held, strict=True)], pa.string()),
-             pa.array([names[k] if x else None for k, x in zip(named, header, strict=True)], pa.string())],
-            names=["id", "path", "file_score", "header_score", "file_license", "header_license"])
+             pa.array([names[k] if x else None for k, x in zip(named, header, strict=True)], pa.string()),
+             pa.array(np.asarray(held, bool) & (which >= len(NOTICES)))],
+            names=["id", "path", "file_score", "header_score", "file_license", "header_license", "is_text"])
 
 
 def directory(path: Column) -> Column:
@@ -219,9 +224,10 @@ def scan(files: DataFrame, id_col: str, path: str, text: str = "text") -> DataFr
     own = write_scratch(rows.mapInArrow(
         lambda it: _scan(it, vectors),
         f"id {id_type}, path string, file_score double, header_score double, "
-        "file_license string, header_license string").withColumn("dir", directory(F.col("path"))), "licenses")
+        "file_license string, header_license string, is_text boolean").withColumn("dir", directory(F.col("path"))), "licenses")
     names = F.array(*(F.lit(x) for x in dict.fromkeys(t for t, _ in TEMPLATES)))
-    held = own.where(F.col("file_license").isNotNull()).groupBy(F.col("dir").alias("up")).agg(
+    speaks = F.col("is_text") | (F.col("file_license").isNotNull() & F.coalesce(F.col("path"), F.lit("")).rlike(FILE_NAMES))
+    held = own.where(speaks).groupBy(F.col("dir").alias("up")).agg(
         F.min(F.struct((-F.round("file_score", 9)).alias("s"), F.array_position(names, F.col("file_license")).alias("k"),
                        "path", "file_license")).alias("best"))
     held = write_scratch(held.select("up", F.col("best.file_license").alias("inherited")), "license-dirs")

@@ -410,12 +410,15 @@ def test_license_inheritance(spark, edge, empty):
     body = "def f(): return 1\n" * 30
     rows = [(1, "r/LICENSE", mit), (2, "r/a/x.py", body), (3, "r/a/b/LICENSE", apache), (4, "r/a/b/c/y.py", body),
             (5, "r/z.py", apache + "\n" + body), (6, "other/q.py", body), (7, None, None), (8, "top.py", ""),
-            (9, "r/a/b/NOTICE", mit), (9, "r/a/b/NOTICE", mit)]
+            (9, "r/a/b/NOTICE", mit), (9, "r/a/b/NOTICE", mit),
+            (10, "docs/one.txt", mit), (11, "docs/two.txt", body), (12, "docs/COPYING.txt.d/x", body)]
     df = spark.createDataFrame([(*r, "clash") for r in rows], "id long, path string, text string, license string")
     got = {r.id: (r.license, r.origin, r.from_dir) for r in licenses.scan(df, "id", "path").collect()}
     assert got == {1: ("MIT", "file", None), 2: ("MIT", "inherited", "r"), 3: ("Apache-2.0", "file", None),
                    4: ("Apache-2.0", "inherited", "r/a/b"), 5: ("Apache-2.0", "header", None), 6: (None, None, None),
-                   7: (None, None, None), 8: (None, None, None), 9: ("MIT", "file", None)}
+                   7: (None, None, None), 8: (None, None, None), 9: ("MIT", "file", None),
+                   # a document that is a notice does not license its directory
+                   10: ("MIT", "file", None), 11: (None, None, None), 12: (None, None, None)}
     assert licenses.scan(edge, "doc_id", "source").count() == edge.count()
     assert licenses.scan(empty, "doc_id", "source").count() == 0
 
