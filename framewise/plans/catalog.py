@@ -739,11 +739,11 @@ def intersect_keys(spark, sf):
 
 @query("good_value")
 def good_value(spark, sf):
-    """Rows that are both in the top 15 % and among the cheapest: keys are
-    unique, so the intersection is a filter on the cheapest rows."""
+    """Rows that are both in the top 15 % and among the cheapest, each once."""
     ri = _rated_once(spark, sf)
     q = agg.quantiles(ri, "points", [QUANTILE])
-    return rounded(_cheapest(ri).where(F.col("points") > q.select(q.columns[0]).scalar()))
+    best = ri.where(F.col("points") > q.select(q.columns[0]).scalar())
+    return rounded(best.intersect(_cheapest(ri).select(*best.columns)))
 
 
 @query("complement_rows")

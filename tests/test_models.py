@@ -66,3 +66,32 @@ def test_logit_recovers_sign(spark):
     df = spark.createDataFrame(rows, "id long, x double, y int")
     co = {r.term: r.estimate for r in ml.logit_coefficients(df, "y", ["x"]).collect()}
     assert co["x"] > 0
+
+
+def test_logit_equals_a_plain_fit(spark):
+    """Coefficients, errors and odds ratios against Newton's method on the
+    dense matrix, with a categorical term."""
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    x, kind = rng.normal(0, 1, 400), rng.choice(["a", "b", "c"], 400)
+    eta = 0.4 + 1.1 * x - 0.8 * (kind == "b") + 0.3 * (kind == "c")
+    y = (rng.random(400) < 1 / (1 + np.exp(-eta))).astype(int)
+    df = spark.createDataFrame([(int(a), float(b), str(c)) for a, b, c in zip(y, x, kind)], "y int, x double, kind string")
+    got = {r.term: r for r in ml.logit_coefficients(df, "y", ["x", "kind"]).collect()}
+    levels = sorted({t.split("_")[-1] for t in got if t.startswith("kind")})
+    design = np.stack([np.ones(400), x, *[(kind == v) for v in levels]], 1).astype(float)
+    beta = np.zeros(design.shape[1])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-design @ beta))
+        hessian = design.T @ (design * (p * (1 - p))[:, None])
+        beta += np.linalg.solve(hessian, design.T @ (y - p))
+    error = np.sqrt(np.diag(np.linalg.inv(hessian)))
+    terms = ["(Intercept)", "x", *[f"kind_{v}" for v in levels]]
+    assert set(terms) == set(got)
+    odds = {r.term: r for r in ml.odds_ratios(df, "y", ["x", "kind"]).collect()}
+    for t, b, e in zip(terms, beta, error):
+        assert got[t].estimate == pytest.approx(b, abs=1e-5) and got[t].std_error == pytest.approx(e, rel=1e-4)
+        assert odds[t].odds_ratio == pytest.approx(math.exp(b), rel=1e-4)
+        assert odds[t].ci_low == pytest.approx(math.exp(b - 1.959964 * e), rel=1e-3)
+        assert odds[t].ci_high == pytest.approx(math.exp(b + 1.959964 * e), rel=1e-3)
