@@ -10,7 +10,7 @@ from framewise.llm import pieces
 
 def test_registered():
     names = [n for n in queries() if n.startswith("op")]
-    assert {int(n[2:].split("_")[0]) for n in names} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names} == set(range(1, 14))
     assert "pipeline" in queries() and set(oracle_sql()) <= set(queries())
     assert len(corpus_pipeline.STAGES) == 5
 
