@@ -16,7 +16,9 @@ length, links included, so that a title or a byline is enough for a surge, and
 all others nothing.  On pages without such a mark link text counts nothing.
 
 Defined results.  Null or empty html, or no text: the empty string.  Cut-off
-pages: whatever is open ends with the page.  Unclosed script or style: the
+pages: whatever is open ends with the page.  A paragraph, list item, table cell
+or option that is not closed ends where the next one or a block begins.
+Unclosed script or style: the
 rest of the page belongs to it.  Null or repeated ids: every row by itself.
 Empty table: empty result.  Input columns pass through; ``text`` replaces a
 column of that name.
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 import html as charrefs
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -68,6 +71,12 @@ _APART_WORDS = frozenset(
 _COMMENT_WORDS = frozenset("comment comments commentlist respond reply replies disqus".split())
 _HEADER_WORDS = frozenset("header masthead".split())
 _HOME = frozenset(("article", "main"))
+#: Start tags that end an open paragraph, and elements that end an open one of their kind.
+_ENDS_P = frozenset(
+    "address article aside blockquote center details div dl dd dt fieldset figcaption figure footer form h1 h2 "
+    "h3 h4 h5 h6 header hr li main menu nav ol p pre section table ul".split())
+_ENDS_KIND = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "option": ("option",),
+              "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
 
 
 class _Line:
@@ -97,6 +106,35 @@ def lines_of(page: str) -> list[tuple[str, int, int]]:
     apart = comments = links = 0
     home, homes = -1, 0
     line = _Line(-1)
+    count: Counter[str] = Counter()  # open elements by name
+
+    def close(name: str):
+        """Close the last open ``name`` and all that is open in it."""
+        nonlocal apart, comments, links, home
+        while True:
+            was, cut, old, talk = open_.pop()
+            count[was] -= 1
+            apart -= cut
+            comments -= talk
+            links -= was == "a"
+            home = old
+            if was == name:
+                break
+        line.home = home
+
+    def close_implied(name: str):
+        """Close what a start tag ends: a paragraph, or an element of its
+        kind, if nothing but inline elements is open in it."""
+        if name in _ENDS_P and count["p"]:
+            last = next((x[0] for x in reversed(open_) if x[0] not in _INLINE), "")
+            if last == "p":
+                close("p")
+        kinds = _ENDS_KIND.get(name, ())
+        while any(count[k] for k in kinds):
+            last = next((x[0] for x in reversed(open_) if x[0] not in _INLINE and x[0] != "p"), "")
+            if last not in kinds:
+                break
+            close(last)
 
     def end_line():
         nonlocal line
@@ -128,17 +166,10 @@ def lines_of(page: str) -> list[tuple[str, int, int]]:
         if name not in _INLINE:
             end_line()
         if closing:
-            if any(x[0] == name for x in open_):
-                while True:
-                    was, cut, old, talk = open_.pop()
-                    apart -= cut
-                    comments -= talk
-                    links -= was == "a"
-                    home = old
-                    if was == name:
-                        break
-                line.home = home
+            if count[name]:
+                close(name)
             continue
+        close_implied(name)
         attributes = m.group(3) or m.group(6) or ""
         if name in _RAW:
             end = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I).search(page, at)
@@ -150,7 +181,7 @@ def lines_of(page: str) -> list[tuple[str, int, int]]:
         old, talk = home, bool(words & _COMMENT_WORDS) and name not in ("html", "body")
         if name in _HOME or prop == "articlebody" or "main" in words and "role" in attributes:
             cut = talk
-            if apart and not comments and not talk and name in _HOME and not any(x[0] == "aside" for x in open_):
+            if apart and not comments and not talk and name in _HOME and not count["aside"]:
                 # an unclosed menu or header does not swallow the article
                 apart = 0
                 open_[:] = [(n, False, h, t) for n, _, h, t in open_]
@@ -163,6 +194,7 @@ def lines_of(page: str) -> list[tuple[str, int, int]]:
                    or home < 0 and (name == "header" or bool(words & _HEADER_WORDS))
                    or bool(attributes and _HIDDEN.search(attributes)))
         open_.append((name, cut, old, talk))
+        count[name] += 1
         apart += cut
         comments += talk
         links += name == "a"

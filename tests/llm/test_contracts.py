@@ -351,6 +351,18 @@ def chat_escape(text):
     return re.sub(chat.ESCAPE[0], r"\1\\\2\3", text or "")
 
 
+def test_unclosed_elements_end_where_the_next_begins():
+    import time
+    page = "<article><p class='ad'>Advert<p>Real paragraph<ul><li class=ad>x<li>one<ul><li>in</ul><li>two</ul></article>"
+    assert html_text.extract(page) == "Real paragraph\none\nin\ntwo"
+    table = "<article><table><tr><td class='advert'>no<td>a<td>b<tr><td>c<p>d<td>e</table><p><b>f<div>g</div></article>"
+    assert html_text.extract(table) == "a\nb\nc\nd\ne\nf\ng"
+    began = time.process_time()
+    deep = "<article>" + "<p>word words" * 20_000 + "<div>word words" * 20_000 + "</span>" * 20_000
+    assert html_text.extract(deep).count("\n") == 39_999
+    assert time.process_time() - began < 10  # it was quadratic: minutes
+
+
 PAGES = {
     "<html><body><nav>Menu words here</nav><p>First para.</p><p>Second &amp; last</p><footer>foot</footer>":
         "First para.\nSecond & last",
