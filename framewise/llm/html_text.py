@@ -8,12 +8,19 @@ lengths are summed: where the sum surges to the threshold a block of main
 text begins, where it dives to nothing it ends, and every such block is kept,
 short lines included.  The threshold is a share of the largest window sum
 without that window's longest line, ``LEAST`` characters at most: one long
-paragraph does not raise it, and many raise it to ``LEAST``.
+paragraph does not raise it, and many raise it to ``LEAST``.  Link text counts
+nothing.
 
-A page that marks its article (``article``, ``main`` or the like) weights the
-lines: those of the longest such container count ``MARKED`` times their
-length, links included, so that a title or a byline is enough for a surge, and
-all others nothing.  On pages without such a mark link text counts nothing.
+A page may mark its articles (``article``, ``main`` or the like).  A mark
+raises the weight of its lines: they count ``MARKED`` times their length, links
+included, so that a title or a byline is enough for a surge.  The border of a
+container is a dive: windows do not reach across it.  The other lines of such a
+page count as ever, but a block outside the marks needs a surge of ``OUTSIDE``
+times ``LEAST``.  All articles of a page are kept.
+
+A class, id or role names boilerplate if it is one of the listed words, or a
+compound of them and words that say nothing of the content (``share-buttons``,
+``site-footer``); ``share-price`` or ``related-work`` is neither.
 
 Defined results.  Null or empty html, or no text: the empty string.  Cut-off
 pages: whatever is open ends with the page.  A paragraph, list item, table cell
@@ -29,6 +36,8 @@ from __future__ import annotations
 import html as charrefs
 import re
 from collections import Counter
+from functools import lru_cache
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,8 +48,8 @@ from framewise.llm.common import bounded_batches, flat
 #: Lines in a window, the share of the largest window sum (without its longest
 #: line) that counts as a surge, and the characters that always do.
 WINDOW, SURGE, LEAST = 3, 0.2, 86
-#: Weight of a character in the page's marked article.
-MARKED = 8
+#: Weight of a character in a marked article, and the multiple of ``LEAST`` that a block outside needs.
+MARKED, OUTSIDE = 8, 4
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -62,12 +71,19 @@ _APART = frozenset(
     "object audio video math head".split())
 #: Words of class, id or role that name boilerplate.
 _APART_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising advertorial sponsor sponsored sponsors promo "
-    "promos promotion banner cookie cookies consent gdpr notice notices popup modal newsletter "
-    "subscribe subscription signup share sharing social related recommended recommendations sidebar "
-    "aside menu menus nav navbar navigation breadcrumb breadcrumbs footer comment comments "
+    "ad ads advert adverts advertisement advertising advertorial adsense adsbygoogle sponsor sponsored "
+    "sponsors promo promos promotion banner cookie cookies consent gdpr notice notices popup modal "
+    "newsletter subscribe subscription signup share sharing social related recommended recommendations "
+    "sidebar aside menu menus nav navbar navigation breadcrumb breadcrumbs footer comment comments "
     "commentlist respond reply replies disqus pagination pager widget widgets login search "
     "complementary contentinfo".split())
+#: Words that may stand beside them in a compound.
+_BESIDE = frozenset(
+    "area article articles author bar block body bottom box btn button buttons card center column container "
+    "content count default desktop div entry entries fixed form global google group holder home icon icons "
+    "inline inner item items label large left link links list main media mobile module more outer overlay "
+    "page panel placeholder post posts primary right row secondary section site slot small sticky stories "
+    "story tag text thread title toggle tools top unit wide wrap wrapper x xs sm md lg xl".split())
 _COMMENT_WORDS = frozenset("comment comments commentlist respond reply replies disqus".split())
 _HEADER_WORDS = frozenset("header masthead".split())
 _HOME = frozenset(("article", "main"))
@@ -87,15 +103,28 @@ class _Line:
         self.home, self.links = home, 0
 
 
-def _words(attributes: str) -> tuple[set[str], str]:
-    words, prop = set(), ""
+def _named(names: list[list[str]], words: frozenset[str]) -> bool:
+    """Whether a name, given by its parts, is one of ``words`` or a compound."""
+    return any("".join(parts) in words
+               or any(p in words for p in parts) and all(p in words or p in _APART_WORDS or p in _BESIDE for p in parts)
+               for parts in names)
+
+
+@lru_cache(maxsize=4096)
+def _kind(attributes: str) -> tuple[bool, bool, bool, bool, bool]:
+    """What attributes say of an element: boilerplate, comments, page header,
+    article, hidden."""
+    names: list[list[str]] = []
+    article = False
     for name, value in _NAMED.findall(attributes):
-        value = value.strip("\"'")
-        if name.lower() == "itemprop":
-            prop = value.lower()
-        else:
-            words.update(w.lower() for w in _WORD.findall(value))
-    return words, prop
+        name, value = name.lower(), value.strip("\"'")
+        if name == "itemprop":
+            article |= value.lower() == "articlebody"
+            continue
+        article |= name == "role" and value.lower() == "main"
+        names += [parts for parts in ([w.lower() for w in _WORD.findall(one)] for one in value.split()) if parts]
+    return (_named(names, _APART_WORDS), _named(names, _COMMENT_WORDS), _named(names, _HEADER_WORDS), article,
+            bool(_HIDDEN.search(attributes)))
 
 
 def lines_of(page: str) -> list[tuple[str, int, int]]:
@@ -177,9 +206,9 @@ def lines_of(page: str) -> list[tuple[str, int, int]]:
             continue
         if name in _VOID or attributes.endswith("/") and name not in _HOME and name not in _APART:
             continue
-        words, prop = _words(attributes) if attributes else (set(), "")
-        old, talk = home, bool(words & _COMMENT_WORDS) and name not in ("html", "body")
-        if name in _HOME or prop == "articlebody" or "main" in words and "role" in attributes:
+        named, talk, top, article, hidden = _kind(attributes) if attributes else (False,) * 5
+        old, talk = home, talk and name not in ("html", "body")
+        if name in _HOME or article:
             cut = talk
             if apart and not comments and not talk and name in _HOME and not count["aside"]:
                 # an unclosed menu or header does not swallow the article
@@ -190,9 +219,7 @@ def lines_of(page: str) -> list[tuple[str, int, int]]:
         elif name in ("html", "body"):
             cut = False
         else:
-            cut = (name in _APART or bool(words & _APART_WORDS)
-                   or home < 0 and (name == "header" or bool(words & _HEADER_WORDS))
-                   or bool(attributes and _HIDDEN.search(attributes)))
+            cut = name in _APART or named or hidden or home < 0 and (name == "header" or top)
         open_.append((name, cut, old, talk))
         count[name] += 1
         apart += cut
@@ -204,25 +231,27 @@ def lines_of(page: str) -> list[tuple[str, int, int]]:
 
 
 def extract(page: str | None) -> str:
-    lines = lines_of(page or "")
-    if any(home >= 0 for _, home, _ in lines):
-        total: dict[int, int] = {}
-        for text, home, _ in lines:
-            if home >= 0:
-                total[home] = total.get(home, 0) + len(text)
-        best = max(total, key=lambda h: (total[h], -h))
-        lengths = [MARKED * len(text) if home == best else 0 for text, home, _ in lines]
-    else:
-        lengths = [max(0, len(text) - links) for text, _, links in lines]
-    return "\n".join(lines[i][0] for start, end in main_blocks(lengths) for i in range(start, end))
-
-
-def main_blocks(lengths: list[int]) -> list[tuple[int, int]]:
-    """First and last line (exclusive) of each block between a surge and a
-    dive of the distribution."""
-    windows = [lengths[i:i + WINDOW] for i in range(len(lengths))]
-    sums = [sum(w) for w in windows]
-    least = min(LEAST, SURGE * max((n - max(w) for n, w in zip(sums, windows, strict=True)), default=0))
+    runs = [list(run) for _, run in groupby(lines_of(page or ""), key=lambda line: line[1])]
+    marked = any(run[0][1] >= 0 for run in runs)
+    lengths = [[MARKED * len(text) if home >= 0 else max(0, len(text) - links) for text, home, links in run]
+               for run in runs]
+    inside = [n for run, n in zip(runs, lengths, strict=True) if run[0][1] >= 0 or not marked]
+    surge = min(LEAST, SURGE * max((sum(w) - max(w) for n in inside for w in windows(n)), default=0))
+    out = []
+    for run, n in zip(runs, lengths, strict=True):
+        least = OUTSIDE * LEAST if marked and run[0][1] < 0 else surge
+        out += [run[i][0] for start, end in main_blocks(n, least) for i in range(start, end)]
+    return "\n".join(out)
+
+
+def windows(lengths: list[int]) -> list[list[int]]:
+    return [lengths[i:i + WINDOW] for i in range(len(lengths))]
+
+
+def main_blocks(lengths: list[int], least: float) -> list[tuple[int, int]]:
+    """First and last line (exclusive) of each block between a surge to
+    ``least`` and a dive of the distribution."""
+    sums = [sum(w) for w in windows(lengths)]
     out, i = [], 0
     while i < len(lengths):
         if not lengths[i] or sums[i] < least:

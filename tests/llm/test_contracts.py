@@ -399,12 +399,36 @@ def test_distribution_on_all_pages():
     assert html_text.extract(paras(five) + links + paras([long])) == whole  # all blocks
     assert html_text.extract(paras(["ab", "cd", "ef", "gh", *five])) == "\n".join(["ef", "gh", *five])
     # on a marked page too: strokes before the text surge nowhere, a title and a byline do
-    assert html_text.extract("<article>" + paras(["|", "|", "|", "|", "|", *five]) + "</article>" + paras([long])) \
+    assert html_text.extract("<article>" + paras(["|", "|", "|", "|", "|", *five]) + "</article>" + paras(["x" * 300])) \
         == "\n".join(["|", "|", *five])
     head = ["A title", "By Ann", "1 May"]
     assert html_text.extract("<article>" + paras([*head, *five, long]) + "</article>") == "\n".join([*head, whole])
 
 
+def test_marks_raise_weights_and_zero_nothing(monkeypatch):
+    text = "words of the article, many more of them than elsewhere " * 2
+    three = "".join(f"<p>{c * 150}</p>" for c in "abc")
+    page = f"<p>short outside</p><article><p>{text}</p><p>{text}</p></article>{three}"
+    inside = "\n".join([text.strip()] * 2)
+    outside = "\n".join(c * 150 for c in "abc")
+    # a surge outside the mark is main text too, less is not
+    assert html_text.extract(page) == inside + "\n" + "\n".join(outside.split("\n"))
+    assert html_text.extract(page.replace("b" * 150, "b")) == inside
+    monkeypatch.setattr(html_text, "WINDOW", 1)  # no line alone reaches the surge
+    assert html_text.extract(page) == inside
+
+
+def test_all_articles_and_exact_class_names():
+    long = "the longer article has more words than the other"
+    assert html_text.extract(f"<article><h1>One</h1><p>short</p></article><article><p>{long}</p></article>") \
+        == f"One\nshort\n{long}"
+    for kept in ("share-price", "related-work", "searchResults", "job ad-hoc", "noticeable", "shareholder"):
+        assert html_text.extract(f"<article><p>{long}</p><p class='{kept}'>kept</p></article>") == long + "\nkept"
+    for cut in ("share", "share-buttons", "related-posts", "cookieNotice", "post__comments", "lead ad", "ad-300x250",
+                "site-footer", "Newsletter-Signup", "top_ad"):
+        assert html_text.extract(f"<article><p>{long}</p><p class='{cut}'>gone</p></article>") == long
+
+
 def test_html_edges(spark, edge, empty):
     long = "<article>" + "".join(f"<p>para {i} &amp; more</p>" for i in range(50_000)) + "</article>"
     df = edge.select(F.col("doc_id").alias("page_id"), F.col("text").alias("html"), F.lit("clash").alias("text"))
