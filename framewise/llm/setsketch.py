@@ -28,7 +28,7 @@ the Jaccard similarity.
    multiple of m, never all pairs.
 
 With 24 bands of 6 registers a pair at similarity 0.85 shares no bucket with
-probability 1.2e-5 (0.9: 1e-8).
+probability 1.2e-5 (0.9: 1e-8); at 0.80 28 bands of 5 miss one with 1.5e-5.
 
 Defined results.  Null or empty text or no words: an empty set, linked with
 nothing.  Null id: the row belongs to its class but names nothing; it is kept
@@ -252,14 +252,15 @@ _DIFFERENCES = ["key", "pos", "a", "rep", "side", "added", "gone", "n"]
 
 def _differ(batches, percent: int):
     """What members have beyond the reference set of their leader's group
-    (side 0) and what they lack of it (side 1), with the numbers of both.
+    (side 0) and what they lack of it (side 1), with the numbers of both; and a
+    row of side 2 for every member, those equal to the reference included.
 
     For any reference c, (x delta c) delta (y delta c) = x delta y.  A link means
     |x delta y| <= k (|x| + |y|), k = (100 - percent) / (100 + percent), which is
-    at most k (1 + 100 / percent) times |x| (or |y|).  Unless both together
-    differ from c by no more than that, x and y share a difference, and by the
-    prefix filter one among the first |x delta y| + 1 of each, in a fixed order
-    that puts side 0 first."""
+    at most k (1 + 100 / percent) times |x| (or |y|).  If x and y share
+    differences, the first of them in a fixed order that puts side 0 first is
+    among the first |x delta y| + 1 of each, as those before it count into
+    x delta y.  If they share none, see ``_centres``."""
     k = (100 - percent) / (100 + percent)
     codes, own, group, parts, held = byte_codes("space", True), None, None, [], 0
 
@@ -283,7 +284,8 @@ def _differ(batches, percent: int):
             gone = np.setdiff1d(own, mine, assume_unique=True)
             most = int(k * (1 + 100 / percent) * len(mine)) + 2
             leader = mix(np.full(1, a, np.int64).view(np.uint64))
-            for side, some in ((0, added[:most]), (1, gone[:max(0, most - len(added))])):
+            every = np.zeros(1, np.uint64)
+            for side, some in ((0, added[:most]), (1, gone[:max(0, most - len(added))]), (2, every)):
                 key = mix(mix(some ^ leader) + np.uint64(side))
                 parts.append((signed(key), np.arange(len(key)), *(np.full(len(key), v, np.int64) for v in (
                     a, b, side, len(added), len(gone), len(mine)))))
@@ -295,12 +297,22 @@ def _differ(batches, percent: int):
         yield rows()
 
 
-def _centres(apart: DataFrame) -> DataFrame:
-    """Pairs of each group's member nearest to the reference with all that are
-    as near as two of them may be linked without sharing a difference."""
-    own = apart.select("a", "rep", (F.col("added") + F.col("gone")).alias("far"), "n").distinct()
-    nearest = own.groupBy("a").agg(F.min(F.struct("far", "rep")).alias("m")).select("a", F.col("m.rep").alias("m"))
-    return (own.where(F.col("far") * 2 <= F.col("n")).join(nearest, "a").where("rep <> m")
+def _centres(apart: DataFrame, percent: int, tasks: int) -> DataFrame:
+    """Pairs (a, b) that stand for all links of members without a shared
+    difference: each group's member m of the largest slack with all others that
+    make up for it.
+
+    With d(x) differences from the reference let slack(x) = k |x| - d(x).
+    Members that share no difference are linked if and only if their slacks add
+    up to no less than 0, and any two whose slacks do are linked, as shared
+    differences only bring them closer.  So if x and y are linked this way, m is
+    linked with both, and all three are one component."""
+    own = apart.where("side = 2").select("a", "rep", (
+        (100 - percent) * F.col("n") - (100 + percent) * (F.col("added") + F.col("gone"))).alias("slack"))
+    best = own.groupBy("a").agg(F.max(F.struct("slack", "rep")).alias("m")).select(
+        "a", F.col("m.rep").alias("m"), F.col("m.slack").alias("most"))
+    best = write_scratch(best, "centres", tasks)
+    return (own.join(maybe_broadcast(best, BROADCAST_ROWS), "a").where("rep <> m and slack + most >= 0")
             .select(F.col("m").alias("a"), F.col("rep").alias("b")).distinct())
 
 
@@ -374,17 +386,18 @@ def confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, percent: i
     return write_scratch(links, "near-links", tasks)
 
 
-def components(links: DataFrame, rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(rep, comp): the smallest id reachable over links (a, b), by large-star
     and small-star steps on written tables; unlinked ids are left out.  What a
     join meets is always read from a written table, so that the rows of a
-    node with very many links can be split over tasks."""
+    node with very many links can be split over tasks.  The rounds end when one
+    changes nothing (about log2 of a component's size)."""
     tasks = -(-links.count() // TASK_ROWS) or 1
     edges = write_scratch(
         links.select(F.least("a", "b").alias("v"), F.greatest("a", "b").alias("u"))
         .where("u <> v").distinct(), "cc", tasks)
     before = None
-    for _ in range(rounds):
+    while True:
         # large star: larger neighbours of each node link to its smallest one
         both = edges.select("u", "v").union(edges.select(F.col("v"), F.col("u")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
@@ -405,8 +418,6 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         if state == before:
             break
         before = state
-    else:
-        raise RuntimeError("components did not settle")
     return edges.select(F.col("u").alias("rep"), F.col("v").alias("comp"))
 
 
@@ -444,10 +455,11 @@ def _untried(pairs: DataFrame, tried: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
-                    percent: int = 85) -> DataFrame:
+                    percent: int = 85, rows_per_band: int = ROWS) -> DataFrame:
     """(id, n_shingles, class_id, component_id, kept) for every row of ``docs``:
     documents whose shingle sets have a Jaccard similarity of at least
-    ``percent`` % are linked, and a component keeps its smallest id."""
+    ``percent`` % are linked, and a component keeps its smallest id.  Bands take
+    ``rows_per_band`` registers each, as many as there are."""
     spark = docs.sparkSession
     mark = scratch_written(spark)
     sk = write_scratch(sketches(docs, id_col, text), "sketches")
@@ -456,8 +468,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     classes = write_scratch(per_class, "classes")
     named = classes.where(F.col("rep").isNotNull())
     band = F.explode(F.transform(
-        F.sequence(F.lit(0), F.lit(BANDS - 1)),
-        lambda i: F.xxhash64(i, F.substring("regs", i * (2 * ROWS) + 1, F.lit(2 * ROWS)))))
+        F.sequence(F.lit(0), F.lit(REGISTERS // rows_per_band - 1)),
+        lambda i: F.xxhash64(i, F.substring("regs", i * (2 * rows_per_band) + 1, F.lit(2 * rows_per_band)))))
     banded = write_scratch(named.select("rep", band.alias("key")), "bands")
     buckets = _buckets(banded, _sizes(banded), "buckets")
     drop_scratch(banded)
@@ -500,7 +512,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
             lambda it: _differ(it, percent), ", ".join(f"{c} long" for c in _DIFFERENCES)), "differences")
         shared = apart.where("side = 0").select("key", "rep")
         sizes = _sizes(shared, tasks)
-        extra = extra.unionByName(_centres(apart)).unionByName(_lacking(apart, comp, percent)).unionByName(
+        extra = extra.unionByName(_centres(apart, percent, tasks)).unionByName(_lacking(apart, comp, percent)).unionByName(
             _along(apart, sizes.where(F.col("size") <= SHARED), comp, percent))
         extra = write_scratch(_untried(extra, tried), "extra", tasks)
         buckets = _open(_buckets(shared, sizes.where(F.col("size") > SHARED), "buckets", tasks), comp, tasks)

@@ -576,3 +576,61 @@ def test_widely_spread_group(spark, monkeypatch, small, shared):
     monkeypatch.setattr(setsketch, "SHARED", shared)
     got = setsketch.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
     same([(r.id, r.n_shingles, r.component_id, r.kept) for r in got.collect()], B.near_duplicates(rows))
+
+
+def test_members_without_a_shared_difference(spark):
+    """A member equal to the reference stands in for the links of all members
+    that differ from it each in its own way."""
+    import numpy as np
+    import pyarrow as pa
+
+    from framewise.llm import common
+    words = [f"w{k}" for k in range(204)]  # 200 shingles
+    texts = {1: words, 7: words}
+    for b in range(2, 6):  # 10 to 25 shingles changed, no place twice
+        c = list(words)
+        for k in range(b):
+            c[6 + 50 * (b - 2) + 7 * k] = f"new{b}.{k}"
+        texts[b] = c
+    codes = common.byte_codes("space", True)
+    data, offsets = common.utf8(pa.array([" ".join(words)]))
+    h, _, _, word = common.word_hashes(data, offsets, codes)
+    reference = setsketch.shingles(h, word)[0].tobytes()
+    rows = [(1, 0, None, reference, " ".join(words))] + [
+        (1, 0, b, None, " ".join(t)) for b, t in sorted(texts.items()) if b != 1]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([r[k] for r in rows], t) for k, t in enumerate(
+            (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string()))],
+        names=["a", "salt", "b", "reference", "text"])
+    out = pa.Table.from_batches(setsketch._differ([batch], 85)).to_pandas()
+    assert sorted(out.loc[out.side == 2, "rep"]) == [2, 3, 4, 5, 7]  # 7 equals the reference
+    sets = {b: B.shingle_set(" ".join(t)) for b, t in texts.items()}
+
+    def linked(x, y):
+        both = len(sets[x] & sets[y])
+        return 100 * both >= 85 * (len(sets[x]) + len(sets[y]) - both)
+
+    got = {(r.a, r.b) for r in setsketch._centres(spark.createDataFrame(out), 85, 1).collect()}
+    assert {x for x, _ in got} == {7} and {b for _, b in got} == {b for b in range(2, 6) if linked(7, b)}
+    assert np.all([linked(x, y) for x, y in got]) and len(got) >= 2
+    assert not linked(2, 5) and not linked(3, 4)
+
+
+def test_similarity_of_eighty(spark):
+    """At 80 % with bands of five registers, pairs on both sides of it."""
+    import random
+    rng = random.Random(8)
+    word = lambda: f"v{rng.randrange(10**6)}"
+    rows = []
+    for k in range(60):
+        base = [word() for _ in range(150)]
+        near = list(base)
+        at = rng.randrange(130)
+        n = rng.randrange(8, 18)
+        near[at:at + n] = [word() for _ in range(n)]
+        rows += [(10 * k, " ".join(base)), (10 * k + 1, " ".join(near))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = B.near_duplicates(rows, 80)
+    same([(r.id, r.n_shingles, r.component_id, r.kept)
+          for r in setsketch.near_duplicates(df, percent=80, rows_per_band=5).collect()], want)
+    assert 10 < sum(not k for *_, k in want) < 60 and want != B.near_duplicates(rows)
