@@ -8,7 +8,9 @@ item shorter than the window counts when all of it matches.
 
 Items are a stated query set, read in blocks of at most ``BLOCK_WORDS`` words:
 one automaton per block is broadcast (its size is bounded by the block), and
-the documents are scanned once per block, with the result written between.
+the documents are scanned once per block, with the result written between.  An
+item longer than a block is cut into parts that overlap by a window less one
+word, so that every window lies in one part.
 The automaton only runs over stretches whose neighbouring word pairs all
 occur in items; everything else cannot hold a window and is passed over with
 array operations.
@@ -188,12 +190,15 @@ def _item_blocks(benchmark: DataFrame, id_col: str, text: str, window: int) -> I
                             F.coalesce(F.col(text), F.lit("")).alias("t"))
     for row in rows.toLocalIterator():
         data, offsets = utf8(pa.array([row.t]))
-        h = word_hashes(data, offsets, codes)[0]
-        if block and size + len(h) > BLOCK_WORDS:
-            yield Items(block, window)
-            block, size = [], 0
-        block.append((row.i, h))
-        size += len(h)
+        whole = word_hashes(data, offsets, codes)[0]
+        most = max(BLOCK_WORDS, window)
+        for k in range(0, max(1, len(whole) - window + 1), most - window + 1):
+            h = whole[k:k + most]
+            if block and size + len(h) > BLOCK_WORDS:
+                yield Items(block, window)
+                block, size = [], 0
+            block.append((row.i, h))
+            size += len(h)
     if block:
         yield Items(block, window)
 
@@ -260,27 +265,35 @@ def is_contaminated(coverage: int = COVERAGE) -> Column:
     return (F.col("n_hit") > 0) & (coverage * F.col("n_hit") >= F.col("n_words"))
 
 
-def _cut(batches, text: str, max_span: int):
+def _cut(batches, text: str, max_span: int, coverage: int | None):
     codes = byte_codes("alnum", True)
     for batch in batches:
+        cuts = {}
+        rows = zip(*(flat(batch, c).to_pylist() for c in ("hit_spans", "n_hit", "n_words")), strict=True)
+        for d, (spans, hit, words) in enumerate(rows):
+            over = coverage is not None and hit and coverage * hit >= words
+            if some := [x for x in spans if over or x[1] - x[0] > max_span]:
+                cuts[d] = some
+        if not cuts:
+            yield batch
+            continue
         column = flat(batch, text)
-        data, offsets = utf8(column)
+        data, offsets = utf8(column.take(pa.array(list(cuts), pa.int64())))
         _, s, e, first = word_hashes(data, offsets, codes)
         texts = column.to_pylist()
-        for d, spans in enumerate(flat(batch, "hit_spans").to_pylist()):
-            cuts = [x for x in spans if x[1] - x[0] > max_span]
-            if cuts:
-                raw, at, parts = data[offsets[d]:offsets[d + 1]].tobytes(), 0, []
-                for a, b in cuts:
-                    parts.append(raw[at:int(s[first[d] + a] - offsets[d])])
-                    at = int(e[first[d] + b - 1] - offsets[d])
-                texts[d] = b"".join([*parts, raw[at:]]).decode()
+        for k, (d, spans) in enumerate(cuts.items()):
+            raw, at, parts = data[offsets[k]:offsets[k + 1]].tobytes(), 0, []
+            for a, b in spans:
+                parts.append(raw[at:int(s[first[k] + a] - offsets[k])])
+                at = int(e[first[k] + b - 1] - offsets[k])
+            texts[d] = b"".join([*parts, raw[at:]]).decode()
         i = batch.schema.get_field_index(text)
         yield batch.set_column(i, text, pa.array(texts, batch.schema.field(i).type))
 
 
-def remove_spans(hits: DataFrame, text: str = "text", max_span: int = 0) -> DataFrame:
+def remove_spans(hits: DataFrame, text: str = "text", max_span: int = 0, coverage: int | None = None) -> DataFrame:
     """Cut hit spans of more than ``max_span`` words out of the texts of
-    ``find_hits``' result; what stands between spans stays as it is."""
+    ``find_hits``' result; documents of which a ``coverage``-th or more is hit
+    lose all their hit spans.  What stands between spans stays as it is."""
     bounded_batches(hits.sparkSession)
-    return hits.mapInArrow(lambda it: _cut(it, text, max_span), hits.schema)
+    return hits.mapInArrow(lambda it: _cut(it, text, max_span, coverage), hits.schema)

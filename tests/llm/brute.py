@@ -53,6 +53,33 @@ def contamination(docs, items, window=13):
     return out
 
 
+def without_spans(docs, items, max_span, coverage=None, window=13):
+    """Texts without hit spans of more than ``max_span`` words, and without any
+    where a ``coverage``-th of the words is hit."""
+    windows = set()
+    for _, t in items:
+        w = ALNUM.findall(lower(t))
+        n = min(len(w), window)
+        windows |= {tuple(w[k:k + n]) for k in range(len(w) - n + 1 if w else 0)}
+    sizes, out = sorted({len(w) for w in windows}), []
+    for i, t in docs:
+        at = [m.span() for m in ALNUM.finditer(lower(t))]
+        w, hit = [lower(t)[a:b] for a, b in at], set()
+        for n in sizes:
+            for k in range(len(w) - n + 1):
+                if tuple(w[k:k + n]) in windows:
+                    hit.update(range(k, k + n))
+        text, over = t, coverage and hit and coverage * len(hit) >= len(w)
+        for b in sorted((k for k in hit if k + 1 not in hit), reverse=True):
+            a = b
+            while a - 1 in hit:
+                a -= 1
+            if over or b + 1 - a > max_span:
+                text = text[:at[a][0]] + text[at[b][1]:]
+        out.append((i, text))
+    return out
+
+
 def base_rules(text):
     text = text or ""
     w = WORD.findall(text)

@@ -143,6 +143,28 @@ def test_decontamination_in_blocks(edge, edge_rows, spark, monkeypatch):
           for r in got.collect()], B.contamination(edge_rows, items))
 
 
+def test_long_item_in_parts(edge, edge_rows, spark, monkeypatch):
+    words = max((t or "" for _, t in edge_rows), key=len).split()
+    items = [("long", " ".join(words[40:140])), ("short", "two words"), ("same", "The same body of text goes on and on")]
+    monkeypatch.setattr(decontam, "BLOCK_WORDS", 30)
+    blocks = list(decontam._item_blocks(spark.createDataFrame(items, "item_id string, text string"),
+                                        "item_id", "text", 13))
+    assert len(blocks) > 4  # parts of at most a block each
+    got = decontam.find_hits(edge, spark.createDataFrame(items, "item_id string, text string"))
+    same([(r.doc_id, r.n_words, r.n_hit, len(r.hit_items), B.sha(",".join(r.hit_items)), r.contaminated)
+          for r in got.collect()], B.contamination(edge_rows, items))
+
+
+@pytest.mark.parametrize(("max_span", "coverage"), [(0, None), (12, None), (12, 20), (8, 3), (500, None)])
+def test_spans_over_limits(edge, edge_rows, spark, max_span, coverage):
+    items = [(1, "The same body of text goes on and on for more than five words"), (2, "one"), (3, "other"),
+             (4, " ".join(f"w{i % 977} x{i % 31}" for i in range(30, 50)))]
+    hits = decontam.find_hits(edge, spark.createDataFrame(items, "item_id long, text string"))
+    got = decontam.remove_spans(hits, max_span=max_span, coverage=coverage).collect()
+    want = B.without_spans(edge_rows, items, max_span, coverage)
+    assert sorted(map(repr, ((r.doc_id, r.text) for r in got))) == sorted(map(repr, want))
+
+
 def test_quality_edges(edge, empty):
     rows = [(r.doc_id, r.source, r.text) for r in edge.collect()]
     got = line_rules.judge(edge, max_docs=1)

@@ -30,8 +30,9 @@ def plain(rows, items):
         if left == (t or "") or left.strip(B.SPACE):
             out.append((i, left))
     assert keys
-    out = [(i, t) for (i, t), (_, _, _, k) in zip(out, B.near_duplicates(out)) if k]
-    return [(i, t) for (i, t), (*_, bad) in zip(out, B.contamination(out, items)) if not bad]
+    out = [(i, t) for (i, t), (_, _, _, k) in zip(out, B.near_duplicates(out, 80)) if k]
+    out = [(i, t) for (i, t), (*_, bad) in zip(out, B.contamination(out, items)) if not bad]
+    return B.without_spans(out, items, 12)
 
 
 @pytest.mark.parametrize("sf", ["/root/testdata/sf0.001"])
