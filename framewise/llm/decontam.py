@@ -207,7 +207,7 @@ _NEW = {"n_words": T.LongType(), "hit_spans": T.ArrayType(T.ArrayType(T.IntegerT
         "hit_items": T.ArrayType(T.StringType())}
 
 
-def _scan(batches, items, text: str, again: bool, keep_text: bool):
+def _scan(batches, items, text: str, again: bool, keep_text: bool, max_span: int | None):
     codes = byte_codes("alnum", True)
     spans_type, ids_type = pa.list_(pa.list_(pa.int32())), pa.list_(pa.string())
     for batch in batches:
@@ -219,9 +219,12 @@ def _scan(batches, items, text: str, again: bool, keep_text: bool):
             for d, (s, f) in enumerate(before):
                 spans[d] = merged(spans[d] + [tuple(x) for x in s])
                 found[d] |= set(f)
-        rest = [f for f in batch.schema.names if f not in _NEW and (keep_text or f != text)]
+        rest = {f: flat(batch, f) for f in batch.schema.names if f not in _NEW and (keep_text or f != text)}
+        if keep_text and max_span is not None:
+            rest[text] = _without(rest[text], {d: some for d, own in enumerate(spans) if (
+                some := [x for x in own if x[1] - x[0] > max_span])})
         yield pa.RecordBatch.from_arrays(
-            [*(flat(batch, f) for f in rest), pa.array(np.diff(first).astype(np.int64)),
+            [*rest.values(), pa.array(np.diff(first).astype(np.int64)),
              pa.array([[list(x) for x in s] for s in spans], spans_type),
              pa.array([sorted(f) for f in found], ids_type)], names=[*rest, *_NEW])
 
@@ -237,9 +240,11 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id",
-              item_text: str = "text", window: int = WINDOW, keep_text: bool = True) -> DataFrame:
+              item_text: str = "text", window: int = WINDOW, keep_text: bool = True,
+              max_span: int | None = None) -> DataFrame:
     """``docs`` (without the text, if that is not kept) with ``n_words``, ``hit_spans`` (merged [start, end) in words),
-    ``hit_items`` (distinct ids, sorted), ``n_hit`` and ``contaminated``."""
+    ``hit_items`` (distinct ids, sorted), ``n_hit`` and ``contaminated``.  With
+    ``max_span`` the texts lose hit spans of more words in the same pass."""
     spark = docs.sparkSession
     bounded_batches(spark)
     out = docs.drop(*_NEW, "n_hit", "contaminated")
@@ -253,7 +258,8 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id
             out = write_scratch(out, "decontam-block")
         keep = keep_text or following is not None
         shared = spark.sparkContext.broadcast(block)
-        out = out.mapInArrow(lambda it, b=shared, a=again, k=keep: _scan(it, b, text, a, k),
+        cut = max_span if following is None else None
+        out = out.mapInArrow(lambda it, b=shared, a=again, k=keep, c=cut: _scan(it, b, text, a, k, c),
                              T.StructType([f for f in schema.fields if keep or f.name != text]))
         block, again = following, True
     n_hit = F.aggregate("hit_spans", F.lit(0).cast("long"),
@@ -265,8 +271,23 @@ def is_contaminated(coverage: int = COVERAGE) -> Column:
     return (F.col("n_hit") > 0) & (coverage * F.col("n_hit") >= F.col("n_words"))
 
 
+def _without(column: pa.Array, cuts: dict[int, list[tuple[int, int]]]) -> pa.Array:
+    """The texts without the spans of words that ``cuts`` has by row."""
+    if not cuts:
+        return column
+    data, offsets = utf8(column.take(pa.array(list(cuts), pa.int64())))
+    _, s, e, first = word_hashes(data, offsets, byte_codes("alnum", True))
+    texts = column.to_pylist()
+    for k, (d, spans) in enumerate(cuts.items()):
+        raw, at, parts = data[offsets[k]:offsets[k + 1]].tobytes(), 0, []
+        for a, b in spans:
+            parts.append(raw[at:int(s[first[k] + a] - offsets[k])])
+            at = int(e[first[k] + b - 1] - offsets[k])
+        texts[d] = b"".join([*parts, raw[at:]]).decode()
+    return pa.array(texts, column.type)
+
+
 def _cut(batches, text: str, max_span: int, coverage: int | None):
-    codes = byte_codes("alnum", True)
     for batch in batches:
         cuts = {}
         rows = zip(*(flat(batch, c).to_pylist() for c in ("hit_spans", "n_hit", "n_words")), strict=True)
@@ -274,21 +295,8 @@ def _cut(batches, text: str, max_span: int, coverage: int | None):
             over = coverage is not None and hit and coverage * hit >= words
             if some := [x for x in spans if over or x[1] - x[0] > max_span]:
                 cuts[d] = some
-        if not cuts:
-            yield batch
-            continue
-        column = flat(batch, text)
-        data, offsets = utf8(column.take(pa.array(list(cuts), pa.int64())))
-        _, s, e, first = word_hashes(data, offsets, codes)
-        texts = column.to_pylist()
-        for k, (d, spans) in enumerate(cuts.items()):
-            raw, at, parts = data[offsets[k]:offsets[k + 1]].tobytes(), 0, []
-            for a, b in spans:
-                parts.append(raw[at:int(s[first[k] + a] - offsets[k])])
-                at = int(e[first[k] + b - 1] - offsets[k])
-            texts[d] = b"".join([*parts, raw[at:]]).decode()
         i = batch.schema.get_field_index(text)
-        yield batch.set_column(i, text, pa.array(texts, batch.schema.field(i).type))
+        yield batch.set_column(i, batch.schema.field(i), _without(batch.column(i), cuts))
 
 
 def remove_spans(hits: DataFrame, text: str = "text", max_span: int = 0, coverage: int | None = None) -> DataFrame:

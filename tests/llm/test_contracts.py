@@ -163,6 +163,9 @@ def test_spans_over_limits(edge, edge_rows, spark, max_span, coverage):
     got = decontam.remove_spans(hits, max_span=max_span, coverage=coverage).collect()
     want = B.without_spans(edge_rows, items, max_span, coverage)
     assert sorted(map(repr, ((r.doc_id, r.text) for r in got))) == sorted(map(repr, want))
+    if coverage is None:  # the same in one pass
+        once = decontam.find_hits(edge, spark.createDataFrame(items, "item_id long, text string"), max_span=max_span)
+        assert sorted(map(repr, ((r.doc_id, r.text) for r in once.collect()))) == sorted(map(repr, want))
 
 
 def test_quality_edges(edge, empty):
