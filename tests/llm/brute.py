@@ -63,8 +63,9 @@ def without_spans(docs, items, max_span, coverage=None, window=13):
         windows |= {tuple(w[k:k + n]) for k in range(len(w) - n + 1 if w else 0)}
     sizes, out = sorted({len(w) for w in windows}), []
     for i, t in docs:
-        at = [m.span() for m in ALNUM.finditer(lower(t))]
-        w, hit = [lower(t)[a:b] for a, b in at], set()
+        low, hit = lower(t), set()
+        at = [m.span() for m in ALNUM.finditer(low)]
+        w = [low[a:b] for a, b in at]
         for n in sizes:
             for k in range(len(w) - n + 1):
                 if tuple(w[k:k + n]) in windows:
