@@ -122,14 +122,17 @@ def farthest(hops: DataFrame) -> tuple[int, int] | None:
     return None if top is None else (top.r, top.c)
 
 
-def ancestor_chain(parents: DataFrame, goal: tuple[int, int]) -> DataFrame:
-    """Cells on the parent-pointer chain from ``goal`` back to the root.
+def ancestor_chain(parents: DataFrame, goal: tuple[int, int] | None) -> DataFrame:
+    """Cells on the parent-pointer chain from ``goal`` back to the root; none
+    without a goal (nothing is reached from a start that is a wall or missing).
 
     ``parents`` is (r, c, pr, pc) with NULL parent at the root.  Pointer
     doubling: the jump table P_k maps a cell to its ancestor 2^k steps up;
     each round extends the chain with P_k of every chain cell, so a chain of
     length L needs ceil(log2 L) rounds.
     """
+    if goal is None:
+        return parents.select("r", "c").where("false")
     jump = parents.select("r", "c", F.col("pr").alias("ar"), F.col("pc").alias("ac")).where(
         F.col("ar").isNotNull())
     chain = parents.where((F.col("r") == goal[0]) & (F.col("c") == goal[1])).select("r", "c")
@@ -146,7 +149,7 @@ def ancestor_chain(parents: DataFrame, goal: tuple[int, int]) -> DataFrame:
         jump = materialize(jump, "jump")
 
 
-def ascent_path(edges: DataFrame, hops: DataFrame, goal: tuple[int, int]) -> DataFrame:
+def ascent_path(edges: DataFrame, hops: DataFrame, goal: tuple[int, int] | None) -> DataFrame:
     """(step, r, c): from ``goal`` (step 0) by steepest ascent to the start."""
     up = ascent_parents(edges, hops)
     chain = ancestor_chain(up, goal).join(hops.select("r", "c", "hops"), ["r", "c"])
@@ -154,18 +157,20 @@ def ascent_path(edges: DataFrame, hops: DataFrame, goal: tuple[int, int]) -> Dat
     return chain.select((most - F.col("hops")).cast("int").alias("step"), "r", "c")
 
 
-def shortest_path(hops: DataFrame, goal: tuple[int, int]) -> DataFrame:
+def shortest_path(hops: DataFrame, goal: tuple[int, int] | None) -> DataFrame:
     """(step, r, c) from start (step 0) to goal; empty when the goal is unreachable."""
     chain = ancestor_chain(hops, goal)
     return chain.join(hops.select("r", "c", "hops"), ["r", "c"]).select(
         F.col("hops").alias("step"), "r", "c")
 
 
-def discounted_reach(cells: DataFrame, hops: DataFrame, goal: tuple[int, int]) -> DataFrame:
-    """(r, c, value) for every cell: DISCOUNT^hops for reachable cells no
-    further than the goal (all reachable cells if the goal is unreachable), else 0."""
-    gh = hops.where((F.col("r") == goal[0]) & (F.col("c") == goal[1])).agg(F.max("hops"))
-    limit = F.coalesce(gh.scalar(), F.lit(2 ** 31 - 1))
+def discounted_reach(cells: DataFrame, hops: DataFrame, goal: tuple[int, int] | None) -> DataFrame:
+    """(r, c, value) for every cell: DISCOUNT^hops for reachable cells no further
+    than the goal (all reachable cells if it is unreachable or none), else 0."""
+    limit = F.lit(2 ** 31 - 1)
+    if goal is not None:
+        gh = hops.where((F.col("r") == goal[0]) & (F.col("c") == goal[1])).agg(F.max("hops"))
+        limit = F.coalesce(gh.scalar(), limit)
     v = F.when(F.col("hops") <= limit, F.pow(F.lit(DISCOUNT), F.col("hops"))).otherwise(0.0)
     return (cells.select("r", "c").join(hops.select("r", "c", "hops"), ["r", "c"], "left")
                  .select("r", "c", F.coalesce(v, F.lit(0.0)).alias("value")))

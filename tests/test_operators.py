@@ -317,6 +317,19 @@ def test_unreachable_goal_gives_empty_path(spark):
     assert gr.bfs(gr.grid_edges(cells), cells, (0, 1))[0].count() == 0  # starts in a wall
 
 
+@pytest.mark.parametrize("start", [(0, 1), (5, 5)])  # a wall; a cell that is not there
+def test_grid_without_an_open_start(spark, start):
+    rows = [(0, 0, False), (0, 1, True), (0, 2, False)]
+    cells = spark.createDataFrame(rows, "r long, c long, wall boolean")
+    edges = gr.grid_edges(cells)
+    h, _ = gr.bfs(edges, cells, start)
+    goal = gr.farthest(h)
+    assert goal is None
+    assert gr.shortest_path(h, goal).collect() == [] and gr.ascent_path(edges, h, goal).collect() == []
+    assert sorted(map(tuple, gr.discounted_reach(cells, h, goal).collect())) == [
+        (0, 0, 0.0), (0, 1, 0.0), (0, 2, 0.0)]
+
+
 def test_nearest_centroid_ties_take_smallest_code(spark):
     df = spark.createDataFrame([(1, 5.0), (2, 0.0), (3, None)], "id int, x double")
     book = spark.createDataFrame([(0, 4.0), (1, 6.0), (2, 0.5)], "code int, center double")
