@@ -95,3 +95,15 @@ def test_logit_equals_a_plain_fit(spark):
         assert odds[t].odds_ratio == pytest.approx(math.exp(b), rel=1e-4)
         assert odds[t].ci_low == pytest.approx(math.exp(b - 1.959964 * e), rel=1e-3)
         assert odds[t].ci_high == pytest.approx(math.exp(b + 1.959964 * e), rel=1e-3)
+
+
+def test_fits_read_the_split_from_one_written_table(spark, sf_small):
+    """The joins and the split behind a fit are worked out once, not per scan."""
+    from framewise.plans import catalog as C
+    from framewise.plans import models_catalog as mc
+    train, test = mc._split(spark, sf_small)
+    assert {f.rsplit("/", 2)[1].startswith("split-") for df in (train, test) for f in df.inputFiles()} == {True}
+    assert "Join" not in train._jdf.queryExecution().optimizedPlan().toString()
+    want = {r.c_custkey: r.is_train for r in C._stratified(spark, sf_small).select("c_custkey", "is_train").collect()}
+    got = {r.c_custkey: on for df, on in ((train, True), (test, False)) for r in df.select("c_custkey").collect()}
+    assert got == want and train.count() + test.count() == len(want)
