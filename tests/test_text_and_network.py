@@ -209,6 +209,20 @@ def test_hops_equal_plain_search(spark, hub_edges):
         assert {(r.node, r.hops, r.parent) for r in nw.hops_from(net, start).collect()} == want
 
 
+def test_search_aggregates_numbers_in_bounded_tasks(spark, monkeypatch):
+    """The smallest neighbour is a hash aggregate (one over names sorts its
+    rows), and the edges lie in partitions in proportion to their number."""
+    monkeypatch.setattr(nw, "TASK_EDGES", 50)
+    edges = graph_with_hub()
+    net = nw.network(spark.createDataFrame(edges, "src string, dst string"))
+    reached = nw._step(net, nw._start(net, "n0")).groupBy("node").agg(F.min("from"))
+    assert "SortAggregate" not in reached._jdf.queryExecution().executedPlan().toString()
+    files = net.links.groupBy(F.input_file_name()).count().count()
+    assert files >= len(set(edges)) // 100
+    assert {(r.src, r.dst) for r in net.edges.collect()} == {
+        e for a, b in edges if a is not None and b is not None and a != b for e in ((a, b), (b, a))}
+
+
 def test_paths_equal_plain_search(spark):
     edges = graph_with_hub()
     net = nw.network(spark.createDataFrame(edges, "src string, dst string"), hub_edges=20)
