@@ -39,6 +39,9 @@ result.  Input columns other than id and text are not carried.
 
 from __future__ import annotations
 
+import functools
+import operator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -247,7 +250,19 @@ def _majority(batches):
         names=["a", "reference"])
 
 
-_DIFFERENCES = ["key", "pos", "a", "rep", "side", "added", "gone", "n"]
+#: Words of 64 bits of a set's parity map.
+MAP_WORDS = 16
+_MAP = [f"m{i}" for i in range(MAP_WORDS)]
+_DIFFERENCES = ["key", "pos", "a", "rep", "side", "added", "gone", "n", *_MAP]
+
+
+def _parity_map(sets: np.ndarray) -> np.ndarray:
+    """Each bit tells whether an odd number of the set's elements fall on it.
+    The maps of x and y differ in at most |x delta y| bits: elements of both
+    cancel out, any other turns one bit."""
+    bit = mix(sets ^ np.uint64(0xD6E8FEB86659FD93)) % np.uint64(64 * MAP_WORDS)
+    odd = np.bincount(bit.astype(np.int64), minlength=64 * MAP_WORDS) % 2
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
 
 def _differ(batches, percent: int):
@@ -284,11 +299,12 @@ def _differ(batches, percent: int):
             gone = np.setdiff1d(own, mine, assume_unique=True)
             most = int(k * (1 + 100 / percent) * len(mine)) + 2
             leader = mix(np.full(1, a, np.int64).view(np.uint64))
+            bits = _parity_map(mine)
             every = np.zeros(1, np.uint64)
             for side, some in ((0, added[:most]), (1, gone[:max(0, most - len(added))]), (2, every)):
                 key = mix(mix(some ^ leader) + np.uint64(side))
                 parts.append((signed(key), np.arange(len(key)), *(np.full(len(key), v, np.int64) for v in (
-                    a, b, side, len(added), len(gone), len(mine)))))
+                    a, b, side, len(added), len(gone), len(mine), *bits))))
                 held += len(key)
             if held > 100_000:
                 yield rows()
@@ -326,8 +342,8 @@ def _lacking(apart: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
         F.col("comp") != F.coalesce("main", "a")).drop("main")
     differ = F.col("added1") + F.col("added2") + F.col("gone1") + F.col("gone2")
     common = F.least(F.col("gone1") - F.col("pos1"), F.col("gone2") - F.col("pos2"))
-    return _pairs(outside, at,
-                  (100 + percent) * (differ - 2 * common) <= (100 - percent) * (F.col("n1") + F.col("n2")))
+    return _pairs(outside, at, percent, (
+        (100 + percent) * (differ - 2 * common) <= (100 - percent) * (F.col("n1") + F.col("n2"))))
 
 
 def _along(apart: DataFrame, sizes: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
@@ -338,7 +354,7 @@ def _along(apart: DataFrame, sizes: DataFrame, comp: DataFrame, percent: int) ->
     at = _with_comp(at, comp)
     differ = F.col("added1") + F.col("added2") + F.col("gone1") + F.col("gone2")
     common = F.least(F.col("added1") - F.col("pos1"), F.col("added2") - F.col("pos2")) + F.least("gone1", "gone2")
-    return _pairs(at, at, (F.col("rep1") < F.col("rep2")) & (
+    return _pairs(at, at, percent, (F.col("rep1") < F.col("rep2")) & (
         (100 + percent) * (differ - 2 * common) <= (100 - percent) * (F.col("n1") + F.col("n2"))))
 
 
@@ -346,9 +362,14 @@ def _with_comp(rows: DataFrame, comp: DataFrame) -> DataFrame:
     return rows.join(maybe_broadcast(comp, BROADCAST_ROWS), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
 
 
-def _pairs(x: DataFrame, y: DataFrame, link) -> DataFrame:
-    x, y = (d.select("key", *[F.col(c).alias(f"{c}{i}") for c in ("pos", "rep", "comp", "added", "gone", "n")])
-            for i, d in ((1, x), (2, y)))
+def _pairs(x: DataFrame, y: DataFrame, percent: int, link) -> DataFrame:
+    """Pairs (a, b) of rows with a common key for which ``link`` holds and whose
+    parity maps leave a link possible: |x delta y| is at least the number of
+    bits in which they differ."""
+    x, y = (d.select("key", *[F.col(c).alias(f"{c}_{i}" if c in _MAP else f"{c}{i}") for c in (
+        "pos", "rep", "comp", "added", "gone", "n", *_MAP)]) for i, d in ((1, x), (2, y)))
+    least = functools.reduce(operator.add, [F.bit_count(F.col(f"{c}_1").bitwiseXOR(F.col(f"{c}_2"))) for c in _MAP])
+    link = link & ((100 + percent) * least <= (100 - percent) * (F.col("n1") + F.col("n2")))
     return x.join(y, "key").where((F.col("comp1") != F.col("comp2")) & link).select(
         F.least("rep1", "rep2").alias("a"), F.greatest("rep1", "rep2").alias("b")).distinct()
 

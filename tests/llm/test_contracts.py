@@ -659,3 +659,42 @@ def test_similarity_of_eighty(spark):
     same([(r.id, r.n_shingles, r.component_id, r.kept)
           for r in setsketch.near_duplicates(df, percent=80, rows_per_band=5).collect()], want)
     assert 10 < sum(not k for *_, k in want) < 60 and want != B.near_duplicates(rows)
+
+
+def test_members_that_share_little_are_not_paired(spark):
+    """Members that share one difference of many are no candidates, however
+    many they are; those that may be linked are all paired."""
+    import random
+
+    import pyarrow as pa
+
+    from framewise.llm import common
+    rng = random.Random(5)
+    words = [f"w{k}" for k in range(204)]
+    texts = {1: words}
+    for b in range(2, 32):
+        c = list(words)
+        c[6] = "shared"
+        for k in rng.sample(range(12, 204, 6), 7):
+            c[k] = f"new{b}.{k}"
+        texts[b] = c
+    texts[40], texts[41] = list(texts[2]), list(texts[3])
+    texts[40][100], texts[41][150] = "one", "two"
+    codes = common.byte_codes("space", True)
+    data, offsets = common.utf8(pa.array([" ".join(words)]))
+    h, _, _, word = common.word_hashes(data, offsets, codes)
+    reference = setsketch.shingles(h, word)[0].tobytes()
+    rows = [(1, 0, None, reference, " ".join(words))] + [
+        (1, 0, b, None, " ".join(t)) for b, t in sorted(texts.items()) if b != 1]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([r[k] for r in rows], t) for k, t in enumerate(
+            (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string()))],
+        names=["a", "salt", "b", "reference", "text"])
+    apart = spark.createDataFrame(pa.Table.from_batches(setsketch._differ([batch], 80)).to_pandas())
+    sizes = apart.where("side = 0").groupBy("key").count().where("count > 1")
+    comp = spark.createDataFrame([], "rep long, comp long")
+    got = {(r.a, r.b) for r in setsketch._along(apart, sizes, comp, 80).collect()}
+    sets = {b: B.shingle_set(" ".join(t)) for b, t in texts.items()}
+    linked = {(x, y) for x in sets for y in sets if 1 < x < y
+              and 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y])}
+    assert {(2, 40), (3, 41)} <= linked <= got and len(got) < 40
