@@ -73,9 +73,11 @@ def ngrams(df: DataFrame, n: int, text: str = "text", keep: Sequence[str] = ("do
            name: str = "ngram") -> DataFrame:
     """Rows of n consecutive tokens of each text value (page); none if shorter.
 
-    Tokens are projected to a column first so each text is tokenised once."""
+    Tokens are projected to a column first so each text is tokenised once; the
+    windows are joined to strings after they are rows, in generated code."""
     words = df.select(*keep, tx.tokens(text).alias("_w"))
-    return words.select(*keep, F.explode(tx.ngrams("_w", n)).alias(name))
+    rows = words.select(*keep, F.explode(tx.windows("_w", n)).alias("_g"))
+    return rows.select(*keep, F.concat_ws(" ", *[F.col(f"_g.w{i}") for i in range(n)]).alias(name))
 
 
 def separate(df: DataFrame, column: str, into: Sequence[str], sep: str = " ") -> DataFrame:

@@ -12,6 +12,7 @@ from framewise.functions import stemming as sm
 from framewise.operators import network as nw
 from framewise.operators import stats as st
 from framewise.operators import text as tt
+from framewise.sources import lexicons
 
 # Published sample pairs of the stemmer.
 PAIRS = """
@@ -170,6 +171,21 @@ def test_smoother_of_few_rows(spark):
     assert [(r.x, r.y_fit) for r in one] == [(2.0, 4.0)] * 4
 
 
+# ---------------------------------------------------------------- n-grams
+
+def test_stop_words_do_not_move_the_ngrams(spark):
+    """The list is broadcast by its size, before any n-gram is shuffled, and
+    n-grams are joined to strings outside of array functions."""
+    texts = spark.createDataFrame([("d", "The red fox and 12 red foxes"), ("d", "one"), ("e", None), ("e", "red fox")],
+                                  "document string, text string")
+    grams = tt.separate(tt.ngrams(texts, 2), "ngram", ["word1", "word2"])
+    kept = tt.ngram_parts_without_stop_words(grams, ["word1", "word2"], lexicons.stop_words(spark))
+    assert sorted(tuple(r) for r in kept.select("document", "word1", "word2").collect()) == [
+        ("d", "12", "red"), ("d", "red", "fox"), ("d", "red", "foxes"), ("e", "red", "fox")]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "transform(" not in plan
+
+
 # ---------------------------------------------------------------- search on edges
 
 def graph_with_hub(n=120, seed=8):
